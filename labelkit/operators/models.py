@@ -12,10 +12,10 @@ decoded index 0 as ``F``).
 
 Fitting touches the text once: the stateless chain turns each row into a
 sparse vector, and only ``(label, raw_features)`` - about 100 bytes per row
-whatever the text length - is checkpointed to the shared folder.  IDF, the
-label index and the classifier (10 L-BFGS rounds for LR) then all read that
-small table, and an executor lost mid-fit recomputes from the checkpoint
-rather than from the text scan.
+whatever the text length - is written once as parquet to the shared folder
+(``spark.checkpoint.dir``).  IDF, the label index and the classifier (10
+L-BFGS rounds for LR) then all read that small table, and an executor lost
+mid-fit re-reads those files rather than re-scanning and re-tokenizing text.
 
 The model on the driver holds ``classes x num_features`` doubles; with the
 default 20 buckets that is nothing, with ``num_features`` near 2**18 it is a
@@ -26,6 +26,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression, NaiveBayes
 from pyspark.ml.feature import HashingTF, IDFModel, IndexToString, SQLTransformer, StopWordsRemover, StringIndexerModel, Tokenizer
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.utils import AnalysisException
 
 from labelkit.operators import features as fx
-from labelkit.session import shared_dir
+from labelkit.session import scratch_path
 
 # Reference defaults (fixed values).
 MAX_ITER = 10
@@ -50,6 +51,18 @@ PREDICTED_LABEL_COL = "predicted_label"
 _N_FEATURE_STAGES = 4
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as parquet in the shared folder and read it back.
+
+    Cuts the lineage like ``checkpoint()`` but computes the input only once
+    (an eager checkpoint runs its input twice: once to count, once to write),
+    and the files survive the loss of any executor.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _classifier(kind: str, features_col: str, max_iter: int, reg_param: float, smoothing: float):
     common = dict(
         featuresCol=features_col,
@@ -74,7 +87,7 @@ def fit_on_features(
     max_iter: int = MAX_ITER,
     reg_param: float = REG_PARAM,
     smoothing: float = SMOOTHING,
-    checkpoint: bool = True,
+    materialize_input: bool = True,
 ) -> PipelineModel:
     """Fit the head on rows that already carry ``raw_features`` and the label.
 
@@ -84,23 +97,29 @@ def fit_on_features(
     if kind not in KINDS:
         raise ValueError(f"Unknown model type: {kind!r}; expected one of {KINDS}")
     data = train_features.select(label_col, fx.RAW_COL)
-    if checkpoint:
-        shared_dir(data.sparkSession)
-        data = data.checkpoint(eager=True)
-    indexer = fx.fit_label_index(data, label_col, fx.LABEL_COL)
-    if len(indexer.labels) == 0:
-        raise ValueError("cannot fit a classifier on an empty table")
-    if len(indexer.labels) < 2:
-        raise ValueError(f"need at least two classes to fit, found only {list(indexer.labels)}")
-    head: list[Transformer] = []
-    features_col = fx.RAW_COL
-    if use_idf:
-        idf = fx.fit_idf(data, fx.RAW_COL, fx.FEATURES_COL)
-        head.append(idf)
-        features_col = fx.FEATURES_COL
-    head.append(indexer)
-    indexed = PipelineModel(head).transform(data)
-    clf = _classifier(kind, features_col, max_iter, reg_param, smoothing).fit(indexed)
+    if materialize_input:
+        data = materialize(data, "train-features")
+    # Several passes follow (label index, IDF, classifier): keep the small
+    # table in executor memory, spilling to disk; a lost block is re-read
+    # from the files written above.
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        indexer = fx.fit_label_index(data, label_col, fx.LABEL_COL)
+        if len(indexer.labels) == 0:
+            raise ValueError("cannot fit a classifier on an empty table")
+        if len(indexer.labels) < 2:
+            raise ValueError(f"need at least two classes to fit, found only {list(indexer.labels)}")
+        head: list[Transformer] = []
+        features_col = fx.RAW_COL
+        if use_idf:
+            idf = fx.fit_idf(data, fx.RAW_COL, fx.FEATURES_COL)
+            head.append(idf)
+            features_col = fx.FEATURES_COL
+        head.append(indexer)
+        indexed = PipelineModel(head).transform(data)
+        clf = _classifier(kind, features_col, max_iter, reg_param, smoothing).fit(indexed)
+    finally:
+        data.unpersist()
     decoder = IndexToString(inputCol=PREDICTION_COL, outputCol=PREDICTED_LABEL_COL, labels=list(indexer.labels))
     return PipelineModel(list(stages) + head + [clf, decoder])
 

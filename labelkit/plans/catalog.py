@@ -98,7 +98,15 @@ def fitted(spark: SparkSession, sf_dir: str, kind: str = "naive_bayes", use_idf:
 
 
 def first_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tr.doc_texts(spark, sf_dir)
+    """``(doc_id, name)``: the first word of every document (narrow, no shuffle)."""
+    docs = tr.table(spark, sf_dir, "documents")
+    return docs.select("doc_id", tx.first_token("text").alias("name"))
+
+
+def whole_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(doc_id, name)``: whole documents, spread over the cores before
+    tokenizing (a no-op for large scans)."""
+    return tr.spread(tr.doc_texts(spark, sf_dir), ["doc_id"])
 
 
 def predictions(df: DataFrame) -> DataFrame:
@@ -326,8 +334,7 @@ def q_confidence_pct(spark, sf_dir):
 
 
 def _doc_stage_frame(spark, sf_dir, upto: int) -> DataFrame:
-    docs = tr.doc_texts(spark, sf_dir)
-    return PipelineModel(fx.feature_stages()[:upto]).transform(docs)
+    return PipelineModel(fx.feature_stages()[:upto]).transform(whole_texts(spark, sf_dir))
 
 
 def _tok_sql(list_expr: str) -> str:
@@ -401,7 +408,7 @@ def q_extract_features(spark, sf_dir):
 def q_score_features(spark, sf_dir):
     """The model's own feature chain on first names of all documents."""
     _, model = fitted(spark, sf_dir)
-    docs = first_names(spark, sf_dir).select("doc_id", tx.first_token("name").alias("name"))
+    docs = first_names(spark, sf_dir)
     feats = PipelineModel(mx.feature_part(model) + [mx.idf_model(model)]).transform(docs)
     return fx.explode_vector(feats, ["doc_id"], fx.FEATURES_COL).withColumn("value", r6(F.col("value")))
 
@@ -466,7 +473,7 @@ def q_train_naive_bayes(spark, sf_dir):
 @query("score_logistic_regression")
 def q_score_logistic_regression(spark, sf_dir):
     _, model = fitted(spark, sf_dir, "logistic_regression")
-    scored = sx.decode_prediction(sx.score(tr.doc_texts(spark, sf_dir), model), model)
+    scored = sx.decode_prediction(sx.score(whole_texts(spark, sf_dir), model), model)
     return scored.select("doc_id", "prediction", "predicted_label", r6(F.col("confidence")).alias("confidence"))
 
 
@@ -479,7 +486,7 @@ def q_score_logistic_regression(spark, sf_dir):
 )
 def q_score_naive_bayes(spark, sf_dir):
     _, model = fitted(spark, sf_dir)
-    scored = sx.score(tr.doc_texts(spark, sf_dir), model)
+    scored = sx.score(whole_texts(spark, sf_dir), model)
     out = scored.select(
         "doc_id", "prediction", F.posexplode(vector_to_array(F.col("probability"))).alias("class_index", "probability")
     )
@@ -492,7 +499,7 @@ def q_score_naive_bayes(spark, sf_dir):
 )
 def q_decode_prediction(spark, sf_dir):
     _, model = fitted(spark, sf_dir)
-    scored = sx.decode_prediction(sx.score(tr.doc_texts(spark, sf_dir), model), model)
+    scored = sx.decode_prediction(sx.score(whole_texts(spark, sf_dir), model), model)
     return scored.select("doc_id", "predicted_label", r6(F.col("confidence")).alias("confidence"))
 
 

@@ -36,6 +36,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Give CPU-heavy text work at least one partition per core.
+
+    A scan with no more partitions than cores is small (each split is at
+    most ``spark.sql.files.maxPartitionBytes``), so re-partitioning it by key
+    costs a bounded shuffle and buys full parallelism for tokenizing.  A
+    large scan already has many more partitions than cores and is left
+    alone: no shuffle of big text tables.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() <= cores:
+        return df.repartition(cores, *keys)
+    return df
+
+
 def doc_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, name)``: every document, text as the name column."""
     return table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("name"))
@@ -74,9 +89,9 @@ def labelled_features(
     labels = labels.select(*keys, label_col)
     featurize = PipelineModel(list(stages))
     if labels.count() <= broadcast_max_rows:
-        joined = texts.select(*keys, text_col).join(F.broadcast(labels), keys)
+        joined = spread(texts.select(*keys, text_col).join(F.broadcast(labels), keys), keys)
         return featurize.transform(joined).select(*keys, label_col, fx.RAW_COL)
-    feats = featurize.transform(texts.select(*keys, text_col)).select(*keys, fx.RAW_COL)
+    feats = featurize.transform(spread(texts.select(*keys, text_col), keys)).select(*keys, fx.RAW_COL)
     return feats.join(labels, keys)
 
 
