@@ -784,3 +784,34 @@ def q_agreement_rate(spark, sf_dir):
 def q_agreement_rate_nb_variants(spark, sf_dir):
     out = cx.agreement_rate(_compare_predictions(spark, sf_dir, True))
     return out.withColumn("agreement_rate", r6(F.col("agreement_rate")))
+
+
+# ================================ streaming variant ================================
+
+
+@query(
+    "predict_names_stream",
+    nb_sql(
+        "SELECT doc_id, name, predicted_label, round(confidence, 6) AS confidence FROM ("
+        + nb_predict_sql(FIRST_SQL)
+        + ")",
+        FIRST_SQL,
+    ),
+)
+def q_predict_names_stream(spark, sf_dir):
+    """``predict_names`` with documents read as a stream (catch-up trigger),
+    written to a parquet sink in the shared folder and read back."""
+    from labelkit.streaming.scoring import start_scoring
+
+    _, model = fitted(spark, sf_dir)
+    docs = tr.table(spark, sf_dir, "documents")
+    stream = (
+        spark.readStream.schema(docs.schema)
+        .option("pathGlobFilter", "documents.parquet")
+        .parquet(sf_dir)
+        .select("doc_id", F.col("text").alias("name"))
+    )
+    out = scratch_path(spark, "stream-out")
+    q = start_scoring(stream, model, out, ["doc_id"], available_now=True)
+    q.awaitTermination()
+    return predictions(spark.read.parquet(out))
