@@ -10,7 +10,9 @@ Scale notes (documents ~100 TB, labels a few percent of them):
   row - instead of whole texts of up to hundreds of KB.  Keys are unique on
   both sides, so the join has no hot key.
 * The split is a hash of the key: map-only, repeatable.
-* Fitting checkpoints only ``(label, raw_features)`` (see ``models``).
+* ``prepare_training_data`` writes ``(key, label, raw_features)`` of all
+  labelled rows once to the shared folder; fits and evaluations of any
+  number of models read those files (a lost executor re-reads them too).
 """
 
 from __future__ import annotations
@@ -113,17 +115,25 @@ def prepare_training_data(
     stop_words: Sequence[str] | None = None,
     share: float = TRAIN_SHARE,
     seed: int = SEED,
+    materialize: bool = True,
 ) -> Prepared:
     """Featurize, join labels, split.  Nothing is fitted before the split, so
     no test row leaks into IDF or the label index."""
     stages = fx.feature_stages(text_col, num_features, stop_words)
     labelled = labelled_features(texts, labels, keys, stages, text_col, label_col)
+    if materialize:
+        # One pass over the text for everything that follows: every fit and
+        # every evaluation reads these (key, label, vector) files.
+        labelled = mx.materialize(labelled, "labelled-features")
     train, test = split_train_test(labelled, keys, share, seed)
     return Prepared(stages, labelled, train, test)
 
 
 def fit(prepared: Prepared, kind: str, label_col: str = "gender", use_idf: bool = True, **kw) -> PipelineModel:
-    return mx.fit_on_features(prepared.train, kind, prepared.stages, label_col, use_idf, **kw)
+    """Fit one model on the (already materialized) train side."""
+    return mx.fit_on_features(
+        prepared.train, kind, prepared.stages, label_col, use_idf, materialize_input=False, **kw
+    )
 
 
 def score_prepared(model: PipelineModel, rows: DataFrame) -> DataFrame:
