@@ -38,18 +38,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def is_small_scan(df: DataFrame) -> bool:
+    """True when ``df`` (normally a plain file scan) has no more partitions
+    than the cluster has cores.  Call it on a scan, not on a plan with
+    joins or aggregates: adaptive execution would run their stages to
+    answer."""
+    return df.rdd.getNumPartitions() <= df.sparkSession.sparkContext.defaultParallelism
+
+
+def spread(df: DataFrame, keys: Sequence[str], small: bool | None = None) -> DataFrame:
     """Give CPU-heavy text work at least one partition per core.
 
     A scan with no more partitions than cores is small (each split is at
     most ``spark.sql.files.maxPartitionBytes``), so re-partitioning it by key
     costs a bounded shuffle and buys full parallelism for tokenizing.  A
     large scan already has many more partitions than cores and is left
-    alone: no shuffle of big text tables.
+    alone: no shuffle of big text tables.  ``small`` may be decided
+    beforehand on the source scan (see ``is_small_scan``).
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() <= cores:
-        return df.repartition(cores, *keys)
+    if small is None:
+        small = is_small_scan(df)
+    if small:
+        return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
     return df
 
 
@@ -90,10 +100,12 @@ def labelled_features(
     keys = list(keys)
     labels = labels.select(*keys, label_col)
     featurize = PipelineModel(list(stages))
+    texts = texts.select(*keys, text_col)
+    small = is_small_scan(texts)
     if labels.count() <= broadcast_max_rows:
-        joined = spread(texts.select(*keys, text_col).join(F.broadcast(labels), keys), keys)
+        joined = spread(texts.join(F.broadcast(labels), keys), keys, small)
         return featurize.transform(joined).select(*keys, label_col, fx.RAW_COL)
-    feats = featurize.transform(spread(texts.select(*keys, text_col), keys)).select(*keys, fx.RAW_COL)
+    feats = featurize.transform(spread(texts, keys, small)).select(*keys, fx.RAW_COL)
     return feats.join(labels, keys)
 
 
