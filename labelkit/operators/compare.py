@@ -54,15 +54,20 @@ def compare_predictions(
     """``keys..., name, a_label, a_confidence, b_label, b_confidence,
     models_agree, more_confident_model, preferred_label`` in one pass.
 
-    Both models must share the feature chain (same cleaning, stop words and
-    hash width); that holds for any two models fitted with the same
-    ``num_features`` and stop words, whatever their classifier or IDF use.
+    When both models share the feature chain (same cleaning, stop words and
+    hash width - any two models fitted with the same ``num_features`` and
+    stop words, whatever their classifier or IDF use) it is evaluated once;
+    otherwise each model runs its own chain, still in one projection.
     """
-    if not mx.same_features(model_a, model_b):
-        raise ValueError("models use different feature chains; score them separately")
     a, b = names
     pa, pb = f"{a}_", f"{b}_"
-    stages = mx.feature_part(model_a) + mx.prefixed_head(model_a, pa) + mx.prefixed_head(model_b, pb)
+    stages = mx.feature_part(model_a) + mx.prefixed_head(model_a, pa)
+    if mx.same_features(model_a, model_b):
+        stages += mx.prefixed_head(model_b, pb)
+    else:
+        # Different cleaning / stop words / width: b gets its own prefixed
+        # feature chain, still in the same projection (no join).
+        stages += mx.prefixed_stages(model_b.stages, pb)
     src = df.select(*keys, (first_token(text_col) if use_first_token else F.col(text_col)).alias(text_col))
     scored = PipelineModel(stages).transform(src)
     ca, cb = mx.output_cols(model_a), mx.output_cols(model_b)

@@ -24,6 +24,7 @@ few MB per class.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -216,31 +217,45 @@ def same_features(a: PipelineModel, b: PipelineModel) -> bool:
 _COL_PARAMS = ("inputCol", "outputCol", "featuresCol", "labelCol", "predictionCol", "probabilityCol", "rawPredictionCol")
 
 
-def prefixed_head(model: PipelineModel, prefix: str) -> list[Transformer]:
-    """Copies of the head stages whose *own* output columns carry ``prefix``.
+_OUT_PARAMS = ("outputCol", "predictionCol", "probabilityCol", "rawPredictionCol")
+_SQL_ALIAS = re.compile(r"AS `([^`]+)` FROM __THIS__")
+
 
-    Used to run two models over one feature pass without column clashes.
-    ``raw_features`` (shared input) keeps its name.
+def prefixed_stages(stages: Sequence[Transformer], prefix: str) -> list[Transformer]:
+    """Copies of ``stages`` whose own output columns carry ``prefix``; inputs
+    produced by earlier stages in the list are renamed to match, inputs from
+    outside (the text column, or ``raw_features`` for a head) keep their names.
+
+    Used to run two models in one pass without column clashes.
     """
-    head = head_part(model)
-    produced = set()
-    for st in head:
-        for p in ("outputCol", "predictionCol", "probabilityCol", "rawPredictionCol"):
-            if st.hasParam(p) and st.isDefined(st.getParam(p)):
-                produced.add(st.getOrDefault(st.getParam(p)))
-    rename = {c: f"{prefix}{c}" for c in produced}
+    rename: dict[str, str] = {}
     out = []
-    for st in head:
+    for st in stages:
+        if isinstance(st, SQLTransformer):
+            stmt = st.getStatement()
+            produced = _SQL_ALIAS.findall(stmt)
+            for c in produced:
+                stmt = stmt.replace(f"AS `{c}` FROM", f"AS `{prefix}{c}` FROM")
+                rename[c] = f"{prefix}{c}"
+            out.append(SQLTransformer(statement=stmt))
+            continue
         extra = {}
         for p in _COL_PARAMS:
             if st.hasParam(p) and st.isDefined(st.getParam(p)):
                 v = st.getOrDefault(st.getParam(p))
+                if p in _OUT_PARAMS:
+                    rename[v] = f"{prefix}{v}"
                 if v in rename:
                     extra[st.getParam(p)] = rename[v]
         out.append(st.copy(extra))
     return out
 
 
+def prefixed_head(model: PipelineModel, prefix: str) -> list[Transformer]:
+    """The fitted head with prefixed outputs; reads the shared ``raw_features``."""
+    return prefixed_stages(head_part(model), prefix)
+
+
 # --- persistence -------------------------------------------------------------
 
 
