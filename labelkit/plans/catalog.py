@@ -106,7 +106,7 @@ def first_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 def whole_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, name)``: whole documents, spread over the cores before
     tokenizing (a no-op for large scans)."""
-    return tr.spread(tr.doc_texts(spark, sf_dir), ["doc_id"])
+    return tr.spread(tr.doc_texts(spark, sf_dir))
 
 
 def predictions(df: DataFrame) -> DataFrame:

@@ -46,20 +46,23 @@ def is_small_scan(df: DataFrame) -> bool:
     return df.rdd.getNumPartitions() <= df.sparkSession.sparkContext.defaultParallelism
 
 
-def spread(df: DataFrame, keys: Sequence[str], small: bool | None = None) -> DataFrame:
+def spread(df: DataFrame, small: bool | None = None) -> DataFrame:
     """Give CPU-heavy text work at least one partition per core.
 
     A scan with no more partitions than cores is small (each split is at
-    most ``spark.sql.files.maxPartitionBytes``), so re-partitioning it by key
-    costs a bounded shuffle and buys full parallelism for tokenizing.  A
-    large scan already has many more partitions than cores and is left
-    alone: no shuffle of big text tables.  ``small`` may be decided
-    beforehand on the source scan (see ``is_small_scan``).
+    most ``spark.sql.files.maxPartitionBytes``), so re-partitioning it costs
+    a bounded shuffle and buys full parallelism for tokenizing.  A large scan
+    already has many more partitions than cores and is left alone: no
+    shuffle of big text tables.  Rows are dealt round-robin, so a key that
+    holds many rows cannot pile them into one task (Spark sorts each input
+    partition first, which keeps the deal repeatable when a task is
+    retried).  ``small`` may be decided beforehand on the source scan (see
+    ``is_small_scan``).
     """
     if small is None:
         small = is_small_scan(df)
     if small:
-        return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
+        return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
     return df
 
 
@@ -103,9 +106,9 @@ def labelled_features(
     texts = texts.select(*keys, text_col)
     small = is_small_scan(texts)
     if labels.count() <= broadcast_max_rows:
-        joined = spread(texts.join(F.broadcast(labels), keys), keys, small)
+        joined = spread(texts.join(F.broadcast(labels), keys), small)
         return featurize.transform(joined).select(*keys, label_col, fx.RAW_COL)
-    feats = featurize.transform(spread(texts, keys, small)).select(*keys, fx.RAW_COL)
+    feats = featurize.transform(spread(texts, small)).select(*keys, fx.RAW_COL)
     return feats.join(labels, keys)
 
 

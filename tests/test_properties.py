@@ -74,10 +74,10 @@ def test_spread_only_small_scans(spark):
     cores = spark.sparkContext.defaultParallelism
     small = spark.range(100)
     assert tr.is_small_scan(small)
-    assert tr.spread(small, ["id"]).rdd.getNumPartitions() == cores
+    assert tr.spread(small).rdd.getNumPartitions() == cores
     big = spark.range(0, 100, numPartitions=cores * 4)
     assert not tr.is_small_scan(big)
-    assert tr.spread(big, ["id"]) is big
+    assert tr.spread(big) is big
 
 
 def test_compare_with_different_feature_chains(spark, nb_setup):
