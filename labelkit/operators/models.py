@@ -24,6 +24,7 @@ few MB per class.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Sequence
 
@@ -50,6 +51,7 @@ RAW_PREDICTION_COL = "rawPrediction"
 PREDICTED_LABEL_COL = "predicted_label"
 
 _N_FEATURE_STAGES = 4
+ROWS_PER_FIT_PARTITION = 1_000_000
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -100,14 +102,20 @@ def fit_on_features(
     data = train_features.select(label_col, fx.RAW_COL)
     if materialize_input:
         data = materialize(data, "train-features")
+    # Size the partitions for the passes that follow: about a million rows
+    # (~100 MB of sparse vectors) per task.  Small training sets collapse to
+    # a few tasks, which cuts the per-round scheduling cost of the 10 L-BFGS
+    # rounds; large ones keep their parallelism (coalesce never shuffles).
+    rows = data.count()
+    if rows == 0:
+        raise ValueError("cannot fit a classifier on an empty table")
+    data = data.coalesce(max(1, math.ceil(rows / ROWS_PER_FIT_PARTITION)))
     # Several passes follow (label index, IDF, classifier): keep the small
     # table in executor memory, spilling to disk; a lost block is re-read
     # from the files written above.
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         indexer = fx.fit_label_index(data, label_col, fx.LABEL_COL)
-        if len(indexer.labels) == 0:
-            raise ValueError("cannot fit a classifier on an empty table")
         if len(indexer.labels) < 2:
             raise ValueError(f"need at least two classes to fit, found only {list(indexer.labels)}")
         head: list[Transformer] = []
