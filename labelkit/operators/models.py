@@ -206,7 +206,11 @@ def output_cols(model: PipelineModel) -> dict[str, str]:
 
 
 def _feature_signature(model: PipelineModel) -> tuple:
-    clean, tok, rem, htf = feature_part(model)
+    return _stages_signature(feature_part(model))
+
+
+def _stages_signature(stages: Sequence[Transformer]) -> tuple:
+    clean, tok, rem, htf = stages
     assert isinstance(clean, SQLTransformer) and isinstance(tok, Tokenizer)
     assert isinstance(rem, StopWordsRemover) and isinstance(htf, HashingTF)
     return (
@@ -289,9 +293,10 @@ def _is_missing_path(err: Exception) -> bool:
 
 
 def fingerprint(train: DataFrame, label_col: str, params: dict) -> str:
-    """Parameters + row count + label counts, from one small aggregate."""
+    """Parameters + label counts of the training table, from one small
+    aggregate (only the label column is read)."""
     counts = sorted((r[0], r[1]) for r in train.groupBy(label_col).count().collect())
-    return repr((sorted(params.items()), counts))
+    return repr((sorted((k, repr(v)) for k, v in params.items()), counts))
 
 
 def load_or_train(
@@ -299,16 +304,24 @@ def load_or_train(
     train: DataFrame,
     paths: dict[str, str],
     label_col: str = "gender",
+    stages: Sequence[Transformer] | None = None,
     **fit_kw,
 ) -> tuple[dict[str, PipelineModel], bool]:
     """Load every model in ``paths`` ({kind: path}); train and save the missing
     or stale ones.  Returns ``(models, all_loaded)``.
 
+    ``train`` is a text table (``name``, label), or - with ``stages`` - rows
+    that already carry ``raw_features`` made by those stages (e.g.
+    ``Prepared.train``), which avoids another pass over the text.
+
     Only a missing path leads to training: any other load error (wrong class,
     corrupt files) surfaces.  A model is stale when the fingerprint stored
     next to it (parameters + label counts of its training table) differs.
     """
-    fp = fingerprint(train, label_col, fit_kw)
+    params = dict(fit_kw)
+    if stages is not None:
+        params["features"] = _stages_signature(stages)
+    fp = fingerprint(train, label_col, params)
     models, all_loaded = {}, True
     for kind, path in paths.items():
         model = None
@@ -324,7 +337,10 @@ def load_or_train(
                 raise
         if model is None:
             all_loaded = False
-            model = fit_text_classifier(train, kind, label_col=label_col, **fit_kw)
+            if stages is not None:
+                model = fit_on_features(train, kind, stages, label_col, **fit_kw)
+            else:
+                model = fit_text_classifier(train, kind, label_col=label_col, **fit_kw)
             save_model(model, f"{path}/model")
             spark.createDataFrame([(fp,)], "value string").coalesce(1).write.mode("overwrite").text(
                 f"{path}/_fingerprint"

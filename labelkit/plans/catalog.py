@@ -209,11 +209,11 @@ def q_save_model(spark, sf_dir):
     _, model = fitted(spark, sf_dir)
     path = mx.save_model(model, scratch_path(spark, "nb-model"))
     reloaded = mx.load_model(spark, "naive_bayes", path)
-    docs = first_names(spark, sf_dir)
-    a = sx.predict_names(docs, model, ["doc_id"])
-    b = sx.predict_names(docs, reloaded, ["doc_id"])
-    diff = a.exceptAll(b).unionByName(b.exceptAll(a))
-    return diff.agg(F.count(F.lit(1)).alias("mismatches"))
+    both = cx.compare_predictions(first_names(spark, sf_dir), model, reloaded, ["doc_id"], names=("saved", "loaded"))
+    differs = (F.col("saved_label") != F.col("loaded_label")) | (
+        F.col("saved_confidence") != F.col("loaded_confidence")
+    )
+    return both.agg(F.count_if(differs).alias("mismatches"))
 
 
 @query(
@@ -243,11 +243,11 @@ def q_load_model(spark, sf_dir):
 )
 def q_load_or_train(spark, sf_dir):
     """First call trains and saves both models, second call loads them."""
-    train = tr.labelled_docs(spark, sf_dir).filter(is_train(["doc_id"]))
+    prep = prepared(spark, sf_dir)
     root = scratch_path(spark, "models")
     paths = {"logistic_regression": f"{root}/lr", "naive_bayes": f"{root}/nb"}
-    mx.load_or_train(spark, train, paths)
-    models, all_loaded = mx.load_or_train(spark, train, paths)
+    mx.load_or_train(spark, prep.train, paths, stages=prep.stages)
+    models, all_loaded = mx.load_or_train(spark, prep.train, paths, stages=prep.stages)
     out = predictions(sx.predict_names(first_names(spark, sf_dir), models["naive_bayes"], ["doc_id"]))
     return out.withColumn("loaded", F.lit(all_loaded))
 

@@ -78,8 +78,12 @@ def doc_labels(spark: SparkSession, sf_dir: str, label: str = "quality") -> Data
 
 
 def labelled_docs(spark: SparkSession, sf_dir: str, label: str = "quality") -> DataFrame:
-    """``(doc_id, name, gender)``: documents joined with their labels."""
-    return doc_texts(spark, sf_dir).join(doc_labels(spark, sf_dir, label), "doc_id")
+    """``(doc_id, name, gender)``: documents joined with their labels (the
+    label side is broadcast only when its row count is within bounds)."""
+    labels = doc_labels(spark, sf_dir, label)
+    if labels.count() <= BROADCAST_MAX_ROWS:
+        labels = F.broadcast(labels)
+    return doc_texts(spark, sf_dir).join(labels, "doc_id")
 
 
 def role_text(spark: SparkSession, sf_dir: str) -> DataFrame:

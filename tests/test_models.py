@@ -154,3 +154,14 @@ def test_model_stages_are_one_pipeline(nb_setup):
     names = [type(s).__name__ for s in model.stages]
     assert names == ["SQLTransformer", "Tokenizer", "StopWordsRemover", "HashingTF", "IDFModel",
                      "StringIndexerModel", "NaiveBayesModel", "IndexToString"]
+
+
+def test_load_or_train_on_prepared_features(spark, nb_setup):
+    prep, model = nb_setup
+    root = scratch_path(spark, "t-lot-feat")
+    paths = {"naive_bayes": f"{root}/nb", "logistic_regression": f"{root}/lr"}
+    m1, loaded1 = mx.load_or_train(spark, prep.train, paths, stages=prep.stages)
+    m2, loaded2 = mx.load_or_train(spark, prep.train, paths, stages=prep.stages)
+    assert (loaded1, loaded2) == (False, True)
+    assert np.allclose(mx.classifier(m2["naive_bayes"]).theta.toArray(), mx.classifier(model).theta.toArray())
+    assert mx.kind_of(m2["logistic_regression"]) == "logistic_regression"
