@@ -326,7 +326,7 @@ def load_or_train(
     for kind, path in paths.items():
         model = None
         try:
-            stored = spark.read.text(f"{path}/_fingerprint").first()
+            stored = spark.read.text(f"{path}/fingerprint").first()
             if stored is not None and stored[0] == fp:
                 model = load_model(spark, kind, f"{path}/model")
         except AnalysisException as err:
@@ -343,7 +343,7 @@ def load_or_train(
                 model = fit_text_classifier(train, kind, label_col=label_col, **fit_kw)
             save_model(model, f"{path}/model")
             spark.createDataFrame([(fp,)], "value string").coalesce(1).write.mode("overwrite").text(
-                f"{path}/_fingerprint"
+                f"{path}/fingerprint"
             )
         models[kind] = model
     return models, all_loaded

@@ -477,6 +477,24 @@ def q_score_logistic_regression(spark, sf_dir):
     return scored.select("doc_id", "prediction", "predicted_label", r6(F.col("confidence")).alias("confidence"))
 
 
+@query(
+    "score_logistic_regression_checks",
+    "SELECT count(*) AS rows_scored, 0::BIGINT AS low_confidence, 0::BIGINT AS unknown_label FROM documents",
+)
+def q_score_logistic_regression_checks(spark, sf_dir):
+    """Invariants of LR scoring that SQL can check without re-running L-BFGS:
+    every document is scored once, the arg-max probability of two classes is
+    at least one half, and every predicted label is a training class."""
+    _, model = fitted(spark, sf_dir, "logistic_regression")
+    scored = sx.decode_prediction(sx.score(whole_texts(spark, sf_dir), model), model)
+    labels = list(mx.label_indexer(model).labels)
+    return scored.agg(
+        F.count(F.lit(1)).alias("rows_scored"),
+        F.count_if(F.col("confidence") < 0.5).alias("low_confidence"),
+        F.count_if(~F.col("predicted_label").isin(*labels)).alias("unknown_label"),
+    )
+
+
 @query(
     "score_naive_bayes",
     nb_sql(
