@@ -38,22 +38,38 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# Spread a scan only when its splits add up to at most this many bytes.
+SPREAD_MAX_BYTES = 8 << 30
+
+_UNITS = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
+
+
+def _bytes(text: str) -> int:
+    t = text.strip().lower()
+    num = t.rstrip("kmgtb")
+    return int(float(num) * _UNITS.get(t[len(num):] or "b", 1))
+
+
 def is_small_scan(df: DataFrame) -> bool:
-    """True when ``df`` (normally a plain file scan) has no more partitions
-    than the cluster has cores.  Call it on a scan, not on a plan with
-    joins or aggregates: adaptive execution would run their stages to
-    answer."""
-    return df.rdd.getNumPartitions() <= df.sparkSession.sparkContext.defaultParallelism
+    """True when ``df`` (normally a plain file scan) is small and poorly
+    spread: at most half as many partitions as cores, and at most
+    ``SPREAD_MAX_BYTES`` in total (each split holds at most
+    ``spark.sql.files.maxPartitionBytes``).  Call it on a scan, not on a
+    plan with joins or aggregates: adaptive execution would run their
+    stages to answer."""
+    spark = df.sparkSession
+    parts = df.rdd.getNumPartitions()
+    split_bytes = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
+    return 2 * parts <= spark.sparkContext.defaultParallelism and parts * split_bytes <= SPREAD_MAX_BYTES
 
 
 def spread(df: DataFrame, small: bool | None = None) -> DataFrame:
     """Give CPU-heavy text work at least one partition per core.
 
-    A scan with no more partitions than cores is small (each split is at
-    most ``spark.sql.files.maxPartitionBytes``), so re-partitioning it costs
-    a bounded shuffle and buys full parallelism for tokenizing.  A large scan
-    already has many more partitions than cores and is left alone: no
-    shuffle of big text tables.  Rows are dealt round-robin, so a key that
+    A scan with few partitions and at most ``SPREAD_MAX_BYTES`` of splits is
+    re-partitioned: a bounded shuffle that buys full parallelism for
+    tokenizing.  Any larger scan is left alone: no shuffle of big text
+    tables.  Rows are dealt round-robin, so a key that
     holds many rows cannot pile them into one task (Spark sorts each input
     partition first, which keeps the deal repeatable when a task is
     retried).  ``small`` may be decided beforehand on the source scan (see

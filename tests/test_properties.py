@@ -72,12 +72,15 @@ def test_first_token_sql_equals_spark(spark):
 
 def test_spread_only_small_scans(spark):
     cores = spark.sparkContext.defaultParallelism
-    small = spark.range(100)
+    small = spark.range(0, 100, numPartitions=1)
     assert tr.is_small_scan(small)
     assert tr.spread(small).rdd.getNumPartitions() == cores
     big = spark.range(0, 100, numPartitions=cores * 4)
     assert not tr.is_small_scan(big)
     assert tr.spread(big) is big
+    half = spark.range(0, 100, numPartitions=cores // 2 + 1)
+    assert not tr.is_small_scan(half)  # less than a 2x gain: leave it
+    assert tr._bytes("134217728b") == 128 << 20 and tr._bytes("64m") == 64 << 20 and tr._bytes("1g") == 1 << 30
 
 
 def test_compare_with_different_feature_chains(spark, nb_setup):
