@@ -2,7 +2,6 @@
 inputs (tokens, hash buckets), and plan-level helpers behave as documented."""
 
 import duckdb
-import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.ml import PipelineModel

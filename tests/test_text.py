@@ -6,7 +6,6 @@ import random
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import StopWordsRemover
-from pyspark.sql import functions as F
 
 from labelkit.functions import text as tx
 from labelkit.operators import features as fx
