@@ -32,8 +32,8 @@ def count_by_label(df: DataFrame, label_col: str = "gender", labels: Sequence[st
 
 
 def length_stats(df: DataFrame, name_col: str = "name") -> DataFrame:
-    n = text_length(name_col)
-    return df.agg(
+    n = F.col("_n")
+    return df.select(text_length(name_col).alias("_n")).agg(
         F.avg(n).alias("avg_name_length"), F.min(n).alias("min_name_length"), F.max(n).alias("max_name_length")
     )
 
@@ -46,10 +46,10 @@ def data_summary(
 ) -> DataFrame:
     """``total_names, male_count, female_count, avg/min/max_name_length`` in one aggregate."""
     label_names = LABEL_COUNT_NAMES if label_names is None else label_names
-    n = text_length(name_col)
-    return df.agg(
+    n = F.col("_n")  # length computed once per row, read by three aggregates
+    return df.select(text_length(name_col).alias("_n"), F.col(label_col).alias("_l")).agg(
         F.count(F.lit(1)).alias("total_names"),
-        *[F.count_if(F.col(label_col) == F.lit(v)).alias(name) for v, name in label_names.items()],
+        *[F.count_if(F.col("_l") == F.lit(v)).alias(name) for v, name in label_names.items()],
         F.avg(n).alias("avg_name_length"),
         F.min(n).alias("min_name_length"),
         F.max(n).alias("max_name_length"),
@@ -109,12 +109,15 @@ def length_histogram(df: DataFrame, name_col: str = "name", label_col: str = "ge
     and counts per ``(bin, label)``.  Bins and edges follow NumPy's histogram
     (right edge of the last bin is closed).
     """
-    n = text_length(name_col)
-    stats = df.agg(
-        F.count(n).alias("n"),
-        F.min(n).alias("lo"),
-        F.max(n).alias("hi"),
-        F.percentile(n, [0.25, 0.75]).alias("q"),
+    # Length once per row; every later step reads the column, so the text is
+    # scanned once (chained projections are not collapsed when that would
+    # repeat a non-trivial expression).
+    lens = df.select(text_length(name_col).alias("_n"), F.col(label_col).alias("label"))
+    stats = lens.agg(
+        F.count("_n").alias("n"),
+        F.min("_n").alias("lo"),
+        F.max("_n").alias("hi"),
+        F.percentile("_n", [0.25, 0.75]).alias("q"),
     ).first()
     schema = "bin int, bin_start double, bin_end double, label string, n bigint"
     if stats is None or not stats["n"]:
@@ -126,12 +129,17 @@ def length_histogram(df: DataFrame, name_col: str = "name", label_col: str = "ge
         # NumPy's linspace: i*step + first, and the last edge is exactly `last`.
         return F.when(i >= F.lit(bins), F.lit(last)).otherwise(i.cast("double") * F.lit(step) + F.lit(first))
 
-    x = n.cast("double")
-    guess = F.floor((x - F.lit(first)) * F.lit(bins / (last - first))).cast("int")
-    guess = F.when(guess >= F.lit(bins), F.lit(bins - 1)).otherwise(guess)
-    guess = F.when(x < edge(guess), guess - 1).otherwise(guess)
-    guess = F.when((x >= edge(guess + 1)) & (guess != F.lit(bins - 1)), guess + 1).otherwise(guess)
-    binned = df.select(guess.alias("bin"), F.col(label_col).alias("label"))
+    x, g = F.col("_x"), F.col("_g")
+    guess = lens.select(
+        "label", F.col("_n").cast("double").alias("_x")
+    ).select(
+        "label", "_x", F.least(F.floor((x - F.lit(first)) * F.lit(bins / (last - first))).cast("int"), F.lit(bins - 1)).alias("_g")
+    )
+    # NumPy's corrections against the edges it actually uses.
+    guess = guess.select("label", "_x", F.when(x < edge(g), g - 1).otherwise(g).alias("_g"))
+    binned = guess.select(
+        "label", F.when((x >= edge(g + 1)) & (g != F.lit(bins - 1)), g + 1).otherwise(g).alias("bin")
+    )
     counts = binned.groupBy("bin", "label").agg(F.count(F.lit(1)).alias("n"))
     return counts.select(
         "bin", edge(F.col("bin")).alias("bin_start"), edge(F.col("bin") + 1).alias("bin_end"), "label", "n"

@@ -52,9 +52,12 @@ def parse_delimited(
     label_col: str = "gender",
     col: str = "value",
 ) -> DataFrame:
-    """Field 0 -> name, field 1 -> label (null when missing); extra fields ignored."""
-    fields = split_fields(col, sep)
-    return lines.select(array_item(fields, 0).alias(name_col), array_item(fields, 1).alias(label_col))
+    """Field 0 -> name, field 1 -> label (null when missing); extra fields ignored.
+
+    The line is split once; both fields read that array.
+    """
+    fields = lines.select(split_fields(col, sep).alias("_fields"))
+    return fields.select(array_item("_fields", 0).alias(name_col), array_item("_fields", 1).alias(label_col))
 
 
 def load_labelled(
