@@ -209,7 +209,7 @@ def q_save_model(spark, sf_dir):
     _, model = fitted(spark, sf_dir)
     path = mx.save_model(model, scratch_path(spark, "nb-model"))
     reloaded = mx.load_model(spark, "naive_bayes", path)
-    both = cx.compare_predictions(first_names(spark, sf_dir), model, reloaded, ["doc_id"], names=("saved", "loaded"))
+    both = cx.compare_predictions(tr.doc_texts(spark, sf_dir), model, reloaded, ["doc_id"], names=("saved", "loaded"))
     differs = (F.col("saved_label") != F.col("loaded_label")) | (
         F.col("saved_confidence") != F.col("loaded_confidence")
     )
@@ -229,7 +229,7 @@ def q_load_model(spark, sf_dir):
     _, model = fitted(spark, sf_dir)
     path = mx.save_model(model, scratch_path(spark, "nb-model"))
     reloaded = mx.load_model(spark, "naive_bayes", path)
-    return predictions(sx.predict_names(first_names(spark, sf_dir), reloaded, ["doc_id"]))
+    return predictions(sx.predict_names(tr.doc_texts(spark, sf_dir), reloaded, ["doc_id"]))
 
 
 @query(
@@ -248,7 +248,7 @@ def q_load_or_train(spark, sf_dir):
     paths = {"logistic_regression": f"{root}/lr", "naive_bayes": f"{root}/nb"}
     mx.load_or_train(spark, prep.train, paths, stages=prep.stages)
     models, all_loaded = mx.load_or_train(spark, prep.train, paths, stages=prep.stages)
-    out = predictions(sx.predict_names(first_names(spark, sf_dir), models["naive_bayes"], ["doc_id"]))
+    out = predictions(sx.predict_names(tr.doc_texts(spark, sf_dir), models["naive_bayes"], ["doc_id"]))
     return out.withColumn("loaded", F.lit(all_loaded))
 
 
@@ -316,7 +316,7 @@ def q_drop_rename(spark, sf_dir):
 )
 def q_label_display(spark, sf_dir):
     _, model = fitted(spark, sf_dir)
-    pred = sx.predict_names(first_names(spark, sf_dir), model, ["doc_id"])
+    pred = sx.predict_names(tr.doc_texts(spark, sf_dir), model, ["doc_id"])
     return pred.select("doc_id", "predicted_label", tx.label_display("predicted_label").alias("gender_text"))
 
 
@@ -326,7 +326,7 @@ def q_label_display(spark, sf_dir):
 )
 def q_confidence_pct(spark, sf_dir):
     _, model = fitted(spark, sf_dir)
-    pred = sx.predict_names(first_names(spark, sf_dir), model, ["doc_id"])
+    pred = sx.predict_names(tr.doc_texts(spark, sf_dir), model, ["doc_id"])
     return pred.select("doc_id", tx.confidence_pct("confidence").alias("confidence_pct"))
 
 
@@ -532,7 +532,7 @@ def q_decode_prediction(spark, sf_dir):
 )
 def q_predict_names(spark, sf_dir):
     _, model = fitted(spark, sf_dir)
-    return predictions(sx.predict_names(first_names(spark, sf_dir), model, ["doc_id"]))
+    return predictions(sx.predict_names(tr.doc_texts(spark, sf_dir), model, ["doc_id"]))
 
 
 # ================================ 2.6 aggregations ==================================
@@ -705,7 +705,7 @@ def _compare_metrics(spark, sf_dir, variants):
 
 def _compare_predictions(spark, sf_dir, variants):
     _, a, b, names = _two_models(spark, sf_dir, variants)
-    out = cx.compare_predictions(first_names(spark, sf_dir), a, b, ["doc_id"], names=names)
+    out = cx.compare_predictions(tr.doc_texts(spark, sf_dir), a, b, ["doc_id"], names=names)
     return out.select(
         *[r6(F.col(c)).alias(c) if c.endswith("_confidence") else F.col(c) for c in out.columns]
     )

@@ -51,7 +51,7 @@ def test_decoding_uses_indexer_order_and_relabel_swaps(spark, nb_setup):
     assert list(mx.label_indexer(model).labels) == ["M", "F"]
     swapped = prep.train.withColumn("gender", F.when(F.col("gender") == "M", "F").otherwise("M"))
     model2 = mx.fit_on_features(swapped, "naive_bayes", prep.stages)
-    docs = catalog.first_names(spark, SF01)
+    docs = tr.doc_texts(spark, SF01)
     a = sx.predict_names(docs, model, ["doc_id"]).select("doc_id", "predicted_label")
     b = sx.predict_names(docs, model2, ["doc_id"]).select("doc_id", F.col("predicted_label").alias("p2"))
     j = a.join(b, "doc_id")
@@ -92,7 +92,7 @@ def test_save_load_roundtrip_and_kind_check(spark, nb_setup):
     path = mx.save_model(model, scratch_path(spark, "t-model"))
     mx.save_model(model, path)  # overwrite works
     again = mx.load_model(spark, "naive_bayes", path)
-    docs = catalog.first_names(spark, SF01)
+    docs = tr.doc_texts(spark, SF01)
     a = sx.predict_names(docs, model, ["doc_id"])
     b = sx.predict_names(docs, again, ["doc_id"])
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
@@ -127,7 +127,7 @@ def test_degenerate_fits_raise(spark, nb_setup):
 
 def test_predictions_invariant_under_repartition(spark, nb_setup):
     _, model = nb_setup
-    docs = catalog.first_names(spark, SF01)
+    docs = tr.doc_texts(spark, SF01)
     a = sx.predict_names(docs, model, ["doc_id"])
     b = sx.predict_names(docs.repartition(7), model, ["doc_id"])
     assert a.exceptAll(b).count() == 0

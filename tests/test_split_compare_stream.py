@@ -34,7 +34,7 @@ def test_split_sides_are_disjoint_and_complete(spark):
 
 def test_compare_predictions_one_pass_and_equal_to_separate(spark, nb_setup, lr_model):
     _, nb = nb_setup
-    docs = catalog.first_names(spark, SF01)
+    docs = tr.doc_texts(spark, SF01)
     cmp = cx.compare_predictions(docs, lr_model, nb, ["doc_id"])
     plan = cmp._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan  # no shuffle, no join
@@ -79,6 +79,6 @@ def test_stream_scoring_equals_batch(spark, nb_setup):
     q = start_scoring(stream, nb, out, ["doc_id"], available_now=True)
     q.awaitTermination()
     streamed = spark.read.parquet(out)
-    batch = sx.predict_names(catalog.first_names(spark, SF01), nb, ["doc_id"])
+    batch = sx.predict_names(tr.doc_texts(spark, SF01), nb, ["doc_id"])
     assert streamed.count() == 1000
     assert streamed.exceptAll(batch).count() == 0
