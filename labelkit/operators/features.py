@@ -33,10 +33,15 @@ LABEL_COL = "label"
 
 
 def clean_stage(text_col: str = "name", output_col: str = CLEAN_COL) -> SQLTransformer:
-    """``regexp_replace(lower(text), '[^a-z ]', '')`` as a persistable stage."""
+    """``regexp_replace(lower(text), '[^a-z ]', '')`` as a persistable stage.
+
+    A null text is cleaned as the empty text: Spark's Tokenizer fails on
+    null, and one null row must not fail a whole scoring job (the row is
+    kept and scored like an empty name).
+    """
     return SQLTransformer(
         statement=(
-            f"SELECT *, regexp_replace(lower(`{text_col}`), '{CLEAN_PATTERN}', '') "
+            f"SELECT *, regexp_replace(lower(coalesce(`{text_col}`, '')), '{CLEAN_PATTERN}', '') "
             f"AS `{output_col}` FROM __THIS__"
         )
     )

@@ -344,13 +344,13 @@ def _tok_sql(list_expr: str) -> str:
     )
 
 
-@query("tokenize", _tok_sql(oq.tokens_list_sql(oq.clean_sql("text"))))
+@query("tokenize", _tok_sql(oq.tokens_list_sql(oq.clean_sql("coalesce(text, '')"))))
 def q_tokenize(spark, sf_dir):
     df = _doc_stage_frame(spark, sf_dir, 2)
     return df.select("doc_id", F.posexplode(fx.TOKENS_COL).alias("pos", "token"))
 
 
-@query("remove_stop_words", _tok_sql(oq.filtered_list_sql(oq.tokens_list_sql(oq.clean_sql("text")))))
+@query("remove_stop_words", _tok_sql(oq.filtered_list_sql(oq.tokens_list_sql(oq.clean_sql("coalesce(text, '')")))))
 def q_remove_stop_words(spark, sf_dir):
     df = _doc_stage_frame(spark, sf_dir, 3)
     return df.select("doc_id", F.posexplode(fx.FILTERED_COL).alias("pos", "token"))

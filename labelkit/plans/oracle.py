@@ -170,8 +170,9 @@ ROLE_TEXT_SQL = (
 
 
 def token_rows_cte(name: str, src: str, key: str = "doc_id", text: str = "name", stop_words: bool = True) -> str:
-    """``name(key, t)``: one row per (filtered) token of each source row."""
-    toks = tokens_list_sql(clean_sql(text))
+    """``name(key, t)``: one row per (filtered) token of each source row
+    (a null text is cleaned as the empty text, as in the model's stage)."""
+    toks = tokens_list_sql(clean_sql(f"coalesce({text}, '')"))
     if stop_words:
         toks = filtered_list_sql(toks)
     return f"{name} AS (SELECT {key} AS k, unnest({toks}) AS t FROM ({src}))"

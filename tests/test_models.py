@@ -165,3 +165,12 @@ def test_load_or_train_on_prepared_features(spark, nb_setup):
     assert (loaded1, loaded2) == (False, True)
     assert np.allclose(mx.classifier(m2["naive_bayes"]).theta.toArray(), mx.classifier(model).theta.toArray())
     assert mx.kind_of(m2["logistic_regression"]) == "logistic_regression"
+
+
+def test_null_text_is_scored_not_fatal(spark, nb_setup):
+    _, model = nb_setup
+    df = spark.createDataFrame([(1, None), (2, ""), (3, "Fatima")], "id int, name string")
+    out = {r["id"]: r for r in sx.predict_names(df, model, ["id"]).collect()}
+    assert len(out) == 3
+    assert out[1]["predicted_label"] == out[2]["predicted_label"]
+    assert out[1]["confidence"] == out[2]["confidence"]
