@@ -671,9 +671,14 @@ def q_evaluate_model(spark, sf_dir):
 # =================================== 2.7 limits =====================================
 
 
-@query("sample_rows", f"SELECT name, gender FROM ({LOADED_SQL}) ORDER BY name, gender LIMIT 10")
+@query(
+    "sample_rows",
+    f"SELECT name, gender, length(name)::INTEGER AS name_length FROM ({LOADED_SQL}) ORDER BY name, gender LIMIT 10",
+)
 def q_sample_rows(spark, sf_dir):
-    return lx.sample_rows(loaded(spark, sf_dir), ["name", "gender"], 10)
+    """The first 10 rows of the summary table (name, label, length), in a fixed order."""
+    rows = loaded(spark, sf_dir).withColumn("name_length", tx.text_length("name"))
+    return lx.sample_rows(rows, ["name", "gender"], 10)
 
 
 @query("first_row", f"SELECT name, gender FROM ({LOADED_SQL}) ORDER BY name, gender LIMIT 1")
