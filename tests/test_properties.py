@@ -108,3 +108,38 @@ def test_shared_dir_is_set(spark):
     assert spark.sparkContext.getCheckpointDir()
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert a != b and a.startswith(root.rstrip("/"))
+
+
+def python_metrics(cm):
+    """Weighted metrics exactly as MulticlassMetrics defines them."""
+    labels = {l for l, _, _ in cm}
+    sup = {c: sum(n for l, _, n in cm if l == c) for c in labels}
+    total = sum(sup.values())
+    tp = {c: sum(n for l, p, n in cm if l == c and p == c) for c in labels}
+    pp = {c: sum(n for _, p, n in cm if p == c) for c in labels}
+    prec = {c: tp[c] / pp[c] if pp[c] else 0.0 for c in labels}
+    rec = {c: tp[c] / sup[c] for c in labels}
+    f1 = {c: 2 * prec[c] * rec[c] / (prec[c] + rec[c]) if prec[c] + rec[c] else 0.0 for c in labels}
+    return (
+        sum(tp.values()) / total,
+        sum(prec[c] * sup[c] for c in labels) / total,
+        sum(rec[c] * sup[c] for c in labels) / total,
+        sum(f1[c] * sup[c] for c in labels) / total,
+    )
+
+
+cells = st.dictionaries(
+    st.tuples(st.integers(0, 3), st.integers(0, 3)), st.integers(1, 1000), min_size=1, max_size=16
+)
+
+
+@SETTINGS
+@given(cells)
+def test_metrics_equal_python_definition(spark, table):
+    from labelkit.operators import evaluate as ev
+
+    cm = [(float(l), float(p), n) for (l, p), n in table.items()]
+    df = spark.createDataFrame(cm, "label double, prediction double, n long")
+    row = ev.metrics_from_confusion(df).first()
+    for got, want in zip((row["accuracy"], row["precision"], row["recall"], row["f1"]), python_metrics(cm)):
+        assert abs(got - want) < 1e-12
