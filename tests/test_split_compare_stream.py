@@ -82,3 +82,44 @@ def test_stream_scoring_equals_batch(spark, nb_setup):
     batch = sx.predict_names(tr.doc_texts(spark, SF01), nb, ["doc_id"])
     assert streamed.count() == 1000
     assert streamed.exceptAll(batch).count() == 0
+
+
+def test_labelled_features_paths_agree(spark):
+    from labelkit.operators import features as fx
+    from labelkit.operators.features import explode_vector
+
+    texts, labels = tr.doc_texts(spark, SF01), tr.doc_labels(spark, SF01)
+    stages = fx.feature_stages()
+
+    def rows(df):
+        return explode_vector(df, ["doc_id", "gender"], "raw_features")
+
+    a = rows(tr.labelled_features(texts, labels, ["doc_id"], stages))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shuffled = tr.labelled_features(texts, labels, ["doc_id"], stages, broadcast_max_rows=0)
+        plan = shuffled._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+        b = rows(shuffled)
+        assert a.count() == b.count() > 0
+        assert a.exceptAll(b).count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_composite_keys_role_model(spark):
+    """Train and evaluate on conversation turns keyed by (conv_id, turn)."""
+    roles = tr.role_text(spark, SF01)
+    prep = tr.prepare_training_data(roles.select("conv_id", "turn", "name"), roles.select("conv_id", "turn", "gender"), ["conv_id", "turn"])
+    model = tr.fit(prep, "naive_bayes")
+    m = ev.evaluate(tr.score_prepared(model, prep.test)).first()
+    assert prep.train.count() + prep.test.count() == roles.count()
+    assert 0.5 < m["accuracy"] <= 1.0
+    assert set(mx_labels(model)) == {"user", "assistant"}
+
+
+def mx_labels(model):
+    from labelkit.operators import models as mx
+
+    return list(mx.label_indexer(model).labels)
