@@ -66,3 +66,19 @@ def test_write_then_read_lines_roundtrip(spark, tmp_path):
 def test_rows_from_values(spark):
     df = src.rows_from_values(spark, ["Mohamed", "Fatima"])
     assert df.columns == ["name"] and df.count() == 2
+
+
+def test_names_file_end_to_end(spark, tmp_path):
+    """The reference app's flow on a names file (lines derived from part)."""
+    from labelkit.plans import catalog
+    from labelkit.plans.names_file import train_and_evaluate
+    from labelkit.sources.lines import write_lines
+
+    path = write_lines(catalog.lines_frame(spark, "/root/testdata/sf0.01"), str(tmp_path / "names"))
+    run = train_and_evaluate(spark, path)
+    s = run.summary.first()
+    assert s["total_names"] == 1272 and s["male_count"] + s["female_count"] == 1272
+    assert run.prepared.train.count() + run.prepared.test.count() == 1272
+    rows = {r["metric"]: r for r in run.metrics.collect()}
+    assert set(rows) == {"Accuracy", "Precision", "Recall", "F1 Score"}
+    assert set(run.models) == {"logistic_regression", "naive_bayes"}
