@@ -21,17 +21,17 @@ from labelkit.plans import catalog  # noqa: E402
 from labelkit.plans import training as tr  # noqa: E402
 from labelkit.session import local_session  # noqa: E402
 
-KEYS = [
-    "load_labelled",
-    "data_summary",
-    "length_histogram",
-    "hashed_tf",
-    "evaluate_model",
-    "predict_names",
-    "compare_predictions",
-    "save_model",
-    "sample_rows",
-]
+KEYS = {
+    "load_labelled": "one codegen stage; header/label filters pushed to the text scan; each line split once",
+    "data_summary": "one partial + final aggregate; length computed once per row",
+    "length_histogram": "after the one-row stats pass: length once per row, bins by expression, partial count per (bin, label)",
+    "hashed_tf": "small scan spread round-robin (bounded), then one projection of the feature chain and an explode",
+    "evaluate_model": "split filter pushed into the parquet scan of the materialized features; three tiny partial aggregates",
+    "predict_names": "scan -> one codegen stage (first word, features, model, decode); no exchange",
+    "compare_predictions": "both models in one projection over one feature chain; no exchange, no join",
+    "save_model": "saved and reloaded model in one projection, one count: no exceptAll shuffles",
+    "sample_rows": "TakeOrderedAndProject: per-task top-k, no full sort",
+}
 
 
 def plan_text(df, mode="simple") -> str:
@@ -57,8 +57,8 @@ def main():
             tr.labelled_features(texts, labels, ["doc_id"], stages, broadcast_max_rows=0),
         ),
     ]
-    for key in KEYS:
-        out += [f"## {key}", "", "```", plan_text(catalog.QUERIES[key](spark, sf_dir)), "```", ""]
+    for key, note in KEYS.items():
+        out += [f"## {key}", "", f"What to look for: {note}.", "", "```", plan_text(catalog.QUERIES[key](spark, sf_dir)), "```", ""]
     for title, df in extra:
         out += [f"## {title}", "", "```", plan_text(df), "```", ""]
     path = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md")
