@@ -2,9 +2,8 @@
 load -> summary -> features -> split -> fit both models -> metrics table.
 
 Rows of a names file carry their own label, so there is no join: the file is
-featurized once (map-only), ``(name, label, raw_features)`` is written once to
-the shared folder, and both fits and both evaluations read that.  The split
-key is the row content, so identical lines always fall on the same side.
+featurized once (map-only), ``(row_id, name, label, raw_features)`` is written
+once to the shared folder, and both fits and both evaluations read that.
 """
 
 from __future__ import annotations
@@ -14,6 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from labelkit.operators import compare as cx
 from labelkit.operators import evaluate as ev
@@ -25,6 +25,9 @@ from labelkit.plans.training import Prepared, fit, score_prepared, spread
 from labelkit.sources.lines import load_labelled
 
 
+ROW_ID = "row_id"
+
+
 @dataclass
 class NamesRun:
     data: DataFrame
@@ -43,12 +46,20 @@ def prepare_labelled_text(
     share: float = TRAIN_SHARE,
     seed: int = SEED,
 ) -> Prepared:
-    """Featurize a labelled text table once and split it by its content."""
+    """Featurize a labelled text table once and split it by a row id.
+
+    A names file has no key, and identical lines are common (one name can
+    hold a large share of a file).  Splitting on the content would send all
+    copies of a line to the same side; instead each row gets an id while
+    the features are written (``monotonically_increasing_id``, deterministic
+    for a given input order, and fixed once written), and the split hashes
+    that id, so copies spread over both sides like any other rows.
+    """
     stages = fx.feature_stages(text_col, num_features, stop_words)
-    rows = spread(df.select(text_col, label_col))
-    feats = PipelineModel(stages).transform(rows).select(text_col, label_col, fx.RAW_COL)
+    rows = spread(df.select(text_col, label_col)).withColumn(ROW_ID, F.monotonically_increasing_id())
+    feats = PipelineModel(stages).transform(rows).select(ROW_ID, text_col, label_col, fx.RAW_COL)
     labelled = mx.materialize(feats, "labelled-features")
-    train, test = split_train_test(labelled, [text_col, label_col], share, seed)
+    train, test = split_train_test(labelled, [ROW_ID], share, seed)
     return Prepared(stages, labelled, train, test)
 
 

@@ -82,3 +82,20 @@ def test_names_file_end_to_end(spark, tmp_path):
     rows = {r["metric"]: r for r in run.metrics.collect()}
     assert set(rows) == {"Accuracy", "Precision", "Recall", "F1 Score"}
     assert set(run.models) == {"logistic_regression", "naive_bayes"}
+
+
+def test_names_file_split_spreads_copies(spark):
+    """A line repeated for a third of the file is split like any other rows."""
+    from pyspark.sql import functions as F
+
+    from labelkit.plans.names_file import prepare_labelled_text
+
+    rows = [("Mohamed", "M")] * 600 + [(f"name{i}", "F" if i % 2 else "M") for i in range(1200)]
+    df = spark.createDataFrame(rows, "name string, gender string")
+    prep = prepare_labelled_text(df)
+    n_train, n_test = prep.train.count(), prep.test.count()
+    assert n_train + n_test == 1800
+    hot_train = prep.train.filter(F.col("name") == "Mohamed").count()
+    hot_test = prep.test.filter(F.col("name") == "Mohamed").count()
+    assert hot_train + hot_test == 600
+    assert 0.7 < hot_train / 600 < 0.9 and 0.7 < n_train / 1800 < 0.9
