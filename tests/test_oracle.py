@@ -26,7 +26,7 @@ def norm_rows(cols, rows):
 
     def norm(v):
         if isinstance(v, float):
-            return "nan" if math.isnan(v) else f"{v:.9g}"
+            return "nan" if math.isnan(v) else repr(v)
         return repr(v)
 
     return sorted(tuple(norm(r[i]) for i in order) for r in rows)
