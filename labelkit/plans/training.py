@@ -7,8 +7,9 @@ Scale notes (documents ~100 TB, labels a few percent of them):
   the join filters documents map-side, so only labelled documents are
   tokenized.  Otherwise the documents are featurized FIRST (map-only) and the
   shuffle join moves ``(key, 20-bucket sparse vector)`` - about 100 bytes a
-  row - instead of whole texts of up to hundreds of KB.  Keys are unique on
-  both sides, so the join has no hot key.
+  row - instead of whole texts of up to hundreds of KB.  Document keys are
+  unique, so the join has no hot key; should a key repeat in a caller's
+  data, AQE's skew-join handling splits its partition.
 * The split is a hash of the key: map-only, repeatable.
 * ``prepare_training_data`` writes ``(key, label, raw_features)`` of all
   labelled rows once to the shared folder; fits and evaluations of any
