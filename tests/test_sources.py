@@ -99,3 +99,14 @@ def test_names_file_split_spreads_copies(spark):
     hot_test = prep.test.filter(F.col("name") == "Mohamed").count()
     assert hot_train + hot_test == 600
     assert 0.7 < hot_train / 600 < 0.9 and 0.7 < n_train / 1800 < 0.9
+
+
+def test_directory_and_gzip_inputs(spark, tmp_path):
+    import gzip
+
+    d = tmp_path / "many"
+    d.mkdir()
+    (d / "a.csv").write_bytes(b"NOMPL;SEXE\nAli;M\n")
+    (d / "b.csv.gz").write_bytes(gzip.compress(b"Mariem;F\nbad\n"))
+    assert loaded(spark, str(d)) == [("Ali", "M"), ("Mariem", "F")]
+    assert loaded(spark, [str(d / "a.csv")]) == [("Ali", "M")]

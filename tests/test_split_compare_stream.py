@@ -123,3 +123,11 @@ def mx_labels(model):
     from labelkit.operators import models as mx
 
     return list(mx.label_indexer(model).labels)
+
+
+def test_score_stream_rejects_batch(spark, nb_setup):
+    import pytest
+
+    _, nb = nb_setup
+    with pytest.raises(ValueError):
+        score_stream(tr.doc_texts(spark, SF01), nb, ["doc_id"])
