@@ -23,18 +23,25 @@ from labelkit.operators.score import confidence
 METRIC_NAMES = {"accuracy": "Accuracy", "precision": "Precision", "recall": "Recall", "f1": "F1 Score"}
 
 
-def compare_metrics(metrics: Mapping[str, DataFrame], digits: int = 3) -> DataFrame:
-    """``(metric, <model>...)`` from one-row metric tables, rounded.
+def compare_metrics(metrics: Mapping[str, DataFrame] | DataFrame, digits: int = 3, names: Sequence[str] | None = None) -> DataFrame:
+    """``(metric, <model>...)``, rounded.
 
-    ``metrics`` maps a model name to the one-row output of ``evaluate``.
-    The union has ``models x 4`` rows; the pivot values are given, so no
-    extra job looks for them.
+    ``metrics`` is either the output of ``evaluate.evaluate_models`` (one row
+    per model, all models scored in one pass) or a mapping from model name to
+    a one-row ``evaluate`` output.  The long table has ``models x 4`` rows;
+    the pivot values are given, so no extra job looks for them.
     """
-    names = list(metrics)
-    long = None
-    for name, m in metrics.items():
-        part = m.select(F.lit(name).alias("model"), *METRICS).unpivot(["model"], list(METRICS), "key", "value")
-        long = part if long is None else long.unionByName(part)
+    if isinstance(metrics, DataFrame):
+        if names is None:
+            raise ValueError("give the model names of an evaluate_models table")
+        names = list(names)
+        long = metrics.select("model", *METRICS).unpivot(["model"], list(METRICS), "key", "value")
+    else:
+        names = list(metrics)
+        long = None
+        for name, m in metrics.items():
+            part = m.select(F.lit(name).alias("model"), *METRICS).unpivot(["model"], list(METRICS), "key", "value")
+            long = part if long is None else long.unionByName(part)
     label = F.create_map(*[x for k, v in METRIC_NAMES.items() for x in (F.lit(k), F.lit(v))])
     wide = long.groupBy("key").pivot("model", names).agg(F.first("value"))
     return wide.select(

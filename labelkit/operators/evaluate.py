@@ -15,6 +15,9 @@ four numbers, with the same definitions as Spark's MulticlassMetrics:
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,8 +31,10 @@ def confusion_table(scored: DataFrame, label_col: str = "label", prediction_col:
     )
 
 
-def per_class(cm: DataFrame) -> DataFrame:
-    """``(cls, tp, pp, sup, precision, recall, f1)`` from a confusion table."""
+def per_class(cm: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``(by..., cls, tp, pp, sup, precision, recall, f1)`` from a confusion
+    table ``(by..., label, prediction, n)``."""
+    by = list(by)
     n = F.col("n").cast("double")
     hit = F.when(F.col("label") == F.col("prediction"), n).otherwise(F.lit(0.0))
     zero = F.lit(0.0)
@@ -38,8 +43,8 @@ def per_class(cm: DataFrame) -> DataFrame:
         F.struct(F.col("prediction").alias("cls"), zero.alias("tp"), n.alias("pp"), zero.alias("sup")),
     )
     stats = (
-        cm.select(F.explode(sides).alias("s"))
-        .groupBy("s.cls")
+        cm.select(*by, F.explode(sides).alias("s"))
+        .groupBy(*by, F.col("s.cls").alias("cls"))
         .agg(F.sum("s.tp").alias("tp"), F.sum("s.pp").alias("pp"), F.sum("s.sup").alias("sup"))
     )
     p = F.when(F.col("pp") > 0, F.col("tp") / F.col("pp")).otherwise(F.lit(0.0))
@@ -52,11 +57,12 @@ def per_class(cm: DataFrame) -> DataFrame:
     return stats.withColumn("f1", f1)
 
 
-def metrics_from_confusion(cm: DataFrame) -> DataFrame:
-    """One row ``accuracy, precision, recall, f1`` (weighted by class support)."""
-    pc = per_class(cm)
+def metrics_from_confusion(cm: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``by..., accuracy, precision, recall, f1`` (weighted by class support):
+    one row, or one row per ``by`` group."""
+    pc = per_class(cm, by)
     total = F.sum("sup")
-    return pc.agg(
+    return pc.groupBy(*by).agg(
         (F.sum("tp") / total).alias("accuracy"),
         (F.sum(F.col("precision") * F.col("sup")) / total).alias("precision"),
         (F.sum(F.col("recall") * F.col("sup")) / total).alias("recall"),
@@ -83,3 +89,38 @@ def weighted_recall(scored: DataFrame, label_col: str = "label", prediction_col:
 
 def weighted_f1(scored: DataFrame, label_col: str = "label", prediction_col: str = "prediction") -> DataFrame:
     return evaluate(scored, label_col, prediction_col).select("f1")
+
+
+def evaluate_models(rows: DataFrame, models: Mapping[str, PipelineModel]) -> DataFrame:
+    """``(model, accuracy, precision, recall, f1)`` for several models in ONE
+    pass over ``rows`` (labelled rows that already carry ``raw_features``,
+    e.g. ``Prepared.test``).
+
+    Every model's fitted head runs in one projection with prefixed columns;
+    one ``groupBy`` over all ``(label, prediction)`` pairs (at most
+    ``classes ** (2 * models)`` groups, partially aggregated per task) holds
+    everything the metrics need, and the per-model confusion tables are sums
+    over that small table.
+    """
+    from labelkit.operators import models as mx
+
+    stages, cols = [], []
+    for name, model in models.items():
+        prefix = f"{name}_"
+        stages += mx.prefixed_head(model, prefix)
+        out = mx.output_cols(model)
+        cols.append((name, prefix + out["label"], prefix + out["prediction"]))
+    scored = PipelineModel(stages).transform(rows)
+    cube = scored.groupBy(*[c for _, lab, pred in cols for c in (lab, pred)]).agg(F.count(F.lit(1)).alias("n"))
+    per_model = F.array(
+        *[
+            F.struct(F.lit(name).alias("model"), F.col(lab).alias("label"), F.col(pred).alias("prediction"))
+            for name, lab, pred in cols
+        ]
+    )
+    cm = (
+        cube.select(F.explode(per_model).alias("m"), "n")
+        .groupBy("m.model", "m.label", "m.prediction")
+        .agg(F.sum("n").alias("n"))
+    )
+    return metrics_from_confusion(cm, ["model"])

@@ -702,10 +702,10 @@ def _two_models(spark, sf_dir, variants: bool):
 
 
 def _compare_metrics(spark, sf_dir, variants):
+    """Both models evaluated in one pass over the test side."""
     prep, a, b, names = _two_models(spark, sf_dir, variants)
-    ma = ev.evaluate(tr.score_prepared(a, prep.test))
-    mb = ev.evaluate(tr.score_prepared(b, prep.test))
-    return cx.compare_metrics({names[0]: ma, names[1]: mb})
+    both = ev.evaluate_models(prep.test, {names[0]: a, names[1]: b})
+    return cx.compare_metrics(both, names=names)
 
 
 def _compare_predictions(spark, sf_dir, variants):

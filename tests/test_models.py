@@ -174,3 +174,12 @@ def test_null_text_is_scored_not_fatal(spark, nb_setup):
     assert len(out) == 3
     assert out[1]["predicted_label"] == out[2]["predicted_label"]
     assert out[1]["confidence"] == out[2]["confidence"]
+
+
+def test_evaluate_models_one_pass_equals_separate(spark, nb_setup, lr_model):
+    prep, nb = nb_setup
+    both = {r["model"]: r for r in ev.evaluate_models(prep.test, {"lr": lr_model, "nb": nb}).collect()}
+    for name, m in (("lr", lr_model), ("nb", nb)):
+        one = ev.evaluate(tr.score_prepared(m, prep.test)).first()
+        for k in ev.METRICS:
+            assert abs(both[name][k] - one[k]) < 1e-12
