@@ -26,7 +26,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel, Transformer
@@ -81,24 +81,25 @@ def _classifier(kind: str, features_col: str, max_iter: int, reg_param: float, s
     raise ValueError(f"Unknown model type: {kind!r}; expected one of {KINDS}")
 
 
-def fit_on_features(
+def fit_models(
     train_features: DataFrame,
-    kind: str,
+    specs: Mapping[str, Mapping],
     stages: Sequence[Transformer],
     label_col: str = "gender",
-    use_idf: bool = True,
-    max_iter: int = MAX_ITER,
-    reg_param: float = REG_PARAM,
-    smoothing: float = SMOOTHING,
     materialize_input: bool = True,
-) -> PipelineModel:
-    """Fit the head on rows that already carry ``raw_features`` and the label.
-
-    ``stages`` is the stateless chain that produced ``raw_features``; it is
-    prepended so that the returned model scores raw text.
+) -> dict[str, PipelineModel]:
+    """Fit several models on the same rows, sharing every common pass.
+
+    ``specs`` maps a name to ``{"kind": ..., "use_idf": True, "max_iter": ...,
+    "reg_param": ..., "smoothing": ...}``.  The rows are sized and persisted
+    once, the label index and the IDF are fitted once, and only the
+    classifiers run per model.  ``stages`` is the stateless chain that
+    produced ``raw_features``; it is prepended so that every returned model
+    scores raw text.
     """
-    if kind not in KINDS:
-        raise ValueError(f"Unknown model type: {kind!r}; expected one of {KINDS}")
+    for spec in specs.values():
+        if spec["kind"] not in KINDS:
+            raise ValueError(f"Unknown model type: {spec['kind']!r}; expected one of {KINDS}")
     data = train_features.select(label_col, fx.RAW_COL)
     if materialize_input:
         data = materialize(data, "train-features")
@@ -110,7 +111,7 @@ def fit_on_features(
     if rows == 0:
         raise ValueError("cannot fit a classifier on an empty table")
     data = data.coalesce(max(1, math.ceil(rows / ROWS_PER_FIT_PARTITION)))
-    # Several passes follow (label index, IDF, classifier): keep the small
+    # Several passes follow (label index, IDF, classifiers): keep the small
     # table in executor memory, spilling to disk; a lost block is re-read
     # from the files written above.
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
@@ -118,19 +119,42 @@ def fit_on_features(
         indexer = fx.fit_label_index(data, label_col, fx.LABEL_COL)
         if len(indexer.labels) < 2:
             raise ValueError(f"need at least two classes to fit, found only {list(indexer.labels)}")
-        head: list[Transformer] = []
-        features_col = fx.RAW_COL
-        if use_idf:
+        idf = None
+        if any(spec.get("use_idf", True) for spec in specs.values()):
             idf = fx.fit_idf(data, fx.RAW_COL, fx.FEATURES_COL)
-            head.append(idf)
-            features_col = fx.FEATURES_COL
-        head.append(indexer)
-        indexed = PipelineModel(head).transform(data)
-        clf = _classifier(kind, features_col, max_iter, reg_param, smoothing).fit(indexed)
+        decoder = IndexToString(inputCol=PREDICTION_COL, outputCol=PREDICTED_LABEL_COL, labels=list(indexer.labels))
+        out = {}
+        for name, spec in specs.items():
+            use_idf = spec.get("use_idf", True)
+            head: list[Transformer] = ([idf] if use_idf else []) + [indexer]
+            features_col = fx.FEATURES_COL if use_idf else fx.RAW_COL
+            clf = _classifier(
+                spec["kind"],
+                features_col,
+                spec.get("max_iter", MAX_ITER),
+                spec.get("reg_param", REG_PARAM),
+                spec.get("smoothing", SMOOTHING),
+            ).fit(PipelineModel(head).transform(data))
+            out[name] = PipelineModel(list(stages) + head + [clf, decoder])
     finally:
         data.unpersist()
-    decoder = IndexToString(inputCol=PREDICTION_COL, outputCol=PREDICTED_LABEL_COL, labels=list(indexer.labels))
-    return PipelineModel(list(stages) + head + [clf, decoder])
+    return out
+
+
+def fit_on_features(
+    train_features: DataFrame,
+    kind: str,
+    stages: Sequence[Transformer],
+    label_col: str = "gender",
+    use_idf: bool = True,
+    max_iter: int = MAX_ITER,
+    reg_param: float = REG_PARAM,
+    smoothing: float = SMOOTHING,
+    materialize_input: bool = True,
+) -> PipelineModel:
+    """Fit one model on rows that already carry ``raw_features`` and the label."""
+    spec = dict(kind=kind, use_idf=use_idf, max_iter=max_iter, reg_param=reg_param, smoothing=smoothing)
+    return fit_models(train_features, {"model": spec}, stages, label_col, materialize_input)["model"]
 
 
 def fit_text_classifier(
@@ -310,9 +334,10 @@ def load_or_train(
     """Load every model in ``paths`` ({kind: path}); train and save the missing
     or stale ones.  Returns ``(models, all_loaded)``.
 
-    ``train`` is a text table (``name``, label), or - with ``stages`` - rows
-    that already carry ``raw_features`` made by those stages (e.g.
-    ``Prepared.train``), which avoids another pass over the text.
+    ``train`` is a text table (``name``, label; its features are written
+    once before fitting), or - with ``stages`` - rows that already carry
+    ``raw_features`` made by those stages and are already materialized
+    (``Prepared.train``), which avoids another pass over the text.
 
     Only a missing path leads to training: any other load error (wrong class,
     corrupt files) surfaces.  A model is stale when the fingerprint stored
@@ -322,7 +347,7 @@ def load_or_train(
     if stages is not None:
         params["features"] = _stages_signature(stages)
     fp = fingerprint(train, label_col, params)
-    models, all_loaded = {}, True
+    models: dict[str, PipelineModel | None] = {}
     for kind, path in paths.items():
         model = None
         try:
@@ -335,15 +360,26 @@ def load_or_train(
         except Exception as err:  # Py4J wraps Hadoop's FileNotFoundException
             if not _is_missing_path(err):
                 raise
-        if model is None:
-            all_loaded = False
-            if stages is not None:
-                model = fit_on_features(train, kind, stages, label_col, **fit_kw)
-            else:
-                model = fit_text_classifier(train, kind, label_col=label_col, **fit_kw)
-            save_model(model, f"{path}/model")
+        models[kind] = model
+    missing = [kind for kind, m in models.items() if m is None]
+    if missing:
+        # All missing models in one fit: shared rows, label index and IDF.
+        feature_kw = {k: fit_kw[k] for k in ("text_col", "num_features", "stop_words") if k in fit_kw}
+        spec_kw = {k: v for k, v in fit_kw.items() if k not in feature_kw}
+        from_text = stages is None
+        if from_text:
+            text_col = feature_kw.get("text_col", "name")
+            stages = fx.feature_stages(
+                text_col, feature_kw.get("num_features", fx.NUM_FEATURES), feature_kw.get("stop_words")
+            )
+            train = PipelineModel(stages).transform(train.select(text_col, label_col))
+        fitted = fit_models(
+            train, {k: dict(kind=k, **spec_kw) for k in missing}, stages, label_col, materialize_input=from_text
+        )
+        for kind in missing:
+            save_model(fitted[kind], f"{paths[kind]}/model")
             spark.createDataFrame([(fp,)], "value string").coalesce(1).write.mode("overwrite").text(
-                f"{path}/fingerprint"
+                f"{paths[kind]}/fingerprint"
             )
-        models[kind] = model
-    return models, all_loaded
+            models[kind] = fitted[kind]
+    return models, not missing

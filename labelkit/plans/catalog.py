@@ -693,12 +693,13 @@ def _two_models(spark, sf_dir, variants: bool):
     """LR vs NB (the reference's pair) or NB on TF-IDF vs NB on raw TF."""
     prep = prepared(spark, sf_dir)
     if variants:
-        a = tr.fit(prep, "naive_bayes", use_idf=True)
-        b = tr.fit(prep, "naive_bayes", use_idf=False)
-        return prep, a, b, ("tfidf", "tf")
-    a = tr.fit(prep, "logistic_regression")
-    b = tr.fit(prep, "naive_bayes")
-    return prep, a, b, ("lr", "nb")
+        names = ("tfidf", "tf")
+        specs = {"tfidf": {"kind": "naive_bayes", "use_idf": True}, "tf": {"kind": "naive_bayes", "use_idf": False}}
+    else:
+        names = ("lr", "nb")
+        specs = {"lr": {"kind": "logistic_regression"}, "nb": {"kind": "naive_bayes"}}
+    models = tr.fit_many(prep, specs)
+    return prep, models[names[0]], models[names[1]], names
 
 
 def _compare_metrics(spark, sf_dir, variants):

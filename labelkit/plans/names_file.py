@@ -21,7 +21,7 @@ from labelkit.operators import features as fx
 from labelkit.operators import models as mx
 from labelkit.operators import summary as su
 from labelkit.operators.split import SEED, TRAIN_SHARE, split_train_test
-from labelkit.plans.training import Prepared, fit, spread
+from labelkit.plans.training import Prepared, fit_many, spread
 from labelkit.sources.lines import load_labelled
 
 
@@ -73,6 +73,6 @@ def train_and_evaluate(
     data = load_labelled(spark, source)
     summary = su.data_summary(data)
     prep = prepare_labelled_text(data, **prepare_kw)
-    models = {kind: fit(prep, kind) for kind in kinds}
+    models = fit_many(prep, {kind: {"kind": kind} for kind in kinds})
     metrics = cx.compare_metrics(ev.evaluate_models(prep.test, models), names=list(models))
     return NamesRun(data, summary, prep, models, metrics)

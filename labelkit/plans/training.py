@@ -172,6 +172,12 @@ def fit(prepared: Prepared, kind: str, label_col: str = "gender", use_idf: bool
     )
 
 
+def fit_many(prepared: Prepared, specs: dict[str, dict], label_col: str = "gender") -> dict[str, PipelineModel]:
+    """Fit several models on the train side, sharing the label index, the IDF
+    and the persisted rows (see ``models.fit_models``)."""
+    return mx.fit_models(prepared.train, specs, prepared.stages, label_col, materialize_input=False)
+
+
 def score_prepared(model: PipelineModel, rows: DataFrame) -> DataFrame:
     """Apply only the fitted head to rows that already carry ``raw_features``."""
     return mx.heads(model).transform(rows)
