@@ -58,3 +58,25 @@ def test_entry(spark):
     df = se.entry(spark)
     assert df.columns == ["accuracy", "precision", "recall", "f1"]
     assert df.count() == 1
+
+
+INVARIANT_KEYS = ["split_train_test", "evaluate_model", "length_histogram", "predict_names", "data_summary",
+                  "compare_predictions_nb_variants", "hashed_tf", "train_naive_bayes"]
+
+
+@pytest.mark.parametrize("key", INVARIANT_KEYS)
+def test_results_do_not_depend_on_partitioning(spark, key):
+    q = se.queries()[key]
+    base = q(spark, SF001)
+    want = norm_rows(base.columns, [tuple(r) for r in base.collect()])
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    old_bytes = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        other = q(spark, SF001)
+        got = norm_rows(other.columns, [tuple(r) for r in other.collect()])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old_bytes)
+    assert got == want
