@@ -29,6 +29,7 @@ KEYS = {
     "evaluate_model": "split filter pushed into the parquet scan of the materialized features; three tiny partial aggregates",
     "predict_names": "scan -> one codegen stage (first word, features, model, decode); no exchange",
     "compare_predictions": "both models in one projection over one feature chain; no exchange, no join",
+    "compare_metrics": "one scan of the test rows for both models; every exchange after the first partial aggregate carries a handful of rows",
     "save_model": "saved and reloaded model in one projection, one count: no exceptAll shuffles",
     "sample_rows": "TakeOrderedAndProject: per-task top-k, no full sort",
 }
