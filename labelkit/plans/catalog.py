@@ -129,7 +129,7 @@ def nb_sql(select: str, score_src: str = DOCS_SQL, use_idf: bool = True, prefix:
 
 
 def nb_predict_sql(score_src: str, prefix: str = "nb") -> str:
-    """``prefix_names(doc_id, name, predicted_label, confidence)`` CTE body."""
+    """Subquery ``(doc_id, name, predicted_label, confidence)`` of the scored source."""
     return (
         f"SELECT s.doc_id, s.name, w.predicted_label, w.confidence "
         f"FROM ({score_src}) s JOIN (SELECT DISTINCT k, predicted_label, confidence FROM {prefix}_pred) w "
