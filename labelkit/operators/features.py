@@ -98,6 +98,15 @@ def fit_label_index(df: DataFrame, input_col: str = "gender", output_col: str =
     return StringIndexer(inputCol=input_col, outputCol=output_col, stringOrderType="frequencyDesc").fit(df)
 
 
+def label_index_from_counts(
+    counts: Sequence[tuple[str, int]], input_col: str = "gender", output_col: str = LABEL_COL
+) -> StringIndexerModel:
+    """The label index StringIndexer(frequencyDesc) would fit, from label
+    counts already at hand: descending count, ties by label."""
+    labels = [label for label, _ in sorted(counts, key=lambda c: (-c[1], c[0]))]
+    return StringIndexerModel.from_labels(labels, inputCol=input_col, outputCol=output_col)
+
+
 def vector_entries(vec: Column | str, index_name: str = "bucket", value_name: str = "value") -> Column:
     """Non-zero entries of an ML vector as ``array<struct<index, value>>``.
 

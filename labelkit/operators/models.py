@@ -103,22 +103,27 @@ def fit_models(
     data = train_features.select(label_col, fx.RAW_COL)
     if materialize_input:
         data = materialize(data, "train-features")
+    # One small aggregate gives both the row count and the label order
+    # (frequency descending, ties by label: StringIndexer's frequencyDesc).
+    counts = [(r[0], r[1]) for r in data.groupBy(label_col).count().collect()]
+    rows = sum(n for _, n in counts)
+    if rows == 0:
+        raise ValueError("cannot fit a classifier on an empty table")
+    if len(counts) < 2:
+        raise ValueError(f"need at least two classes to fit, found only {[c for c, _ in counts]}")
+    if any(c is None for c, _ in counts):
+        raise ValueError(f"label column {label_col!r} has nulls")
+    indexer = fx.label_index_from_counts(counts, label_col, fx.LABEL_COL)
     # Size the partitions for the passes that follow: about a million rows
     # (~100 MB of sparse vectors) per task.  Small training sets collapse to
     # a few tasks, which cuts the per-round scheduling cost of the 10 L-BFGS
     # rounds; large ones keep their parallelism (coalesce never shuffles).
-    rows = data.count()
-    if rows == 0:
-        raise ValueError("cannot fit a classifier on an empty table")
     data = data.coalesce(max(1, math.ceil(rows / ROWS_PER_FIT_PARTITION)))
-    # Several passes follow (label index, IDF, classifiers): keep the small
-    # table in executor memory, spilling to disk; a lost block is re-read
-    # from the files written above.
+    # Several passes follow (IDF, classifiers): keep the small table in
+    # executor memory, spilling to disk; a lost block is re-read from the
+    # files written above.
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        indexer = fx.fit_label_index(data, label_col, fx.LABEL_COL)
-        if len(indexer.labels) < 2:
-            raise ValueError(f"need at least two classes to fit, found only {list(indexer.labels)}")
         idf = None
         if any(spec.get("use_idf", True) for spec in specs.values()):
             idf = fx.fit_idf(data, fx.RAW_COL, fx.FEATURES_COL)

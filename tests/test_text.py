@@ -103,3 +103,13 @@ def test_vector_entries_explode(spark):
     feats = PipelineModel(fx.feature_stages()).transform(df)
     got = sorted(tuple(r) for r in fx.explode_vector(feats, ["doc_id"], "raw_features").collect())
     assert got == [(1, 2, 1.0), (1, 15, 2.0)]
+
+
+def test_label_index_from_counts_equals_fitted_indexer(spark):
+    from pyspark.ml.feature import StringIndexer
+
+    rows = [("b",)] * 3 + [("a",)] * 3 + [("c",)] * 5 + [("d",)]
+    df = spark.createDataFrame(rows, "gender string")
+    fitted = StringIndexer(inputCol="gender", outputCol="label", stringOrderType="frequencyDesc").fit(df)
+    counts = [(r[0], r[1]) for r in df.groupBy("gender").count().collect()]
+    assert list(fx.label_index_from_counts(counts).labels) == list(fitted.labels) == ["c", "a", "b", "d"]
