@@ -110,3 +110,22 @@ def test_directory_and_gzip_inputs(spark, tmp_path):
     (d / "b.csv.gz").write_bytes(gzip.compress(b"Mariem;F\nbad\n"))
     assert loaded(spark, str(d)) == [("Ali", "M"), ("Mariem", "F")]
     assert loaded(spark, [str(d / "a.csv")]) == [("Ali", "M")]
+
+
+def test_cli_train_and_predict(spark, tmp_path, capsys):
+    """The command line runs in-process on the test session."""
+    from labelkit.__main__ import main
+    from labelkit.plans import catalog
+    from labelkit.sources.lines import write_lines
+
+    names = write_lines(catalog.lines_frame(spark, "/root/testdata/sf0.001"), str(tmp_path / "names"))
+    models = str(tmp_path / "models")
+    assert main(["train", names, models]) == 0
+    assert main(["predict", models, "Mohamed Ould", "Fatima"]) == 0
+    out = capsys.readouterr().out
+    assert "Accuracy" in out and "Mohamed" in out and "Fatima" in out
+    docs = "/root/testdata/sf0.001/documents.parquet"
+    dest = str(tmp_path / "scored")
+    assert main(["predict", models, "--kind", "logistic_regression", "--table", docs, "--text-col", "text",
+                 "--key", "doc_id", "--out", dest]) == 0
+    assert spark.read.parquet(dest).count() == 200
