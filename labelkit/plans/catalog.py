@@ -639,7 +639,7 @@ def q_length_histogram(spark, sf_dir):
 
 def _nb_test_metrics(spark, sf_dir) -> DataFrame:
     prep, model = fitted(spark, sf_dir)
-    m = ev.evaluate(tr.score_prepared(model, prep.test))
+    m = ev.evaluate(tr.score_prepared(model, prep.test), classes=len(mx.label_indexer(model).labels))
     return m.select(*[r6(F.col(c)).alias(c) for c in ev.METRICS])
 
 

@@ -71,9 +71,11 @@ def test_metrics_equal_spark_evaluator(spark, nb_setup, lr_model):
     for m in (model, lr_model):
         scored = tr.score_prepared(m, prep.test).cache()
         ours = ev.evaluate(scored).first()
+        inline = ev.evaluate(scored, classes=len(mx.label_indexer(m).labels)).first()
         for name, metric in [("accuracy", "accuracy"), ("precision", "weightedPrecision"), ("recall", "weightedRecall"), ("f1", "f1")]:
             ref = MulticlassClassificationEvaluator(metricName=metric).evaluate(scored)
             assert abs(ours[name] - ref) < 1e-12, name
+            assert abs(inline[name] - ref) < 1e-12, name
         scored.unpersist()
 
 

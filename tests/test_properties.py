@@ -143,3 +143,22 @@ def test_metrics_equal_python_definition(spark, table):
     row = ev.metrics_from_confusion(df).first()
     for got, want in zip((row["accuracy"], row["precision"], row["recall"], row["f1"]), python_metrics(cm)):
         assert abs(got - want) < 1e-12
+
+
+small_cells = st.dictionaries(
+    st.tuples(st.integers(0, 3), st.integers(0, 3)), st.integers(1, 30), min_size=1, max_size=16
+)
+
+
+@SETTINGS
+@given(small_cells)
+def test_inline_evaluation_equals_grouped(spark, table):
+    from labelkit.operators import evaluate as ev
+
+    rows = [(float(l), float(p)) for (l, p), n in table.items() for _ in range(n)]
+    scored = spark.createDataFrame(rows, "label double, prediction double")
+    a = ev.evaluate(scored, classes=4).first()
+    b = ev.evaluate(scored).first()
+    want = python_metrics([(float(l), float(p), n) for (l, p), n in table.items()])
+    for k, w in zip(ev.METRICS, want):
+        assert abs(a[k] - b[k]) < 1e-12 and abs(a[k] - w) < 1e-12
