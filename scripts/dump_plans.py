@@ -26,10 +26,10 @@ KEYS = {
     "data_summary": "one partial + final aggregate; length computed once per row",
     "length_histogram": "after the one-row stats pass: length once per row, bins by expression, partial count per (bin, label)",
     "hashed_tf": "small scan spread round-robin (bounded), then one projection of the feature chain and an explode",
-    "evaluate_model": "split filter pushed into the parquet scan of the materialized features; three tiny partial aggregates",
+    "evaluate_model": "split filter pushed into the parquet scan of the materialized features; one partial aggregate of per-class counts, one exchange",
     "predict_names": "scan -> one codegen stage (first word, features, model, decode); no exchange",
     "compare_predictions": "both models in one projection over one feature chain; no exchange, no join",
-    "compare_metrics": "one scan of the test rows for both models; every exchange after the first partial aggregate carries a handful of rows",
+    "compare_metrics": "one scan of the test rows and one aggregate of per-class counts for both models; the pivot after it moves 8 rows",
     "save_model": "saved and reloaded model in one projection, one count: no exceptAll shuffles",
     "sample_rows": "TakeOrderedAndProject: per-task top-k, no full sort",
 }
