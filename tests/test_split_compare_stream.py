@@ -131,3 +131,18 @@ def test_score_stream_rejects_batch(spark, nb_setup):
     _, nb = nb_setup
     with pytest.raises(ValueError):
         score_stream(tr.doc_texts(spark, SF01), nb, ["doc_id"])
+
+
+def test_stream_restart_resumes_exactly_once(spark, nb_setup, tmp_path):
+    _, nb = nb_setup
+    docs = tr.table(spark, SF01, "documents").select("doc_id", F.col("text").alias("name"))
+    src = str(tmp_path / "incoming")
+    docs.filter(F.col("doc_id") < 500).write.parquet(f"{src}/part1")
+    stream = spark.readStream.schema(docs.schema).option("recursiveFileLookup", "true").parquet(src)
+    out, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
+    start_scoring(stream, nb, out, ["doc_id"], checkpoint_path=ckpt, available_now=True).awaitTermination()
+    assert spark.read.parquet(out).count() == 500
+    docs.filter(F.col("doc_id") >= 500).write.parquet(f"{src}/part2")
+    start_scoring(stream, nb, out, ["doc_id"], checkpoint_path=ckpt, available_now=True).awaitTermination()
+    result = spark.read.parquet(out)
+    assert result.count() == 1000 and result.select("doc_id").distinct().count() == 1000
