@@ -30,7 +30,6 @@ KEYS = {
     "predict_names": "scan -> one codegen stage (first word, features, model, decode); no exchange",
     "compare_predictions": "both models in one projection over one feature chain; no exchange, no join",
     "compare_metrics": "one scan of the test rows and one aggregate of per-class counts for both models; the pivot after it moves 8 rows",
-    "save_model": "saved and reloaded model in one projection, one count: no exceptAll shuffles",
     "sample_rows": "TakeOrderedAndProject: per-task top-k, no full sort",
 }
 
