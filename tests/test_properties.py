@@ -162,3 +162,40 @@ def test_inline_evaluation_equals_grouped(spark, table):
     want = python_metrics([(float(l), float(p), n) for (l, p), n in table.items()])
     for k, w in zip(ev.METRICS, want):
         assert abs(a[k] - b[k]) < 1e-12 and abs(a[k] - w) < 1e-12
+
+
+class _FakeConf:
+    def __init__(self, values):
+        self.values = values
+
+    def get(self, key, default=None):
+        return self.values.get(key, default)
+
+
+class _FakeContext:
+    def __init__(self, master, conf=None, ckpt=None):
+        self.master, self._conf, self._ckpt = master, _FakeConf(conf or {}), ckpt
+
+    def getConf(self):
+        return self._conf
+
+    def getCheckpointDir(self):
+        return self._ckpt
+
+    def setCheckpointDir(self, d):
+        self._ckpt = d
+
+
+class _FakeSession:
+    def __init__(self, sc):
+        self.sparkContext = sc
+
+
+def test_shared_dir_never_local_on_a_cluster():
+    from labelkit.session import shared_dir
+
+    with __import__("pytest").raises(RuntimeError):
+        shared_dir(_FakeSession(_FakeContext("yarn")))
+    assert shared_dir(_FakeSession(_FakeContext("yarn", {"spark.checkpoint.dir": "hdfs:///ckpt"}))) == "hdfs:///ckpt"
+    sc = _FakeContext("k8s://x", ckpt="s3a://bucket/ckpt/app-123")
+    assert shared_dir(_FakeSession(sc)) == "s3a://bucket/ckpt"
