@@ -189,3 +189,15 @@ def test_evaluate_models_one_pass_equals_separate(spark, nb_setup, lr_model):
         one = ev.evaluate(tr.score_prepared(m, prep.test)).first()
         for k in ev.METRICS:
             assert abs(both[name][k] - one[k]) < 1e-12
+
+
+def test_second_label_toxic(spark):
+    """The unbalanced toxic label (FIXTURES.md): minority class 'M' (toxic = 1)."""
+    prep = tr.prepare_training_data(tr.doc_texts(spark, SF01), tr.doc_labels(spark, SF01, "toxic"), ["doc_id"])
+    models = tr.fit_many(prep, {"nb": {"kind": "naive_bayes"}, "lr": {"kind": "logistic_regression"}})
+    assert list(mx.label_indexer(models["nb"]).labels) == ["F", "M"]  # majority first
+    rows = {r["model"]: r for r in ev.evaluate_models(prep.test, models).collect()}
+    for r in rows.values():
+        assert 0.0 <= r["precision"] <= 1.0 and 0.5 < r["accuracy"] <= 1.0
+        assert r["accuracy"] == pytest.approx(r["recall"])
+    assert prep.labelled.count() == 399
