@@ -201,3 +201,13 @@ def test_second_label_toxic(spark):
         assert 0.0 <= r["precision"] <= 1.0 and 0.5 < r["accuracy"] <= 1.0
         assert r["accuracy"] == pytest.approx(r["recall"])
     assert prep.labelled.count() == 399
+
+
+def test_evaluate_models_grouped_fallback(spark, nb_setup, lr_model, monkeypatch):
+    prep, nb = nb_setup
+    inline = {r["model"]: r for r in ev.evaluate_models(prep.test, {"lr": lr_model, "nb": nb}).collect()}
+    monkeypatch.setattr(ev, "MAX_INLINE_CLASSES", 0)
+    grouped = {r["model"]: r for r in ev.evaluate_models(prep.test, {"lr": lr_model, "nb": nb}).collect()}
+    for name in ("lr", "nb"):
+        for k in ev.METRICS:
+            assert abs(inline[name][k] - grouped[name][k]) < 1e-12
