@@ -344,9 +344,11 @@ def load_or_train(
     ``raw_features`` made by those stages and are already materialized
     (``Prepared.train``), which avoids another pass over the text.
 
-    Only a missing path leads to training: any other load error (wrong class,
-    corrupt files) surfaces.  A model is stale when the fingerprint stored
-    next to it (parameters + label counts of its training table) differs.
+    Only a missing or stale model leads to training: a model is missing when
+    no fingerprint is stored at its path, stale when the stored fingerprint
+    (parameters + label counts of its training table) differs.  When the
+    fingerprint matches, any error loading the model (corrupt files, wrong
+    class) surfaces instead of being trained over.
     """
     params = dict(fit_kw)
     if stages is not None:
@@ -354,18 +356,15 @@ def load_or_train(
     fp = fingerprint(train, label_col, params)
     models: dict[str, PipelineModel | None] = {}
     for kind, path in paths.items():
-        model = None
+        stored = None
         try:
             stored = spark.read.text(f"{path}/fingerprint").first()
-            if stored is not None and stored[0] == fp:
-                model = load_model(spark, kind, f"{path}/model")
-        except AnalysisException as err:
+        except AnalysisException as err:  # no fingerprint: nothing saved here yet
             if not _is_missing_path(err):
                 raise
-        except Exception as err:  # Py4J wraps Hadoop's FileNotFoundException
-            if not _is_missing_path(err):
-                raise
-        models[kind] = model
+        # A matching fingerprint means a model was saved here for this data:
+        # any error loading it (corrupt files, wrong class) surfaces.
+        models[kind] = load_model(spark, kind, f"{path}/model") if stored is not None and stored[0] == fp else None
     missing = [kind for kind, m in models.items() if m is None]
     if missing:
         # All missing models in one fit: shared rows, label index and IDF.

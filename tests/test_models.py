@@ -211,3 +211,19 @@ def test_evaluate_models_grouped_fallback(spark, nb_setup, lr_model, monkeypatch
     for name in ("lr", "nb"):
         for k in ev.METRICS:
             assert abs(inline[name][k] - grouped[name][k]) < 1e-12
+
+
+def test_load_or_train_surfaces_corrupt_model(spark, nb_setup):
+    prep, _ = nb_setup
+    root = scratch_path(spark, "t-lot-corrupt")
+    paths = {"naive_bayes": f"{root}/nb"}
+    mx.load_or_train(spark, prep.train, paths, stages=prep.stages)
+    # Replace the saved model with something that is not a model.
+    spark.createDataFrame([("x",)], "value string").write.mode("overwrite").text(f"{root}/nb/model")
+    with pytest.raises(Exception):
+        mx.load_or_train(spark, prep.train, paths, stages=prep.stages)
+    # A model of the wrong class under a matching fingerprint surfaces too.
+    lr = tr.fit(prep, "logistic_regression")
+    mx.save_model(lr, f"{root}/nb/model")
+    with pytest.raises(ValueError):
+        mx.load_or_train(spark, prep.train, paths, stages=prep.stages)
