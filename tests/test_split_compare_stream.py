@@ -146,3 +146,24 @@ def test_stream_restart_resumes_exactly_once(spark, nb_setup, tmp_path):
     start_scoring(stream, nb, out, ["doc_id"], checkpoint_path=ckpt, available_now=True).awaitTermination()
     result = spark.read.parquet(out)
     assert result.count() == 1000 and result.select("doc_id").distinct().count() == 1000
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_scoring_plan_is_map_only_and_pruned(spark, nb_setup):
+    _, nb = nb_setup
+    plan = _plan(sx.predict_names(tr.doc_texts(spark, SF01), nb, ["doc_id"]))
+    assert "Exchange" not in plan
+    assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan  # lang, source, n_chars not read
+
+
+def test_loader_and_split_filters_reach_the_scan(spark):
+    from labelkit.plans import catalog
+
+    load_plan = _plan(catalog.loaded(spark, SF01))
+    assert "PushedFilters: [IsNotNull(value), Not(StringContains(value,NOMPL;SEXE))]" in load_plan
+    prep = catalog.prepared(spark, SF01)
+    test_plan = _plan(prep.test)
+    assert "DataFilters: [(pmod(" in test_plan  # the hash split is evaluated inside the parquet scan
