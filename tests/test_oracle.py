@@ -80,3 +80,18 @@ def test_results_do_not_depend_on_partitioning(spark, key):
         spark.conf.set("spark.sql.shuffle.partitions", old)
         spark.conf.set("spark.sql.files.maxPartitionBytes", old_bytes)
     assert got == want
+
+
+EXCHANGE_BUDGET = {
+    "load_labelled": 0, "predict_names": 0, "compare_predictions": 0, "compare_predictions_nb_variants": 0,
+    "data_summary": 1, "count_total": 1, "label_share": 1, "length_stats": 1, "evaluate_model": 1,
+    "length_histogram": 1, "hashed_tf": 1, "sample_rows": 1,
+}
+
+
+@pytest.mark.parametrize("key", sorted(EXCHANGE_BUDGET))
+def test_exchange_budget(spark, key):
+    """Shuffles in each query's plan stay within its design (fits excluded:
+    they run while the query is built)."""
+    plan = se.queries()[key](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") <= EXCHANGE_BUDGET[key], plan
