@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelkit.llm import jaccard_join, line_dedup, sentencepiece_codec, source_mix, substring_dedup, toxicity
-from labelkit.llm.common import documents, labels
+from labelkit.llm import bm25, jaccard_join, line_dedup, quality_rules, sentencepiece_codec, source_mix, substring_dedup, toxicity, url_filter, warc_zip
+from labelkit.llm.common import documents, labels, pages, written
+from labelkit.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -113,3 +114,48 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     lexicon = toxicity.fit(docs, toxicity.training_labels(labels(spark, sf_dir)))
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
     return toxicity.score(docs, lexicon).select("doc_id", held.alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+@_query(r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, strlen(h) AS n, sha1(h) AS s FROM p), m AS (SELECT s, max(page_id) AS keep FROM d GROUP BY 1)
+SELECT page_id, n::BIGINT AS payload_bytes, s AS payload_digest, CASE WHEN n >= 1000 AND page_id <> keep THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 1000 AND page_id <> keep THEN keep END AS refers_to FROM d JOIN m USING (s)
+""")
+def op2_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records in ZIP archives, and read back from these."""
+    path = scratch_path(spark, "warc")
+    warc_zip.write_archives(pages(spark, sf_dir), path)
+    return warc_zip.read_archives(spark, path, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+
+
+@_query(rf"""
+WITH r AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (SELECT page_id, rest, regexp_extract(coalesce(rest, ''), '^[^/?#]*') AS host FROM r),
+u AS (SELECT page_id, {_LOWER.format("host")} AS host, regexp_extract(substr(coalesce(rest, ''), length(host) + 1), '^[^?#]*') AS path FROM h),
+f AS (SELECT *, CASE WHEN ('.' || host) LIKE '%.example.net' AND starts_with(path, '/en/') THEN 'example.net/en/'
+  WHEN ('.' || host) LIKE '%.example.com' AND starts_with(path, '/de/') THEN 'example.com/de/'
+  WHEN ('.' || host) LIKE '%.net' AND starts_with(path, '/') THEN 'net/' WHEN ('.' || host) LIKE '%.org' AND starts_with(path, '/fr/') THEN 'org/fr/' END AS rule FROM u)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict FROM f
+""")
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on all page addresses by four nested rules."""
+    return url_filter.judge(pages(spark, sf_dir).select("page_id", "url"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+@_query()
+def op7_exact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents by BM25 for every document whose id is divisible by 50."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return bm25.search(docs, docs.filter("doc_id % 50 = 0"))
+
+
+@_query()
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of all documents, the base rule, and the trees' verdict."""
+    measured = written(quality_rules.measure(documents(spark, sf_dir).select("doc_id", "text")).drop("text"), "quality-counts")
+    judged = quality_rules.judge(measured, quality_rules.fit(measured, labels(spark, sf_dir)))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
