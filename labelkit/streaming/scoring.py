@@ -3,9 +3,10 @@
 The reference scored names one at a time as a user typed them.  As a
 Structured Streaming job that is the same ``predict_names`` operator on a
 streaming DataFrame: stateless and map-only (no watermark, no state store),
-each micro-batch scored as it arrives, written to a file sink whose
-checkpoint lives in the shared folder so that a restarted query resumes
-exactly once.
+each micro-batch scored as it arrives, written to a file sink.  The
+checkpoint belongs to the output: unless one is named it lies in the output
+folder, so a query restarted on the same output resumes where it stopped and
+every row is scored exactly once.
 """
 
 from __future__ import annotations
@@ -17,7 +18,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from labelkit.operators.score import predict_names
-from labelkit.session import scratch_path
 
 
 def score_stream(
@@ -42,14 +42,16 @@ def start_scoring(
     checkpoint_path: str | None = None,
     available_now: bool = False,
     processing_time: str | None = None,
+    use_first_token: bool = True,
 ) -> StreamingQuery:
     """Start the scoring query with an append-mode parquet sink.
 
     ``available_now=True`` processes what is there and stops (batch-style
     catch-up); otherwise the query runs with the given trigger.
     """
-    scored = score_stream(stream, model, keys, text_col)
-    ckpt = checkpoint_path or scratch_path(stream.sparkSession, "stream-ckpt")
+    scored = score_stream(stream, model, keys, text_col, use_first_token)
+    # Readers of the output skip names that begin with an underscore.
+    ckpt = checkpoint_path or f"{output_path.rstrip('/')}/_checkpoint"
     writer = scored.writeStream.format("parquet").outputMode("append").option("checkpointLocation", ckpt)
     if available_now:
         writer = writer.trigger(availableNow=True)

@@ -98,7 +98,7 @@ def test_labelled_features_paths_agree(spark):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        shuffled = tr.labelled_features(texts, labels, ["doc_id"], stages, broadcast_max_rows=0)
+        shuffled = tr.labelled_features(texts, labels, ["doc_id"], stages, broadcast_max_bytes=0)
         plan = shuffled._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
         b = rows(shuffled)
@@ -148,6 +148,21 @@ def test_stream_restart_resumes_exactly_once(spark, nb_setup, tmp_path):
     assert result.count() == 1000 and result.select("doc_id").distinct().count() == 1000
 
 
+def test_stream_restart_without_a_checkpoint_argument(spark, nb_setup, tmp_path):
+    _, nb = nb_setup
+    docs = tr.table(spark, SF01, "documents").select("doc_id", F.col("text").alias("name"))
+    src, out = str(tmp_path / "incoming"), str(tmp_path / "out")
+    docs.filter("doc_id < 100").write.parquet(f"{src}/part1")
+    stream = spark.readStream.schema(docs.schema).option("recursiveFileLookup", "true").parquet(src)
+    start_scoring(stream, nb, out, ["doc_id"], available_now=True, use_first_token=False).awaitTermination()
+    docs.filter("doc_id >= 100 and doc_id < 250").write.parquet(f"{src}/part2")
+    start_scoring(stream, nb, out, ["doc_id"], available_now=True, use_first_token=False).awaitTermination()
+    result = spark.read.parquet(out)
+    assert result.count() == 250 and result.select("doc_id").distinct().count() == 250
+    whole = sx.predict_names(docs.filter("doc_id < 250"), nb, ["doc_id"], use_first_token=False)
+    assert result.exceptAll(whole).count() == 0
+
+
 def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
