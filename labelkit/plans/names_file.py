@@ -1,9 +1,10 @@
 """The reference app's whole flow over a ``name;label`` file, as one plan:
 load -> summary -> features -> split -> fit both models -> metrics table.
 
-Rows of a names file carry their own label, so there is no join: the file is
-featurized once (map-only), ``(row_id, name, label, raw_features)`` is written
-once to the shared folder, and both fits and both evaluations read that.
+Rows of a names file carry their own label, so there is no join: equal lines
+are counted first (combined before the shuffle), each distinct line is
+featurized once, ``(copy, name, label, raw_features)`` is written once to the
+shared folder, and both fits and both evaluations read that.
 """
 
 from __future__ import annotations
@@ -21,11 +22,13 @@ from labelkit.operators import features as fx
 from labelkit.operators import models as mx
 from labelkit.operators import summary as su
 from labelkit.operators.split import SEED, TRAIN_SHARE, split_train_test
-from labelkit.plans.training import Prepared, fit_many, spread
+from labelkit.plans.training import Prepared, fit_many
 from labelkit.sources.lines import load_labelled
 
 
-ROW_ID = "row_id"
+COPY = "copy"
+# Copies of one line are numbered this many to a row before they are spread.
+COPIES_PER_CHUNK = 10_000
 
 
 @dataclass
@@ -46,20 +49,27 @@ def prepare_labelled_text(
     share: float = TRAIN_SHARE,
     seed: int = SEED,
 ) -> Prepared:
-    """Featurize a labelled text table once and split it by a row id.
+    """Featurize a labelled text table once and split it, whatever its layout.
 
     A names file has no key, and identical lines are common (one name can
-    hold a large share of a file).  Splitting on the content would send all
-    copies of a line to the same side; instead each row gets an id while
-    the features are written (``monotonically_increasing_id``, deterministic
-    for a given input order, and fixed once written), and the split hashes
-    that id, so copies spread over both sides like any other rows.
+    hold a large share of a file).  Splitting on the content alone would send
+    all copies of a line to the same side, so the copies of a line are
+    numbered and the split hashes ``(seed, text, label, copy)``: a multiset of
+    lines has one split, on any cluster and for any order or file splits.
+    Lines are grouped with a count that combines before the shuffle; copies
+    of a hot line are numbered in chunks, which are dealt over the tasks.
     """
     stages = fx.feature_stages(text_col, num_features, stop_words)
-    rows = spread(df.select(text_col, label_col)).withColumn(ROW_ID, F.monotonically_increasing_id())
-    feats = PipelineModel(stages).transform(rows).select(ROW_ID, text_col, label_col, fx.RAW_COL)
-    labelled = mx.materialize(feats, "labelled-features")
-    train, test = split_train_test(labelled, [ROW_ID], share, seed)
+    lines = df.groupBy(text_col, label_col).agg(F.count(F.lit(1)).alias("_n"))
+    feats = PipelineModel(stages).transform(lines).select(text_col, label_col, fx.RAW_COL, "_n")
+    last_chunk = F.floor((F.col("_n") - 1) / COPIES_PER_CHUNK).cast("long")
+    chunks = feats.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), last_chunk)))
+    chunks = chunks.repartition(text_col, label_col, "_chunk")
+    first = F.col("_chunk") * COPIES_PER_CHUNK
+    copies = F.sequence(first, F.least(first + COPIES_PER_CHUNK, F.col("_n")) - 1)
+    rows = chunks.select(F.explode(copies).alias(COPY), text_col, label_col, fx.RAW_COL)
+    labelled = mx.materialize(rows, "labelled-features")
+    train, test = split_train_test(labelled, [text_col, label_col, COPY], share, seed)
     return Prepared(stages, labelled, train, test)
 
 
@@ -67,12 +77,22 @@ def train_and_evaluate(
     spark: SparkSession,
     source: str | Sequence[str] | DataFrame,
     kinds: Sequence[str] = mx.KINDS,
+    model_dir: str | None = None,
     **prepare_kw,
 ) -> NamesRun:
-    """Everything the reference's "Load Data & Train Models" button did."""
+    """Everything the reference's "Load Data & Train Models" button did.
+
+    With ``model_dir``, models saved there from the same rows and parameters
+    are loaded, and the others are trained and saved (``models.load_or_train``).
+    """
     data = load_labelled(spark, source)
     summary = su.data_summary(data)
     prep = prepare_labelled_text(data, **prepare_kw)
-    models = fit_many(prep, {kind: {"kind": kind} for kind in kinds})
+    if model_dir:
+        paths = {kind: f"{model_dir.rstrip('/')}/{kind}" for kind in kinds}
+        label_col = prepare_kw.get("label_col", "gender")
+        models, _ = mx.load_or_train(spark, prep.train, paths, label_col, stages=prep.stages)
+    else:
+        models = fit_many(prep, {kind: {"kind": kind} for kind in kinds})
     metrics = cx.compare_metrics(ev.evaluate_models(prep.test, models), names=list(models))
     return NamesRun(data, summary, prep, models, metrics)

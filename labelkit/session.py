@@ -41,6 +41,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/labelkit/{name}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> bool:
+    """Delete a file or folder through Spark's file system; False if there was none."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def local_session(cores: int = 8, app: str = "labelkit") -> SparkSession:
     """Session for tests and the bench: local mode, AQE on, UI off."""
     builder = (

@@ -1,11 +1,9 @@
 """Delimited ``name;label`` text files.
 
 The loader is one narrow chain (text scan -> filter -> project -> filter):
-no job runs until the caller acts, no shuffle, and every file split is read by
-its own task.  The reference looked at the first line with ``first()`` to
-decide whether to drop the header; here the header filter is unconditional,
-which costs no job and also handles a header repeated mid-file or an empty
-file.
+no shuffle, and every file split is read by its own task.  The first line is
+looked at (a job that reads one row): lines with the header text go only if it
+has it, so a file without a header loses no line; an empty file stays empty.
 """
 
 from __future__ import annotations
@@ -41,8 +39,9 @@ def write_lines(df: DataFrame, path: str, col: str | Column = "value") -> str:
 
 
 def drop_header(lines: DataFrame, token: str = HEADER_TOKEN, col: str = "value") -> DataFrame:
-    """Drop every line that carries the header text."""
-    return lines.filter(~contains_header(col, token))
+    """Drop every line that carries the header text, if the first line does."""
+    first = lines.select(contains_header(col, token)).first()
+    return lines.filter(~contains_header(col, token)) if first is not None and first[0] else lines
 
 
 def parse_delimited(

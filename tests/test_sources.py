@@ -43,6 +43,13 @@ def test_header_only_when_first_line_is_not_header(spark, tmp_path):
     assert loaded(spark, path) == [("Ali", "M")]
 
 
+def test_no_header_no_line_lost(spark, tmp_path):
+    path = write(tmp_path, "n.csv", b"Zed;F\nAli;M;NOMPL;SEXE\n")
+    assert loaded(spark, path) == [("Ali", "M"), ("Zed", "F")]
+    path = write(tmp_path, "y.csv", b"NOMPL;SEXE\nAli;M;NOMPL;SEXE\nZed;F\n")
+    assert loaded(spark, path) == [("Zed", "F")]
+
+
 def test_parse_keeps_nulls_until_filter(spark, tmp_path):
     path = write(tmp_path, "p.csv", b"a;M\nb\n")
     parsed = sorted(
@@ -101,6 +108,25 @@ def test_names_file_split_spreads_copies(spark):
     assert 0.7 < hot_train / 600 < 0.9 and 0.7 < n_train / 1800 < 0.9
 
 
+def test_names_file_split_does_not_depend_on_layout(spark, monkeypatch):
+    from labelkit.plans import names_file
+
+    rows = [("Mohamed", "M")] * 600 + [(f"name{i % 700}", "F" if i % 2 else "M") for i in range(1400)]
+    df = spark.createDataFrame(rows, "name string, gender string")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    want = None
+    try:
+        for parts, size, chunk in ((2, "4k", 10_000), (3, "128m", 7), (8, "64k", 50)):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            monkeypatch.setattr(names_file, "COPIES_PER_CHUNK", chunk)
+            prep = names_file.prepare_labelled_text(df.repartition(parts))
+            got = sorted(tuple(r) for r in prep.train.select("name", "gender", "copy").collect())
+            want = want or got
+            assert got == want and prep.test.count() == 2000 - len(got)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_directory_and_gzip_inputs(spark, tmp_path):
     import gzip
 
@@ -121,8 +147,11 @@ def test_cli_train_and_predict(spark, tmp_path, capsys):
     names = write_lines(catalog.lines_frame(spark, "/root/testdata/sf0.001"), str(tmp_path / "names"))
     models = str(tmp_path / "models")
     assert main(["train", names, models]) == 0
+    assert main(["train", names, models]) == 0  # loads what it saved
     assert main(["predict", models, "Mohamed Ould", "Fatima"]) == 0
+    assert main(["compare", models, "Aicha"]) == 0
     out = capsys.readouterr().out
+    assert "more_confident_model" in out and "Aicha" in out
     assert "Accuracy" in out and "Mohamed" in out and "Fatima" in out
     docs = "/root/testdata/sf0.001/documents.parquet"
     dest = str(tmp_path / "scored")
