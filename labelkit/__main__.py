@@ -3,11 +3,14 @@
     python -m labelkit train NAMES_FILE MODEL_DIR [--master local[8]]
     python -m labelkit predict MODEL_DIR NAME [NAME ...]
     python -m labelkit predict MODEL_DIR --table PARQUET --text-col text --key doc_id --out OUT_DIR
+    python -m labelkit compare MODEL_DIR NAME [NAME ...]
 
 ``train`` loads the file, prints the summary and the metrics table of both
-models, and saves them (whole pipelines) under MODEL_DIR.  ``predict`` scores
-names given on the command line (one small table) or a whole parquet table,
-written as parquet (nothing table-sized comes to the driver).
+models, and saves them (whole pipelines) under MODEL_DIR; models saved there
+from the same rows are loaded instead.  ``predict`` scores names given on the
+command line (one small table) or a whole parquet table, written as parquet
+(nothing table-sized comes to the driver).  ``compare`` shows both models'
+answers for given names.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ import sys
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from labelkit.operators import compare as cx
 from labelkit.operators import models as mx
 from labelkit.operators import score as sx
 from labelkit.sources.lines import rows_from_values
@@ -47,25 +51,36 @@ def main(argv: list[str] | None = None) -> int:
     q.add_argument("--text-col", default="name")
     q.add_argument("--key", action="append", default=[])
     q.add_argument("--out")
+    c = sub.add_parser("compare")
+    c.add_argument("model_dir")
+    c.add_argument("names", nargs="+")
     args = p.parse_args(argv)
     spark = _session(args.master)
 
     if args.cmd == "train":
         from labelkit.plans.names_file import train_and_evaluate
 
-        run = train_and_evaluate(spark, args.names_file)
+        run = train_and_evaluate(spark, args.names_file, model_dir=args.model_dir)
         run.summary.show(truncate=False)
         run.metrics.show(truncate=False)
-        for kind, model in run.models.items():
-            mx.save_model(model, f"{args.model_dir.rstrip('/')}/{kind}")
+        run.prepared.release()
         return 0
 
-    model = mx.load_model(spark, args.kind, f"{args.model_dir.rstrip('/')}/{args.kind}")
+    def load(kind):
+        return mx.load_model(spark, kind, f"{args.model_dir.rstrip('/')}/{kind}/model")
+
+    if args.cmd == "compare":
+        both = cx.compare_predictions(rows_from_values(spark, args.names), *(load(k) for k in mx.KINDS))
+        shown = [F.round(c, 3).alias(c) if c.endswith("_confidence") else F.col(c) for c in both.columns]
+        both.select(*shown).show(truncate=False)
+        return 0
+
+    model = load(args.kind)
     if args.table:
         if not args.out:
             p.error("--table needs --out")
         df = spark.read.parquet(args.table)
-        out = sx.predict_names(df.withColumnRenamed(args.text_col, "name"), model, args.key)
+        out = sx.predict_names(df, model, args.key, args.text_col)
         out.write.mode("overwrite").parquet(args.out)
         return 0
     if not args.names:

@@ -28,25 +28,24 @@ def compare_metrics(metrics: Mapping[str, DataFrame] | DataFrame, digits: int =
 
     ``metrics`` is either the output of ``evaluate.evaluate_models`` (one row
     per model, all models scored in one pass) or a mapping from model name to
-    a one-row ``evaluate`` output.  The long table has ``models x 4`` rows;
-    the pivot values are given, so no extra job looks for them.
+    a one-row ``evaluate`` output.
     """
     if isinstance(metrics, DataFrame):
         if names is None:
             raise ValueError("give the model names of an evaluate_models table")
-        names = list(names)
-        long = metrics.select("model", *METRICS).unpivot(["model"], list(METRICS), "key", "value")
+        names, table = list(names), metrics.select("model", *METRICS)
     else:
-        names = list(metrics)
-        long = None
+        names, table = list(metrics), None
         for name, m in metrics.items():
-            part = m.select(F.lit(name).alias("model"), *METRICS).unpivot(["model"], list(METRICS), "key", "value")
-            long = part if long is None else long.unionByName(part)
-    label = F.create_map(*[x for k, v in METRIC_NAMES.items() for x in (F.lit(k), F.lit(v))])
-    wide = long.groupBy("key").pivot("model", names).agg(F.first("value"))
-    return wide.select(
-        label[F.col("key")].alias("metric"), *[F.round(F.col(n), digits).alias(n) for n in names]
-    )
+            part = m.select(F.lit(name).alias("model"), *METRICS)
+            table = part if table is None else table.unionByName(part)
+    # One row with every model's metrics, then one output row per metric.
+    wide = table.agg(*[F.max(F.when(F.col("model") == n, F.col(k))).alias(f"{i}_{k}") for i, n in enumerate(names) for k in METRICS])
+    rows = [
+        F.struct(F.lit(shown).alias("metric"), *[F.round(F.col(f"{i}_{k}"), digits).alias(n) for i, n in enumerate(names)])
+        for k, shown in METRIC_NAMES.items()
+    ]
+    return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
 def compare_predictions(
@@ -75,12 +74,18 @@ def compare_predictions(
         # Different cleaning / stop words / width: b gets its own prefixed
         # feature chain, still in the same projection (no join).
         stages += mx.prefixed_stages(model_b.stages, pb)
-    src = df.select(*keys, (first_token(text_col) if use_first_token else F.col(text_col)).alias(text_col))
+    own = mx.text_col(model_a)
+    if mx.text_col(model_b) != own:
+        raise ValueError("the models read different text columns")
+    src = df.select(
+        *[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)],
+        (first_token(text_col) if use_first_token else F.col(text_col)).alias(own),
+    )
     scored = PipelineModel(stages).transform(src)
     ca, cb = mx.output_cols(model_a), mx.output_cols(model_b)
     out = scored.select(
-        *keys,
-        text_col,
+        *[F.col(f"_key{i}").alias(k) for i, k in enumerate(keys)],
+        F.col(own).alias(text_col),
         F.col(pa + ca["predicted_label"]).alias(f"{a}_label"),
         confidence(pa + ca["probability"], pa + ca["prediction"]).alias(f"{a}_confidence"),
         F.col(pb + cb["predicted_label"]).alias(f"{b}_label"),

@@ -18,7 +18,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 METRICS = ("accuracy", "precision", "recall", "f1")
@@ -70,58 +70,13 @@ def metrics_from_confusion(cm: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-# Up to this many classes the counts of every class fit in one aggregate row.
-MAX_INLINE_CLASSES = 64
+def evaluate(scored: DataFrame, label_col: str = "label", prediction_col: str = "prediction") -> DataFrame:
+    """All four metrics of one scored table, as one row.
 
-
-def _inline_counts(label: Column, prediction: Column, classes: int, prefix: str) -> list[Column]:
-    """Per-class ``tp``, ``pp`` (predicted) and ``sup`` (support) as
-    conditional counts: one aggregate row holds the whole confusion summary."""
-    out = []
-    for c in range(classes):
-        is_label, is_pred = label == F.lit(float(c)), prediction == F.lit(float(c))
-        out += [
-            F.count_if(is_label & is_pred).alias(f"{prefix}tp{c}"),
-            F.count_if(is_pred).alias(f"{prefix}pp{c}"),
-            F.count_if(is_label).alias(f"{prefix}sup{c}"),
-        ]
-    return out
-
-
-def _metrics_from_counts(classes: int, prefix: str) -> list[Column]:
-    """The four weighted metrics as expressions over ``_inline_counts``."""
-
-    def col(name, c):
-        return F.col(f"{prefix}{name}{c}").cast("double")
-
-    total = sum((col("sup", c) for c in range(classes)), F.lit(0.0))
-    p = [F.when(col("pp", c) > 0, col("tp", c) / col("pp", c)).otherwise(F.lit(0.0)) for c in range(classes)]
-    r = [F.when(col("sup", c) > 0, col("tp", c) / col("sup", c)).otherwise(F.lit(0.0)) for c in range(classes)]
-    f = [F.when(p[c] + r[c] > 0, 2.0 * p[c] * r[c] / (p[c] + r[c])).otherwise(F.lit(0.0)) for c in range(classes)]
-
-    def weighted(xs):
-        return sum((xs[c] * col("sup", c) for c in range(classes)), F.lit(0.0)) / total
-
-    return [
-        (sum((col("tp", c) for c in range(classes)), F.lit(0.0)) / total).alias("accuracy"),
-        weighted(p).alias("precision"),
-        weighted(r).alias("recall"),
-        weighted(f).alias("f1"),
-    ]
-
-
-def evaluate(
-    scored: DataFrame, label_col: str = "label", prediction_col: str = "prediction", classes: int | None = None
-) -> DataFrame:
-    """All four metrics of one scored table.
-
-    With ``classes`` (the model's label count, up to ``MAX_INLINE_CLASSES``)
-    one aggregate of conditional counts does it: a partial row per task and
-    one final merge.  Otherwise the confusion table is grouped first.
+    Labels and predictions may be indexes or the label strings themselves
+    (``gender``, ``predicted_label``).  With strings a label that the model has
+    never seen counts as an error like any other.
     """
-    if classes is not None and 0 < classes <= MAX_INLINE_CLASSES:
-        counts = scored.agg(*_inline_counts(F.col(label_col), F.col(prediction_col), classes, ""))
-        return counts.select(*_metrics_from_counts(classes, ""))
     return metrics_from_confusion(confusion_table(scored, label_col, prediction_col))
 
 
@@ -146,11 +101,11 @@ def evaluate_models(rows: DataFrame, models: Mapping[str, PipelineModel]) -> Dat
     pass over ``rows`` (labelled rows that already carry ``raw_features``,
     e.g. ``Prepared.test``).
 
-    Every model's fitted head runs in one projection with prefixed columns.
-    With up to ``MAX_INLINE_CLASSES`` classes per model, one aggregate of
-    conditional counts holds everything (a single exchange); otherwise one
-    ``groupBy`` over all ``(label, prediction)`` pairs (partially aggregated
-    per task) does, and the per-model confusion tables are sums over it.
+    Every model's scoring head runs in one projection with prefixed columns.
+    One ``groupBy`` over all ``(label, predictions...)`` combinations (partially
+    aggregated per task) follows, and the per-model confusion tables are sums
+    over it.  Labels are compared as strings, so a label that no model has seen
+    is an error row.
     """
     from labelkit.operators import models as mx
 
@@ -158,22 +113,14 @@ def evaluate_models(rows: DataFrame, models: Mapping[str, PipelineModel]) -> Dat
     for name, model in models.items():
         prefix = f"{name}_"
         stages += mx.prefixed_head(model, prefix)
-        out = mx.output_cols(model)
-        cols.append((name, prefix + out["label"], prefix + out["prediction"], len(mx.label_indexer(model).labels)))
+        cols.append((name, mx.label_indexer(model).getInputCol(), prefix + mx.output_cols(model)["predicted_label"]))
     scored = PipelineModel(stages).transform(rows)
-    if all(k <= MAX_INLINE_CLASSES for *_, k in cols):
-        # One aggregate row with every model's per-class counts.
-        aggs = [a for name, lab, pred, k in cols for a in _inline_counts(F.col(lab), F.col(pred), k, f"{name}__")]
-        counts = scored.agg(*aggs)
-        per_model = F.array(
-            *[F.struct(F.lit(name).alias("model"), *_metrics_from_counts(k, f"{name}__")) for name, _, _, k in cols]
-        )
-        return counts.select(F.explode(per_model).alias("m")).select("m.*")
-    cube = scored.groupBy(*[c for _, lab, pred, _ in cols for c in (lab, pred)]).agg(F.count(F.lit(1)).alias("n"))
+    seen = dict.fromkeys(c for _, lab, pred in cols for c in (lab, pred))
+    cube = scored.groupBy(*seen).agg(F.count(F.lit(1)).alias("n"))
     per_model = F.array(
         *[
             F.struct(F.lit(name).alias("model"), F.col(lab).alias("label"), F.col(pred).alias("prediction"))
-            for name, lab, pred, _ in cols
+            for name, lab, pred in cols
         ]
     )
     cm = (

@@ -24,7 +24,6 @@ few MB per class.
 
 from __future__ import annotations
 
-import math
 import re
 from collections.abc import Mapping, Sequence
 
@@ -33,13 +32,15 @@ from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression, NaiveBayes
 from pyspark.ml.feature import HashingTF, IDFModel, IndexToString, SQLTransformer, StopWordsRemover, StringIndexerModel, Tokenizer
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from labelkit.operators import features as fx
-from labelkit.session import scratch_path
+from labelkit.session import remove, scratch_path
 
 # Reference defaults (fixed values).
 MAX_ITER = 10
+TOL = 1e-6
 REG_PARAM = 0.1
 SMOOTHING = 1.0
 
@@ -51,7 +52,7 @@ RAW_PREDICTION_COL = "rawPrediction"
 PREDICTED_LABEL_COL = "predicted_label"
 
 _N_FEATURE_STAGES = 4
-ROWS_PER_FIT_PARTITION = 1_000_000
+MAX_CLASSES = 10_000
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -66,7 +67,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def _classifier(kind: str, features_col: str, max_iter: int, reg_param: float, smoothing: float):
+def _classifier(kind: str, features_col: str, max_iter: int, reg_param: float, smoothing: float, tol: float = TOL):
     common = dict(
         featuresCol=features_col,
         labelCol=fx.LABEL_COL,
@@ -75,12 +76,21 @@ def _classifier(kind: str, features_col: str, max_iter: int, reg_param: float, s
         rawPredictionCol=RAW_PREDICTION_COL,
     )
     if kind == "logistic_regression":
-        return LogisticRegression(maxIter=max_iter, regParam=reg_param, **common)
+        return LogisticRegression(maxIter=max_iter, regParam=reg_param, tol=tol, **common)
     if kind == "naive_bayes":
         return NaiveBayes(smoothing=smoothing, modelType="multinomial", **common)
     raise ValueError(f"Unknown model type: {kind!r}; expected one of {KINDS}")
 
 
+def label_counts(data: DataFrame, label_col: str) -> list[tuple]:
+    """``(label, rows)`` of at most ``MAX_CLASSES`` labels; more are an error (a
+    wrong label column would bring its whole key set to the driver)."""
+    counts = data.groupBy(label_col).count().limit(MAX_CLASSES + 1).collect()
+    if len(counts) > MAX_CLASSES:
+        raise ValueError(f"label column {label_col!r} has more than {MAX_CLASSES} values")
+    return [(r[0], r[1]) for r in counts]
+
+
 def fit_models(
     train_features: DataFrame,
     specs: Mapping[str, Mapping],
@@ -91,7 +101,7 @@ def fit_models(
     """Fit several models on the same rows, sharing every common pass.
 
     ``specs`` maps a name to ``{"kind": ..., "use_idf": True, "max_iter": ...,
-    "reg_param": ..., "smoothing": ...}``.  The rows are sized and persisted
+    "reg_param": ..., "smoothing": ..., "tol": ...}``.  The rows are persisted
     once, the label index and the IDF are fitted once, and only the
     classifiers run per model.  ``stages`` is the stateless chain that
     produced ``raw_features``; it is prepended so that every returned model
@@ -103,27 +113,21 @@ def fit_models(
     data = train_features.select(label_col, fx.RAW_COL)
     if materialize_input:
         data = materialize(data, "train-features")
-    # One small aggregate gives both the row count and the label order
-    # (frequency descending, ties by label: StringIndexer's frequencyDesc).
-    counts = [(r[0], r[1]) for r in data.groupBy(label_col).count().collect()]
-    rows = sum(n for _, n in counts)
-    if rows == 0:
-        raise ValueError("cannot fit a classifier on an empty table")
-    if len(counts) < 2:
-        raise ValueError(f"need at least two classes to fit, found only {[c for c, _ in counts]}")
-    if any(c is None for c, _ in counts):
-        raise ValueError(f"label column {label_col!r} has nulls")
-    indexer = fx.label_index_from_counts(counts, label_col, fx.LABEL_COL)
-    # Size the partitions for the passes that follow: about a million rows
-    # (~100 MB of sparse vectors) per task.  Small training sets collapse to
-    # a few tasks, which cuts the per-round scheduling cost of the 10 L-BFGS
-    # rounds; large ones keep their parallelism (coalesce never shuffles).
-    data = data.coalesce(max(1, math.ceil(rows / ROWS_PER_FIT_PARTITION)))
-    # Several passes follow (IDF, classifiers): keep the small table in
-    # executor memory, spilling to disk; a lost block is re-read from the
-    # files written above.
+    # Several passes follow (label counts, IDF, classifiers): keep the small
+    # table in executor memory, spilling to disk; a lost block is re-read from
+    # the files written above.  Its partitions are those of the files.
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        # The label order: frequency descending, ties by label (StringIndexer's
+        # frequencyDesc).
+        counts = label_counts(data, label_col)
+        if not counts:
+            raise ValueError("cannot fit a classifier on an empty table")
+        if len(counts) < 2:
+            raise ValueError(f"need at least two classes to fit, found only {[c for c, _ in counts]}")
+        if any(c is None for c, _ in counts):
+            raise ValueError(f"label column {label_col!r} has nulls")
+        indexer = fx.label_index_from_counts(counts, label_col, fx.LABEL_COL)
         idf = None
         if any(spec.get("use_idf", True) for spec in specs.values()):
             idf = fx.fit_idf(data, fx.RAW_COL, fx.FEATURES_COL)
@@ -139,6 +143,7 @@ def fit_models(
                 spec.get("max_iter", MAX_ITER),
                 spec.get("reg_param", REG_PARAM),
                 spec.get("smoothing", SMOOTHING),
+                spec.get("tol", TOL),
             ).fit(PipelineModel(head).transform(data))
             out[name] = PipelineModel(list(stages) + head + [clf, decoder])
     finally:
@@ -156,9 +161,10 @@ def fit_on_features(
     reg_param: float = REG_PARAM,
     smoothing: float = SMOOTHING,
     materialize_input: bool = True,
+    tol: float = TOL,
 ) -> PipelineModel:
     """Fit one model on rows that already carry ``raw_features`` and the label."""
-    spec = dict(kind=kind, use_idf=use_idf, max_iter=max_iter, reg_param=reg_param, smoothing=smoothing)
+    spec = dict(kind=kind, use_idf=use_idf, max_iter=max_iter, reg_param=reg_param, smoothing=smoothing, tol=tol)
     return fit_models(train_features, {"model": spec}, stages, label_col, materialize_input)["model"]
 
 
@@ -173,11 +179,12 @@ def fit_text_classifier(
     max_iter: int = MAX_ITER,
     reg_param: float = REG_PARAM,
     smoothing: float = SMOOTHING,
+    tol: float = TOL,
 ) -> PipelineModel:
     """Fit on a text table ``(text_col, label_col, ...)``."""
     stages = fx.feature_stages(text_col, num_features, stop_words)
     feats = PipelineModel(stages).transform(train.select(text_col, label_col))
-    return fit_on_features(feats, kind, stages, label_col, use_idf, max_iter, reg_param, smoothing)
+    return fit_on_features(feats, kind, stages, label_col, use_idf, max_iter, reg_param, smoothing, tol=tol)
 
 
 def train_logistic_regression(train: DataFrame, **kw) -> PipelineModel:
@@ -206,6 +213,11 @@ def heads(model: PipelineModel) -> PipelineModel:
     return PipelineModel(head_part(model))
 
 
+def text_col(model: PipelineModel) -> str:
+    """The text column that the model's cleaning stage reads."""
+    return _SQL_TEXT.search(model.stages[0].getStatement())[1]
+
+
 def label_indexer(model: PipelineModel) -> StringIndexerModel:
     return next(s for s in model.stages if isinstance(s, StringIndexerModel))
 
@@ -259,6 +271,7 @@ _COL_PARAMS = ("inputCol", "outputCol", "featuresCol", "labelCol", "predictionCo
 
 
 _OUT_PARAMS = ("outputCol", "predictionCol", "probabilityCol", "rawPredictionCol")
+_SQL_TEXT = re.compile(r"coalesce\(`([^`]+)`")
 _SQL_ALIAS = re.compile(r"AS `([^`]+)` FROM __THIS__")
 
 
@@ -292,9 +305,15 @@ def prefixed_stages(stages: Sequence[Transformer], prefix: str) -> list[Transfor
     return out
 
 
+def scoring_head(model: PipelineModel) -> list[Transformer]:
+    """The fitted head without the label index, so that rows with a label the
+    model has not seen (or none) are scored like any other."""
+    return [s for s in head_part(model) if not isinstance(s, StringIndexerModel)]
+
+
 def prefixed_head(model: PipelineModel, prefix: str) -> list[Transformer]:
-    """The fitted head with prefixed outputs; reads the shared ``raw_features``."""
-    return prefixed_stages(head_part(model), prefix)
+    """The scoring head with prefixed outputs; reads the shared ``raw_features``."""
+    return prefixed_stages(scoring_head(model), prefix)
 
 
 # --- persistence -------------------------------------------------------------
@@ -321,11 +340,13 @@ def _is_missing_path(err: Exception) -> bool:
     return "PATH_NOT_FOUND" in text or "does not exist" in text or "FileNotFoundException" in text
 
 
-def fingerprint(train: DataFrame, label_col: str, params: dict) -> str:
-    """Parameters + label counts of the training table, from one small
-    aggregate (only the label column is read)."""
-    counts = sorted((r[0], r[1]) for r in train.groupBy(label_col).count().collect())
-    return repr((sorted((k, repr(v)) for k, v in params.items()), counts))
+def fingerprint(train: DataFrame, label_col: str, content_col: str, params: dict) -> str:
+    """Effective parameters, row count and an order-independent hash of the
+    labels and contents of the training table: one aggregate, one row."""
+    row = F.xxhash64(label_col, content_col)
+    sums = [F.sum(F.xxhash64(row, F.lit(k)).cast("decimal(38,0)")) for k in (1, 2)]
+    found = train.agg(F.count(F.lit(1)), *sums).first()
+    return repr((sorted((k, repr(v)) for k, v in params.items()), [str(x) for x in found]))
 
 
 def load_or_train(
@@ -346,14 +367,18 @@ def load_or_train(
 
     Only a missing or stale model leads to training: a model is missing when
     no fingerprint is stored at its path, stale when the stored fingerprint
-    (parameters + label counts of its training table) differs.  When the
+    (parameters + contents of its training table) differs.  When the
     fingerprint matches, any error loading the model (corrupt files, wrong
     class) surfaces instead of being trained over.
     """
-    params = dict(fit_kw)
-    if stages is not None:
-        params["features"] = _stages_signature(stages)
-    fp = fingerprint(train, label_col, params)
+    text_col = fit_kw.get("text_col", "name")
+    from_text = stages is None
+    if from_text:
+        stages = fx.feature_stages(text_col, fit_kw.get("num_features", fx.NUM_FEATURES), fit_kw.get("stop_words"))
+    defaults = dict(use_idf=True, max_iter=MAX_ITER, reg_param=REG_PARAM, smoothing=SMOOTHING, tol=TOL)
+    spec_kw = defaults | {k: v for k, v in fit_kw.items() if k not in ("text_col", "num_features", "stop_words")}
+    params = spec_kw | {"label_col": label_col, "features": _stages_signature(stages)}
+    fp = fingerprint(train, label_col, text_col if from_text else fx.RAW_COL, params)
     models: dict[str, PipelineModel | None] = {}
     for kind, path in paths.items():
         stored = None
@@ -368,19 +393,14 @@ def load_or_train(
     missing = [kind for kind, m in models.items() if m is None]
     if missing:
         # All missing models in one fit: shared rows, label index and IDF.
-        feature_kw = {k: fit_kw[k] for k in ("text_col", "num_features", "stop_words") if k in fit_kw}
-        spec_kw = {k: v for k, v in fit_kw.items() if k not in feature_kw}
-        from_text = stages is None
         if from_text:
-            text_col = feature_kw.get("text_col", "name")
-            stages = fx.feature_stages(
-                text_col, feature_kw.get("num_features", fx.NUM_FEATURES), feature_kw.get("stop_words")
-            )
             train = PipelineModel(stages).transform(train.select(text_col, label_col))
         fitted = fit_models(
             train, {k: dict(kind=k, **spec_kw) for k in missing}, stages, label_col, materialize_input=from_text
         )
         for kind in missing:
+            # An interrupted save leaves a model without a fingerprint: missing.
+            remove(spark, f"{paths[kind]}/fingerprint")
             save_model(fitted[kind], f"{paths[kind]}/model")
             spark.createDataFrame([(fp,)], "value string").coalesce(1).write.mode("overwrite").text(
                 f"{paths[kind]}/fingerprint"

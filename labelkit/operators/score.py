@@ -48,6 +48,13 @@ def predict_names(
     this for one typed name with a ``collect()``; here it is a lazy,
     map-only plan over any table.
     """
-    src = df.select(*keys, (first_token(text_col) if use_first_token else F.col(text_col)).alias(text_col))
+    own = mx.text_col(model)
+    # Keys and text get names of their own first: a table may have a column named as the model's text, too.
+    src = df.select(
+        *[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)],
+        (first_token(text_col) if use_first_token else F.col(text_col)).alias(own),
+    )
     scored = decode_prediction(score(src, model), model)
-    return scored.select(*keys, text_col, mx.PREDICTED_LABEL_COL, "confidence")
+    return scored.select(
+        *[F.col(f"_key{i}").alias(k) for i, k in enumerate(keys)], F.col(own).alias(text_col), mx.PREDICTED_LABEL_COL, "confidence"
+    )

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labelkit.functions.text import LABELS, text_length
+from labelkit.operators.models import materialize
 
 # Reference names of the per-label counts (fixed values).
 LABEL_COUNT_NAMES = {"M": "male_count", "F": "female_count"}
@@ -102,22 +103,19 @@ def auto_bins(n: int, lo: float, hi: float, q1: float, q3: float, integer: bool
 def length_histogram(df: DataFrame, name_col: str = "name", label_col: str = "gender") -> DataFrame:
     """``(bin, bin_start, bin_end, label, n)`` with bins shared by all labels.
 
-    Pass 1 is one aggregate (count, min, max, exact quartiles; the exact
-    percentile keeps one counter per distinct length, which is bounded by the
-    longest text, not by the row count).  The five numbers come to the driver,
-    which derives the bin edges; pass 2 assigns bins with plain expressions
-    and counts per ``(bin, label)``.  Bins and edges follow NumPy's histogram
-    (right edge of the last bin is closed).
+    The text is read once: ``length_distribution`` (a row per length and label,
+    combined in every task) is written to the shared folder, and count, range,
+    exact quartiles and bins all come from that small table.  Five numbers
+    reach the driver, which derives the bin edges.  Bins and edges follow
+    NumPy's histogram (right edge of the last bin is closed).
     """
-    # Length once per row; every later step reads the column, so the text is
-    # scanned once (chained projections are not collapsed when that would
-    # repeat a non-trivial expression).
-    lens = df.select(text_length(name_col).alias("_n"), F.col(label_col).alias("label"))
+    lens = materialize(length_distribution(df, name_col, label_col), "length-distribution")
+    lens = lens.select(F.col("name_length").alias("_n"), "label", F.col("n").alias("_count")).filter("_n is not null")
     stats = lens.agg(
-        F.count("_n").alias("n"),
+        F.sum("_count").alias("n"),
         F.min("_n").alias("lo"),
         F.max("_n").alias("hi"),
-        F.percentile("_n", [0.25, 0.75]).alias("q"),
+        F.percentile("_n", [0.25, 0.75], F.col("_count")).alias("q"),
     ).first()
     schema = "bin int, bin_start double, bin_end double, label string, n bigint"
     if stats is None or not stats["n"]:
@@ -131,16 +129,16 @@ def length_histogram(df: DataFrame, name_col: str = "name", label_col: str = "ge
 
     x, g = F.col("_x"), F.col("_g")
     guess = lens.select(
-        "label", F.col("_n").cast("double").alias("_x")
+        "label", "_count", F.col("_n").cast("double").alias("_x")
     ).select(
-        "label", "_x", F.least(F.floor((x - F.lit(first)) * F.lit(bins / (last - first))).cast("int"), F.lit(bins - 1)).alias("_g")
+        "label", "_count", "_x", F.least(F.floor((x - F.lit(first)) * F.lit(bins / (last - first))).cast("int"), F.lit(bins - 1)).alias("_g")
     )
     # NumPy's corrections against the edges it actually uses.
-    guess = guess.select("label", "_x", F.when(x < edge(g), g - 1).otherwise(g).alias("_g"))
+    guess = guess.select("label", "_count", "_x", F.when(x < edge(g), g - 1).otherwise(g).alias("_g"))
     binned = guess.select(
-        "label", F.when((x >= edge(g + 1)) & (g != F.lit(bins - 1)), g + 1).otherwise(g).alias("bin")
+        "label", "_count", F.when((x >= edge(g + 1)) & (g != F.lit(bins - 1)), g + 1).otherwise(g).alias("bin")
     )
-    counts = binned.groupBy("bin", "label").agg(F.count(F.lit(1)).alias("n"))
+    counts = binned.groupBy("bin", "label").agg(F.sum("_count").alias("n"))
     return counts.select(
         "bin", edge(F.col("bin")).alias("bin_start"), edge(F.col("bin") + 1).alias("bin_end"), "label", "n"
     )

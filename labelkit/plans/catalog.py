@@ -97,12 +97,6 @@ def fitted(spark: SparkSession, sf_dir: str, kind: str = "naive_bayes", use_idf:
     return prep, tr.fit(prep, kind, use_idf=use_idf)
 
 
-def first_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(doc_id, name)``: the first word of every document (narrow, no shuffle)."""
-    docs = tr.table(spark, sf_dir, "documents")
-    return docs.select("doc_id", tx.first_token("text").alias("name"))
-
-
 def whole_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, name)``: whole documents, spread over the cores before
     tokenizing (a no-op for large scans)."""
@@ -236,25 +230,25 @@ def q_save_model(spark, sf_dir):
     "load_model",
     nb_sql(
         "SELECT doc_id, name, predicted_label, round(confidence, 6) AS confidence FROM ("
-        + nb_predict_sql(FIRST_SQL)
+        + nb_predict_sql(DOCS_SQL)
         + ")",
-        FIRST_SQL,
+        DOCS_SQL,
     ),
 )
 def q_load_model(spark, sf_dir):
     _, model = fitted(spark, sf_dir)
     path = mx.save_model(model, scratch_path(spark, "nb-model"))
     reloaded = mx.load_model(spark, "naive_bayes", path)
-    return predictions(sx.predict_names(tr.doc_texts(spark, sf_dir), reloaded, ["doc_id"]))
+    return predictions(sx.predict_names(whole_texts(spark, sf_dir), reloaded, ["doc_id"], use_first_token=False))
 
 
 @query(
     "load_or_train",
     nb_sql(
         "SELECT doc_id, name, predicted_label, round(confidence, 6) AS confidence, true AS loaded FROM ("
-        + nb_predict_sql(FIRST_SQL)
+        + nb_predict_sql(DOCS_SQL)
         + ")",
-        FIRST_SQL,
+        DOCS_SQL,
     ),
 )
 def q_load_or_train(spark, sf_dir):
@@ -264,7 +258,8 @@ def q_load_or_train(spark, sf_dir):
     paths = {"logistic_regression": f"{root}/lr", "naive_bayes": f"{root}/nb"}
     mx.load_or_train(spark, prep.train, paths, stages=prep.stages)
     models, all_loaded = mx.load_or_train(spark, prep.train, paths, stages=prep.stages)
-    out = predictions(sx.predict_names(tr.doc_texts(spark, sf_dir), models["naive_bayes"], ["doc_id"]))
+    out = sx.predict_names(whole_texts(spark, sf_dir), models["naive_bayes"], ["doc_id"], use_first_token=False)
+    out = predictions(out)
     return out.withColumn("loaded", F.lit(all_loaded))
 
 
@@ -327,22 +322,22 @@ def q_drop_rename(spark, sf_dir):
     nb_sql(
         "SELECT DISTINCT k AS doc_id, predicted_label, "
         "CASE WHEN predicted_label = 'F' THEN 'Female' ELSE 'Male' END AS gender_text FROM nb_pred",
-        FIRST_SQL,
+        DOCS_SQL,
     ),
 )
 def q_label_display(spark, sf_dir):
     _, model = fitted(spark, sf_dir)
-    pred = sx.predict_names(tr.doc_texts(spark, sf_dir), model, ["doc_id"])
+    pred = sx.predict_names(whole_texts(spark, sf_dir), model, ["doc_id"], use_first_token=False)
     return pred.select("doc_id", "predicted_label", tx.label_display("predicted_label").alias("gender_text"))
 
 
 @query(
     "confidence_pct",
-    nb_sql("SELECT DISTINCT k AS doc_id, round(confidence * 100.0, 1) AS confidence_pct FROM nb_pred", FIRST_SQL),
+    nb_sql("SELECT DISTINCT k AS doc_id, round(confidence * 100.0, 1) AS confidence_pct FROM nb_pred", DOCS_SQL),
 )
 def q_confidence_pct(spark, sf_dir):
     _, model = fitted(spark, sf_dir)
-    pred = sx.predict_names(tr.doc_texts(spark, sf_dir), model, ["doc_id"])
+    pred = sx.predict_names(whole_texts(spark, sf_dir), model, ["doc_id"], use_first_token=False)
     return pred.select("doc_id", tx.confidence_pct("confidence").alias("confidence_pct"))
 
 
@@ -415,16 +410,16 @@ def q_label_index_fit(spark, sf_dir):
 )
 def q_extract_features(spark, sf_dir):
     prep, model = fitted(spark, sf_dir)
-    feats = tr.score_prepared(model, prep.train)
+    feats = mx.heads(model).transform(prep.train)
     out = fx.explode_vector(feats, ["doc_id", fx.LABEL_COL], fx.FEATURES_COL)
     return out.withColumn("value", r6(F.col("value")))
 
 
-@query("score_features", nb_sql("SELECT k AS doc_id, bucket, round(v, 6) AS value FROM nb_sv", FIRST_SQL))
+@query("score_features", nb_sql("SELECT k AS doc_id, bucket, round(v, 6) AS value FROM nb_sv", DOCS_SQL))
 def q_score_features(spark, sf_dir):
-    """The model's own feature chain on first names of all documents."""
+    """The model's own feature chain on all documents."""
     _, model = fitted(spark, sf_dir)
-    docs = first_names(spark, sf_dir)
+    docs = whole_texts(spark, sf_dir)
     feats = PipelineModel(mx.feature_part(model) + [mx.idf_model(model)]).transform(docs)
     return fx.explode_vector(feats, ["doc_id"], fx.FEATURES_COL).withColumn("value", r6(F.col("value")))
 
@@ -639,30 +634,31 @@ def q_length_histogram(spark, sf_dir):
     return su.length_histogram(tr.role_text(spark, sf_dir))
 
 
-def _nb_test_metrics(spark, sf_dir) -> DataFrame:
+def _nb_test_metrics(spark, sf_dir, metric=ev.evaluate) -> DataFrame:
+    """A metric function on the test side, labels compared as strings."""
     prep, model = fitted(spark, sf_dir)
-    m = ev.evaluate(tr.score_prepared(model, prep.test), classes=len(mx.label_indexer(model).labels))
-    return m.select(*[r6(F.col(c)).alias(c) for c in ev.METRICS])
+    m = metric(tr.score_prepared(model, prep.test), "gender", mx.output_cols(model)["predicted_label"])
+    return m.select(*[r6(F.col(c)).alias(c) for c in m.columns])
 
 
 @query("accuracy", nb_metrics_sql("accuracy"))
 def q_accuracy(spark, sf_dir):
-    return _nb_test_metrics(spark, sf_dir).select("accuracy")
+    return _nb_test_metrics(spark, sf_dir, ev.accuracy)
 
 
 @query("weighted_precision", nb_metrics_sql("precision"))
 def q_weighted_precision(spark, sf_dir):
-    return _nb_test_metrics(spark, sf_dir).select("precision")
+    return _nb_test_metrics(spark, sf_dir, ev.weighted_precision)
 
 
 @query("weighted_recall", nb_metrics_sql("recall"))
 def q_weighted_recall(spark, sf_dir):
-    return _nb_test_metrics(spark, sf_dir).select("recall")
+    return _nb_test_metrics(spark, sf_dir, ev.weighted_recall)
 
 
 @query("weighted_f1", nb_metrics_sql("f1"))
 def q_weighted_f1(spark, sf_dir):
-    return _nb_test_metrics(spark, sf_dir).select("f1")
+    return _nb_test_metrics(spark, sf_dir, ev.weighted_f1)
 
 
 @query("evaluate_model", nb_metrics_sql())
@@ -841,3 +837,165 @@ def q_predict_names_stream(spark, sf_dir):
     q = start_scoring(stream, model, out, ["doc_id"], available_now=True)
     q.awaitTermination()
     return predictions(spark.read.parquet(out))
+
+
+def doc_stream(spark: SparkSession, folder: str, like: DataFrame, glob: str = "*.parquet") -> DataFrame:
+    stream = spark.readStream.schema(like.schema).option("pathGlobFilter", glob).parquet(folder)
+    return stream.select("doc_id", F.col("text").alias("name"))
+
+
+@query("predict_names_stream_restart", ORACLE["predict_names_stream"])
+def q_predict_names_stream_restart(spark, sf_dir):
+    """Documents that arrive in two parts; the scorer is started anew, on the same output, after each."""
+    from labelkit.streaming.scoring import start_scoring
+
+    _, model = fitted(spark, sf_dir)
+    docs = tr.table(spark, sf_dir, "documents")
+    arrived, out = scratch_path(spark, "stream-in"), scratch_path(spark, "stream-out")
+    early = F.pmod(F.xxhash64("doc_id"), F.lit(3)) == 0
+    for part in (docs.filter(early), docs.filter(~early)):
+        part.write.mode("append").parquet(arrived)
+        start_scoring(doc_stream(spark, arrived, docs), model, out, ["doc_id"], available_now=True).awaitTermination()
+    return predictions(spark.read.parquet(out))
+
+
+# ================================ the whole names-file flow ================================
+
+_NAMES_ROWS_SQL = (
+    "SELECT name || '|' || gender || '|' || copy AS doc_id, name, gender "
+    f"FROM (SELECT *, row_number() OVER (PARTITION BY name, gender) - 1 AS copy FROM ({LOADED_SQL}))"
+)
+_NAMES_TRAIN_SQL = f"SELECT * FROM ({_NAMES_ROWS_SQL}) WHERE {oq.is_train_sql('doc_id')}"
+_NAMES_TEST_SQL = f"SELECT * FROM ({_NAMES_ROWS_SQL}) WHERE NOT {oq.is_train_sql('doc_id')}"
+
+
+@query(
+    "names_file_metrics",
+    f"WITH {oq.nb_ctes(_NAMES_TRAIN_SQL, _NAMES_TEST_SQL)},\nm AS ({metrics_sql('nb_pred', _NAMES_TEST_SQL, 'nb_classes')})\n"
+    + "\nUNION ALL ".join(f"SELECT '{shown}' AS metric, round({k}, 3) AS naive_bayes FROM m" for k, shown in cx.METRIC_NAMES.items()),
+)
+def q_names_file_metrics(spark, sf_dir):
+    """Load, summarise, split, fit and evaluate on a names file, as one call."""
+    from labelkit.plans.names_file import train_and_evaluate
+
+    return train_and_evaluate(spark, written_lines(spark, sf_dir), kinds=("naive_bayes",)).metrics
+
+
+# ===================== logistic regression at its optimum, by Newton steps in SQL =====================
+
+CONVERGED = {"use_idf": False, "max_iter": 500, "tol": 1e-13}
+
+
+def converged(spark: SparkSession, sf_dir: str, *kinds: str):
+    """Two raw term counts as features: the regularised optimum is unique, so SQL can find it, too."""
+    prep = tr.prepare_training_data(tr.doc_texts(spark, sf_dir), tr.doc_labels(spark, sf_dir), ["doc_id"], num_features=2)
+    return prep, tr.fit_many(prep, {k: {"kind": k, **CONVERGED} for k in kinds})
+
+
+# The penalty is on standardized coefficients (z = x / sample deviation), the intercept is free.
+_NEWTON_SQL = f"""
+{oq.nb_ctes(TRAIN_SQL, "{score}", num_features=2, use_idf=False)},
+tv AS (SELECT t.k, CASE WHEN c.ci = 1 THEN 1.0 ELSE 0.0 END::DOUBLE AS y, coalesce(sum(v.v) FILTER (v.bucket = 0), 0)::DOUBLE AS x0,
+       coalesce(sum(v.v) FILTER (v.bucket = 1), 0)::DOUBLE AS x1
+       FROM nb_train t JOIN nb_classes c ON c.gender = t.gender LEFT JOIN nb_v v ON v.k = t.k GROUP BY t.k, c.ci),
+sd AS MATERIALIZED (SELECT stddev_samp(x0) AS s0, stddev_samp(x1) AS s1, avg(y) AS share FROM tv),
+tz AS MATERIALIZED (SELECT y, x0 / s0 AS z0, x1 / s1 AS z1 FROM tv CROSS JOIN sd),
+nt AS (
+  SELECT 0 AS i, ln(share / (1 - share)) AS b, 0.0::DOUBLE AS w0, 0.0::DOUBLE AS w1 FROM sd
+  UNION ALL
+  SELECT i + 1, b - (g * (h00 * h11 - h01 * h01) - g0 * (hb0 * h11 - hb1 * h01) + g1 * (hb0 * h01 - hb1 * h00)) / det,
+         w0 - (hbb * (g0 * h11 - g1 * h01) - hb0 * (g * h11 - hb1 * g1) + hb1 * (g * h01 - hb1 * g0)) / det,
+         w1 - (hbb * (h00 * g1 - h01 * g0) - hb0 * (hb0 * g1 - h01 * g) + hb1 * (hb0 * g0 - h00 * g)) / det
+  FROM (SELECT *, hbb * (h00 * h11 - h01 * h01) - hb0 * (hb0 * h11 - hb1 * h01) + hb1 * (hb0 * h01 - hb1 * h00) AS det FROM (
+    SELECT i, b, w0, w1, avg(p - y) AS g, avg((p - y) * z0) + 0.1 * w0 AS g0, avg((p - y) * z1) + 0.1 * w1 AS g1,
+           avg(p * (1 - p)) AS hbb, avg(p * (1 - p) * z0) AS hb0, avg(p * (1 - p) * z1) AS hb1,
+           avg(p * (1 - p) * z0 * z0) + 0.1 AS h00, avg(p * (1 - p) * z0 * z1) AS h01, avg(p * (1 - p) * z1 * z1) + 0.1 AS h11
+    FROM (SELECT nt.*, tz.*, 1 / (1 + exp(-(b + w0 * z0 + w1 * z1))) AS p FROM nt CROSS JOIN tz WHERE i < 30) GROUP BY i, b, w0, w1))
+),
+lr AS MATERIALIZED (SELECT b, w0 / s0 AS c0, w1 / s1 AS c1 FROM nt CROSS JOIN sd WHERE i = 30),
+lr_pred AS (
+  SELECT s.doc_id, s.name, CASE WHEN p > 0.5 THEN 1 ELSE 0 END AS prediction, greatest(p, 1 - p) AS confidence,
+         (SELECT gender FROM nb_classes WHERE ci = CASE WHEN p > 0.5 THEN 1 ELSE 0 END) AS predicted_label
+  FROM (SELECT q.doc_id, any_value(q.name) AS name, 1 / (1 + exp(-(any_value(lr.b) + any_value(lr.c0) * coalesce(sum(v.v) FILTER (v.bucket = 0), 0)
+        + any_value(lr.c1) * coalesce(sum(v.v) FILTER (v.bucket = 1), 0)))) AS p
+        FROM ({{score}}) q CROSS JOIN lr LEFT JOIN nb_sv v ON v.k = q.doc_id GROUP BY q.doc_id) s
+)"""
+
+
+def _newton_sql(select: str, score: str = DOCS_SQL) -> str:
+    return "WITH RECURSIVE " + _NEWTON_SQL.replace("{score}", score) + "\n" + select
+
+
+@query(
+    "train_logistic_regression_converged",
+    _newton_sql(
+        "SELECT 'b0' AS term, round(c0, 5) AS coefficient FROM lr UNION ALL SELECT 'b1', round(c1, 5) FROM lr "
+        "UNION ALL SELECT 'intercept', round(b, 5) FROM lr",
+        TRAIN_SQL,
+    ),
+)
+def q_train_logistic_regression_converged(spark, sf_dir):
+    _, models = converged(spark, sf_dir, "logistic_regression")
+    lr = mx.classifier(models["logistic_regression"])
+    rows = [(f"b{i}", float(c)) for i, c in enumerate(lr.coefficients.toArray())] + [("intercept", float(lr.intercept))]
+    return spark.createDataFrame(rows, "term string, coefficient double").withColumn("coefficient", F.round("coefficient", 5))
+
+
+@query(
+    "score_logistic_regression_converged",
+    _newton_sql("SELECT doc_id, prediction::DOUBLE AS prediction, predicted_label, round(confidence, 4) AS confidence FROM lr_pred"),
+)
+def q_score_logistic_regression_converged(spark, sf_dir):
+    _, models = converged(spark, sf_dir, "logistic_regression")
+    model = models["logistic_regression"]
+    scored = sx.decode_prediction(sx.score(whole_texts(spark, sf_dir), model), model)
+    return scored.select("doc_id", "prediction", "predicted_label", F.round("confidence", 4).alias("confidence"))
+
+
+_COMPARED_SQL = f"""SELECT l.doc_id, l.name, l.predicted_label AS lr_label, round(l.confidence, 4) AS lr_confidence, n.predicted_label AS nb_label,
+  round(n.confidence, 4) AS nb_confidence, l.predicted_label = n.predicted_label AS models_agree,
+  CASE WHEN l.confidence >= n.confidence THEN 'lr' ELSE 'nb' END AS more_confident_model,
+  CASE WHEN l.predicted_label = n.predicted_label OR l.confidence >= n.confidence THEN l.predicted_label ELSE n.predicted_label END AS preferred_label
+FROM lr_pred l JOIN (SELECT DISTINCT k, predicted_label, confidence FROM nb_pred) n ON n.k = l.doc_id"""
+
+
+def _compared_converged(spark, sf_dir) -> DataFrame:
+    _, models = converged(spark, sf_dir, *mx.KINDS)
+    out = cx.compare_predictions(tr.doc_texts(spark, sf_dir), models["logistic_regression"], models["naive_bayes"], ["doc_id"])
+    return out.select(*[F.round(c, 4).alias(c) if c.endswith("_confidence") else F.col(c) for c in out.columns])
+
+
+@query("compare_predictions_converged", _newton_sql(_COMPARED_SQL, FIRST_SQL))
+def q_compare_predictions_converged(spark, sf_dir):
+    return _compared_converged(spark, sf_dir)
+
+
+@query("models_agree_converged", _newton_sql(f"SELECT doc_id, lr_label, nb_label, models_agree FROM ({_COMPARED_SQL})", FIRST_SQL))
+def q_models_agree_converged(spark, sf_dir):
+    return _compared_converged(spark, sf_dir).select("doc_id", "lr_label", "nb_label", "models_agree")
+
+
+@query(
+    "agreement_rate_converged",
+    _newton_sql(f"SELECT count(*) AS rows, round(avg(models_agree::DOUBLE), 6) AS agreement_rate FROM ({_COMPARED_SQL})", FIRST_SQL),
+)
+def q_agreement_rate_converged(spark, sf_dir):
+    return cx.agreement_rate(_compared_converged(spark, sf_dir)).withColumn("agreement_rate", r6(F.col("agreement_rate")))
+
+
+_MATCHED_SQL = f"""SELECT '{{shown}}' AS metric, round((SELECT {{key}} FROM ml), 3) AS lr, round((SELECT {{key}} FROM mn), 3) AS nb"""
+
+
+@query(
+    "compare_metrics_converged",
+    _newton_sql("", TEST_SQL).rstrip()
+    + f""",
+lr_k AS (SELECT doc_id AS k, prediction FROM lr_pred), ml AS ({metrics_sql('lr_k', TEST_SQL, 'nb_classes')}),
+mn AS ({metrics_sql('nb_pred', TEST_SQL, 'nb_classes')})
+"""
+    + "\nUNION ALL ".join(_MATCHED_SQL.format(shown=shown, key=k) for k, shown in cx.METRIC_NAMES.items()),
+)
+def q_compare_metrics_converged(spark, sf_dir):
+    prep, models = converged(spark, sf_dir, *mx.KINDS)
+    both = ev.evaluate_models(prep.test, {"lr": models["logistic_regression"], "nb": models["naive_bayes"]})
+    return cx.compare_metrics(both, names=("lr", "nb"))

@@ -3,7 +3,7 @@
 Scale notes (documents ~100 TB, labels a few percent of them):
 
 * ``labelled_features`` joins text with labels.  When the label table is
-  provably small (row count checked, a few bytes per row) it is broadcast and
+  provably small (its bytes are measured) it is broadcast and
   the join filters documents map-side, so only labelled documents are
   tokenized.  Otherwise the documents are featurized FIRST (map-only) and the
   shuffle join moves ``(key, 20-bucket sparse vector)`` - about 100 bytes a
@@ -29,10 +29,12 @@ from labelkit.functions.text import is_valid_label
 from labelkit.operators import features as fx
 from labelkit.operators import models as mx
 from labelkit.operators.split import SEED, TRAIN_SHARE, split_train_test
+from labelkit.session import remove
 
-# Broadcast the label side only below this many rows (keys + one short label:
-# well under 64 MB).
-BROADCAST_MAX_ROWS = 2_000_000
+# Broadcast the label side only below this many bytes of keys and labels, with
+# ROW_BYTES for each row besides.
+BROADCAST_MAX_BYTES = 64 << 20
+ROW_BYTES = 32
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,6 +85,12 @@ def spread(df: DataFrame, small: bool | None = None) -> DataFrame:
     return df
 
 
+def table_bytes(df: DataFrame) -> int:
+    """Bytes of all values as text, and ROW_BYTES a row: one aggregate over a narrow table."""
+    width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns), F.lit(ROW_BYTES))
+    return df.agg(F.coalesce(F.sum(width.cast("long")), F.lit(0))).first()[0]
+
+
 def doc_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, name)``: every document, text as the name column."""
     return table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("name"))
@@ -96,9 +104,9 @@ def doc_labels(spark: SparkSession, sf_dir: str, label: str = "quality") -> Data
 
 def labelled_docs(spark: SparkSession, sf_dir: str, label: str = "quality") -> DataFrame:
     """``(doc_id, name, gender)``: documents joined with their labels (the
-    label side is broadcast only when its row count is within bounds)."""
+    label side is broadcast only when its bytes are within bounds)."""
     labels = doc_labels(spark, sf_dir, label)
-    if labels.count() <= BROADCAST_MAX_ROWS:
+    if table_bytes(labels) <= BROADCAST_MAX_BYTES:
         labels = F.broadcast(labels)
     return doc_texts(spark, sf_dir).join(labels, "doc_id")
 
@@ -118,7 +126,7 @@ def labelled_features(
     stages: Sequence[Transformer],
     text_col: str = "name",
     label_col: str = "gender",
-    broadcast_max_rows: int = BROADCAST_MAX_ROWS,
+    broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
 ) -> DataFrame:
     """``(keys..., label_col, raw_features)`` for every labelled text."""
     keys = list(keys)
@@ -126,7 +134,7 @@ def labelled_features(
     featurize = PipelineModel(list(stages))
     texts = texts.select(*keys, text_col)
     small = is_small_scan(texts)
-    if labels.count() <= broadcast_max_rows:
+    if table_bytes(labels) <= broadcast_max_bytes:
         joined = spread(texts.join(F.broadcast(labels), keys), small)
         return featurize.transform(joined).select(*keys, label_col, fx.RAW_COL)
     feats = featurize.transform(spread(texts, small)).select(*keys, fx.RAW_COL)
@@ -140,6 +148,11 @@ class Prepared:
     train: DataFrame
     test: DataFrame
 
+    def release(self) -> None:
+        """Delete the written features (``train`` and ``test`` can't be read afterwards)."""
+        for path in {f.rsplit("/", 1)[0] for f in self.labelled.inputFiles()}:
+            remove(self.labelled.sparkSession, path)
+
 
 def prepare_training_data(
     texts: DataFrame,
@@ -179,5 +192,5 @@ def fit_many(prepared: Prepared, specs: dict[str, dict], label_col: str = "gende
 
 
 def score_prepared(model: PipelineModel, rows: DataFrame) -> DataFrame:
-    """Apply only the fitted head to rows that already carry ``raw_features``."""
-    return mx.heads(model).transform(rows)
+    """Apply only the scoring head to rows that already carry ``raw_features``."""
+    return PipelineModel(mx.scoring_head(model)).transform(rows)

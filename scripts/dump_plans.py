@@ -54,7 +54,7 @@ def main():
         ("labelled features, label side within the broadcast bound", tr.labelled_features(texts, labels, ["doc_id"], stages)),
         (
             "labelled features, label side above the bound (tokenize first, then join vectors)",
-            tr.labelled_features(texts, labels, ["doc_id"], stages, broadcast_max_rows=0),
+            tr.labelled_features(texts, labels, ["doc_id"], stages, broadcast_max_bytes=0),
         ),
     ]
     sc = spark.sparkContext

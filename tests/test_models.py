@@ -1,6 +1,8 @@
 """Models: agreement with plain Spark ML fits, label decoding, persistence,
 degenerate inputs, invariance under re-partitioning."""
 
+import os
+
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
@@ -10,6 +12,7 @@ from pyspark.ml.feature import IDF, StringIndexer
 from pyspark.sql import functions as F
 
 from conftest import SF01
+from labelkit.operators import compare as cx
 from labelkit.operators import evaluate as ev
 from labelkit.operators import models as mx
 from labelkit.operators import score as sx
@@ -69,13 +72,13 @@ def test_confidence_is_probability_of_predicted_class(spark, nb_setup):
 def test_metrics_equal_spark_evaluator(spark, nb_setup, lr_model):
     prep, model = nb_setup
     for m in (model, lr_model):
-        scored = tr.score_prepared(m, prep.test).cache()
+        scored = mx.heads(m).transform(prep.test).cache()
         ours = ev.evaluate(scored).first()
-        inline = ev.evaluate(scored, classes=len(mx.label_indexer(m).labels)).first()
+        strings = ev.evaluate(scored, "gender", "predicted_label").first()
         for name, metric in [("accuracy", "accuracy"), ("precision", "weightedPrecision"), ("recall", "weightedRecall"), ("f1", "f1")]:
             ref = MulticlassClassificationEvaluator(metricName=metric).evaluate(scored)
             assert abs(ours[name] - ref) < 1e-12, name
-            assert abs(inline[name] - ref) < 1e-12, name
+            assert abs(strings[name] - ref) < 1e-12, name
         scored.unpersist()
 
 
@@ -203,14 +206,86 @@ def test_second_label_toxic(spark):
     assert prep.labelled.count() == 399
 
 
-def test_evaluate_models_grouped_fallback(spark, nb_setup, lr_model, monkeypatch):
+def test_evaluate_models_equals_single_evaluations(spark, nb_setup, lr_model):
     prep, nb = nb_setup
-    inline = {r["model"]: r for r in ev.evaluate_models(prep.test, {"lr": lr_model, "nb": nb}).collect()}
-    monkeypatch.setattr(ev, "MAX_INLINE_CLASSES", 0)
-    grouped = {r["model"]: r for r in ev.evaluate_models(prep.test, {"lr": lr_model, "nb": nb}).collect()}
-    for name in ("lr", "nb"):
+    both = {r["model"]: r for r in ev.evaluate_models(prep.test, {"lr": lr_model, "nb": nb}).collect()}
+    for name, model in (("lr", lr_model), ("nb", nb)):
+        one = ev.evaluate(tr.score_prepared(model, prep.test), "gender", "predicted_label").first()
         for k in ev.METRICS:
-            assert abs(inline[name][k] - grouped[name][k]) < 1e-12
+            assert abs(both[name][k] - one[k]) < 1e-12
+
+
+def test_label_seen_in_test_only_is_an_error_row(spark, nb_setup):
+    prep, nb = nb_setup
+    n = prep.test.count()
+    right = ev.accuracy(tr.score_prepared(nb, prep.test), "gender", "predicted_label").first()[0] * n
+    more = prep.test.unionByName(prep.test.limit(5).withColumn("gender", F.lit("X")))
+    for row in (ev.evaluate(tr.score_prepared(nb, more), "gender", "predicted_label").first(), ev.evaluate_models(more, {"nb": nb}).first()):
+        assert row["accuracy"] == pytest.approx(right / (n + 5)) and row["recall"] == pytest.approx(right / (n + 5))
+
+
+def test_fit_keeps_the_partitions_of_its_rows(spark, monkeypatch):
+    from pyspark.ml.linalg import Vectors, VectorUDT
+
+    rows = spark.range(200_000, numPartitions=4).select(F.when(F.col("id") % 3 == 0, "F").otherwise("M").alias("gender"), (F.col("id") % 7).cast("double").alias("x"))
+    vector = F.udf(lambda x: Vectors.dense([x, 1.0]), VectorUDT())
+    data = rows.withColumn("raw_features", vector("x")).select("gender", "raw_features")
+    seen = []
+    real = mx.fx.fit_idf
+    monkeypatch.setattr(mx.fx, "fit_idf", lambda df, *a: (seen.append(df.rdd.getNumPartitions()), real(df, *a))[1])
+    mx.fit_on_features(data, "naive_bayes", [], materialize_input=False)
+    assert seen == [4]
+
+
+def test_too_many_labels_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(mx, "MAX_CLASSES", 3)
+    with pytest.raises(ValueError):
+        mx.label_counts(spark.range(10).withColumn("gender", F.col("id").cast("string")), "gender")
+
+
+def test_wide_label_keys_are_not_broadcast(spark):
+    narrow = spark.range(100).select("id", F.lit("M").alias("gender"))
+    wide = spark.range(100).select(F.repeat(F.lit("k"), 1_000_000).alias("id"), F.lit("M").alias("gender"))
+    assert tr.table_bytes(narrow) < tr.BROADCAST_MAX_BYTES < tr.table_bytes(wide)
+    texts = wide.select("id", F.lit("a b").alias("name"))
+    auto = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = tr.labelled_features(texts, wide, ["id"], mx.fx.feature_stages())._jdf.queryExecution().executedPlan().toString()
+        assert "Broadcast" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", auto)
+
+
+def test_load_or_train_sees_other_texts(spark):
+    """Equal label counts and different texts: another model."""
+    paths = {"naive_bayes": f"{scratch_path(spark, 't-lot-content')}/nb"}
+    one = spark.createDataFrame([("ali", "M"), ("fatima", "F"), ("omar", "M")], "name string, gender string")
+    two = spark.createDataFrame([("zed", "M"), ("ynes", "F"), ("xavier", "M")], "name string, gender string")
+    assert not mx.load_or_train(spark, one, paths)[1]
+    assert mx.load_or_train(spark, one.repartition(3), paths)[1]
+    assert mx.load_or_train(spark, one, paths, smoothing=1.0)[1]  # the default
+    assert not mx.load_or_train(spark, two, paths)[1]
+    assert not mx.load_or_train(spark, two, paths, smoothing=2.0)[1]
+    assert mx.load_or_train(spark, two, paths, smoothing=2.0)[1]
+
+
+def test_release_deletes_the_features(spark):
+    prep = tr.prepare_training_data(tr.doc_texts(spark, SF01), tr.doc_labels(spark, SF01), ["doc_id"])
+    files = prep.labelled.inputFiles()
+    prep.release()
+    assert files and all(not os.path.exists(f.removeprefix("file://").removeprefix("file:")) for f in files)
+
+
+def test_predict_from_a_column_of_another_name(spark, nb_setup):
+    _, nb = nb_setup
+    rows = spark.createDataFrame([(1, "Ali Baba", "other"), (2, "Fatima", "words")], "id long, text string, name string")
+    want = [r[1:] for r in map(tuple, sx.predict_names(rows.select("id", F.col("text").alias("name")), nb, ["id"]).orderBy("id").collect())]
+    got = sx.predict_names(rows, nb, ["id", "name"], text_col="text").orderBy("id")
+    assert got.columns == ["id", "name", "text", "predicted_label", "confidence"]
+    assert [(r[2], r[3], r[4]) for r in got.collect()] == want
+    compared = cx.compare_predictions(rows, nb, nb, ["name"], text_col="text", names=("a", "b"))
+    assert compared.filter("not models_agree").count() == 0 and compared.columns[:2] == ["name", "text"]
 
 
 def test_load_or_train_surfaces_corrupt_model(spark, nb_setup):

@@ -84,3 +84,12 @@ def test_limits_are_ordered(spark):
     df = spark.createDataFrame(pd.DataFrame({"name": list("zyxwvutsrqponm"), "gender": ["M"] * 14}))
     assert [r[0] for r in lx.sample_rows(df, ["name"], 3).collect()] == ["m", "n", "o"]
     assert lx.first_row(df).first()[0] == "m"
+
+
+def test_histogram_reads_the_text_once(spark, monkeypatch):
+    reads = []
+    real = su.materialize
+    monkeypatch.setattr(su, "materialize", lambda df, name: (reads.append(df._jdf.queryExecution().executedPlan().toString()), real(df, name))[1])
+    plan = su.length_histogram(tr.role_text(spark, SF01))._jdf.queryExecution().executedPlan().toString()
+    assert [r.count("FileScan") for r in reads] == [1] and "text" in reads[0]
+    assert "conversations" not in plan and plan.count("FileScan") == 1  # lengths and counts only
