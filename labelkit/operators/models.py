@@ -306,9 +306,10 @@ def prefixed_stages(stages: Sequence[Transformer], prefix: str) -> list[Transfor
 
 
 def scoring_head(model: PipelineModel) -> list[Transformer]:
-    """The fitted head without the label index, so that rows with a label the
-    model has not seen (or none) are scored like any other."""
-    return [s for s in head_part(model) if not isinstance(s, StringIndexerModel)]
+    """The fitted head with a label index that gives a label the model has not
+    seen (or none) an index after all others, so that such a row is scored
+    like any other and never counts as right."""
+    return [s.copy({s.handleInvalid: "keep"}) if isinstance(s, StringIndexerModel) else s for s in head_part(model)]
 
 
 def prefixed_head(model: PipelineModel, prefix: str) -> list[Transformer]:
