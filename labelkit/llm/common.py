@@ -8,20 +8,23 @@ without decoding and without a loop over words.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from labelkit.session import scratch_path
 
 #: Text bytes handled at once by the numpy kernels; a longer text is a batch of its own.
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 500_000
 #: Keys holding at least 1/HEAVY_SHARE of all rows are looked up by broadcast (there are at most HEAVY_SHARE of them).
 HEAVY_SHARE = 512
+#: Width of the bit tables of ids: 2**24 bits are 2 MB.
+ID_BITS = 24
 
 _SEED = np.random.Generator(np.random.PCG64(20240607))
 _BYTE = _SEED.integers(1, 2**64, 256, dtype=np.uint64)
@@ -90,6 +93,19 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0] : at[-1]], at - at[0]
 
 
+def window_hashes(hashes: np.ndarray, n: int, other: bool = False) -> np.ndarray:
+    """Hash of the n words from each word on (0 at the end); ``other``: a second, independent one."""
+    m = len(hashes)
+    hashes = mix(hashes ^ np.uint64(0xA0761D6478BD642F)) if other else hashes
+    out = np.zeros(m, dtype=np.uint64)
+    if m >= n:
+        up, down = _WORDS.get(m + 1)
+        with np.errstate(over="ignore"):
+            total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(hashes * up[:m], dtype=np.uint64)))
+            out[: m - n + 1] = mix((total[n:] - total[:-n]) * down[: m - n + 1] + np.uint64(n))
+    return out
+
+
 class Words:
     """Words of a batch of texts: byte borders, the texts' first words, and 64-bit hashes."""
 
@@ -113,17 +129,9 @@ class Words:
             total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE[raw] * up[: len(raw)], dtype=np.uint64)))
             self.hashes = mix((total[self.ends] - total[self.starts]) * down[self.starts] + (self.ends - self.starts).astype(np.uint64))
 
-    def windows(self, n: int, other: bool = False) -> np.ndarray:
-        """Hash of the n words from each word on (those that leave the batch: 0); ``other``: a second, independent one."""
-        m = len(self.hashes)
-        hashes = mix(self.hashes ^ np.uint64(0xA0761D6478BD642F)) if other else self.hashes
-        out = np.zeros(m, dtype=np.uint64)
-        if m >= n:
-            up, down = _WORDS.get(m + 1)
-            with np.errstate(over="ignore"):
-                total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(hashes * up[:m], dtype=np.uint64)))
-                out[: m - n + 1] = mix((total[n:] - total[:-n]) * down[: m - n + 1] + np.uint64(n))
-        return out
+    def windows(self, n: int) -> np.ndarray:
+        """Hash of the n words from each word on (those that leave the batch: 0)."""
+        return window_hashes(self.hashes, n)
 
     def inside(self, n: int) -> np.ndarray:
         """Whether the n words from each word on lie in one text."""
@@ -196,9 +204,95 @@ def merged_sketch(rows: DataFrame, width: int, dtype: str, limit: int) -> np.nda
     return out
 
 
+def flag_rows(counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """A task's counters of 0, 1 or 2 as compressed bits (seen; seen twice), for ``merged_flags``."""
+    for k in range(0, len(counts), 8 * _BLOCK):
+        part = counts[k : k + 8 * _BLOCK]
+        if part.any():
+            data = np.packbits(part > 0).tobytes() + np.packbits(part > 1).tobytes()
+            yield pa.RecordBatch.from_pydict({"block": pa.array([k // (8 * _BLOCK)], pa.int32()), "data": pa.array([zlib.compress(data, 1)], pa.binary())})
+
+
+def merged_flags(rows: DataFrame, width: int) -> np.ndarray:
+    """Bits of the places that tasks have seen twice or more in all: ``width`` bits, whatever the input's size."""
+
+    def add(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = twice = None
+        for batch in batches:
+            for data in batch.column("data"):
+                a, b = np.frombuffer(zlib.decompress(data.as_py()), dtype=np.uint8).reshape(2, -1)
+                seen, twice = (a, b) if seen is None else (seen | a, twice | b | (seen & a))
+        if twice.any():
+            yield pa.RecordBatch.from_pydict({"block": pa.array([key[0].as_py()], pa.int32()), "data": pa.array([zlib.compress(twice.tobytes(), 1)], pa.binary())})
+
+    out = np.zeros(-(-width // 8), dtype=np.uint8)
+    for row in rows.groupBy("block").applyInArrow(add, SKETCH_SCHEMA).collect():
+        part = np.frombuffer(zlib.decompress(row.data), dtype=np.uint8)
+        out[row.block * _BLOCK : row.block * _BLOCK + len(part)] = part
+    return out
+
+
+def flagged(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The bits at these places, as booleans."""
+    return (bits[(at >> np.uint64(3)).astype(np.int64)] >> (np.uint8(7) - (at & np.uint64(7)).astype(np.uint8))) & np.uint8(1) > 0
+
+
+def count_two(table: np.ndarray, at: np.ndarray) -> None:
+    """Add to counters that stop at 2."""
+    at, number = np.unique(at, return_counts=True)
+    table[at] = np.minimum(table[at] + np.minimum(number, 2), 2)
+
+
 # ------------------------------------------------------------- joins and links
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """These names, with underscores before those that ``df`` has already."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def without(df: DataFrame, names: Iterable[str]) -> list[T.StructField]:
+    """The fields of ``df`` but for columns that results of these names replace."""
+    gone = {n.lower() for n in names}
+    return [f for f in df.schema if f.name.lower() not in gone]
+
+
+def parted(rows: DataFrame, id_col: str, ids: DataFrame, bits: int = ID_BITS) -> tuple[DataFrame, DataFrame]:
+    """``rows`` whose id may be among the only column of ``ids`` (nulls match), and the rows whose id is not.
+
+    A table of 2**bits bits, broadcast, tells them apart, so that a join has to
+    shuffle the first part only.  With far more ids than bits all rows are in it.
+    """
+
+    def place(column) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(1 << bits))
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(1 << bits, dtype=np.uint8)
+        for batch in batches:
+            table[batch.column(0).to_numpy()] = 2
+        yield from flag_rows(table)
+
+    marks = rows.sparkSession.sparkContext.broadcast(merged_flags(ids.select(place(ids.columns[0]).alias("place")).mapInArrow(mark, SKETCH_SCHEMA), 1 << bits))
+    (at,) = fresh(rows, "_place")
+    named = rows.withColumn(at, place(id_col))
+
+    def only(inside: bool) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.filter(pa.array(flagged(marks.value, batch.column(at).to_numpy().astype(np.uint64)) == inside))
+
+        return named.mapInArrow(run, named.schema).drop(at)
+
+    return only(True), only(False)
+
+
 def lookup(rows: DataFrame, found: DataFrame, key: str, weight: str, total: int) -> DataFrame:
     """``rows`` with the columns of ``found`` for the same ``key`` (one row each), inner.
 
@@ -224,8 +318,12 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
     work = written(
         edges.select(F.greatest(a, b).alias("x"), F.least(a, b).alias("y")).filter("x <> y").distinct(), "links"
     )
-    before = None
     for _ in range(max_rounds):
+        # Settled: every node has one smaller neighbour, and none of these has one itself.
+        ends = F.array(*(F.struct(F.col(c).alias("node"), F.lit(int(c == "x")).alias("up"), F.lit(int(c == "y")).alias("down")) for c in ("x", "y")))
+        nodes = work.select(F.explode(ends).alias("e")).groupBy("e.node").agg(F.sum("e.up").alias("up"), F.max("e.down").alias("down"))
+        if nodes.filter("up > 1 or up = 1 and down = 1").isEmpty():
+            break
         both = work.unionByName(work.select(F.col("y").alias("x"), F.col("x").alias("y")))
         least = both.groupBy("x").agg(F.min("y").alias("m")).withColumn("m", F.least("m", "x"))
         large = both.filter("y > x").join(least, "x").select(F.col("y").alias("x"), F.col("m").alias("y"))
@@ -233,10 +331,6 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
         low = large.groupBy("x").agg(F.min("y").alias("m"))
         small = large.join(low, "x").select(F.explode(F.array(F.struct(F.col("y").alias("x"), F.col("m").alias("y")), F.struct(F.col("x"), F.col("m").alias("y")))).alias("e")).select("e.*")
         work = written(small.filter("x > y").distinct(), "links")
-        now = work.agg(F.count("*"), F.sum(F.xxhash64("x", "y").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
-        before = now
     else:
         raise RuntimeError(f"links have not settled in {max_rounds} rounds")
     return work.select(F.col("x").alias("node"), F.col("y").alias("root")).unionByName(

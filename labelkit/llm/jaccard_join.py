@@ -4,19 +4,22 @@ A document's set holds the distinct n-word shingles of its lower-cased text.
 Two documents link when 100 * |intersection| >= percent * |union|.
 
 1. Frequencies of shingles over all documents, in a table of fixed width
-   (``sketch_bits``): any fixed total order gives right results, frequencies
-   make the first shingles rare ones.
+   (2**sketch_bits counters): any fixed total order gives right results,
+   frequencies make the first shingles rare ones.
 2. Equal sets become one set ``sid``, with members.  Each set's rare-first prefix,
    size - ceil(percent * size) + 1 shingles, is spread over rows (token, sid,
-   size, position, signature).  Tokens of one set alone are dropped.
+   size, position, signature).  A second table of fixed width proves most prefix
+   tokens to be in one set alone; these have no row.
 3. Candidates share a prefix token and pass three filters: length
    (percent * larger <= 100 * smaller), positional (what can follow in both is
    enough), suffix.  The suffix filter bounds the Hamming distance of the sets
    from below by that of their signatures (bit k: parity of the shingles that
    hash to k), against the largest distance that the threshold allows.
-4. A pair that passes is verified once, on the whole sets.
+4. A pair that passes is verified once, on the whole sets, which are made again
+   for the sets in candidate pairs only.
 
-Classes need no pair within what is already linked.  So a few rounds verify, for
+Tokens in at most ``SMALL`` rows list their pairs in one row.  For the others,
+classes need no pair within what is already linked: rounds verify, for
 each token, one set against the others; linked sets get a common class.  The
 last round then joins, for each token, the sets outside its largest class with
 all sets of other classes.  A pair that no round verifies has both sets in one
@@ -41,11 +44,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelkit.llm.common import SKETCH_SCHEMA, chunks, components, lookup, merged_sketch, mix, shingle_sets, sketch_rows, written
+from labelkit.llm.common import SKETCH_SCHEMA, chunks, components, count_two, flag_rows, flagged, lookup, merged_flags, merged_sketch, mix, shingle_sets, sketch_rows, written
 
-SKETCH_BITS = 22
-HUB_ROUNDS = 3
-_SIGNATURE = ("g0", "g1", "g2", "g3")
+SKETCH_BITS = 24
+HUB_ROUNDS, SMALL = 2, 64
+_SIGNATURE = ("g0", "g1")
 
 
 def _sid(shingles: np.ndarray) -> int:
@@ -55,68 +58,96 @@ def _sid(shingles: np.ndarray) -> int:
 
 
 def _signature(shingles: np.ndarray) -> np.ndarray:
-    odd = (np.bincount((shingles >> np.uint64(9)) & np.uint64(255), minlength=256) & 1).astype(np.uint8)
+    odd = (np.bincount((shingles >> np.uint64(9)) & np.uint64(127), minlength=128) & 1).astype(np.uint8)
     return np.packbits(odd, bitorder="little").view(np.int64)
 
 
 def frequencies(docs: DataFrame, n: int, bits: int) -> np.ndarray:
-    """How many documents hold a shingle of each of 2**bits hash values, over all documents."""
+    """How many documents (at most 65,535) hold a shingle of each of 2**bits hash values, over all documents."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, mask = np.zeros(1 << bits, dtype=np.uint32), np.uint64((1 << bits) - 1)
+        table, mask = np.zeros(1 << bits, dtype=np.uint16), np.uint64((1 << bits) - 1)
         for batch in batches:
             for part in chunks(batch):
                 sets = [s for s in shingle_sets(part.column("text"), n) if len(s)]
                 if sets:
-                    at, number = np.unique(np.concatenate(sets) & mask, return_counts=True)
-                    table[at] += number.astype(np.uint32)
+                    at, number = np.unique((np.concatenate(sets) & mask).astype(np.uint32), return_counts=True)
+                    table[at] = np.minimum(table[at] + number, 65_535)
         yield from sketch_rows(table)
 
-    return merged_sketch(docs.mapInArrow(count, SKETCH_SCHEMA), 1 << bits, "uint32", 2**32 - 1)
+    return merged_sketch(docs.mapInArrow(count, SKETCH_SCHEMA), 1 << bits, "uint16", 65_535)
 
 
 def _prefix_size(size: int, percent: int) -> int:
     return size - -(-percent * size // 100) + 1
 
 
-def _prefixes(docs: DataFrame, table, n: int, percent: int, bits: int) -> DataFrame:
-    schema = "token long, sid long, size int, at int, " + ", ".join(f"{g} long" for g in _SIGNATURE)
+def _prefixes(batches: Iterator[pa.RecordBatch], counts: np.ndarray, n: int, percent: int) -> Iterator[tuple[list, list, list]]:
+    """Per chunk of texts: prefix tokens, (sid, size, signature) and prefix sizes of sets that the task has not seen yet."""
+    mask, seen = np.uint64(len(counts) - 1), set()
+    for batch in batches:
+        for part in chunks(batch):
+            tokens, heads, sizes = [], [], []
+            for s in shingle_sets(part.column("text"), n):
+                if not len(s) or (sid := _sid(s)) in seen:
+                    continue
+                seen.add(sid)
+                k = _prefix_size(len(s), percent)
+                # Rare first, ties by hash: sets come sorted by hash.
+                tokens.append(s[np.argsort(counts[s & mask], kind="stable")[:k]])
+                heads.append((sid, len(s), *_signature(s)))
+                sizes.append(k)
+            if tokens:
+                yield tokens, heads, sizes
+
+
+def _shared(docs: DataFrame, table, n: int, percent: int, bits: int) -> np.ndarray:
+    """Bits of the hash values that prefix tokens have more than once."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = np.zeros(1 << bits, dtype=np.uint8)
+        for tokens, _, _ in _prefixes(batches, table.value, n, percent):
+            count_two(out, (mix(np.concatenate(tokens)) & np.uint64((1 << bits) - 1)).astype(np.uint32))
+        yield from flag_rows(out)
+
+    return merged_flags(docs.mapInArrow(count, SKETCH_SCHEMA), 1 << bits)
+
+
+def _rows(docs: DataFrame, table, again, n: int, percent: int, bits: int) -> DataFrame:
+    """(token, sid, size, at, signature) of prefix tokens that more than one set may hold."""
+    names = ["token", "sid", "size", "at", *_SIGNATURE]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, mask, seen = table.value, np.uint64((1 << bits) - 1), set()
-        for batch in batches:
-            for part in chunks(batch):
-                tokens, heads, sizes = [], [], []
-                for s in shingle_sets(part.column("text"), n):
-                    if not len(s) or (sid := _sid(s)) in seen:  # copies within a task: once
-                        continue
-                    seen.add(sid)
-                    k = _prefix_size(len(s), percent)
-                    order = np.lexsort((s, counts[s & mask]))[:k]
-                    tokens.append(s[order])
-                    heads.append((sid, len(s), *_signature(s)))
-                    sizes.append(k)
-                if tokens:
-                    head = np.repeat(np.array(heads, dtype=np.int64), sizes, axis=0)
-                    at = np.concatenate([np.arange(k) for k in sizes])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(tokens).astype(np.int64)), pa.array(head[:, 0]), pa.array(head[:, 1].astype(np.int32)), pa.array(at.astype(np.int32)), *(pa.array(head[:, 2 + i]) for i in range(4))],
-                        names=["token", "sid", "size", "at", *_SIGNATURE],
-                    )
-
-    return docs.mapInArrow(run, schema)
-
-
-def _may_link(percent: int, a: str = "a", b: str = "b"):
-    """Length, positional and suffix filter of two rows that share a token."""
-    sizes = F.col(f"{a}.size") + F.col(f"{b}.size")
+        mask = np.uint64((1 << bits) - 1)
+        for tokens, heads, sizes in _prefixes(batches, table.value, n, percent):
+            token = np.concatenate(tokens)
+            may = flagged(again.value, mix(token) & mask)
+            head = np.repeat(np.array(heads, dtype=np.int64), sizes, axis=0)[may]
+            at = np.concatenate([np.arange(k, dtype=np.int32) for k in sizes])[may]
+            yield pa.RecordBatch.from_arrays([pa.array(token[may].astype(np.int64)), pa.array(head[:, 0]), pa.array(head[:, 1].astype(np.int32)), pa.array(at), *(pa.array(head[:, 2 + i]) for i in range(len(_SIGNATURE)))], names=names)
+
+    return docs.mapInArrow(run, "token long, sid long, size int, at int, " + ", ".join(f"{g} long" for g in _SIGNATURE))
+
+
+def _may_link(percent: int, a, b):
+    """Length, positional and suffix filter of two rows (structs) that share a token."""
+    sizes = a["size"] + b["size"]
     least = F.ceil(percent * sizes / (100 + percent) - 1e-9)
-    ahead = F.least(F.col(f"{a}.size") - F.col(f"{a}.at"), F.col(f"{b}.size") - F.col(f"{b}.at"))
-    apart = sum((F.bit_count(F.col(f"{a}.{g}").bitwiseXOR(F.col(f"{b}.{g}"))) for g in _SIGNATURE), F.lit(0))
-    length = percent * F.greatest(f"{a}.size", f"{b}.size") <= 100 * F.least(f"{a}.size", f"{b}.size")
+    ahead = F.least(a["size"] - a["at"], b["size"] - b["at"])
+    apart = sum((F.bit_count(a[g].bitwiseXOR(b[g])) for g in _SIGNATURE), F.lit(0))
+    length = percent * F.greatest(a["size"], b["size"]) <= 100 * F.least(a["size"], b["size"])
     return length & (ahead >= least) & (apart <= sizes - 2 * least)
 
 
+def _small_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of the tokens in at most SMALL rows: each row looks through its token's list."""
+    row = F.struct("sid", "size", "at", *_SIGNATURE)
+    listed = rows.groupBy("token").agg(F.collect_set(row).alias("list"))
+    each = listed.select("list", F.explode("list").alias("x"))
+    found = F.filter("list", lambda y: (F.col("x")["sid"] < y["sid"]) & _may_link(percent, F.col("x"), y))
+    return each.select(F.col("x.sid").alias("a"), F.explode(F.transform(found, lambda y: y["sid"])).alias("b"))
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets link."""
     left = pairs.join(sets.select(F.col("sid").alias("a"), F.col("shingles").alias("_x")), "a")
@@ -160,42 +191,50 @@ def links(docs: DataFrame, text_col: str = "text", n: int = 3, percent: int = 90
     if not 1 <= percent <= 100:
         raise ValueError("percent must be 1 to 100")
     docs = docs.select(F.col(text_col).alias("text"))
-    context = docs.sparkSession.sparkContext
-    table = context.broadcast(frequencies(docs, n, sketch_bits))
-    rows = _prefixes(docs, table, n, percent, sketch_bits).dropDuplicates(["token", "sid"])
-    shared = written(rows, "prefix-rows")
-    many = shared.groupBy("token").agg(F.count("*").alias("_n")).filter("_n > 1").select("token")
-    shared = written(shared.join(many, "token", "left_semi"), "prefix-shared")
-    wanted = context.broadcast(_wanted(shared, sketch_bits))
-    sets = written(_sets_of(docs, wanted, n, sketch_bits), "shingle-sets")
-
-    roots = None
-    found = []
+    spark = docs.sparkSession
+    share = spark.sparkContext.broadcast
+    table = share(frequencies(docs, n, sketch_bits))
+    again = share(_shared(docs, table, n, percent, sketch_bits + 2))
+    rows = written(_rows(docs, table, again, n, percent, sketch_bits + 2), "prefix-rows")
+    tokens = rows.groupBy("token").agg(F.count("*").alias("n"), F.min("sid").alias("low"), F.max("sid").alias("high")).filter("low < high")
+    tokens = written(tokens.select("token", "n", F.col("n").alias("times")), "prefix-tokens")
+    shared = written(lookup(rows, tokens, "token", "times", rows.count()), "prefix-shared")
+    pairs = _small_pairs(shared.filter(F.col("n") <= SMALL), percent)
+    large = written(shared.filter(F.col("n") > SMALL).drop("n").distinct(), "large-tokens")
+
+    found, roots, known = [], None, None
     for step in range(HUB_ROUNDS + 1):
-        now = shared if roots is None else shared.join(roots, F.col("sid") == F.col("node"), "left").withColumn("root", F.coalesce("root", "sid")).drop("node")
-        now = now.withColumn("root", F.col("sid")) if roots is None else now
+        now = large.withColumn("root", F.col("sid")) if roots is None else large.join(roots, F.col("sid") == F.col("node"), "left").withColumn("root", F.coalesce("root", "sid")).drop("node")
         kinds = now.groupBy("token", "root").agg(F.count("*").alias("_k"))
         top = kinds.groupBy("token").agg(F.max_by("root", F.struct("_k", "root")).alias("top"), F.count("*").alias("_c")).filter("_c > 1").drop("_c")
         now = written(now.join(top, "token"), f"classes-{step}")
-        if now.isEmpty():
+        if step and now.isEmpty():
             break
-        outside = now.filter("root <> top")
-        if step < HUB_ROUNDS:
+        last, few = step == HUB_ROUNDS, now.filter("root <> top")
+        if not last:
             # Another set for each token: a group's many tokens link it in many ways at once.
             rest = F.struct(*[c for c in now.columns if c != "token"])
-            few = outside.groupBy("token").agg(F.min_by(rest, F.xxhash64("token", "sid")).alias("h")).select("token", "h.*")
-        else:
-            few = outside
+            few = few.groupBy("token").agg(F.min_by(rest, F.xxhash64("token", "sid")).alias("h")).select("token", "h.*")
         # Outside a token's largest class against every other class; two outsiders once.
-        apart = (F.col("a.root") != F.col("b.root")) & ((F.col("b.root") == F.col("b.top")) | (F.col("a.sid") < F.col("b.sid")) | F.lit(step < HUB_ROUNDS))
-        pairs = few.alias("a").join(now.alias("b"), (F.col("a.token") == F.col("b.token")) & apart & _may_link(percent))
-        pairs = written(pairs.select(F.least("a.sid", "b.sid").alias("a"), F.greatest("a.sid", "b.sid").alias("b")).distinct(), f"candidates-{step}")
-        found.append(written(_verified(pairs, sets, percent), f"verified-{step}"))
+        x, y = ({c: F.col(f"{t}.{c}") for c in now.columns} for t in ("x", "y"))
+        apart = (x["root"] != y["root"]) & ((y["root"] == y["top"]) | (x["sid"] < y["sid"]) | F.lit(not last))
+        more = few.alias("x").join(now.alias("y"), (x["token"] == y["token"]) & apart & _may_link(percent, x, y))
+        more = more.select(F.least(x["sid"], y["sid"]).alias("a"), F.greatest(x["sid"], y["sid"]).alias("b"))
+        pairs = written((more if step else pairs.unionByName(more)).distinct(), f"candidates-{step}")
+        if pairs.isEmpty():
+            continue
+        # Sets that are new among the candidates are made from their texts.
+        sids = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
+        wanted = share(_wanted(sids if known is None else sids.join(known, "sid", "left_anti"), sketch_bits))
+        sets = written(_sets_of(docs, wanted, n, sketch_bits), "shingle-sets")
+        known = sets.select("sid") if known is None else known.unionByName(sets.select("sid"))
+        every = sets if step == 0 or not found else every.unionByName(sets)
+        found.append(written(_verified(pairs, every, percent), f"verified-{step}"))
         edges = found[0]
-        for more in found[1:]:
-            edges = edges.unionByName(more)
+        for extra in found[1:]:
+            edges = edges.unionByName(extra)
         roots = components(edges)
-    return roots if roots is not None else docs.sparkSession.createDataFrame([], "node long, root long")
+    return roots if roots is not None else spark.createDataFrame([], "node long, root long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 3, percent: int = 90, sketch_bits: int = SKETCH_BITS) -> DataFrame:
