@@ -7,14 +7,16 @@ earlier: in a document with a smaller id, or earlier in the same one.
 1. Levels: short windows (size halved until at most 5 words), then twice that
    length, up to ``size``.  At each level all documents' windows are counted in
    a table of fixed width; only windows whose parts all repeat at the level
-   below are counted at all.  A count of one proves that a window is alone; the
-   tables (2**sketch_bits bytes) are broadcast.
+   below are counted at all.  A count of one proves that a window is alone; one
+   bit for each counter (2**sketch_bits bits a level) is broadcast.
 2. Windows of the full length that survive form runs of neighbours.  Equal runs
    (128-bit hash, length) are copies: all but the first are covered whole.
-   First runs alone are spread into windows, and these grouped exactly (by
-   128-bit hashes) to find each window's first place.  Minima combine before the
-   shuffle; windows with many places are looked up by broadcast.
-3. Covered word ranges go back to their documents, which are joined again.
+   First runs alone are spread into windows; those that a last table does not
+   prove to be in one run are grouped exactly (by 128-bit hashes) to find each
+   window's first place.  Minima combine before the shuffle; windows with many
+   places are looked up by broadcast.
+3. Covered word ranges go back to their documents.  Only documents that a bit
+   table of ids does not prove to be whole are shuffled for that.
 
 With far more windows than counters the tables let more windows through, which
 the exact step then groups: more shuffle, same result.
@@ -34,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labelkit.llm.common import SKETCH_SCHEMA, Words, chunks, lookup, merged_sketch, mix, sketch_rows, written
+from labelkit.llm.common import SKETCH_SCHEMA, Words, chunks, count_two, flag_rows, flagged, fresh, lookup, merged_flags, mix, parted, window_hashes, without, written
 
 SIZE, SKETCH_BITS = 20, 26
 
@@ -47,11 +49,11 @@ def levels(size: int) -> list[int]:
     return out
 
 
-def _survivors(words: Words, lengths: Sequence[int], tables: Sequence[np.ndarray]) -> np.ndarray:
-    """Whether the window of lengths[len(tables)] words from each word on has no part that is alone."""
-    ok = words.inside(lengths[0])
+def _survivors(words: Words, lengths: Sequence[int], tables: Sequence[np.ndarray], bits: int) -> np.ndarray:
+    """Whether the window from each word on, of the length after the tables' (the last, if all have one), may repeat."""
+    ok, mask = words.inside(lengths[0]), np.uint64((1 << bits) - 1)
     for k, table in enumerate(tables):
-        ok &= table[(words.windows(lengths[k]) & np.uint64(len(table) - 1)).astype(np.int64)] > 1
+        ok &= flagged(table, words.windows(lengths[k]) & mask)
         if k + 1 < len(lengths):
             parts = lengths[k + 1] - lengths[k] + 1
             total = np.concatenate(([0], np.cumsum(ok)))
@@ -63,7 +65,7 @@ def _survivors(words: Words, lengths: Sequence[int], tables: Sequence[np.ndarray
 
 
 def _counts(docs: DataFrame, lengths: Sequence[int], below: Sequence, bits: int) -> np.ndarray:
-    """0, 1 or 2 (twice or more) for each hash value of the next level's surviving windows."""
+    """Bits of the hash values that the next level's surviving windows have more than once."""
     n = lengths[len(below)]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -71,20 +73,15 @@ def _counts(docs: DataFrame, lengths: Sequence[int], below: Sequence, bits: int)
         for batch in batches:
             for part in chunks(batch):
                 words = Words(part.column("text"))
-                at = (words.windows(n) & np.uint64((1 << bits) - 1))[_survivors(words, lengths, tables)].astype(np.uint32)
-                at.sort()
-                first = np.concatenate((np.ones(min(1, len(at)), bool), at[1:] != at[:-1]))
-                spots = np.flatnonzero(first)
-                many = np.diff(np.append(spots, len(at)))
-                at = at[spots]
-                table[at] = np.minimum(table[at] + np.minimum(many, 2), 2)
-        yield from sketch_rows(table)
+                at = (words.windows(n) & np.uint64((1 << bits) - 1))[_survivors(words, lengths, tables, bits)]
+                count_two(table, at.astype(np.uint32))
+        yield from flag_rows(table)
 
-    return merged_sketch(docs.select("text").mapInArrow(count, SKETCH_SCHEMA), 1 << bits, "uint8", 2)
+    return merged_flags(docs.select("text").mapInArrow(count, SKETCH_SCHEMA), 1 << bits)
 
 
-def _runs(docs: DataFrame, size: int, tables: Sequence, id_type: str) -> DataFrame:
-    """(h1, h2, n, id, start, windows): runs of neighbouring survivors, with both hashes of each window."""
+def _runs(docs: DataFrame, size: int, tables: Sequence, id_type: str, bits: int) -> DataFrame:
+    """(h1, h2, n, id, start, words): runs of n neighbouring survivors, with the hashes of their words."""
     lengths = levels(size)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,7 +89,7 @@ def _runs(docs: DataFrame, size: int, tables: Sequence, id_type: str) -> DataFra
         for batch in batches:
             for part in chunks(batch):
                 words = Words(part.column("text"))
-                ok = np.concatenate(([False], _survivors(words, lengths, data), [False]))
+                ok = np.concatenate(([False], _survivors(words, lengths, data, bits), [False]))
                 # Neighbours in two texts are never one run: the last size - 1 words of a text begin no window.
                 starts, ends = np.flatnonzero(ok[1:] & ~ok[:-1]), np.flatnonzero(ok[:-1] & ~ok[1:])
                 if size == 1:
@@ -102,37 +99,57 @@ def _runs(docs: DataFrame, size: int, tables: Sequence, id_type: str) -> DataFra
                     starts, ends = np.union1d(starts, inner), np.union1d(ends, inner)
                 if not len(starts):
                     continue
-                a, b = words.windows(size), words.windows(size, other=True)
-                pairs = np.stack((a, b), axis=1)
+                a, b = words.windows(size), window_hashes(words.hashes, size, other=True)
                 owner = np.searchsorted(words.first, starts, "right") - 1
-                rows = {"h1": [], "h2": [], "windows": []}
+                rows = {"h1": [], "h2": [], "words": []}
                 for s, e in zip(starts.tolist(), ends.tolist(), strict=True):
-                    # A run's windows follow from its first and last ones and a sum over all, in order.
+                    # Of a run: the sums of its windows' hashes, weighted by their places.
                     weight = mix(np.arange(1, e - s + 1, dtype=np.uint64)) | np.uint64(1)
                     with np.errstate(over="ignore"):
                         rows["h1"].append(int((a[s:e] * weight).sum(dtype=np.uint64).astype(np.int64)))
                         rows["h2"].append(int((b[s:e] * weight).sum(dtype=np.uint64).astype(np.int64)))
-                    rows["windows"].append(pairs[s:e].tobytes())
+                    rows["words"].append(words.hashes[s : e + size - 1].tobytes())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows["h1"], pa.int64()), pa.array(rows["h2"], pa.int64()), pa.array((ends - starts).astype(np.int32)), part.column("id").take(pa.array(owner)), pa.array((starts - words.first[owner]).astype(np.int32)), pa.array(rows["windows"], pa.binary())],
-                    names=["h1", "h2", "n", "id", "start", "windows"],
+                    [pa.array(rows["h1"], pa.int64()), pa.array(rows["h2"], pa.int64()), pa.array((ends - starts).astype(np.int32)), part.column("id").take(pa.array(owner)), pa.array((starts - words.first[owner]).astype(np.int32)), pa.array(rows["words"], pa.binary())],
+                    names=["h1", "h2", "n", "id", "start", "words"],
                 )
 
-    return docs.mapInArrow(run, f"h1 long, h2 long, n int, id {id_type}, start int, windows binary")
+    return docs.mapInArrow(run, f"h1 long, h2 long, n int, id {id_type}, start int, words binary")
 
 
-def _spread(runs: DataFrame, id_type: str) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _run_windows(batch: pa.RecordBatch, size: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Some runs at a time: the runs, and for each window its hashes, its run and its number in the run."""
+    for k in range(0, batch.num_rows, 256):
+        part = batch.slice(k, 256)
+        n = part.column("n").to_numpy().astype(np.int64)
+        words = np.frombuffer(b"".join(x.as_py() for x in part.column("words")), dtype=np.uint64)
+        run = np.repeat(np.arange(len(n)), n)
+        number = np.arange(len(run)) - np.repeat(np.cumsum(n) - n, n)
+        at = np.repeat(np.cumsum(n + size - 1) - (n + size - 1), n) + number
+        yield part, window_hashes(words, size)[at], window_hashes(words, size, other=True)[at], run, number
+
+
+def _spread(runs: DataFrame, size: int, id_type: str, bits: int) -> DataFrame:
+    """(h1, h2, id, start) of the windows that may be in more than one of the runs."""
+    mask = np.uint64((1 << bits) - 1)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(1 << bits, dtype=np.uint8)
+        for batch in batches:
+            for _, a, _, _, _ in _run_windows(batch, size):
+                count_two(table, (a & mask).astype(np.uint32))
+        yield from flag_rows(table)
+
+    again = runs.sparkSession.sparkContext.broadcast(merged_flags(runs.select("n", "words").mapInArrow(count, SKETCH_SCHEMA), 1 << bits))
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(0, batch.num_rows, 256):
-                part = batch.slice(k, 256)
-                n = part.column("n").to_numpy()
-                pairs = np.frombuffer(b"".join(x.as_py() for x in part.column("windows")), dtype=np.int64).reshape(-1, 2)
-                rows = np.repeat(np.arange(len(n)), n)
-                at = np.arange(len(rows)) - np.repeat(np.cumsum(n) - n, n) + part.column("start").to_numpy()[rows]
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), part.column("id").take(pa.array(rows)), pa.array(at.astype(np.int32))], names=["h1", "h2", "id", "start"])
+            for part, a, b, run, number in _run_windows(batch, size):
+                may = flagged(again.value, a & mask)
+                start = number[may] + part.column("start").to_numpy()[run[may]]
+                yield pa.RecordBatch.from_arrays([pa.array(a[may].view(np.int64)), pa.array(b[may].view(np.int64)), part.column("id").take(pa.array(run[may])), pa.array(start.astype(np.int32))], names=["h1", "h2", "id", "start"])
 
-    return runs.mapInArrow(run, f"h1 long, h2 long, id {id_type}, start int")
+    return runs.mapInArrow(spread, f"h1 long, h2 long, id {id_type}, start int")
 
 
 def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, sketch_bits: int = SKETCH_BITS) -> DataFrame:
@@ -142,18 +159,18 @@ def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", siz
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     id_type = docs.schema["id"].dataType.simpleString()
     lengths, tables = levels(size), []
-    for _ in lengths[:-1] if len(lengths) > 1 else lengths:
+    for _ in lengths:
         tables.append(docs.sparkSession.sparkContext.broadcast(_counts(docs, lengths, tables, sketch_bits)))
-    runs = written(_runs(docs, size, tables, id_type), "runs")
+    runs = written(_runs(docs, size, tables, id_type, sketch_bits), "runs")
     place = F.struct("id", "start")
-    firsts = runs.groupBy("h1", "h2", "n").agg(F.min(place).alias("first"), F.count("*").alias("times"), F.min_by("windows", place).alias("windows"))
-    firsts = written(firsts.select("h1", "h2", "n", "times", "first.id", "first.start", "windows"), "first-runs")
+    firsts = runs.groupBy("h1", "h2", "n").agg(F.min(place).alias("first"), F.count("*").alias("times"), F.min_by("words", place).alias("words"))
+    firsts = written(firsts.select("h1", "h2", "n", "times", "first.id", "first.start", "words"), "first-runs")
     total = runs.count()
     many = firsts.filter("times > 1").select(F.struct("h1", "h2", "n").alias("key"), "times", F.struct("id", "start").alias("first"))
     copies = lookup(runs.select(F.struct("h1", "h2", "n").alias("key"), "id", "start"), many, "key", "times", total)
     copies = copies.filter(~F.struct("id", "start").eqNullSafe(F.col("first"))).select("id", "start", F.col("key.n").alias("n"))
 
-    windows = written(_spread(firsts, id_type), "windows")
+    windows = written(_spread(firsts, size, id_type, sketch_bits), "windows")
     begin = windows.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("times")).filter("times > 1")
     begin = written(begin.select(F.struct("h1", "h2").alias("key"), "times", "first"), "first-windows")
     later = lookup(windows.select(F.struct("h1", "h2").alias("key"), "id", "start"), begin, "key", "times", windows.count())
@@ -163,10 +180,13 @@ def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", siz
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, sketch_bits: int = SKETCH_BITS) -> DataFrame:
     """``docs`` with the kept words, joined by one space, as text, plus n_words (before) and n_removed."""
-    ranges = covered(docs, id_col, text_col, size, sketch_bits).groupBy(F.col("id").alias("_cut_id")).agg(F.collect_list(F.struct("start", "n")).alias("_cut"))
-    joined = docs.withColumn("_id", F.col(id_col)).join(ranges, F.col("_id").eqNullSafe(F.col("_cut_id")), "left").drop("_id", "_cut_id")
-    joined = joined.withColumn("_start", F.col("_cut.start")).withColumn("_n", F.col("_cut.n")).drop("_cut")
-    schema = T.StructType([f for f in docs.schema if f.name not in ("n_words", "n_removed")] + [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
+    own, cut_id, cut, start_, n_ = fresh(docs, "_id", "_cut_id", "_cut", "_start", "_n")
+    ranges = covered(docs, id_col, text_col, size, sketch_bits).groupBy(F.col("id").alias(cut_id)).agg(F.collect_list(F.struct("start", "n")).alias(cut))
+    ranges = written(ranges.select(cut_id, F.col(f"{cut}.start").alias(start_), F.col(f"{cut}.n").alias(n_)), "cuts")
+    some, whole = parted(docs, id_col, ranges.select(cut_id))
+    some = some.withColumn(own, F.col(id_col)).join(ranges, F.col(own).eqNullSafe(F.col(cut_id)), "left").drop(own, cut_id)
+    joined = some.unionByName(whole.withColumns({c: F.lit(None).cast("array<int>") for c in (start_, n_)}))
+    schema = T.StructType([*without(docs, ("n_words", "n_removed")), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
     names = schema.names
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,8 +197,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 texts, removed = [], []
                 for i, (a, b) in enumerate(zip(words.first[:-1], words.first[1:], strict=True)):
                     gone = np.zeros(b - a + 1, dtype=np.int64)
-                    if part.column("_start")[i].is_valid:
-                        start, n = (part.column(c)[i].values.to_numpy() for c in ("_start", "_n"))
+                    if part.column(start_)[i].is_valid:
+                        start, n = (part.column(c)[i].values.to_numpy() for c in (start_, n_))
                         np.add.at(gone, start, 1)
                         np.add.at(gone, np.minimum(start + n + size - 1, b - a), -1)
                     stay = np.flatnonzero(np.cumsum(gone)[:-1] == 0) + a
