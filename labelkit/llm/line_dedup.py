@@ -8,7 +8,8 @@
 2. Keys that the second filter holds are suspected.  Only their 128-bit digests
    travel, with the document's id, and are counted exactly.
 3. Confirmed keys go back to the lines that hold them (very common keys by
-   broadcast, see ``common.lookup``), then to their documents.
+   broadcast, see ``common.lookup``), then to their documents.  Only documents
+   that a bit table of ids does not prove to be whole are shuffled for that.
 
 Beyond some hundred million lines the filters fill up and suspect more lines;
 the result stays exact, and more digests (24 bytes a line) are shuffled.
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labelkit.llm.common import lookup, written
+from labelkit.llm.common import fresh, lookup, parted, without, written
 
 SPACES = " \t\n\x0b\x0c\r"
 MIN_CHARS, MIN_DOCS = 40, 5
@@ -144,17 +145,20 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
     total = suspects.count()
     drops = lookup(suspects.distinct(), common, "digest", "n", total).filter(~F.col("id").eqNullSafe(F.col("keep")))
-    drops = drops.groupBy(F.col("id").alias("_drop_id")).agg(F.collect_set("digest").alias("_drop"))
-    joined = docs.withColumn("_id", F.col(id_col)).join(drops, F.col("_id").eqNullSafe(F.col("_drop_id")), "left").drop("_id", "_drop_id")
+    own, drop_id, drop = fresh(docs, "_id", "_drop_id", "_drop")
+    drops = written(drops.groupBy(F.col("id").alias(drop_id)).agg(F.collect_set("digest").alias(drop)), "line-drops")
+    cut, whole = parted(docs, id_col, drops.select(drop_id))
+    cut = cut.withColumn(own, F.col(id_col)).join(drops, F.col(own).eqNullSafe(F.col(drop_id)), "left").drop(own, drop_id)
+    joined = cut.unionByName(whole.withColumn(drop, F.lit(None).cast("array<binary>")))
 
-    out_type = T.StructType([f for f in docs.schema if f.name not in ("n_lines", "n_dropped")] + [T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
+    out_type = T.StructType([*without(docs, ("n_lines", "n_dropped")), T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
     names = out_type.names
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, lines, dropped = [], [], []
-            for text, drop in zip(batch.column(text_col), batch.column("_drop"), strict=True):
-                text, gone = text.as_py(), set(drop.as_py() or ())
+            for text, digests in zip(batch.column(text_col), batch.column(drop), strict=True):
+                text, gone = text.as_py(), set(digests.as_py() or ())
                 split = (text or "").split("\n")
                 kept = [line for line, d in zip(split, digests_of(text, min_chars), strict=True) if d not in gone] if gone else split
                 lines.append(len(split))

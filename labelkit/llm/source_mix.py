@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from labelkit.llm.common import lookup, written
+from labelkit.llm.common import fresh, lookup, without, written
 
 WEIGHTS, SHARE, CAP, SEED = (5.0, 2.0, 1.0), 1.5, 2.0, 17
 RANGE_ROWS = 4096
@@ -87,7 +87,6 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     if not 0 <= share <= cap:
         raise ValueError("share must be between 0 and cap")
     key = F.when(F.col(source_col).isNull(), F.lit("")).otherwise(F.concat(F.lit("="), F.col(source_col)))
-    spark = docs.sparkSession
     measured = docs.select(
         F.col(id_col).cast("string").alias("id"), key.alias("key"), F.col(source_col).alias("name"), word_count(text_col).alias("size"), quality(text_col).alias("weight"),
         order_key(id_col, quality(text_col), seed).alias("at"), F.xxhash64(text_col).alias("tie"),
@@ -109,13 +108,13 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     placed = rows.join(sums.filter("before >= 0"), ["key", "range"]).filter("before < part").withColumn("before", F.col("before") + F.sum("size").over(within) - F.col("size"))
     border = placed.filter("part - before >= size / 2").groupBy("key").agg(F.max(F.struct("at", "id", "tie")).alias("border"))
     sources = written(sources.join(border, "key", "left"), "mix-borders")
-    del spark
-
-    marked = docs.withColumns({"_key": key, "_at": F.struct(order_key(id_col, quality(text_col), seed).alias("at"), F.col(id_col).cast("string").alias("id"), F.xxhash64(text_col).alias("tie"))})
-    marked = marked.withColumnRenamed("_key", "key") if "key" not in docs.columns else marked.withColumnRenamed("key", "_own_key").withColumnRenamed("_key", "key")
-    found = sources.select("key", "n", F.col("words").alias("_words"), F.col("target").alias("_target"), F.col("border").alias("_border"))
-    joined = lookup(marked, found.withColumnRenamed("n", "_n"), "key", "_n", total) if many else marked.join(F.broadcast(found.drop("n")), "key")
-    joined = joined.drop("key").withColumnRenamed("_own_key", "key")
-    times = F.when(F.col("_words") > 0, F.floor(F.col("_target") / F.col("_words"))).otherwise(0) + F.when(F.col("_at") <= F.col("_border"), 1).otherwise(0)
-    out = joined.withColumns({"size": word_count(text_col)})
-    return out.withColumns({"source_size": F.col("_words"), "target": F.col("_target"), "taken": (F.col("size") * times).cast("long")}).drop("_at", "_words", "_target", "_border")
+
+    own, at, n, words, target, border = fresh(docs, "_key", "_at", "_n", "_words", "_target", "_border")
+    place = F.struct(order_key(id_col, quality(text_col), seed).alias("at"), F.col(id_col).cast("string").alias("id"), F.xxhash64(text_col).alias("tie"))
+    marked = docs.withColumns({own: key, at: place})
+    found = sources.select(F.col("key").alias(own), F.col("n").alias(n), F.col("words").alias(words), F.col("target").alias(target), F.col("border").alias(border))
+    joined = lookup(marked, found, own, n, total) if many else marked.join(F.broadcast(found.drop(n)), own)
+    times = F.when(F.col(words) > 0, F.floor(F.col(target) / F.col(words))).otherwise(0) + F.when(F.col(at) <= F.col(border), 1).otherwise(0)
+    size = word_count(text_col)
+    made = {"size": size, "source_size": F.col(words), "target": F.col(target), "taken": (size * times).cast("long")}
+    return joined.select(*(F.col(f.name) for f in without(docs, made)), *(c.alias(k) for k, c in made.items()))

@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from labelkit.llm.common import without
+
 MAX_RULE_BYTES = 64_000_000
 Rule = tuple[str, str, str]
 
@@ -90,7 +92,7 @@ def judge(pages: DataFrame, rules: Sequence[Rule], url_col: str = "url", default
     """``pages`` with host, path, rule and verdict for every URL."""
     trie = pages.sparkSession.sparkContext.broadcast(UrlTrie(rules))
     made = ("host", "path", "rule", "verdict")
-    schema = T.StructType([f for f in pages.schema if f.name not in made] + [T.StructField(c, T.StringType()) for c in made])
+    schema = T.StructType([*without(pages, made)] + [T.StructField(c, T.StringType()) for c in made])
     kept = schema.names[:-4]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

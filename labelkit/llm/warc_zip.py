@@ -16,7 +16,8 @@ Writing: of records with equal payloads of ``least`` bytes or more, the one with
 the largest id is a response, the others are revisits that refer to it.  Digests
 alone are grouped (a maximum, combined before the shuffle); a payload that very
 many pages share is looked up by broadcast.  Pages then get their rows' answers by
-id, are packed within their tasks and written a file each by Spark's text writer,
+id (only pages that a bit table of ids does not prove to be responses are shuffled),
+are packed within their tasks and written a file each by Spark's text writer,
 which commits through the job's protocol: a lost task leaves no file.  The line end
 that it adds is the ZIP's comment.
 
@@ -44,7 +45,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelkit.llm.common import chunks, lookup, written
+from labelkit.llm.common import chunks, lookup, parted, written
 
 LEAST, ARCHIVE_BYTES = 1000, 8_000_000
 WARC, INDEX, PACKAGE = "archive/data.warc.gz", "indexes/index.cdx", "datapackage.json"
@@ -218,8 +219,11 @@ def revisits(pages: DataFrame, id_col: str = "page_id", payload_col: str = "html
 def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", least: int = LEAST, archive_bytes: int = ARCHIVE_BYTES) -> None:
     """Write a WARC record for every row of ``pages`` to archives in the new folder ``path``."""
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(payload_col).alias("text"))
-    known = revisits(pages, id_col, payload_col, least).select(F.col("id").alias("_id"), F.col("digest").alias("_digest"), "refers_to")
-    answered = rows.join(known, (F.col("id") == F.col("_id")), "left").select("id", "url", "text", "_digest", "refers_to")
+    known = written(revisits(pages, id_col, payload_col, least), "page-revisits")
+    again, single = parted(rows, "id", known.select("id"))
+    again = again.join(known, "id", "left").select("id", "url", "text", "digest", "refers_to")
+    none = {"digest": F.lit(None).cast("string"), "refers_to": F.lit(None).cast(known.schema["refers_to"].dataType)}
+    answered = again.unionByName(single.withColumns(none))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def done(package: _Package) -> pa.RecordBatch:
@@ -229,7 +233,7 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
         package = _Package()
         for batch in batches:
             for part in chunks(batch):
-                for id_, url, text, digest, refers_to in zip(*(part.column(c).to_pylist() for c in ("id", "url", "text", "_digest", "refers_to")), strict=True):
+                for id_, url, text, digest, refers_to in zip(*(part.column(c).to_pylist() for c in ("id", "url", "text", "digest", "refers_to")), strict=True):
                     payload = (text or "").encode()
                     if refers_to is not None and hashlib.sha1(payload).hexdigest() != digest:
                         refers_to = None  # another row with the same id
