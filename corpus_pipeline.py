@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelkit.llm import jaccard_join, line_dedup, sentencepiece_codec, source_mix, toxicity
-from labelkit.llm.common import documents, labels, written
+from labelkit.llm.common import documents, fresh, labels, parted, written
 
 #: Near copies: sets of 5-word shingles that overlap by 80 % or more.
 NEAR_WORDS, NEAR_PERCENT = 5, 80
@@ -24,24 +24,32 @@ NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     lexicon = toxicity.fit(docs, toxicity.training_labels(labels(spark, sf_dir)))
-    return toxicity.score(docs, lexicon, out="_score").filter(F.col("_score") < toxicity.THRESHOLD).select(docs.columns)
+    (score,) = fresh(docs, "_score")
+    return toxicity.score(docs, lexicon, out=score).filter(F.col(score) < toxicity.THRESHOLD).select(docs.columns)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = line_dedup.dedup_lines(docs).select(docs.columns)
+    # A column of the input that is named as a count of the operator keeps its values under another name meanwhile.
+    names = dict(zip(("n_lines", "n_dropped"), fresh(docs, "_n_lines", "_n_dropped"), strict=True))
+    kept = line_dedup.dedup_lines(docs.withColumnsRenamed(names)).drop(*names).withColumnsRenamed({v: k for k, v in names.items()}).select(docs.columns)
     return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else kept
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = jaccard_join.near_duplicates(docs, n=NEAR_WORDS, percent=NEAR_PERCENT)
-    gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    gone = written(found.filter("doc_id <> component_id").select("doc_id").distinct(), "near-copies")
+    # Only documents that may go are shuffled.
+    some, rest = parted(docs, "doc_id", gone)
+    return some.join(gone, "doc_id", "left_anti").select(docs.columns).unionByName(rest)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    mixed = source_mix.mix(docs).filter("taken > 0")
-    times = (F.col("taken") / F.col("size")).cast("int")
-    return mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1), times))).select(docs.columns)
+    made = ("size", "source_size", "target", "taken")
+    names = dict(zip(made, fresh(docs, *(f"_{c}" for c in made)), strict=True))
+    mixed = source_mix.mix(docs.withColumnsRenamed(names)).filter("taken > 0")
+    (copy,) = fresh(mixed, "_copy")
+    copies = mixed.withColumn(copy, F.explode(F.sequence(F.lit(1), (F.col("taken") / F.col("size")).cast("int"))))
+    return copies.drop(*made).withColumnsRenamed({v: k for k, v in names.items()}).select(docs.columns)
 
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
