@@ -23,7 +23,8 @@ the exact step then groups: more shuffle, same result.
 
 Defined results: null or empty texts have no words and become empty texts.  Rows
 with the same id are one document: equal starts in them are not earlier than one
-another.  Null ids are one document before all others.  Extra columns pass through.
+another, and each row (known by its id and its text's hash) loses its own windows.
+Null ids are one document before all others.  Extra columns pass through.
 """
 
 from __future__ import annotations
@@ -81,7 +82,7 @@ def _counts(docs: DataFrame, lengths: Sequence[int], below: Sequence, bits: int)
 
 
 def _runs(docs: DataFrame, size: int, tables: Sequence, id_type: str, bits: int) -> DataFrame:
-    """(h1, h2, n, id, start, words): runs of n neighbouring survivors, with the hashes of their words."""
+    """(h1, h2, n, id, tie, start, words): runs of n neighbouring survivors, with the hashes of their words."""
     lengths = levels(size)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,11 +111,11 @@ def _runs(docs: DataFrame, size: int, tables: Sequence, id_type: str, bits: int)
                         rows["h2"].append(int((b[s:e] * weight).sum(dtype=np.uint64).astype(np.int64)))
                     rows["words"].append(words.hashes[s : e + size - 1].tobytes())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows["h1"], pa.int64()), pa.array(rows["h2"], pa.int64()), pa.array((ends - starts).astype(np.int32)), part.column("id").take(pa.array(owner)), pa.array((starts - words.first[owner]).astype(np.int32)), pa.array(rows["words"], pa.binary())],
-                    names=["h1", "h2", "n", "id", "start", "words"],
+                    [pa.array(rows["h1"], pa.int64()), pa.array(rows["h2"], pa.int64()), pa.array((ends - starts).astype(np.int32)), part.column("id").take(pa.array(owner)), part.column("tie").take(pa.array(owner)), pa.array((starts - words.first[owner]).astype(np.int32)), pa.array(rows["words"], pa.binary())],
+                    names=["h1", "h2", "n", "id", "tie", "start", "words"],
                 )
 
-    return docs.mapInArrow(run, f"h1 long, h2 long, n int, id {id_type}, start int, words binary")
+    return docs.mapInArrow(run, f"h1 long, h2 long, n int, id {id_type}, tie long, start int, words binary")
 
 
 def _run_windows(batch: pa.RecordBatch, size: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -130,7 +131,7 @@ def _run_windows(batch: pa.RecordBatch, size: int) -> Iterator[tuple[pa.RecordBa
 
 
 def _spread(runs: DataFrame, size: int, id_type: str, bits: int) -> DataFrame:
-    """(h1, h2, id, start) of the windows that may be in more than one of the runs."""
+    """(h1, h2, id, tie, start) of the windows that may be in more than one of the runs."""
     mask = np.uint64((1 << bits) - 1)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,44 +148,46 @@ def _spread(runs: DataFrame, size: int, id_type: str, bits: int) -> DataFrame:
             for part, a, b, run, number in _run_windows(batch, size):
                 may = flagged(again.value, a & mask)
                 start = number[may] + part.column("start").to_numpy()[run[may]]
-                yield pa.RecordBatch.from_arrays([pa.array(a[may].view(np.int64)), pa.array(b[may].view(np.int64)), part.column("id").take(pa.array(run[may])), pa.array(start.astype(np.int32))], names=["h1", "h2", "id", "start"])
+                yield pa.RecordBatch.from_arrays([pa.array(a[may].view(np.int64)), pa.array(b[may].view(np.int64)), part.column("id").take(pa.array(run[may])), part.column("tie").take(pa.array(run[may])), pa.array(start.astype(np.int32))], names=["h1", "h2", "id", "tie", "start"])
 
-    return runs.mapInArrow(spread, f"h1 long, h2 long, id {id_type}, start int")
+    return runs.mapInArrow(spread, f"h1 long, h2 long, id {id_type}, tie long, start int")
 
 
 def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, sketch_bits: int = SKETCH_BITS) -> DataFrame:
-    """(id, start, n): n windows from word ``start`` on, each of which also starts earlier."""
+    """(id, tie, start, n): n windows from word ``start`` on of the row with this id and hash of its text, each of which also starts earlier."""
     if size < 1:
         raise ValueError("size must be 1 or more")
-    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("tie"))
     id_type = docs.schema["id"].dataType.simpleString()
     lengths, tables = levels(size), []
     for _ in lengths:
         tables.append(docs.sparkSession.sparkContext.broadcast(_counts(docs, lengths, tables, sketch_bits)))
     runs = written(_runs(docs, size, tables, id_type, sketch_bits), "runs")
     place = F.struct("id", "start")
-    firsts = runs.groupBy("h1", "h2", "n").agg(F.min(place).alias("first"), F.count("*").alias("times"), F.min_by("words", place).alias("words"))
-    firsts = written(firsts.select("h1", "h2", "n", "times", "first.id", "first.start", "words"), "first-runs")
+    row = F.struct("id", "start", "tie")
+    firsts = runs.groupBy("h1", "h2", "n").agg(F.min(row).alias("first"), F.count("*").alias("times"), F.min_by("words", row).alias("words"))
+    firsts = written(firsts.select("h1", "h2", "n", "times", "first.id", "first.tie", "first.start", "words"), "first-runs")
     total = runs.count()
     many = firsts.filter("times > 1").select(F.struct("h1", "h2", "n").alias("key"), "times", F.struct("id", "start").alias("first"))
-    copies = lookup(runs.select(F.struct("h1", "h2", "n").alias("key"), "id", "start"), many, "key", "times", total)
-    copies = copies.filter(~F.struct("id", "start").eqNullSafe(F.col("first"))).select("id", "start", F.col("key.n").alias("n"))
+    copies = lookup(runs.select(F.struct("h1", "h2", "n").alias("key"), "id", "tie", "start"), many, "key", "times", total)
+    copies = copies.filter(~F.struct("id", "start").eqNullSafe(F.col("first"))).select("id", "tie", "start", F.col("key.n").alias("n"))
 
     windows = written(_spread(firsts, size, id_type, sketch_bits), "windows")
     begin = windows.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("times")).filter("times > 1")
     begin = written(begin.select(F.struct("h1", "h2").alias("key"), "times", "first"), "first-windows")
-    later = lookup(windows.select(F.struct("h1", "h2").alias("key"), "id", "start"), begin, "key", "times", windows.count())
-    later = later.filter(~F.struct("id", "start").eqNullSafe(F.col("first"))).select("id", "start", F.lit(1).alias("n"))
+    later = lookup(windows.select(F.struct("h1", "h2").alias("key"), "id", "tie", "start"), begin, "key", "times", windows.count())
+    later = later.filter(~F.struct("id", "start").eqNullSafe(F.col("first"))).select("id", "tie", "start", F.lit(1).alias("n"))
     return copies.unionByName(later)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, sketch_bits: int = SKETCH_BITS) -> DataFrame:
     """``docs`` with the kept words, joined by one space, as text, plus n_words (before) and n_removed."""
-    own, cut_id, cut, start_, n_ = fresh(docs, "_id", "_cut_id", "_cut", "_start", "_n")
-    ranges = covered(docs, id_col, text_col, size, sketch_bits).groupBy(F.col("id").alias(cut_id)).agg(F.collect_list(F.struct("start", "n")).alias(cut))
-    ranges = written(ranges.select(cut_id, F.col(f"{cut}.start").alias(start_), F.col(f"{cut}.n").alias(n_)), "cuts")
+    own, tie, cut_id, cut_tie, cut, start_, n_ = fresh(docs, "_id", "_tie", "_cut_id", "_cut_tie", "_cut", "_start", "_n")
+    ranges = covered(docs, id_col, text_col, size, sketch_bits).groupBy(F.col("id").alias(cut_id), F.col("tie").alias(cut_tie)).agg(F.collect_list(F.struct("start", "n")).alias(cut))
+    ranges = written(ranges.select(cut_id, cut_tie, F.col(f"{cut}.start").alias(start_), F.col(f"{cut}.n").alias(n_)), "cuts")
     some, whole = parted(docs, id_col, ranges.select(cut_id))
-    some = some.withColumn(own, F.col(id_col)).join(ranges, F.col(own).eqNullSafe(F.col(cut_id)), "left").drop(own, cut_id)
+    some = some.withColumns({own: F.col(id_col), tie: F.xxhash64(text_col)})
+    some = some.join(ranges, F.col(own).eqNullSafe(F.col(cut_id)) & (F.col(tie) == F.col(cut_tie)), "left").drop(own, tie, cut_id, cut_tie)
     joined = some.unionByName(whole.withColumns({c: F.lit(None).cast("array<int>") for c in (start_, n_)}))
     schema = T.StructType([*without(docs, ("n_words", "n_removed")), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
     names = schema.names

@@ -221,9 +221,9 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(payload_col).alias("text"))
     known = written(revisits(pages, id_col, payload_col, least), "page-revisits")
     again, single = parted(rows, "id", known.select("id"))
-    again = again.join(known, "id", "left").select("id", "url", "text", "digest", "refers_to")
-    none = {"digest": F.lit(None).cast("string"), "refers_to": F.lit(None).cast(known.schema["refers_to"].dataType)}
-    answered = again.unionByName(single.withColumns(none))
+    again = again.withColumn("digest", F.sha1(F.encode(F.coalesce("text", F.lit("")), "UTF-8")))
+    again = again.join(known, ["id", "digest"], "left").select("id", "url", "text", "refers_to")
+    answered = again.unionByName(single.withColumn("refers_to", F.lit(None).cast(known.schema["refers_to"].dataType)))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def done(package: _Package) -> pa.RecordBatch:
@@ -233,11 +233,8 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
         package = _Package()
         for batch in batches:
             for part in chunks(batch):
-                for id_, url, text, digest, refers_to in zip(*(part.column(c).to_pylist() for c in ("id", "url", "text", "digest", "refers_to")), strict=True):
-                    payload = (text or "").encode()
-                    if refers_to is not None and hashlib.sha1(payload).hexdigest() != digest:
-                        refers_to = None  # another row with the same id
-                    package.add(id_, url, payload, refers_to)
+                for id_, url, text, refers_to in zip(*(part.column(c).to_pylist() for c in ("id", "url", "text", "refers_to")), strict=True):
+                    package.add(id_, url, (text or "").encode(), refers_to)
                     if package.data.tell() >= archive_bytes:
                         yield done(package)
                         package = _Package()

@@ -134,7 +134,7 @@ def page_rows():
     big, rows = "<p>" + "é text " * 200, []
     for k, html in enumerate([big, "small", big, None, "", "small", big + "x", "x" * 999, "x" * 999, "y" * 1000, "y" * 1000, "\r\n\r\nWARC/1.0\r\n\r\n" * 90]):
         rows.append((k, f"http://host{k}.org/a b\r\nX: 1/é" if k % 3 else None, html))
-    return [*rows, (0, "http://twice.org/", big), (6, "u", big + "x"), (None, None, big), (None, "v", "y" * 1000), (30, "z", "long " * 400_000), (31, "z", "long " * 400_000)]
+    return [*rows, (0, "http://twice.org/", big), (6, "u", big + "x"), (None, None, big), (None, "v", "y" * 1000), (30, "z", "long " * 400_000), (31, "z", "long " * 400_000), (9, "twice", big), (9, "twice", big + "x"), (40, "w", big)]
 
 
 def brute_pages(rows):
