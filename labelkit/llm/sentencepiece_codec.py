@@ -4,17 +4,20 @@ A merge-type (BPE) SentencePiece model is read with the public library on the
 driver; its pieces travel to the tasks as a broadcast of fixed size.  Encoding
 is an agenda per unit: adjacent symbols that form a piece are candidates,
 the best-scored (then leftmost) one is merged next.  With dropout, a candidate is
-skipped when its turn comes if a keyed hash of (seed, variant, unit, place, piece)
-falls below the rate; a neighbour's merge may bring it up anew.  Symbols that are
-no piece become byte pieces.
+skipped when its turn comes if a keyed hash of (seed, document's id, the unit's
+number in the document, place, piece) falls below the rate: every occurrence of a
+word has draws of its own.  Symbols that are no piece become byte pieces.
 
 A unit is a stretch that no merge can leave: white space and the letters after
 it; no piece goes on beyond a letter followed by white space, and line breaks
-and tabs are in no piece.  The variant is a keyed hash of the document's id and
-the unit's number, modulo ``VARIANTS``.  So a unit's segmentation is a function of
-its text and its variant, and tasks remember those they have made (a bounded
-number): the same document gets the same pieces on every run and partitioning,
-and a word gets several segmentations over a corpus.
+and tabs are in no piece.  A unit's segmentation is a function of its text and of
+the candidates that are skipped, so tasks remember those they have made (a bounded
+number) as a tree for each unit: its root is the agenda without skips, the child
+of a candidate is the agenda in which this one is skipped as well.  An occurrence
+draws for all candidates of a node at once and goes to the child of the first one
+skipped, or has the node's pieces; after ``DEPTH`` skips it gets an agenda of its
+own.  What is remembered changes no result: the same document gets the same
+pieces on every run and partitioning.
 
 Decoding turns pieces into text: byte pieces into bytes, the space sign into a
 space, less the one set before the text.  decode(encode(text)) is the text; a
@@ -30,6 +33,7 @@ from __future__ import annotations
 import heapq
 import re
 from collections.abc import Iterator, Sequence
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +45,9 @@ from pyspark.sql import types as T
 from labelkit.llm.common import mix
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-DROPOUT, SEED, VARIANTS = 0.1, 17, 4
-CACHE_UNITS, LONG_UNIT = 600_000, 48
+DROPOUT, SEED = 0.1, 17
+#: Remembered segmentations; longest unit that has any; skips after which none are remembered; units handled at once.
+CACHE_UNITS, LONG_UNIT, DEPTH, SLICE_UNITS = 500_000, 48, 2, 50_000
 SPACE = "▁"
 
 _UNIT = re.compile("▁*[^▁\n\t\x00]+|▁+|[\n\t\x00]")
@@ -106,87 +111,123 @@ class Pieces:
         return self.codecs.setdefault(options, Codec(self, *options))
 
 
-def _skipped(key: np.ndarray, place: np.ndarray, piece: np.ndarray, bound: int) -> np.ndarray:
+def _codes(place: np.ndarray, piece: np.ndarray) -> np.ndarray:
+    """A number for each candidate: where it starts in the unit, and what it forms (never 0)."""
+    with np.errstate(over="ignore"):
+        return place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + piece.astype(np.uint64) * np.uint64(0xD1342543DE82EF95)
+
+
+def _skipped(keys: np.ndarray, codes: np.ndarray, bound: int) -> np.ndarray:
     """The keyed hash of candidates: whether their turn is skipped."""
     with np.errstate(over="ignore"):
-        at = key + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + piece.astype(np.uint64) * np.uint64(0xD1342543DE82EF95)
-    return (mix(at) >> np.uint64(32)) < np.uint64(bound)
+        return (mix(keys + codes) >> np.uint64(32)) < np.uint64(bound)
+
+
+def _ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The positions of all ranges, one range after another."""
+    ends = np.cumsum(size)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - ends + size, size)
+
+
+class _Flat:
+    """An array that grows."""
+
+    def __init__(self, dtype):
+        self.data, self.n = np.empty(1024, dtype), 0
+
+    def add(self, values: np.ndarray) -> None:
+        end = self.n + len(values)
+        if end > len(self.data):
+            self.data = np.concatenate((self.data[: self.n], np.empty(max(end, self.n * 3 // 2) - self.n, self.data.dtype)))
+        self.data[self.n : end] = values
+        self.n = end
 
 
 class Codec:
     """Encoder and decoder of one task."""
 
-    def __init__(self, pieces: Pieces, dropout: float = 0.0, seed: int = SEED, variants: int = VARIANTS):
-        if not 0 <= dropout < 1 or variants < 1:
-            raise ValueError("dropout must be in [0, 1) and variants 1 or more")
+    def __init__(self, pieces: Pieces, dropout: float = 0.0, seed: int = SEED):
+        if not 0 <= dropout < 1:
+            raise ValueError("dropout must be in [0, 1)")
         self.pieces, self.bound, self.seed = pieces, int(dropout * 2**32), seed
-        self.variants = variants if self.bound else 1
-        self.known: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
         self.room = CACHE_UNITS
-
-    def _keys(self, units: Sequence[str], variant: int) -> np.ndarray:
-        return np.array([xxhash.xxh64_intdigest(u, variant + (self.seed << 16) & 0xFFFFFFFFFFFFFFFF) for u in units], dtype=np.uint64)
-
-    def _agendas(self, units: Sequence[str], variant: int) -> list[bytes]:
-        """Each unit's ids (int32), the agendas of all units side by side: a step takes every unit's best candidate."""
-        width = max(map(len, units))
+        self._forget()
+
+    def _forget(self) -> None:
+        """No node but the space sign of a text, in bytes."""
+        sign = np.array([self.pieces.byte_ids[b] for b in SPACE.encode()], dtype=np.int32)
+        self.roots: dict[str | None, int] = {}
+        self.units: list[str | None] = []
+        # Of each node the number of its unit, the codes of the candidates skipped (DEPTH, unused ones 0), and the ranges
+        # of its ids and of its candidates after the last skip; of these candidates their codes and children.
+        self.unit, self.gone = _Flat(np.int32), _Flat(np.uint64)
+        self.ids, self.codes, self.child = _Flat(np.int32), _Flat(np.uint64), _Flat(np.int32)
+        self.ids_at, self.ids_n, self.codes_at, self.codes_n = (_Flat(np.int32) for _ in range(4))
+        self.roots[None] = 0
+        self.units.append(None)
+        self._add(np.zeros(1, np.int32), np.zeros((1, DEPTH), np.uint64), sign, np.array([len(sign)]), np.empty(0, np.uint64), np.array([0]))
+
+    def _add(self, unit: np.ndarray, gone: np.ndarray, ids: np.ndarray, ids_n: np.ndarray, codes: np.ndarray, codes_n: np.ndarray) -> None:
+        self.unit.add(unit)
+        self.gone.add(gone.reshape(-1))
+        for flat, values, at, n, sizes in ((self.ids, ids, self.ids_at, self.ids_n, ids_n), (self.codes, codes, self.codes_at, self.codes_n, codes_n)):
+            at.add(flat.n + np.cumsum(sizes) - sizes)
+            n.add(sizes)
+            flat.add(values)
+        self.child.add(np.full(len(codes), -1, np.int32))
+
+    def _agendas(self, units: Sequence[str], keys: np.ndarray | int, gone: np.ndarray | None = None, trace: list | None = None) -> list[bytes]:
+        """Each unit's ids (int32), the agendas of all units side by side: a step takes every unit's best candidate.
+
+        Candidates are skipped by the occurrences' keys, or else just those whose
+        codes are in the unit's row of ``gone``.  ``trace`` gets each step's units, codes and skips.
+        """
+        count, width = len(units), max(map(len, units))
         points = np.frombuffer("".join([u.ljust(width, "\0") for u in units]).encode("utf-32-le"), dtype=np.uint32).reshape(-1, width)
-        symbols = self.pieces.first[points]
-        symbols[np.arange(width) >= np.array([len(u) for u in units])[:, None]] = -1
-        out: list[bytes] = [b""] * len(units)
-
-        def finish(rows: np.ndarray, values: np.ndarray) -> None:
-            full = values != -1
-            ends = (4 * np.cumsum(full.sum(axis=1))).tolist()
-            data, start = values[full].tobytes(), 0
-            for i, end in zip(rows.tolist(), ends, strict=True):
-                out[i] = data[start:end]
-                start = end
-            for k in np.flatnonzero((values < -1).any(axis=1)).tolist():
-                out[rows[k]] = self.pieces.bytes_for(values[k][full[k]].tolist())
-
-        if width == 1:
-            finish(np.arange(len(units)), symbols)
-            return out
-        rows, key = np.arange(len(units)), self._keys(units, variant) if self.bound else np.zeros(len(units), np.uint64)
-        place = np.broadcast_to(np.arange(width), symbols.shape).copy()
-        made = np.full(symbols.shape, -1, dtype=np.int32)  # what the pair from a symbol on forms
-        made[:, :-1] = self.pieces.merge(symbols[:, :-1], symbols[:, 1:])
-        columns = np.arange(width)
-        while len(rows):
-            cost = self.pieces.cost[made]
-            best = cost.argmin(axis=1)
-            line = np.arange(len(rows))
-            piece = made[line, best]
-            over = piece < 0
-            if over.any():
-                finish(rows[over], symbols[over])
-                stay = ~over
-                rows, key, symbols, place, made, best, piece = rows[stay], key[stay], symbols[stay], place[stay], made[stay], best[stay], piece[stay]
-                line = np.arange(len(rows))
-                if not len(rows):
-                    break
-            skip = _skipped(key, place[line, best], piece, self.bound) if self.bound else np.zeros(len(rows), bool)
-            made[line[skip], best[skip]] = -1
-            go = np.flatnonzero(~skip)
-            if not len(go):
-                continue
-            at = best[go]
-            source = np.minimum(columns + (columns > at[:, None]), width - 1)
-            part = np.take_along_axis(symbols[go], source, axis=1)
-            part[:, -1] = -1
-            lines = np.arange(len(go))
-            part[lines, at] = piece[go]
-            pairs = np.take_along_axis(made[go], source, axis=1)
-            pairs[:, -1] = -1
-            nxt = np.minimum(at + 1, width - 1)
-            pairs[lines, at] = np.where(at + 1 < width, self.pieces.merge(part[lines, at], part[lines, nxt]), -1)
-            inner = at > 0
-            pairs[lines[inner], at[inner] - 1] = self.pieces.merge(part[lines[inner], at[inner] - 1], part[lines[inner], at[inner]])
-            symbols[go], made[go], place[go] = part, pairs, np.take_along_axis(place[go], source, axis=1)
+        full = width + 1  # the last column stands for what is beyond both ends
+        grid = np.full((count, full), -1, dtype=np.int32)
+        grid[:, :-1] = self.pieces.first[points]
+        grid[:, :-1][np.arange(width) >= np.array([len(u) for u in units])[:, None]] = -1
+        pairs = np.full((count, full), -1, dtype=np.int32)  # what the symbol at a place forms with the next one
+        pairs[:, :-2] = self.pieces.merge(grid[:, :-2], grid[:, 1:-1])
+        costs, never = self.pieces.cost[pairs], self.pieces.cost[-1]
+        symbols, made, cost = grid.reshape(-1), pairs.reshape(-1), costs.reshape(-1)
+        right = np.tile(np.append(np.arange(1, full), width).astype(np.int32), count)
+        left = np.tile(np.append(width, np.arange(width)).astype(np.int32), count)
+        keys = np.broadcast_to(np.asarray(keys, dtype=np.uint64), count)
+        rows = np.arange(count)
+        while True:
+            place = costs[rows].argmin(axis=1)
+            at = rows * full + place
+            piece = made[at]
+            on = piece >= 0
+            if not on.all():
+                rows, place, at, piece = rows[on], place[on], at[on], piece[on]
+            if not len(rows):
+                break
+            if gone is not None or self.bound:
+                code = _codes(place, piece)
+                skip = _skipped(keys[rows], code, self.bound) if gone is None else (gone[rows] == code[:, None]).any(axis=1)
+                if trace is not None:
+                    trace.append((rows, code, skip))
+                made[at[skip]], cost[at[skip]] = -1, never
+                place, at, piece = place[~skip], at[~skip], piece[~skip]
+            start = at - place
+            joined = start + right[at]
+            after, before = start + right[joined], start + left[at]
+            symbols[at], symbols[joined], made[joined], cost[joined] = piece, -1, -1, never
+            right[at], left[after] = right[joined], place
+            made[at], made[before] = self.pieces.merge(piece, symbols[after]), self.pieces.merge(symbols[before], piece)
+            cost[at], cost[before] = self.pieces.cost[made[at]], self.pieces.cost[made[before]]
+        stays = grid != -1
+        ends = [0, *(4 * np.cumsum(stays.sum(axis=1))).tolist()]
+        data = grid[stays].tobytes()
+        out = [data[i:j] for i, j in zip(ends[:-1], ends[1:], strict=True)]
+        for k in np.flatnonzero((grid < -1).any(axis=1)).tolist():
+            out[k] = self.pieces.bytes_for(grid[k][stays[k]].tolist())
         return out
 
-    def _agenda(self, unit: str, variant: int) -> bytes:
+    def _agenda(self, unit: str, key: int) -> bytes:
         """The same for one long unit: a heap, so that the time grows with n log n."""
         pieces, n = self.pieces, len(unit)
         text = pieces.first[[ord(c) for c in unit]].tolist()
@@ -195,8 +236,7 @@ class Codec:
         agenda = [(pieces.cost[p], i, i + 1, p) for i, p in enumerate(made) if p >= 0]
         heapq.heapify(agenda)
         pair = dict(enumerate(made))
-        key = self._keys([unit], variant)
-        known = {}
+        keys, known = np.array([key], dtype=np.uint64), {}
 
         def candidate(i: int, j: int) -> None:
             sides = (text[i], text[j])
@@ -210,7 +250,7 @@ class Codec:
             _, i, j, piece = heapq.heappop(agenda)
             if gone[i] or right[i] != j or pair.get(i) != piece:
                 continue  # one side has merged with another neighbour
-            if self.bound and _skipped(key, np.array([i]), np.array([piece]), self.bound)[0]:
+            if self.bound and _skipped(keys, _codes(np.array([i]), np.array([piece])), self.bound)[0]:
                 pair[i] = -1
                 continue
             text[i], gone[j] = piece, True
@@ -225,47 +265,97 @@ class Codec:
         return pieces.bytes_for([text[i] for i in range(n) if not gone[i]])
 
     def encode_all(self, texts: Sequence[str], keys: Sequence[str]) -> list[np.ndarray]:
-        """Piece ids of each text; its key picks the variants of its units."""
-        split, picks = [], []
-        for text, key in zip(texts, keys, strict=True):
-            units: list[str | None] = []
+        """Piece ids of each text; its key and a unit's number in it pick the skips of this unit."""
+        units: list[str | None] = []
+        counts = []
+        for text in texts:
+            before = len(units)
             for k, part in enumerate(text.split(SPACE)) if text else ():
                 units += [None] if k else []  # a space sign of the text itself
                 units += _UNIT.findall(("" if k else SPACE) + part.replace(" ", SPACE))
-            split.append(units)
-            state = np.uint64(xxhash.xxh64_intdigest(f"{self.seed}|{key}"))
-            with np.errstate(over="ignore"):
-                picks.append((mix(state + np.arange(len(units), dtype=np.uint64)) % np.uint64(self.variants)).tolist())
-        if sum(map(len, self.known)) >= self.room:
-            for known in self.known:
-                known.clear()
-        known, missing = self.known, [set() for _ in self.known]
-        found = [[known[v].get(u) for u, v in zip(units, pick, strict=True)] for units, pick in zip(split, picks, strict=True)]
-        gaps = [[k for k, ids in enumerate(row) if ids is None] if None in row else () for row in found]
-        for units, pick, gap in zip(split, picks, gaps, strict=True):
-            for k in gap:
-                missing[pick[k]].add(units[k])
-        made = [self._made(v, wanted - {None}) for v, wanted in enumerate(missing)]
-        sign = np.array([self.pieces.byte_ids[b] for b in SPACE.encode()], dtype=np.int32).tobytes()
-        for row, units, pick, gap in zip(found, split, picks, gaps, strict=True):
-            for k in gap:
-                row[k] = sign if units[k] is None else made[pick[k]][units[k]]
-        return [np.frombuffer(b"".join(row), dtype=np.int32) for row in found]
-
-    def _made(self, variant: int, wanted: set[str]) -> dict[str, bytes]:
-        """The ids of new units; those of usual length are kept."""
-        out, by_size = {}, {}
-        for unit in wanted:
-            if len(unit) > LONG_UNIT:
-                out[unit] = self._agenda(unit, variant)
-            else:
-                by_size.setdefault(-(-len(unit) // 2), []).append(unit)
+            counts.append(len(units) - before)
+        states = np.array([xxhash.xxh64_intdigest(f"{self.seed}|{key}") for key in keys], dtype=np.uint64)
+        numbers = _ranges(np.zeros(len(counts), np.int64), np.array(counts, dtype=np.int64)).astype(np.uint64)
+        with np.errstate(over="ignore"):
+            draws = mix(np.repeat(states, counts) + numbers)
+        parts = [self._encode_units(units[k : k + SLICE_UNITS], draws[k : k + SLICE_UNITS]) for k in range(0, len(units), SLICE_UNITS)]
+        ids, sizes = (np.concatenate([*x]) for x in zip((np.empty(0, np.int32), np.empty(0, np.int64)), *parts, strict=True))
+        ends = np.concatenate(([0], np.cumsum(sizes)))[np.cumsum([0, *counts])]
+        return [ids[i:j] for i, j in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+
+    def _encode_units(self, units: Sequence[str | None], draws: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of occurrences with these keys, one after another, and the number of ids of each."""
+        if self.unit.n >= self.room:
+            self._forget()
+        new = [u for u in dict.fromkeys(units) if u not in self.roots and len(u) <= LONG_UNIT]
+        self.units += new
+        made = self._grow(np.arange(len(self.units) - len(new), len(self.units)), np.zeros((len(new), DEPTH), np.uint64))
+        self.roots.update(zip(new, made.tolist(), strict=True))
+        node = np.array([*map(self.roots.get, units, repeat(-1))], dtype=np.int64)
+        own = [np.flatnonzero(node < 0)]  # occurrences with an agenda of their own
+        live = np.flatnonzero(node >= 0)
+        for depth in range(DEPTH + 1 if self.bound else 0):
+            size = self.codes_n.data[node[live]]
+            at = _ranges(self.codes_at.data[node[live]], size)
+            hit = np.flatnonzero(_skipped(np.repeat(draws[live], size), self.codes.data[at], self.bound))
+            row, first = np.unique(np.repeat(live, size)[hit], return_index=True)
+            live, at = row, at[hit[first]]
+            if depth == DEPTH:
+                own.append(live)
+                node[live] = -1
+                break
+            lacking = np.unique(at[self.child.data[at] < 0])
+            parent = np.searchsorted(self.codes_at.data[: self.codes_at.n], lacking, "right") - 1
+            gone = self.gone.data[: self.gone.n].reshape(-1, DEPTH)[parent]
+            gone[:, depth] = self.codes.data[lacking]
+            made = self._grow(self.unit.data[parent], gone)  # before the children are set: their array may grow
+            self.child.data[lacking] = made
+            node[live] = self.child.data[at]
+        single = np.concatenate(own)
+        content = self._own([units[i] for i in single.tolist()], draws[single])
+        held = node >= 0
+        sizes, begin = np.empty(len(units), np.int64), np.empty(len(units), np.int64)
+        sizes[held], begin[held] = self.ids_n.data[node[held]], self.ids_at.data[node[held]]
+        sizes[single] = [len(x) // 4 for x in content]
+        begin[single] = self.ids.n + np.cumsum(sizes[single]) - sizes[single]
+        ids = self.ids.data[: self.ids.n]
+        if content:
+            ids = np.concatenate((ids, np.frombuffer(b"".join(content), dtype=np.int32)))
+        return ids[_ranges(begin, sizes)], sizes
+
+    def _groups(self, units: Sequence[str]) -> Iterator[list[int]]:
+        """The numbers of units of about the same length."""
+        by_size: dict[int, list[int]] = {}
+        for i, unit in enumerate(units):
+            by_size.setdefault(-(-len(unit) // 2), []).append(i)
         for group in by_size.values():
-            for k in range(0, len(group), 20_000):
-                part = group[k : k + 20_000]
-                new = dict(zip(part, self._agendas(part, variant), strict=True))
-                self.known[variant].update(new)
-                out.update(new)
+            yield from (group[k : k + 10_000] for k in range(0, len(group), 10_000))
+
+    def _own(self, units: Sequence[str], draws: np.ndarray) -> list[bytes]:
+        """The ids of each occurrence by an agenda of its own."""
+        out = [self._agenda(u, k) if len(u) > LONG_UNIT else b"" for u, k in zip(units, draws.tolist(), strict=True)]
+        short = [i for i, u in enumerate(units) if len(u) <= LONG_UNIT]
+        for group in self._groups([units[i] for i in short]):
+            at = [short[i] for i in group]
+            for i, ids in zip(at, self._agendas([units[i] for i in at], draws[at]), strict=True):
+                out[i] = ids
+        return out
+
+    def _grow(self, unit: np.ndarray, gone: np.ndarray) -> np.ndarray:
+        """New nodes of units (numbers), in which just the candidates with the codes ``gone`` are skipped."""
+        out, units = np.empty(len(unit), dtype=np.int64), [self.units[i] for i in unit.tolist()]
+        for group in self._groups(units):
+            trace: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+            ids = self._agendas([units[i] for i in group], 0, gone[group], trace)
+            none = (np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, bool))
+            rows, codes, skip = (np.concatenate(x) for x in zip(none, *(trace if self.bound else ()), strict=True))
+            order = np.argsort(rows, kind="stable")
+            rows, codes, skip = rows[order], codes[order], skip[order]
+            last = np.full(len(group), -1)
+            last[rows[skip]] = np.flatnonzero(skip)  # of several, the last one stays
+            after = np.arange(len(rows)) > last[rows]
+            out[group] = np.arange(len(group)) + self.unit.n
+            self._add(unit[group], gone[group], np.frombuffer(b"".join(ids), dtype=np.int32), np.array([len(x) // 4 for x in ids]), codes[after], np.bincount(rows[after], minlength=len(group)))
         return out
 
     def encode(self, text: str, key: str = "") -> list[int]:
@@ -287,13 +377,13 @@ def _with(df: DataFrame, columns: dict[str, T.DataType]) -> T.StructType:
     return T.StructType([f for f in df.schema if f.name not in columns] + [T.StructField(k, t) for k, t in columns.items()])
 
 
-def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", out: str = "ids", model_path: str = MODEL, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS) -> DataFrame:
+def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", out: str = "ids", model_path: str = MODEL, dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
     """``docs`` with the piece ids of each whole text in ``out``; a map without shuffle."""
     pieces = _broadcast(docs, model_path)
     schema = _with(docs, {out: T.ArrayType(T.IntegerType())})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = pieces.value.codec(dropout, seed, variants)
+        codec = pieces.value.codec(dropout, seed)
         for batch in batches:
             for k in range(0, batch.num_rows, 500):
                 part = batch.slice(k, 500)

@@ -70,6 +70,35 @@ def test_codec_full_cache(monkeypatch):
     assert [codec.encode(t, "k") for t in texts] == [sp.Codec(PIECES, 0.2).encode(t, "k") for t in texts]
 
 
+def test_codec_draws_for_every_occurrence():
+    codec = sp.Codec(PIECES, 0.1)
+    whole = sp.Codec(PIECES).encode("word")
+    assert len(whole) == 1
+    got = Counter(tuple(codec.encode("word", str(k))) for k in range(800))
+    assert len(got) > 4 and 0.05 < 1 - got[tuple(whole)] / 800 < 0.5
+    # One text: all its occurrences draw, too, and every word with a merge varies somewhere.
+    units = [f" {w}" for w in ("of", "word", "house", "segmentation")]
+    for unit in units:
+        plain = codec._agendas([unit.replace(" ", sp.SPACE)], 0, np.empty((1, 0), np.uint64))
+        made = codec.encode_all([unit * 500], ["k"])[0]
+        assert made.tobytes() != plain[0] * 500
+
+
+@pytest.mark.parametrize("dropout", [0.0, 0.1, 0.4])
+def test_codec_remembers_without_changing_results(monkeypatch, dropout):
+    rng = random.Random(3)
+    words = ["of", "house", "segmentation", "x", "日本語", "unforgettable" * 2, "y" * 60, "▁", "Ω½"]
+    texts = [" ".join(rng.choices(words, k=60)) for _ in range(4)] + HARD
+    keys = [str(k) for k in range(len(texts))]
+    codec = sp.Codec(PIECES, dropout)
+    want = [x.tolist() for x in codec.encode_all(texts, keys)]
+    assert [x.tolist() for x in codec.encode_all(texts, keys)] == want
+    assert [sp.Codec(PIECES, dropout).encode(t, k) for t, k in zip(texts, keys, strict=True)] == want
+    for name, value in (("SLICE_UNITS", 7), ("LONG_UNIT", 0), ("DEPTH", 0)):  # LONG_UNIT 0: no unit is remembered
+        monkeypatch.setattr(sp, name, value)
+        assert [x.tolist() for x in sp.Codec(PIECES, dropout).encode_all(texts, keys)] == want
+
+
 def brute_search(rows, asked, k=10):
     docs = [(i, Counter(WORD.findall((t or "").translate(UPPER)))) for i, t in rows if i is not None]
     mean = sum(sum(c.values()) for _, c in docs) / len(docs)
