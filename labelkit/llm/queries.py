@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelkit.llm import bm25, jaccard_join, line_dedup, quality_rules, sentencepiece_codec, source_mix, substring_dedup, toxicity, url_filter, warc_zip
-from labelkit.llm.common import documents, labels, pages, written
+from labelkit.llm import bm25, conversation_repair, jaccard_join, line_dedup, quality_rules, sentencepiece_codec, source_mix, substring_dedup, toxicity, url_filter, warc_zip
+from labelkit.llm.common import conversations, documents, labels, pages, written
 from labelkit.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,12 @@ _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+def _crc32(text: str) -> str:
+    """SQL: the unsigned CRC-32 of an ASCII text."""
+    byte = "list_reduce(range(8), lambda a, k: xor(a >> 1, (a & 1) * 3988292384), xor(h, b))"
+    return f"xor(list_reduce(list_transform(string_split({text}, ''), lambda x: ascii(x)::BIGINT), lambda h, b: {byte}, 4294967295::BIGINT), 4294967295)"
+
+
 def _query(sql: str | None = None):
     def register(f):
         QUERIES[f.__name__] = f
@@ -159,3 +165,58 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     measured = written(quality_rules.measure(documents(spark, sf_dir).select("doc_id", "text")).drop("text"), "quality-counts")
     judged = quality_rules.judge(measured, quality_rules.fit(measured, labels(spark, sf_dir)))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
+
+
+def _edit(cost: str, letter: str, line: str, to: int) -> str:
+    """SQL: what is left to do after an edit that leads to a state (of the row before), with the edit."""
+    return f"{{'c': p.v{to}.c + {cost}, 'a': '{letter}' || p.v{to}.a, 't': {line}p.v{to}.t}}"
+
+
+def _edits(state: int) -> str:
+    """SQL: the cheapest, then least, way to go on with the next row from a state, without an insertion before it."""
+    after = 3 if state == 2 else 2
+    ways = [f"[{_edit('2', 'D', '', state)}]", f"CASE WHEN NOT gone THEN [{_edit('1 + cut', 'R', f"'{'user' if after == 2 else 'assistant'}:' || text || chr(10) || ", after)}] ELSE [] END"]
+    for initial, to in ((("s", 1), ("u", 2)) if state == 0 else (("a" if state == 2 else "u", after),)):
+        ways.append(f"CASE WHEN NOT gone AND ini = '{initial}' THEN [{_edit('cut', 'K', "role || ':' || text || chr(10) || ", to)}] ELSE [] END")
+    return f"list_sort({' || '.join(ways)})[1]"
+
+
+def _inserted(own: str, other: str, role: str) -> str:
+    return f"list_sort([{own}, {{'c': {other}.c + 5, 'a': 'I' || {other}.a, 't': '{role}:' || chr(10) || {other}.t}}])[1]"
+
+
+_REPAIR_SQL = rf"""
+WITH RECURSIVE k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  {_crc32("(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))")} % 20 AS kind FROM conversations),
+d AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+  CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+  unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy FROM k WHERE kind <> 0),
+o AS (SELECT *, row_number() OVER w AS i, lag(substr(role, 1, 1)) OVER w || substr(role, 1, 1) AS pair,
+  row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again,
+  rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS solid FROM d WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)),
+f AS MATERIALIZED (SELECT conv_id, turn, role, text, i, substr(role, 1, 1) AS ini, pair, solid = '' AS blank, solid <> '' AND again AS dup,
+  solid <> '' AND NOT again AND right(solid, 1) NOT IN ('.', '!', '?') AS cut_off FROM o),
+r AS MATERIALIZED (SELECT conv_id, i, role, text, ini, blank OR dup AS gone, CASE WHEN cut_off THEN 5 ELSE 0 END AS cut FROM f),
+ends AS (SELECT {{'c': 0::BIGINT, 'a': '', 't': ''}} AS z, {{'c': 1000000000::BIGINT, 'a': '', 't': ''}} AS never),
+lattice AS (
+  SELECT conv_id, max(i) AS i, any_value(z) AS v0, any_value({{'c': 10::BIGINT, 'a': 'II', 't': 'user:' || chr(10) || 'assistant:' || chr(10)}}) AS v1,
+    any_value({{'c': 5::BIGINT, 'a': 'I', 't': 'assistant:' || chr(10)}}) AS v2, any_value(z) AS v3 FROM r CROSS JOIN ends GROUP BY conv_id
+  UNION ALL
+  SELECT conv_id, i, {_inserted('b0', 'w2', 'user')}, {_inserted('b1', 'w2', 'user')}, w2, w3 FROM (
+    SELECT *, {_inserted('b2', 'b3', 'assistant')} AS w2, {_inserted('b3', 'b2', 'user')} AS w3 FROM (
+      SELECT p.conv_id, p.i - 1 AS i, {_edits(0)} AS b0, {_edits(1)} AS b1, {_edits(2)} AS b2, {_edits(3)} AS b3
+      FROM lattice p JOIN r ON r.conv_id IS NOT DISTINCT FROM p.conv_id AND r.i = p.i))),
+s AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (dup) AS duplicate,
+  count(*) FILTER (cut_off) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY conv_id),
+c AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(v0.c, 0) AS cost, coalesce(v0.a, '') AS audit, sha256(coalesce(left(v0.t, length(v0.t) - 1), '')) AS repaired_sha256
+FROM c LEFT JOIN s ON s.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN (SELECT * FROM lattice WHERE i = 0) l ON l.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
+@_query(_REPAIR_SQL)
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of all (damaged) conversations, the cheapest edits that make them legal, and the repaired texts' hash."""
+    damaged = conversation_repair.damage(conversations(spark, sf_dir))
+    return conversation_repair.digests(conversation_repair.repair(damaged, absent="absent"))
