@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelkit.llm import bm25, conversation_repair, jaccard_join, line_dedup, quality_rules, sentencepiece_codec, source_mix, substring_dedup, toxicity, url_filter, warc_zip
+from labelkit.llm import bm25, conversation_repair, conversation_trie, jaccard_join, line_dedup, quality_rules, sentencepiece_codec, source_mix, substring_dedup, toxicity, url_filter, warc_zip
 from labelkit.llm.common import conversations, documents, labels, pages, written
 from labelkit.session import scratch_path
 
@@ -220,3 +220,26 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults of all (damaged) conversations, the cheapest edits that make them legal, and the repaired texts' hash."""
     damaged = conversation_repair.damage(conversations(spark, sf_dir))
     return conversation_repair.digests(conversation_repair.repair(damaged, absent="absent"))
+
+
+@_query(rf"""
+WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS k
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT DISTINCT conv_id, {_crc32("conv_id::VARCHAR")} % 4 AS h FROM t),
+r AS (SELECT c.conv_id, 0 AS part, k, role, text FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 20 AND k <= h
+  UNION ALL SELECT c.conv_id, 1, k, role, text FROM c JOIN t USING (conv_id) WHERE k > h),
+p AS (SELECT conv_id, list([role, text] ORDER BY part, k) AS turns FROM r GROUP BY 1),
+a AS (SELECT c.conv_id, coalesce(turns, []) AS turns FROM c LEFT JOIN p USING (conv_id)),
+x AS (SELECT conv_id AS c, unnest(range(len(turns) + 1)) AS depth, turns FROM a),
+n AS MATERIALIZED (SELECT depth, turns[1:depth] AS key, min(c) AS conv_id, count(*) AS n_convs, list(c ORDER BY c) FILTER (len(turns) = depth) AS ends,
+  len(regexp_extract_all(coalesce(any_value(turns[depth][2]), ''), '[^\x20\x09-\x0D]+')) AS words FROM x GROUP BY 1, 2),
+k AS (SELECT depth - 1 AS depth, key[1:depth - 1] AS key, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1, 2),
+m AS MATERIALIZED (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k USING (depth, key)),
+below AS (SELECT u.depth, u.key, sum((v.n_convs - 1) * v.words) AS saved, count(*) FILTER (v.n_children = 0) AS n_leaves FROM m u JOIN m v ON v.depth >= u.depth AND v.key[1:u.depth] = u.key GROUP BY 1, 2)
+SELECT m.conv_id, m.depth, o.conv_id AS parent_conv_id, m.n_convs, m.n_children, n_leaves, saved::BIGINT AS saved_tokens, sha256(coalesce(array_to_string(m.ends, ','), '')) AS ends_sha256
+FROM m JOIN below USING (depth, key) LEFT JOIN n o ON o.depth = m.depth - 1 AND o.key = m.key[1:m.depth - 1] AND m.depth > 0
+""")
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all rebuilt conversations' prefixes, with what sharing them saves."""
+    return conversation_trie.trie(conversations(spark, sf_dir))
