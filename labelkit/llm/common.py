@@ -111,12 +111,15 @@ def window_hashes(hashes: np.ndarray, n: int, other: bool = False) -> np.ndarray
 
 
 class Words:
-    """Words of a batch of texts: byte borders, the texts' first words, and 64-bit hashes."""
+    """Words of a batch of texts: byte borders, the texts' first words, and 64-bit hashes.
 
-    def __init__(self, texts: pa.Array, lower: bool = False):
+    ``gaps`` says which of the 256 bytes (after folding) are in no word; all others must be whole characters or not ASCII.
+    """
+
+    def __init__(self, texts: pa.Array, lower: bool = False, gaps: np.ndarray = _SPACE):
         self.raw, self.borders = text_bytes(texts)
         raw = _LOWER[self.raw] if lower else self.raw
-        solid = ~_SPACE[raw]
+        solid = ~gaps[raw]
         before, after = np.empty_like(solid), np.empty_like(solid)
         if len(solid):
             before[0], before[1:] = False, solid[:-1]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelkit.llm import bm25, conversation_repair, conversation_trie, jaccard_join, line_dedup, quality_rules, sentencepiece_codec, source_mix, substring_dedup, toxicity, url_filter, warc_zip
+from labelkit.llm import bm25, conversation_repair, conversation_trie, jaccard_join, license_scan, line_dedup, quality_rules, sentencepiece_codec, source_mix, substring_dedup, toxicity, url_filter, warc_zip
 from labelkit.llm.common import conversations, documents, labels, pages, written
 from labelkit.session import scratch_path
 
@@ -243,3 +243,19 @@ FROM m JOIN below USING (depth, key) LEFT JOIN n o ON o.depth = m.depth - 1 AND
 def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The trie of all rebuilt conversations' prefixes, with what sharing them saves."""
     return conversation_trie.trie(conversations(spark, sf_dir))
+
+
+LICENSE_PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
+
+
+@_query()
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and license texts in all documents."""
+    found = license_scan.scan(documents(spark, sf_dir).select("doc_id", "text"), LICENSE_PHRASES)
+    base = F.filter("spans", lambda s: s["phrase"])
+    labels_of = lambda spans: F.array_join(F.array_sort(F.array_distinct(F.transform(spans, lambda s: s["label"]))), ",")
+    starts = F.transform(base, lambda s: s["start"])
+    return found.select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        labels_of(base).alias("base_labels"), labels_of(F.col("spans")).alias("labels"), F.coalesce(F.array_max(F.transform("spans", lambda s: s["share"])), F.lit(0.0)).alias("score"),
+    )
