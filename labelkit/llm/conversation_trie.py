@@ -38,7 +38,7 @@ table has no nodes.  Very long texts are hashed whole.  Other columns are not us
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -65,8 +65,11 @@ def _powers(k: np.ndarray) -> np.ndarray:
     return out
 
 
-def _lanes(d1: np.ndarray, d2: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """The two t of turns with these digests."""
+#: Gives the two t of turns from the halves of their digests and a seed.
+Lanes = Callable[[np.ndarray, np.ndarray, int], tuple[np.ndarray, np.ndarray]]
+
+
+def mixed(d1: np.ndarray, d2: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
     with np.errstate(over="ignore"):
         return tuple(mix(d.view(np.uint64) + np.uint64(0x9E3779B97F4A7C15 * (seed + 1) % 2**64)) for d in (d1, d2))
 
@@ -84,7 +87,7 @@ def turns(rows: DataFrame, conv_col: str, turn_col: str, role_col: str, text_col
     return written(named.select("conv", "turn", half(1).alias("d1"), half(16).alias("d2"), "words", F.monotonically_increasing_id().alias("row")), "trie-turns")
 
 
-def _scanned(placed: DataFrame, seed: int) -> DataFrame:
+def _scanned(placed: DataFrame, seed: int, lanes: Lanes) -> DataFrame:
     """(conv, part, k, f1, f2, total, d1, d2, words): products of turns so far, within each part."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,7 +100,7 @@ def _scanned(placed: DataFrame, seed: int) -> DataFrame:
             run = np.searchsorted(begin, np.arange(len(own)), "right")  # 0: goes on from the batch before
             place = np.arange(len(own)) - np.concatenate(([-k], begin))[run]
             power, out = _powers(place), []
-            for values, before in zip((*_lanes(d1, d2, seed), words), sums, strict=True):
+            for values, before in zip((*lanes(d1, d2, seed), words), sums, strict=True):
                 with np.errstate(over="ignore"):
                     total = np.cumsum(values * power if values.dtype == np.uint64 else values, dtype=values.dtype)
                     start = np.concatenate((np.zeros(1, values.dtype) - values.dtype.type(before), np.concatenate((np.zeros(1, values.dtype), total))[begin]))
@@ -108,11 +111,11 @@ def _scanned(placed: DataFrame, seed: int) -> DataFrame:
     return placed.mapInArrow(scan, "conv long, part int, k long, f1 long, f2 long, total long, d1 long, d2 long, words long")
 
 
-def products(turn_rows: DataFrame, seed: int) -> DataFrame:
+def products(turn_rows: DataFrame, seed: int, lanes: Lanes) -> DataFrame:
     """(conv, k, f1, f2, total, d1, d2, words): the product of each conversation's first k turns, k from 1."""
     order = ["conv", F.col("turn").asc_nulls_first(), "d1", "d2", "row"]
     placed = turn_rows.repartitionByRange(*order).sortWithinPartitions(*order).select("conv", F.spark_partition_id().alias("part"), "d1", "d2", "words")
-    scanned = written(_scanned(placed, seed), "trie-products")
+    scanned = written(_scanned(placed, seed, lanes), "trie-products")
     # Conversations in more than one part lie across borders of parts: their number is bounded by that of the parts.
     ends = scanned.groupBy("conv", "part").agg(F.max("k").alias("n"), F.max_by("f1", "k").alias("f1"), F.max_by("f2", "k").alias("f2"), F.max("total").alias("total"))
     across = ends.groupBy("conv").agg(F.count("*").alias("_n")).filter("_n > 1").select("conv")
@@ -142,12 +145,12 @@ def products(turn_rows: DataFrame, seed: int) -> DataFrame:
     return scanned.mapInArrow(whole, ", ".join(f"{c} long" for c in names)) if held.value else scanned.select(names)
 
 
-def paths(turn_rows: DataFrame, block: int, heads: int, seed: int) -> DataFrame:
+def paths(turn_rows: DataFrame, block: int, heads: int, seed: int, lanes: Lanes) -> DataFrame:
     """(conv, depth, f1, f2, d1, d2, words, below, ends) of every prefix of every rebuilt conversation.
 
     d1, d2 and words are of its last turn; below: words from this turn on; ends: it is the whole.
     """
-    rows = products(turn_rows, seed)
+    rows = products(turn_rows, seed, lanes)
     own = (F.crc32(F.col("conv").cast("string")) % heads).alias("h")
     rows = rows.select("*", own)
     cut = lambda c: F.coalesce(F.max(F.when(F.col("k") == F.col("h"), F.col(c))), F.lit(0).cast("long"))
@@ -180,7 +183,7 @@ def paths(turn_rows: DataFrame, block: int, heads: int, seed: int) -> DataFrame:
     return suffixes.unionByName(prefixes)
 
 
-def _parents(nodes: DataFrame, seed: int) -> DataFrame:
+def _parents(nodes: DataFrame, seed: int, lanes: Lanes) -> DataFrame:
     """``nodes`` with the fingerprint of each one's parent (g1, g2): the last turn taken off."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,7 +191,7 @@ def _parents(nodes: DataFrame, seed: int) -> DataFrame:
             depth, f1, f2, d1, d2 = _longs(batch, *_NODE, "d1", "d2")
             power = _powers(depth - 1)
             with np.errstate(over="ignore"):
-                g = [pa.array((f.view(np.uint64) - t * power).view(np.int64)) for f, t in zip((f1, f2), _lanes(d1, d2, seed), strict=True)]
+                g = [pa.array((f.view(np.uint64) - t * power).view(np.int64)) for f, t in zip((f1, f2), lanes(d1, d2, seed), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *g], names=[*batch.schema.names, "g1", "g2"])
 
     return nodes.mapInArrow(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in nodes.schema) + ", g1 long, g2 long")
@@ -235,18 +238,21 @@ def _ends(path_rows: DataFrame) -> DataFrame:
     return pieces.repartition(*_NODE).sortWithinPartitions(*_NODE, "first").mapInArrow(digest, "depth long, f1 long, f2 long, ends_sha256 string")
 
 
-def trie(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", block: int = BLOCK, heads: int = HEADS) -> DataFrame:
-    """A row per node: conv_id (its smallest member), depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256."""
+def trie(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", block: int = BLOCK, heads: int = HEADS, lanes: Lanes = mixed) -> DataFrame:
+    """A row per node: conv_id (its smallest member), depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256.
+
+    ``lanes`` gives the fingerprint's t; another seed is used when two turns in one place share theirs.
+    """
     if block < 1 or heads < 1:
         raise ValueError("block and heads must be 1 or more")
     kept = turns(rows, conv_col, turn_col, role_col, text_col)
     for seed in range(SEEDS):
-        path_rows = written(paths(kept, block, heads, seed), "trie-paths")
+        path_rows = written(paths(kept, block, heads, seed, lanes), "trie-paths")
         found = path_rows.groupBy(*_NODE).agg(
             F.min("conv").alias("conv"), F.count("*").alias("n_convs"), F.max("words").alias("words"), F.sum("below").alias("below"), F.min_by("below", "conv").alias("first_below"),
             F.min("d1").alias("d1"), F.min("d2").alias("d2"), (F.min("d1") != F.max("d1")).alias("_x"), (F.min("d2") != F.max("d2")).alias("_y"),
         )
-        found = written(_parents(found, seed), "trie-nodes")
+        found = written(_parents(found, seed, lanes), "trie-nodes")
         if found.filter("_x or _y").isEmpty():
             break
     else:

@@ -14,7 +14,7 @@ from labelkit.llm.queries import ORACLE, QUERIES
 from .test_pairs_and_repeats import brute_classes, brute_lines
 
 SF001 = "/root/testdata/sf0.001"
-TABLES = ("documents", "pages", "labels", "benchmark")
+TABLES = ("documents", "pages", "labels", "benchmark", "conversations")
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
@@ -29,7 +29,7 @@ def test_query_equals_sql(spark, name):
 
 
 def test_every_operator_has_a_query():
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
 
 
 def test_queries_without_sql(spark):
