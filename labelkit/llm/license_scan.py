@@ -225,7 +225,7 @@ def scan(docs: DataFrame, phrases: Mapping[str, str] | None = None, text_col: st
                     columns.append((np.full(len(begin), template.label, dtype=object), np.maximum(begin - first[word], 0), np.full(len(begin), len(template.words)), template.share(words, begin, first[word], end[word]), np.zeros(len(begin), bool)))
                 owner = np.concatenate(owners)
                 kinds = (pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.bool_())
-                values = [np.concatenate([c[i] for c in columns]) if columns else np.zeros(0) for i in range(5)]
+                values = [np.concatenate([c[i] for c in columns]) if columns else np.zeros(0, dtype=object) for i in range(5)]
                 order = np.lexsort((values[1], owner)) if len(owner) else owner
                 ends = np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=part.num_rows)))).astype(np.int32)
                 structs = pa.StructArray.from_arrays([pa.array(v[order], k) for v, k in zip(values, kinds, strict=True)], fields=[pa.field(f.name, k) for f, k in zip(span, kinds, strict=True)])
