@@ -8,11 +8,12 @@ without decoding and without a loop over words.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -176,66 +177,79 @@ def chunks(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBat
 # ------------------------------------------------------------------- sketches
 
 _BLOCK = 1 << 18
+#: Tables of tasks that one group merges; three levels of groups take in FAN**2 times as many tasks as the last group has tables.
+FAN = 64
+SKETCH_SCHEMA = "block int, task long, data binary"
+
+
+def _blob(block: int, task: int, data: bytes) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int32()), "task": pa.array([task], pa.int64()), "data": pa.array([zlib.compress(data, 1)], pa.binary())})
+
+
+def _merged(rows: DataFrame, add: Callable[[np.ndarray, np.ndarray], np.ndarray], dtype: str) -> Iterator[tuple[int, np.ndarray]]:
+    """Each block's tables of all tasks, added up in levels, so that no group reads the tables of all tasks.
+
+    A group holds two tables at a time.  Only the last level's sums come to the driver.
+    """
+
+    def merge(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            for data in batch.column("data"):
+                part = np.frombuffer(zlib.decompress(data.as_py()), dtype=dtype)
+                total = part if total is None else add(total, part)
+        yield _blob(key[0].as_py(), key[1].as_py(), total.tobytes())
+
+    for fan in (FAN, FAN, 2**62):
+        rows = rows.withColumn("task", F.floor(F.col("task") / fan)).groupBy("block", "task").applyInArrow(merge, SKETCH_SCHEMA)
+    for row in rows.collect():
+        yield row.block, np.frombuffer(zlib.decompress(row.data), dtype=dtype)
 
 
 def sketch_rows(counts: np.ndarray) -> Iterator[pa.RecordBatch]:
     """A task's counters as compressed blocks, for ``merged_sketch``."""
+    task = TaskContext.get().partitionId()
     for k in range(0, len(counts), _BLOCK):
         part = counts[k : k + _BLOCK]
         if part.any():
-            yield pa.RecordBatch.from_pydict({"block": pa.array([k // _BLOCK], pa.int32()), "data": pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())})
+            yield _blob(k // _BLOCK, task, part.astype(np.uint32).tobytes())
 
 
-SKETCH_SCHEMA = "block int, data binary"
+def merged_sketch(rows: DataFrame, width: int) -> np.ndarray:
+    """Sums (at most 2**32 - 1) of all tasks' counters: ``width`` numbers, whatever the input's size."""
 
+    def add(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.minimum(a.astype(np.uint64) + b, 2**32 - 1).astype(np.uint32)
 
-def merged_sketch(rows: DataFrame, width: int, dtype: str, limit: int) -> np.ndarray:
-    """Sum, up to ``limit``, of all tasks' counters: ``width`` numbers of ``dtype``, whatever the input's size.
+    out = np.zeros(width, dtype=np.uint32)
+    for block, part in _merged(rows, add, "uint32"):
+        out[block * _BLOCK : block * _BLOCK + len(part)] = part
+    return out
 
-    Blocks are summed a pair of tasks at a time within a reducing task, which
-    holds one block; only the sums come to the driver.
-    """
 
-    def add(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = None
-        for batch in batches:
-            for data in batch.column("data"):
-                part = np.frombuffer(zlib.decompress(data.as_py()), dtype=dtype).astype(np.int64)
-                total = part if total is None else np.minimum(total + part, limit)
-        yield pa.RecordBatch.from_pydict({"block": pa.array([key[0].as_py()], pa.int32()), "data": pa.array([zlib.compress(total.astype(dtype).tobytes(), 1)], pa.binary())})
-
-    out = np.zeros(width, dtype=dtype)
-    for row in rows.groupBy("block").applyInArrow(add, SKETCH_SCHEMA).collect():
-        part = np.frombuffer(zlib.decompress(row.data), dtype=dtype)
-        out[row.block * _BLOCK : row.block * _BLOCK + len(part)] = part
-    return out
+def bit_rows(seen: np.ndarray, twice: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """A task's bits (seen; seen twice), packed, as compressed blocks, for ``merged_flags``."""
+    task = TaskContext.get().partitionId()
+    for k in range(0, len(seen), _BLOCK):
+        if seen[k : k + _BLOCK].any():
+            yield _blob(k // _BLOCK, task, seen[k : k + _BLOCK].tobytes() + twice[k : k + _BLOCK].tobytes())
 
 
 def flag_rows(counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """A task's counters of 0, 1 or 2 as compressed bits (seen; seen twice), for ``merged_flags``."""
-    for k in range(0, len(counts), 8 * _BLOCK):
-        part = counts[k : k + 8 * _BLOCK]
-        if part.any():
-            data = np.packbits(part > 0).tobytes() + np.packbits(part > 1).tobytes()
-            yield pa.RecordBatch.from_pydict({"block": pa.array([k // (8 * _BLOCK)], pa.int32()), "data": pa.array([zlib.compress(data, 1)], pa.binary())})
+    """The same for a task's counters of 0, 1 or 2."""
+    return bit_rows(np.packbits(counts > 0), np.packbits(counts > 1))
 
 
 def merged_flags(rows: DataFrame, width: int) -> np.ndarray:
     """Bits of the places that tasks have seen twice or more in all: ``width`` bits, whatever the input's size."""
 
-    def add(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = twice = None
-        for batch in batches:
-            for data in batch.column("data"):
-                a, b = np.frombuffer(zlib.decompress(data.as_py()), dtype=np.uint8).reshape(2, -1)
-                seen, twice = (a, b) if seen is None else (seen | a, twice | b | (seen & a))
-        if twice.any():
-            yield pa.RecordBatch.from_pydict({"block": pa.array([key[0].as_py()], pa.int32()), "data": pa.array([zlib.compress(twice.tobytes(), 1)], pa.binary())})
+    def add(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        (seen, twice), (more, again) = a.reshape(2, -1), b.reshape(2, -1)
+        return np.concatenate((seen | more, twice | again | (seen & more)))
 
     out = np.zeros(-(-width // 8), dtype=np.uint8)
-    for row in rows.groupBy("block").applyInArrow(add, SKETCH_SCHEMA).collect():
-        part = np.frombuffer(zlib.decompress(row.data), dtype=np.uint8)
-        out[row.block * _BLOCK : row.block * _BLOCK + len(part)] = part
+    for block, part in _merged(rows, add, "uint8"):
+        out[block * _BLOCK : block * _BLOCK + len(part) // 2] = part[len(part) // 2 :]
     return out
 
 

@@ -75,7 +75,8 @@ def frequencies(docs: DataFrame, n: int, bits: int) -> np.ndarray:
                     table[at] = np.minimum(table[at] + number, 65_535)
         yield from sketch_rows(table)
 
-    return merged_sketch(docs.mapInArrow(count, SKETCH_SCHEMA), 1 << bits, "uint16", 65_535)
+    # Sums on a scale of logarithms: 16 bits tell frequent shingles from rare ones at any size of the corpus.
+    return np.round(np.log2(merged_sketch(docs.mapInArrow(count, SKETCH_SCHEMA), 1 << bits) + 1.0) * 1024).astype(np.uint16)
 
 
 def _prefix_size(size: int, percent: int) -> int:
@@ -183,7 +184,7 @@ def _wanted(sids: DataFrame, bits: int) -> np.ndarray:
             flags[batch.column("sid").to_numpy().view(np.uint64) & np.uint64((1 << bits) - 1)] = 1
         yield from sketch_rows(flags)
 
-    return merged_sketch(sids.select("sid").mapInArrow(mark, SKETCH_SCHEMA), 1 << bits, "uint8", 1)
+    return merged_sketch(sids.select("sid").mapInArrow(mark, SKETCH_SCHEMA), 1 << bits) > 0
 
 
 def links(docs: DataFrame, text_col: str = "text", n: int = 3, percent: int = 90, sketch_bits: int = SKETCH_BITS) -> DataFrame:

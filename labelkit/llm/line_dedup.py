@@ -2,8 +2,8 @@
 
 1. Every task adds the keys of its lines to a filter of keys seen once and, on
    meeting one again, to a filter of keys seen twice.  The tasks' filters are
-   merged block by block (seen twice: in a task's second filter, or in the
-   first filters of two tasks).  Both have a fixed width, so the merged second
+   merged block by block and in levels (seen twice: in a task's second filter, or in
+   the first filters of two tasks).  Both have a fixed width, so the merged second
    filter has a proven size and is broadcast.
 2. Keys that the second filter holds are suspected.  Only their 128-bit digests
    travel, with the document's id, and are counted exactly.
@@ -21,7 +21,6 @@ before every other id; each row keeps its own text.  Extra columns pass through.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,13 +30,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labelkit.llm.common import fresh, lookup, parted, without, written
+from labelkit.llm.common import SKETCH_SCHEMA, bit_rows, chunks, fresh, lookup, merged_flags, parted, without, written
 
 SPACES = " \t\n\x0b\x0c\r"
 MIN_CHARS, MIN_DOCS = 40, 5
 FILTER_BITS = 26
 HASHES = 4
-_BLOCK_BYTES = 1 << 18
 
 
 def keys_of(text: str | None, min_chars: int) -> list[bytes | None]:
@@ -83,35 +81,16 @@ def twice_seen(docs: DataFrame, min_chars: int, bits: int) -> np.ndarray:
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         once, twice = Bloom(bits), Bloom(bits)
         for batch in batches:
-            found = [d for text in batch.column("text") for d in {d for d in digests_of(text.as_py(), min_chars) if d}]
-            if found:
-                new, count = np.unique(_pairs(found), axis=0, return_counts=True)
-                again = once.holds(new) | (count > 1)
-                twice.add(new[again])
-                once.add(new)
-        for k in range(0, len(once.data), _BLOCK_BYTES):
-            a, b = once.data[k : k + _BLOCK_BYTES], twice.data[k : k + _BLOCK_BYTES]
-            if a.any():
-                yield pa.RecordBatch.from_pydict({"block": pa.array([k // _BLOCK_BYTES], pa.int32()), "once": pa.array([zlib.compress(a.tobytes(), 1)]), "twice": pa.array([zlib.compress(b.tobytes(), 1)])})
-
-    def merge(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        once = twice = None
-        for batch in batches:
-            for a, b in zip(batch.column("once"), batch.column("twice"), strict=True):
-                a, b = (np.frombuffer(zlib.decompress(x.as_py()), dtype=np.uint8) for x in (a, b))
-                if once is None:
-                    once, twice = a.copy(), b.copy()
-                else:
-                    twice |= b | (once & a)
-                    once |= a
-        yield pa.RecordBatch.from_pydict({"block": pa.array([key[0].as_py()], pa.int32()), "twice": pa.array([zlib.compress(twice.tobytes(), 1)])})
-
-    filled = docs.mapInArrow(fill, "block int, once binary, twice binary")
-    out = Bloom(bits).data
-    for row in filled.groupBy("block").applyInArrow(merge, "block int, twice binary").collect():
-        part = np.frombuffer(zlib.decompress(row.twice), dtype=np.uint8)
-        out[row.block * _BLOCK_BYTES : row.block * _BLOCK_BYTES + len(part)] = part
-    return out
+            for part in chunks(batch):
+                found = [d for text in part.column("text") for d in {d for d in digests_of(text.as_py(), min_chars) if d}]
+                if found:
+                    new, count = np.unique(_pairs(found), axis=0, return_counts=True)
+                    again = once.holds(new) | (count > 1)
+                    twice.add(new[again])
+                    once.add(new)
+        yield from bit_rows(once.data, twice.data)
+
+    return merged_flags(docs.mapInArrow(fill, SKETCH_SCHEMA), 8 * len(Bloom(bits).data))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, filter_bits: int = FILTER_BITS) -> DataFrame:
@@ -130,14 +109,15 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def suspect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bloom = Bloom(filter_bits, filter_.value)
         for batch in batches:
-            rows, found = [], []
-            for i, text in enumerate(batch.column("text")):
-                own = {d for d in digests_of(text.as_py(), min_chars) if d}
-                found += own
-                rows += [i] * len(own)
-            if found:
-                hit = np.flatnonzero(bloom.holds(_pairs(found)))
-                yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(np.array(rows)[hit])), pa.array([found[k] for k in hit], pa.binary())], names=["id", "digest"])
+            for part in chunks(batch):
+                rows, found = [], []
+                for i, text in enumerate(part.column("text")):
+                    own = {d for d in digests_of(text.as_py(), min_chars) if d}
+                    found += own
+                    rows += [i] * len(own)
+                if found:
+                    hit = np.flatnonzero(bloom.holds(_pairs(found)))
+                    yield pa.RecordBatch.from_arrays([part.column("id").take(pa.array(np.array(rows)[hit])), pa.array([found[k] for k in hit], pa.binary())], names=["id", "digest"])
 
     suspects = written(narrow.mapInArrow(suspect, T.StructType([T.StructField("id", id_type), T.StructField("digest", T.BinaryType())])), "line-suspects")
     common = written(
@@ -148,14 +128,15 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     own, drop_id, drop = fresh(docs, "_id", "_drop_id", "_drop")
     drops = written(drops.groupBy(F.col("id").alias(drop_id)).agg(F.collect_set("digest").alias(drop)), "line-drops")
     cut, whole = parted(docs, id_col, drops.select(drop_id))
-    cut = cut.withColumn(own, F.col(id_col)).join(drops, F.col(own).eqNullSafe(F.col(drop_id)), "left").drop(own, drop_id)
+    # A merge join at every size, whose hot ids AQE splits: a broadcast of the drops would grow with the table.
+    cut = cut.withColumn(own, F.col(id_col)).join(drops.hint("merge"), F.col(own).eqNullSafe(F.col(drop_id)), "left").drop(own, drop_id)
     joined = cut.unionByName(whole.withColumn(drop, F.lit(None).cast("array<binary>")))
 
     out_type = T.StructType([*without(docs, ("n_lines", "n_dropped")), T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
     names = out_type.names
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in chunks(whole, text_col)):
             texts, lines, dropped = [], [], []
             for text, digests in zip(batch.column(text_col), batch.column(drop), strict=True):
                 text, gone = text.as_py(), set(digests.as_py() or ())
