@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labelkit.session import scratch_path
+from labelkit.session import remove, scratch_path
 
 #: Text bytes handled at once by the numpy kernels; a longer text is a batch of its own.
 CHUNK_BYTES = 500_000
@@ -59,6 +59,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop(df: DataFrame) -> None:
+    """Delete a table made by ``written`` that nothing reads any more."""
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        remove(df.sparkSession, path)
+
+
 # ---------------------------------------------------------------- numpy kernels
 
 

@@ -4,27 +4,29 @@ A document's set holds the distinct n-word shingles of its lower-cased text.
 Two documents link when 100 * |intersection| >= percent * |union|.
 
 1. Frequencies of shingles over all documents, in a table of fixed width
-   (2**sketch_bits counters): any fixed total order gives right results,
-   frequencies make the first shingles rare ones.
+   (2**sketch_bits counters on a scale of logarithms): any fixed total order gives
+   right results, frequencies make the first shingles rare ones.
 2. Equal sets become one set ``sid``, with members.  Each set's rare-first prefix,
-   size - ceil(percent * size) + 1 shingles, is spread over rows (token, sid,
-   size, position, signature).  A second table of fixed width proves most prefix
-   tokens to be in one set alone; these have no row.
-3. Candidates share a prefix token and pass three filters: length
-   (percent * larger <= 100 * smaller), positional (what can follow in both is
-   enough), suffix.  The suffix filter bounds the Hamming distance of the sets
-   from below by that of their signatures (bit k: parity of the shingles that
-   hash to k), against the largest distance that the threshold allows.
+   size - ceil(percent * size) + 1 shingles, is spread over rows (token, sid, size,
+   position).  These are dealt by ranges of (token, sid), so that a token of many sets
+   spreads over tasks, and tokens of one set alone are dropped as they stream by.
+3. Candidates share a prefix token and pass the length filter (percent * larger <=
+   100 * smaller), the positional one (what can follow in both is enough) and
+   the suffix filter: sets have a signature of about a bit for each shingle (bit k: parity
+   of the shingles that hash to k), and the Hamming distance of two signatures
+   is a lower bound of that of the sets, whatever their size.
 4. A pair that passes is verified once, on the whole sets, which are made again
-   for the sets in candidate pairs only.
-
-Tokens in at most ``SMALL`` rows list their pairs in one row.  For the others,
-classes need no pair within what is already linked: rounds verify, for
-each token, one set against the others; linked sets get a common class.  The
-last round then joins, for each token, the sets outside its largest class with
-all sets of other classes.  A pair that no round verifies has both sets in one
-class already, or fails a filter.  So classes are exact, and a group of k near
-copies costs about k pairs and not k * k.  No round caps partners or candidates.
+   for the sets in such pairs only.  Pairs judged before are left out.
+
+Classes need no pair within what is already linked.  Rounds of hubs compare
+one set of each token with its others; linked sets get a common class.  Then every pair
+of classes that share a token is decided.  Jaccard distances obey the triangle
+inequality: if the first set of a class has distance r at most to its members, and the
+signatures prove a distance over r + (100 - percent) / 100 to another set, that one
+links with no member, and no pair of it is listed.  What is left is listed
+token by token, lists being cut to pieces of ``CHUNK`` rows, and verified.  So
+classes are exact, a group of k near copies costs about k pairs, and two groups
+of k and m sets that share tokens cost about k + m.  No round caps partners or candidates.
 
 Sets are known by 64-bit hashes of shingles and of sets.
 
@@ -37,18 +39,18 @@ used or returned.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelkit.llm.common import SKETCH_SCHEMA, chunks, components, count_two, flag_rows, flagged, lookup, merged_flags, merged_sketch, mix, shingle_sets, sketch_rows, written
+from labelkit.llm.common import SKETCH_SCHEMA, chunks, components, drop, fresh, lookup, merged_sketch, mix, parted, shingle_sets, sketch_rows, written
 
 SKETCH_BITS = 24
-HUB_ROUNDS, SMALL = 2, 64
-_SIGNATURE = ("g0", "g1")
+#: Rounds of hubs; rows of a token (or of a class in it) that one task compares with as many others; wanted documents that are broadcast.
+HUB_ROUNDS, CHUNK, FEW_REFS = 2, 1000, 50_000
 
 
 def _sid(shingles: np.ndarray) -> int:
@@ -57,13 +59,28 @@ def _sid(shingles: np.ndarray) -> int:
         return int(mix(mix(shingles ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)[None] + np.uint64(len(shingles)))[0].astype(np.int64))
 
 
-def _signature(shingles: np.ndarray) -> np.ndarray:
-    odd = (np.bincount((shingles >> np.uint64(9)) & np.uint64(127), minlength=128) & 1).astype(np.uint8)
-    return np.packbits(odd, bitorder="little").view(np.int64)
+def signature(shingles: np.ndarray) -> bytes:
+    """Parity bits of the shingles by hash; as many as the next power of two from 64 and their number."""
+    width = max(64, 1 << (len(shingles) - 1).bit_length())
+    odd = np.bincount((shingles >> np.uint64(9)) & np.uint64(width - 1), minlength=width) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def apart(a: bytes, b: bytes) -> int:
+    """A lower bound of the number of shingles that are in one of the two sets only.
+
+    The longer signature is folded to the shorter one's width: parities add up.
+    """
+    x, y = (np.frombuffer(v, dtype=np.uint64) for v in (a, b))
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
 
 
 def frequencies(docs: DataFrame, n: int, bits: int) -> np.ndarray:
-    """How many documents (at most 65,535) hold a shingle of each of 2**bits hash values, over all documents."""
+    """How many documents hold a shingle of each of 2**bits hash values, over all documents: 1024 * log2(1 + n)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, mask = np.zeros(1 << bits, dtype=np.uint16), np.uint64((1 << bits) - 1)
@@ -83,180 +100,307 @@ def _prefix_size(size: int, percent: int) -> int:
     return size - -(-percent * size // 100) + 1
 
 
-def _prefixes(batches: Iterator[pa.RecordBatch], counts: np.ndarray, n: int, percent: int) -> Iterator[tuple[list, list, list]]:
-    """Per chunk of texts: prefix tokens, (sid, size, signature) and prefix sizes of sets that the task has not seen yet."""
-    mask, seen = np.uint64(len(counts) - 1), set()
-    for batch in batches:
-        for part in chunks(batch):
-            tokens, heads, sizes = [], [], []
-            for s in shingle_sets(part.column("text"), n):
-                if not len(s) or (sid := _sid(s)) in seen:
-                    continue
-                seen.add(sid)
-                k = _prefix_size(len(s), percent)
-                # Rare first, ties by hash: sets come sorted by hash.
-                tokens.append(s[np.argsort(counts[s & mask], kind="stable")[:k]])
-                heads.append((sid, len(s), *_signature(s)))
-                sizes.append(k)
-            if tokens:
-                yield tokens, heads, sizes
-
-
-def _shared(docs: DataFrame, table, n: int, percent: int, bits: int) -> np.ndarray:
-    """Bits of the hash values that prefix tokens have more than once."""
+def _described(docs: DataFrame, n: int) -> DataFrame:
+    """(id, ref, n_shingles, sid, signature) of every row; ref names the row by its id and text."""
+    rows = docs.select("id", "text", F.xxhash64("id", "text").alias("ref"))
+    id_type = rows.schema["id"].dataType.simpleString()
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = np.zeros(1 << bits, dtype=np.uint8)
-        for tokens, _, _ in _prefixes(batches, table.value, n, percent):
-            count_two(out, (mix(np.concatenate(tokens)) & np.uint64((1 << bits) - 1)).astype(np.uint32))
-        yield from flag_rows(out)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in chunks(batch):
+                sets = list(shingle_sets(part.column("text"), n))
+                columns = [pa.array([len(s) for s in sets], pa.int64()), pa.array([_sid(s) if len(s) else None for s in sets], pa.int64()), pa.array([signature(s) if len(s) else None for s in sets], pa.binary())]
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("ref"), *columns], names=["id", "ref", "n_shingles", "sid", "signature"])
+
+    return rows.mapInArrow(run, f"id {id_type}, ref long, n_shingles long, sid long, signature binary")
+
+
+def _prefix_rows(docs: DataFrame, table, n: int, percent: int) -> DataFrame:
+    """(token, sid, size, at) of all prefix tokens of the sets, each set once in a task at least."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, seen = table.value, set()
+        mask = np.uint64(len(counts) - 1)
+        for batch in batches:
+            for part in chunks(batch):
+                tokens, heads, sizes = [], [], []
+                for s in shingle_sets(part.column("text"), n):
+                    if not len(s) or (sid := _sid(s)) in seen:
+                        continue
+                    seen.add(sid)
+                    k = _prefix_size(len(s), percent)
+                    # Rare first, ties by hash: sets come sorted by hash.
+                    tokens.append(s[np.argsort(counts[s & mask], kind="stable")[:k]])
+                    heads.append((sid, len(s)))
+                    sizes.append(k)
+                if tokens:
+                    head = np.repeat(np.array(heads, dtype=np.int64), sizes, axis=0)
+                    at = np.concatenate([np.arange(k, dtype=np.int32) for k in sizes])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).astype(np.int64)), pa.array(head[:, 0]), pa.array(head[:, 1].astype(np.int32)), pa.array(at)], names=["token", "sid", "size", "at"])
 
-    return merged_flags(docs.mapInArrow(count, SKETCH_SCHEMA), 1 << bits)
+    return docs.select("text").mapInArrow(run, "token long, sid long, size int, at int")
 
 
-def _rows(docs: DataFrame, table, again, n: int, percent: int, bits: int) -> DataFrame:
-    """(token, sid, size, at, signature) of prefix tokens that more than one set may hold."""
-    names = ["token", "sid", "size", "at", *_SIGNATURE]
+def _shared(rows: DataFrame) -> DataFrame:
+    """The rows of tokens that more than one set holds, each once; the first and last token of a part may be in one set alone.
+
+    Ranges of (token, sid) split a token of many sets, and a part streams by in order.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mask = np.uint64((1 << bits) - 1)
-        for tokens, heads, sizes in _prefixes(batches, table.value, n, percent):
-            token = np.concatenate(tokens)
-            may = flagged(again.value, mix(token) & mask)
-            head = np.repeat(np.array(heads, dtype=np.int64), sizes, axis=0)[may]
-            at = np.concatenate([np.arange(k, dtype=np.int32) for k in sizes])[may]
-            yield pa.RecordBatch.from_arrays([pa.array(token[may].astype(np.int64)), pa.array(head[:, 0]), pa.array(head[:, 1].astype(np.int32)), pa.array(at), *(pa.array(head[:, 2 + i]) for i in range(len(_SIGNATURE)))], names=names)
+        held, first = None, True  # the last row, whose next one is not known; whether its token is the part's first or that of the row before
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([held, batch] if held is not None else [batch]).combine_chunks().to_batches()[0]
+            token, sid = (table.column(c).to_numpy() for c in ("token", "sid"))
+            new = np.concatenate(([True], (token[1:] != token[:-1]) | (sid[1:] != sid[:-1])))
+            table, token = table.filter(pa.array(new)), token[new]
+            same = token[1:] == token[:-1]
+            keep = np.concatenate(([first], same)) | np.concatenate((same, [False]))
+            held, first = table.slice(table.num_rows - 1), bool(keep[-1])
+            yield table.slice(0, table.num_rows - 1).filter(pa.array(keep[:-1]))
+        if held is not None:
+            yield held
+
+    return rows.repartitionByRange("token", "sid").sortWithinPartitions("token", "sid").mapInArrow(run, rows.schema)
 
-    return docs.mapInArrow(run, "token long, sid long, size int, at int, " + ", ".join(f"{g} long" for g in _SIGNATURE))
 
+# ---------------------------------------------------------------------- filters
 
-def _may_link(percent: int, a, b):
-    """Length, positional and suffix filter of two rows (structs) that share a token."""
-    sizes = a["size"] + b["size"]
-    least = F.ceil(percent * sizes / (100 + percent) - 1e-9)
+
+def _least(percent: int, sizes) -> Column:
+    """Shingles that sets of these sizes (their sum) must share."""
+    return F.ceil(percent * sizes / (100 + percent) - 1e-9)
+
+
+def _may_link(percent: int, a, b) -> Column:
+    """Length and positional filter of two rows (structs) that share a token."""
     ahead = F.least(a["size"] - a["at"], b["size"] - b["at"])
-    apart = sum((F.bit_count(a[g].bitwiseXOR(b[g])) for g in _SIGNATURE), F.lit(0))
     length = percent * F.greatest(a["size"], b["size"]) <= 100 * F.least(a["size"], b["size"])
-    return length & (ahead >= least) & (apart <= sizes - 2 * least)
+    return length & (ahead >= _least(percent, a["size"] + b["size"]))
 
 
-def _small_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of the tokens in at most SMALL rows: each row looks through its token's list."""
-    row = F.struct("sid", "size", "at", *_SIGNATURE)
-    listed = rows.groupBy("token").agg(F.collect_set(row).alias("list"))
-    each = listed.select("list", F.explode("list").alias("x"))
-    found = F.filter("list", lambda y: (F.col("x")["sid"] < y["sid"]) & _may_link(percent, F.col("x"), y))
-    return each.select(F.col("x.sid").alias("a"), F.explode(F.transform(found, lambda y: y["sid"])).alias("b"))
+def _unordered(pairs: DataFrame) -> DataFrame:
+    """Each pair (a, b) once, whichever way round, as (lo, hi, a, b)."""
+    found = pairs.groupBy(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).agg(F.min("a").alias("a"))
+    return found.select("lo", "hi", "a", F.when(F.col("a") == F.col("lo"), F.col("hi")).otherwise(F.col("lo")).alias("b"))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets link."""
-    left = pairs.join(sets.select(F.col("sid").alias("a"), F.col("shingles").alias("_x")), "a")
-    both = left.join(sets.select(F.col("sid").alias("b"), F.col("shingles").alias("_y")), "b")
-    common = F.size(F.array_intersect("_x", "_y"))
-    return both.filter((100 + percent) * common >= percent * (F.size("_x") + F.size("_y"))).select("a", "b")
+def _with_apart(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``pairs`` (a, b and more) with sizes sa, sb and ``apart``: signatures are fetched for this alone."""
+    side = lambda c, size, sig: sets.select(F.col("sid").alias(c), F.col("n_shingles").alias(size), F.col("signature").alias(sig))
+    both = pairs.join(side("a", "sa", "_x"), "a").join(side("b", "sb", "_y"), "b")
+    names = [*pairs.columns, "sa", "sb"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [apart(x, y) for x, y in zip(batch.column("_x").to_pylist(), batch.column("_y").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(found, pa.int64())], names=[*names, "apart"])
 
+    return both.select(*names, "_x", "_y").mapInArrow(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in both.select(*names).schema) + ", apart long")
 
-def _sets_of(docs: DataFrame, wanted, n: int, bits: int) -> DataFrame:
-    """(sid, shingles) of the sets that ``wanted``, a bit table of sids, may hold."""
+
+# ----------------------------------------------------------------- verification
+
+
+def _sets(docs: DataFrame, described: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
+    """(sid, shingles, is_a, is_b) of the sets in these pairs (and maybe of others), made from one row of each."""
+    side = lambda c: F.struct(F.col(c).alias("sid"), F.lit(c == "a").alias("is_a"), F.lit(c == "b").alias("is_b"))
+    asked = pairs.select(F.explode(F.array(side("a"), side("b"))).alias("x")).select("x.*")
+    asked = asked.groupBy("sid").agg(F.max("is_a").alias("is_a"), F.max("is_b").alias("is_b"))
+    refs = described.filter("sid is not null").select("sid", "ref").join(asked, "sid").groupBy("sid").agg(F.min("ref").alias("ref"), F.max("is_a").alias("is_a"), F.max("is_b").alias("is_b"))
+    refs = written(refs.groupBy("ref").agg(F.max("is_a").alias("is_a"), F.max("is_b").alias("is_b")), "set-rows")
+    rows = docs.select("text", F.xxhash64("id", "text").alias("ref"))
+    if refs.count() <= FEW_REFS:
+        rows = rows.join(F.broadcast(refs), "ref").select("text", "is_a", "is_b")
+    else:
+        rows = parted(rows, "ref", refs.select("ref"), bits=27)[0].select("text", F.lit(True).alias("is_a"), F.lit(True).alias("is_b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flags, mask, seen = wanted.value, np.uint64((1 << bits) - 1), set()
+        seen = set()
         for batch in batches:
             for part in chunks(batch):
-                sids, found = [], []
-                for s in shingle_sets(part.column("text"), n):
-                    if len(s) and (sid := _sid(s)) not in seen and flags[int(np.uint64(sid & (2**64 - 1)) & mask)]:
+                at, sids, found = [], [], []
+                for i, s in enumerate(shingle_sets(part.column("text"), n)):
+                    if len(s) and (sid := _sid(s)) not in seen:
                         seen.add(sid)
+                        at.append(i)
                         sids.append(sid)
                         found.append(s.astype(np.int64))
                 if sids:
                     ends = np.cumsum([0, *map(len, found)])
-                    yield pa.RecordBatch.from_arrays([pa.array(sids, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(found)))], names=["sid", "shingles"])
-
-    return docs.mapInArrow(run, "sid long, shingles array<long>").groupBy("sid").agg(F.any_value("shingles").alias("shingles"))
-
-
-def _wanted(sids: DataFrame, bits: int) -> np.ndarray:
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flags = np.zeros(1 << bits, dtype=np.uint8)
-        for batch in batches:
-            flags[batch.column("sid").to_numpy().view(np.uint64) & np.uint64((1 << bits) - 1)] = 1
-        yield from sketch_rows(flags)
-
-    return merged_sketch(sids.select("sid").mapInArrow(mark, SKETCH_SCHEMA), 1 << bits) > 0
+                    flags = [part.column(c).take(pa.array(at)) for c in ("is_a", "is_b")]
+                    yield pa.RecordBatch.from_arrays([pa.array(sids, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(found))), *flags], names=["sid", "shingles", "is_a", "is_b"])
+
+    return rows.mapInArrow(run, "sid long, shingles array<long>, is_a boolean, is_b boolean")
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, described: DataFrame, n: int, name: str) -> DataFrame:
+    """``pairs`` (a, b) with sizes sa, sb and the number of shingles they share (common)."""
+    sets = written(_sets(docs, described, pairs, n), f"sets-{name}")
+    left = pairs.select("a", "b").join(sets.filter("is_b").select(F.col("sid").alias("b"), F.col("shingles").alias("_y")), "b")
+    both = left.join(sets.filter("is_a").select(F.col("sid").alias("a"), F.col("shingles").alias("_x")), "a")
+    return written(both.select("a", "b", F.size("_x").alias("sa"), F.size("_y").alias("sb"), F.size(F.array_intersect("_x", "_y")).alias("common")).distinct(), f"verified-{name}")
+
+
+def _linking(verified: DataFrame, percent: int) -> DataFrame:
+    return verified.filter((100 + percent) * F.col("common") >= percent * (F.col("sa") + F.col("sb"))).select("a", "b")
+
+
+# ----------------------------------------------------------------------- rounds
+
+
+def _rooted(rows: DataFrame, roots: DataFrame | None) -> DataFrame:
+    if roots is None:
+        return rows.withColumn("root", F.col("sid"))
+    return rows.join(roots, F.col("sid") == F.col("node"), "left").withColumn("root", F.coalesce("root", "sid")).drop("node")
+
+
+def _dealt(left: DataFrame, right: DataFrame, keys: list[str], condition: Callable) -> DataFrame:
+    """The pairs (l, r) of rows with equal keys for which the condition holds.
+
+    The rows of a key (``n_left``, ``n_right`` of them, in both tables) are cut to pieces of about CHUNK
+    on either side, and each piece of one side meets each of the other in a task of their own.
+    """
+    pieces = lambda c: F.ceil(F.col(c) / CHUNK).cast("long")
+    sides = []
+    for rows, own, other in ((left, "n_left", "n_right"), (right, "n_right", "n_left")):
+        mine = F.pmod(F.xxhash64(*[c for c in rows.columns if c not in ("n_left", "n_right")]), pieces(own))
+        every = F.explode(F.sequence(F.lit(0).cast("long"), pieces(other) - 1))
+        pair = (mine.alias("_p"), every.alias("_q")) if own == "n_left" else (every.alias("_p"), mine.alias("_q"))
+        sides.append(rows.select(*keys, F.struct(*[c for c in rows.columns if c not in ("n_left", "n_right")]).alias("l" if own == "n_left" else "r"), *pair))
+    return sides[0].join(sides[1], [*keys, "_p", "_q"]).filter(condition(F.col("l"), F.col("r"))).select("l", "r")
+
+
+def _class_pairs(rows: DataFrame, roots: DataFrame, sets: DataFrame, docs: DataFrame, described: DataFrame, verified: DataFrame, n: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of sets in different classes that may link; ``rows`` have the token's number of rows and of classes."""
+    far = (100 - percent) / 100 + 1e-9
+    classes = rows.groupBy("token", "root").agg(F.min("size").alias("lo"), F.max("size").alias("hi"), F.max(F.col("size") - F.col("at")).alias("ahead"), F.count("*").alias("k"), F.any_value("n").alias("n"), F.any_value("classes").alias("classes"))
+    counts = (F.col("classes").alias("n_left"), F.col("n").alias("n_right"))
+
+    def near(c, y):
+        length = (percent * c["lo"] <= 100 * y["size"]) & (percent * y["size"] <= 100 * c["hi"])
+        return (c["root"] < y["root"]) & length & (F.least(c["ahead"], y["size"] - y["at"]) >= _least(percent, c["lo"] + y["size"]))
+
+    probes = _dealt(classes.select("token", "root", "lo", "hi", "ahead", *counts), rows.select("token", "sid", "size", "at", "root", *counts), ["token"], near)
+    probes = written(probes.select(F.col("l.root").alias("a"), F.col("r.sid").alias("b")).distinct(), "class-probes")
+    # The radius of each class of more than one set among them: distances of all its members from its first set.
+    many = probes.select(F.col("a").alias("root")).distinct().join(roots, "root").filter("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b"))
+    known = verified.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "sa", "sb", "common")
+    known = many.join(known, ["a", "b"])
+    lacking = written(many.join(known.select("a", "b"), ["a", "b"], "left_anti"), "radius-pairs")
+    radius = known
+    if not lacking.isEmpty():
+        radius = known.unionByName(_verified(lacking, docs, described, n, "radius"))
+    radius = radius.groupBy("a").agg(F.max(1 - F.col("common") / (F.col("sa") + F.col("sb") - F.col("common"))).alias("r"))
+    bound = 2 * F.col("apart") / (F.col("sa") + F.col("sb") + F.col("apart"))
+    kept = _with_apart(probes, sets).select("a", "b", bound.alias("d")).join(radius, "a", "left").withColumn("single", F.col("r").isNull())
+    kept = written(kept.filter(F.col("d") <= far + F.coalesce("r", F.lit(0.0))).select("a", "b", "single"), "class-near")
+    alone = kept.filter("single").select("a", "b")
+    outer = kept.filter("not single").select(F.col("a").alias("root"), F.col("b").alias("sid")).join(rows.select("token", "sid", "size", "at"), "sid")
+    sizes = outer.groupBy("token", "root").agg(F.count("*").alias("n_left")).join(classes.select("token", "root", F.col("k").alias("n_right")), ["token", "root"])
+    sizes = written(sizes, "class-sizes")
+    inner = rows.select("token", "root", "sid", "size", "at").join(sizes, ["token", "root"])
+    members = _dealt(outer.join(sizes, ["token", "root"]), inner, ["token", "root"], lambda x, y: _may_link(percent, x, y))
+    return alone.unionByName(members.select(F.col("l.sid").alias("a"), F.col("r.sid").alias("b")))
 
 
 def links(docs: DataFrame, text_col: str = "text", n: int = 3, percent: int = 90, sketch_bits: int = SKETCH_BITS) -> DataFrame:
     """(node, root) over sets that link with another one: root is the class's smallest sid."""
     if not 1 <= percent <= 100:
         raise ValueError("percent must be 1 to 100")
-    docs = docs.select(F.col(text_col).alias("text"))
+    docs = docs.select(F.lit(None).cast("long").alias("id"), F.col(text_col).alias("text"))
+    return _links(docs, written(_described(docs, n), "set-members"), n, percent, sketch_bits)[0]
+
+
+def _links(docs: DataFrame, described: DataFrame, n: int, percent: int, sketch_bits: int) -> tuple[DataFrame, DataFrame]:
+    """(node, root), and the ledger (lo, hi, round) of all pairs that were judged."""
     spark = docs.sparkSession
-    share = spark.sparkContext.broadcast
-    table = share(frequencies(docs, n, sketch_bits))
-    again = share(_shared(docs, table, n, percent, sketch_bits + 2))
-    rows = written(_rows(docs, table, again, n, percent, sketch_bits + 2), "prefix-rows")
-    tokens = rows.groupBy("token").agg(F.count("*").alias("n"), F.min("sid").alias("low"), F.max("sid").alias("high")).filter("low < high")
-    tokens = written(tokens.select("token", "n", F.col("n").alias("times")), "prefix-tokens")
-    shared = written(lookup(rows, tokens, "token", "times", rows.count()), "prefix-shared")
-    pairs = _small_pairs(shared.filter(F.col("n") <= SMALL), percent)
-    large = written(shared.filter(F.col("n") > SMALL).drop("n").distinct(), "large-tokens")
-
-    found, roots, known = [], None, None
+    table = spark.sparkContext.broadcast(frequencies(docs, n, sketch_bits))
+    rows = written(_prefix_rows(docs, table, n, percent), "prefix-rows")
+    table.unpersist()
+    shared = written(_shared(rows), "shared-rows")
+    drop(rows)
+    sets = written(described.filter("sid is not null").groupBy("sid").agg(F.any_value("n_shingles").alias("n_shingles"), F.any_value("signature").alias("signature")), "signatures")
+    hub = F.min_by(F.struct("sid", "size", "at"), F.struct(F.xxhash64("sid"), "sid")).alias("hub")
+    tokens = written(shared.groupBy("token").agg(F.count("*").alias("n"), hub).filter("n > 1").withColumn("times", F.col("n")), "prefix-tokens")
+    joined = written(lookup(shared, tokens, "token", "times", shared.count()), "token-rows")
+    drop(shared)
+    crowd = joined.filter("n > 2").select("token", "sid", "size", "at", "n")
+    ledger = spark.createDataFrame([], "lo long, hi long, round int")
+    verified = edges = roots = None
+    more = joined.filter(F.col("sid") != F.col("hub.sid")).filter(_may_link(percent, {c: F.col(c) for c in ("size", "at")}, F.col("hub"))).select(F.col("hub.sid").alias("a"), F.col("sid").alias("b"))
     for step in range(HUB_ROUNDS + 1):
-        now = large.withColumn("root", F.col("sid")) if roots is None else large.join(roots, F.col("sid") == F.col("node"), "left").withColumn("root", F.coalesce("root", "sid")).drop("node")
-        kinds = now.groupBy("token", "root").agg(F.count("*").alias("_k"))
-        top = kinds.groupBy("token").agg(F.max_by("root", F.struct("_k", "root")).alias("top"), F.count("*").alias("_c")).filter("_c > 1").drop("_c")
-        now = written(now.join(top, "token"), f"classes-{step}")
-        if step and now.isEmpty():
-            break
-        last, few = step == HUB_ROUNDS, now.filter("root <> top")
-        if not last:
-            # Another set for each token: a group's many tokens link it in many ways at once.
-            rest = F.struct(*[c for c in now.columns if c != "token"])
-            few = few.groupBy("token").agg(F.min_by(rest, F.xxhash64("token", "sid")).alias("h")).select("token", "h.*")
-        # Outside a token's largest class against every other class; two outsiders once.
-        x, y = ({c: F.col(f"{t}.{c}") for c in now.columns} for t in ("x", "y"))
-        apart = (x["root"] != y["root"]) & ((y["root"] == y["top"]) | (x["sid"] < y["sid"]) | F.lit(not last))
-        more = few.alias("x").join(now.alias("y"), (x["token"] == y["token"]) & apart & _may_link(percent, x, y))
-        more = more.select(F.least(x["sid"], y["sid"]).alias("a"), F.greatest(x["sid"], y["sid"]).alias("b"))
-        pairs = written((more if step else pairs.unionByName(more)).distinct(), f"candidates-{step}")
+        if step:
+            now = _rooted(crowd, roots)
+            kinds = now.groupBy("token", "root").agg(F.count("*").alias("_k"))
+            top = kinds.groupBy("token").agg(F.max_by("root", F.struct("_k", "root")).alias("top"), F.count("*").alias("classes"), F.sum("_k").alias("times")).filter("classes > 1")
+            now = written(lookup(now, written(top, f"classes-{step}"), "token", "times", joined.count()), f"class-rows-{step}")
+            if now.isEmpty():
+                break
+            if step < HUB_ROUNDS:
+                # A set outside the token's largest class against every set of other classes.
+                outside = now.filter("root <> top").groupBy("token").agg(F.min_by(F.struct("sid", "size", "at", "root"), F.struct(F.xxhash64("sid", F.lit(step)), "sid")).alias("hub"), F.any_value("n").alias("times"))
+                all_rows = lookup(now, written(outside, f"hubs-{step}"), "token", "times", joined.count())
+                more = all_rows.filter(F.col("root") != F.col("hub.root")).filter(_may_link(percent, {c: F.col(c) for c in ("size", "at")}, F.col("hub"))).select(F.col("hub.sid").alias("a"), F.col("sid").alias("b"))
+            else:
+                more = _class_pairs(now, roots if roots is not None else spark.createDataFrame([], "node long, root long"), sets, docs, described, verified if verified is not None else spark.createDataFrame([], "a long, b long, sa int, sb int, common int"), n, percent)
+        pairs = written(_unordered(more).join(ledger.select("lo", "hi"), ["lo", "hi"], "left_anti"), f"candidates-{step}")
         if pairs.isEmpty():
             continue
-        # Sets that are new among the candidates are made from their texts.
-        sids = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
-        wanted = share(_wanted(sids if known is None else sids.join(known, "sid", "left_anti"), sketch_bits))
-        sets = written(_sets_of(docs, wanted, n, sketch_bits), "shingle-sets")
-        known = sets.select("sid") if known is None else known.unionByName(sets.select("sid"))
-        every = sets if step == 0 or not found else every.unionByName(sets)
-        found.append(written(_verified(pairs, every, percent), f"verified-{step}"))
-        edges = found[0]
-        for extra in found[1:]:
-            edges = edges.unionByName(extra)
+        ledger = ledger.unionByName(pairs.select("lo", "hi", F.lit(step).alias("round")))
+        near = _with_apart(pairs.select("a", "b"), sets)
+        near = written(near.filter(F.col("apart") <= F.col("sa") + F.col("sb") - 2 * _least(percent, F.col("sa") + F.col("sb"))).select("a", "b"), f"near-{step}")
+        if near.isEmpty():
+            continue
+        found = _verified(near, docs, described, n, str(step))
+        verified = found if verified is None else verified.unionByName(found)
+        edges = _linking(verified, percent)
         roots = components(edges)
-    return roots if roots is not None else spark.createDataFrame([], "node long, root long")
+    return (roots if roots is not None else spark.createDataFrame([], "node long, root long")), ledger
+
+
+def _classes(docs: DataFrame, n: int, percent: int, sketch_bits: int) -> DataFrame:
+    """(id, ref, n_shingles, sid, root) of every row of ``docs`` (id and text): the first sid of its class."""
+    described = written(_described(docs, n), "set-members")
+    roots, _ = _links(docs, described, n, percent, sketch_bits)
+    times = described.filter("sid is not null").groupBy("sid").agg(F.count("*").alias("n"))
+    bysid = written(times.join(roots, F.col("sid") == F.col("node"), "left").select("sid", "n", F.coalesce("root", "sid").alias("root")), "set-classes")
+    own = described.drop("signature")
+    linked = lookup(own.filter("sid is not null"), bysid, "sid", "n", own.count())
+    return written(linked.select("id", "ref", "n_shingles", "sid", "root").unionByName(own.filter("sid is null").select("id", "ref", "n_shingles", "sid", F.col("sid").alias("root"))), "row-classes")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 3, percent: int = 90, sketch_bits: int = SKETCH_BITS) -> DataFrame:
     """Per row of ``docs``: id, n_shingles, component_id (the smallest id reachable over links, its own included)."""
-    narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    id_type = narrow.schema["id"].dataType.simpleString()
-
-    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in chunks(batch):
-                sets = list(shingle_sets(part.column("text"), n))
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([_sid(s) if len(s) else None for s in sets], pa.int64())], names=["id", "n_shingles", "sid"])
-
-    own = written(narrow.mapInArrow(members, f"id {id_type}, n_shingles long, sid long"), "set-members")
-    least = own.filter("sid is not null").groupBy("sid").agg(F.min("id").alias("least"), F.count("*").alias("n"))
-    roots = links(narrow, "text", n, percent, sketch_bits)
-    classes = least.join(roots, F.col("sid") == F.col("node"), "left").withColumn("root", F.coalesce("root", "sid"))
-    named = classes.groupBy("root").agg(F.min("least").alias("component_id"))
-    # Sets that are one document are their own class; the others look their class's name up.
-    bysid = written(classes.select("sid", "root", "n").join(named, "root").select("sid", "n", "component_id"), "set-classes")
-    total = own.count()
-    linked = lookup(own.filter("sid is not null"), bysid, "sid", "n", total).select("id", "n_shingles", "component_id")
-    alone = own.filter("sid is null").select("id", "n_shingles", F.col("id").alias("component_id"))
+    if not 1 <= percent <= 100:
+        raise ValueError("percent must be 1 to 100")
+    rows = _classes(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), n, percent, sketch_bits)
+    named = rows.filter("root is not null").groupBy("root").agg(F.min("id").alias("component_id"), F.count("*").alias("n"))
+    linked = lookup(rows.filter("root is not null"), written(named, "class-names"), "root", "n", rows.count()).select("id", "n_shingles", "component_id")
+    alone = rows.filter("root is null").select("id", "n_shingles", F.col("id").alias("component_id"))
     return linked.unionByName(alone).select(F.col("id").alias(id_col), "n_shingles", F.when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 3, percent: int = 90, sketch_bits: int = SKETCH_BITS) -> DataFrame:
+    """One row of each class of near copies: that of the smallest id (nulls last), then of the least hash of id and text.
+
+    Rows are told apart by id and text; of rows that are equal in both, the one with the least hash
+    of all its columns stays.  Rows without words are in no class and all stay.
+    """
+    narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = _classes(narrow, n, percent, sketch_bits).filter("root is not null")
+    best = F.struct(F.col("id").isNull().alias("none"), "id", "ref")
+    first = rows.groupBy("root").agg(F.min(best).alias("first"), F.count("*").alias("n"))
+    marked = lookup(rows, written(first, "class-firsts"), "root", "n", rows.count())
+    (ref,) = fresh(docs, "_ref")
+    # Rows that go, and rows that stay in place of equal ones: only documents that may be either are shuffled.
+    changed = marked.groupBy("ref").agg(F.max(F.col("ref") != F.col("first.ref")).alias("goes"), F.count("*").alias("n")).filter("goes or n > 1").select(F.col("ref").alias(ref), "goes")
+    changed = written(changed, "near-copies")
+    some, rest = parted(docs.withColumn(ref, F.xxhash64(id_col, text_col)), ref, changed.select(ref))
+    goes = fresh(some, "_goes")[0]
+    some = some.join(changed.withColumnRenamed("goes", goes).hint("merge"), ref, "left")
+    row = F.struct(*docs.columns)
+    again = some.filter(F.col(goes) == F.lit(False)).groupBy(ref).agg(F.min_by(row, F.xxhash64(*docs.columns)).alias(goes)).select(f"{goes}.*")
+    return rest.select(docs.columns).unionByName(some.filter(F.col(goes).isNull()).select(docs.columns)).unionByName(again)
