@@ -5,8 +5,7 @@
 
 All but the last return the columns of ``documents``; ``n_chars``, where there
 is one, follows the text.  Rows with the same id stay or go together.  Rows with
-null ids are kept by the first three stages unless their text is toxic.
-"""
+null ids are kept by the first two stages unless their text is toxic."""
 
 from __future__ import annotations
 
@@ -36,11 +35,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = jaccard_join.near_duplicates(docs, n=NEAR_WORDS, percent=NEAR_PERCENT)
-    gone = written(found.filter("doc_id <> component_id").select("doc_id").distinct(), "near-copies")
-    # Only documents that may go are shuffled.
-    some, rest = parted(docs, "doc_id", gone)
-    return some.join(gone, "doc_id", "left_anti").select(docs.columns).unionByName(rest)
+    return jaccard_join.keep_one(docs, n=NEAR_WORDS, percent=NEAR_PERCENT).select(docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
