@@ -135,26 +135,54 @@ def test_search(spark, monkeypatch, block_docs):
             assert {h[2] for h in hits if h[1] > -want[q][-1][0] + 1e-9} == {i for s, i in want[q] if -s > -want[q][-1][0] + 1e-9}
 
 
-def test_search_prunes_blocks():
-    rng = np.random.default_rng(1)
-    doc = np.repeat(np.arange(6400), 5)
+def random_shard(n=6400, seed=1):
+    rng = np.random.default_rng(seed)
+    doc = np.repeat(np.arange(n), 5)
     term = rng.integers(0, 50, len(doc)).astype(np.uint64)
     term[:5] = 99
     pair = np.unique(np.stack((doc.astype(np.uint64), term)), axis=1)
-    shard = bm25.Shard(np.arange(6400), pair[0].astype(np.int64), pair[1], np.ones(pair.shape[1], np.int64), np.full(6400, 5), 5.0)
+    return bm25.Shard(pair[0].astype(np.int64), pair[1], rng.integers(1, 4, pair.shape[1]), np.full(n, 5), 5.0)
+
+
+def test_search_skips_postings():
     terms, weights = np.array([3, 99], dtype=np.uint64), np.array([0.1, 9.0])
-    seen = []
-    real = np.bincount
-    bm25.np.bincount = lambda x, *a, **k: (seen.append(len(x)), real(x, *a, **k))[1]
-    try:
-        best, scores = shard.search(terms, weights, 1)
-    finally:
-        bm25.np.bincount = real
-    assert best.tolist() == [0] and sum(seen[1:]) < 100  # of some 600 postings
+    shard = random_shard()
+    best, _ = shard.search(terms, weights, 1)
+    assert best.tolist() == [0] and shard.held > 500 and shard.scored < 100
+    # A threshold leaves out terms that can't reach it, blocks, or the whole shard; what reaches it is found.
+    rng = np.random.default_rng(4)
+    for _ in range(30):
+        terms = np.unique(rng.integers(0, 50, 12).astype(np.uint64))
+        weights = rng.exponential(1, len(terms)) ** 3
+        whole, scores = random_shard().search(terms, weights, 10)
+        for threshold in (scores[-1], scores[3], scores[0], scores[0] + 1):
+            other = random_shard()
+            docs, found = other.search(terms, weights, 10, threshold)
+            keep = scores >= threshold
+            assert docs[found >= threshold].tolist() == whole[keep].tolist() and found[found >= threshold].tolist() == scores[keep].tolist()
+            assert other.scored <= other.held
+
+
+def test_search_over_many_shards(spark, monkeypatch):
+    """Ties, ids that are no numbers, very long and repeated texts, clashing columns; a shard for every few documents."""
+    monkeypatch.setattr(bm25, "SHARD_POSTINGS", 40)
+    monkeypatch.setattr(bm25, "FIRST_WAVE", 3)
+    rng = np.random.default_rng(2)
+    texts = [" ".join(f"w{int(x)}" for x in rng.zipf(1.5, rng.integers(1, 30)) % 60) for _ in range(150)] + ["w1 w2 w3"] * 6 + ["w7 " * 30_000, "", None, "W1 w2 W3"]
+    rows = [(f"id-{k:03d}", t) for k, t in enumerate(texts)]
+    docs = spark.createDataFrame([(i, t, 1, "x") for i, t in rows], "doc_id string, text string, shard int, ids string").repartition(3)
+    asked = docs.filter("doc_id like '%0' or doc_id in ('id-151', 'id-156')")
+    want = brute_search(rows, [r.doc_id for r in asked.collect()], 5)
+    got = {}
+    for r in bm25.search(docs, asked, k=5, block_terms=30).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.doc_id, r.score))
+    assert {q: [i for _, i in w] for q, w in want.items() if w} == {q: [i for _, i, _ in sorted(hits)] for q, hits in got.items()}
+    assert all(abs(h[2] + s) < 1e-6 for q, hits in got.items() for h, (s, _) in zip(sorted(hits), want[q], strict=True))
 
 
 def test_search_corners(spark, docs, empty):
     assert bm25.search(empty, empty).count() == 0
+    assert bm25.search(docs, empty).count() == 0
     got = bm25.search(docs, docs.filter("doc_id is null or doc_id in (900, 33, 34)"), k=3).collect()
     assert all(r.doc_id is not None and r.query_id is not None for r in got)
 

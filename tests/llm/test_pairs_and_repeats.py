@@ -4,11 +4,14 @@ import hashlib
 import itertools
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from labelkit.llm import common, jaccard_join, line_dedup, substring_dedup
 
+from .conftest import words
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -139,3 +142,90 @@ def test_lookup_splits_heavy_keys(spark):
     got = common.lookup(rows, found, "key", "n", 3000)
     assert got.count() == 3000
     assert hashlib.md5(str(sorted(got.select("id", "low").collect())).encode()).hexdigest() == hashlib.md5(str(sorted(rows.join(found, "key").select("id", "low").collect())).encode()).hexdigest()
+
+
+def two_groups(size=70):
+    """Two groups of near copies that share many tokens but do not link with each other."""
+    base = [f"t{k}" for k in range(120)]
+    other = base[:70] + [f"o{k}" for k in range(50)]
+    rows = []
+    for k in range(size):
+        for g, words_ in enumerate((base, other)):
+            w = list(words_)
+            w[k % 120] = f"x{g}.{k}"
+            rows.append((2 * k + g, " ".join(w)))
+    return rows
+
+
+def test_each_pair_is_judged_once_and_groups_cost_no_squares(spark):
+    rows = two_groups()
+    docs = spark.createDataFrame(rows, "id long, text string").repartition(4)
+    for bits in (4, 20):
+        described = common.written(jaccard_join._described(docs, 3), "members")
+        _, ledger = jaccard_join._links(docs, described, 3, 90, bits)
+        assert ledger.groupBy("lo", "hi").count().filter("count > 1").isEmpty()
+        assert ledger.count() < 3000  # of 9,730 pairs
+        got = jaccard_join.near_duplicates(docs, id_col="id", n=3, percent=90, sketch_bits=bits)
+        assert sorted([tuple(r) for r in got.collect()], key=str) == brute_classes(rows, 3, 90)
+
+
+@pytest.mark.parametrize("chunk", [1, 7])
+def test_jaccard_join_with_lists_cut_to_pieces(spark, docs, rows, monkeypatch, chunk):
+    monkeypatch.setattr(jaccard_join, "CHUNK", chunk)
+    monkeypatch.setattr(jaccard_join, "HUB_ROUNDS", 1)  # more is left to the classes
+    monkeypatch.setattr(jaccard_join, "FEW_REFS", 0)
+    got = jaccard_join.near_duplicates(docs, n=1, percent=60, sketch_bits=6)
+    assert sorted([tuple(r) for r in got.collect()], key=str) == brute_classes(rows, 1, 60)
+    texts = [(k, " ".join(w if (k * 7 + j) % (11 + k % 5) else f"y{k}.{j}" for j, w in enumerate(f"t{i}" for i in range(90)))) for k in range(50)]
+    got = jaccard_join.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string"), n=1, percent=80, sketch_bits=0)
+    assert sorted([tuple(r) for r in got.collect()], key=str) == brute_classes(texts, 1, 80)
+
+
+def test_signatures_tell_long_sets_apart():
+    rng = np.random.default_rng(3)
+    for size, shared in ((5, 2), (400, 180), (1000, 460), (30_000, 13_800)):
+        a = rng.integers(0, 2**64, size, dtype=np.uint64)
+        b = np.concatenate((a[:shared], rng.integers(0, 2**64, size + size // 12 - shared, dtype=np.uint64)))
+        bound = jaccard_join.apart(jaccard_join.signature(a), jaccard_join.signature(b))
+        assert bound <= len(a) + len(b) - 2 * shared
+        if size > 100:  # Jaccard similarity 0.3: rejected at a limit of 90 %
+            assert bound > (len(a) + len(b)) * (1 - 2 * 90 / 190)
+        near = np.concatenate((a[size // 50 :], b[shared : shared + 1]))
+        assert jaccard_join.apart(jaccard_join.signature(a), jaccard_join.signature(near)) <= size // 50 + 1
+
+
+def test_one_row_of_each_class_stays(spark):
+    x, y = " ".join(words(200, 1)), " ".join(words(200, 2))
+    rows = [(1, x, "a"), (2, f"{x} z", "a"), (2, y, "a"), (3, f"{y} q r", "a"), (None, x, "a"), (None, "no copy of this", "a"), (4, "", "a"), (4, "", "b"), (4, None, "a"), (None, " ", "c")]
+    rows += [(7, "equal in id and text", "a"), (7, "equal in id and text", "b"), (7, "equal in id and text", "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, goes string").repartition(3)
+    kept = jaccard_join.keep_one(docs, n=5, percent=80)
+    assert kept.columns == docs.columns
+    got = [tuple(r) for r in kept.collect()]
+    assert sorted(got, key=str) == sorted([rows[0], rows[2], *rows[5:10], got[[g[0] for g in got].index(7)]], key=str)
+
+
+def test_tables_merge_in_levels(spark, monkeypatch):
+    monkeypatch.setattr(common, "FAN", 3)
+
+    def mark(batches):
+        table = np.zeros(64, dtype=np.uint8)
+        for batch in batches:
+            common.count_two(table, batch.column("id").to_numpy() % 64)
+        yield from common.flag_rows(table)
+
+    def count(batches):
+        table = np.zeros(64, dtype=np.int64)
+        for batch in batches:
+            np.add.at(table, batch.column("id").to_numpy() % 64, 1)
+        yield from common.sketch_rows(table)
+
+    ids = spark.range(0, 100, 1, 40).union(spark.createDataFrame([(7,)] * 5, "id long"))
+    assert common.merged_sketch(ids.mapInArrow(count, common.SKETCH_SCHEMA), 64).tolist() == [2 + 5 * (k == 7) if k < 36 else 1 for k in range(64)]
+    bits = common.merged_flags(ids.mapInArrow(mark, common.SKETCH_SCHEMA), 64)
+    assert common.flagged(bits, np.arange(64, dtype=np.uint64)).tolist() == [k < 36 for k in range(64)]
+    # No group of any level reads more tables than the fan has, while there are fewer than its cube of tasks.
+    read = []
+    monkeypatch.setattr(common.DataFrame, "collect", lambda self, f=common.DataFrame.collect: read.append(self) or f(self))
+    common.merged_sketch(ids.mapInArrow(count, common.SKETCH_SCHEMA), 64)
+    assert read[0]._jdf.queryExecution().optimizedPlan().toString().count("FlatMapGroupsInArrow") == 3
