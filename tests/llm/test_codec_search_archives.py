@@ -1,8 +1,10 @@
 """SentencePiece codec, exact search, WARC archives, URL filters."""
 
 import base64
+import gzip
 import hashlib
 import io
+import json
 import math
 import random
 import struct
@@ -208,7 +210,7 @@ def brute_pages(rows):
 
 
 @pytest.mark.parametrize("size", [1, 8_000_000])
-def test_archives(spark, size):
+def test_archives(spark, size, monkeypatch):
     rows = page_rows()
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("digest", F.lit("own")).repartition(3)
     path = scratch_path(spark, "warc-test")
@@ -217,6 +219,10 @@ def test_archives(spark, size):
     assert sorted([(r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got], key=str) == brute_pages(rows)
     assert Counter(bytes(r.payload) for r in got if r.record_type == "response") <= Counter((h or "").encode() for _, _, h in rows)
     files = spark.read.format("binaryFile").load(path).collect()
+    ids = [fields["warc-record-id"] for f in files for fields, _ in warc_zip.Archive.of_bytes(f.content).records()]
+    assert len(ids) == len(set(ids)) == len(rows)
+    monkeypatch.setattr(warc_zip, "opened", lambda path: None)  # a store that only Spark reads
+    assert sorted(map(str, warc_zip.read_archives(spark, path).collect())) == sorted(map(str, got))
     assert (len(files) == len(rows)) == (size == 1)
     for f in files:  # other programs read them too
         with zipfile.ZipFile(io.BytesIO(f.content)) as z:
@@ -269,8 +275,94 @@ def test_records():
     fields, payload = warc_zip.parse_record(warc_zip.make_record(5, "http://a/\r\nWARC-Type: x", b"body\r\n\r\n", None))
     assert payload == b"body\r\n\r\n" and fields["warc-type"] == "response" and "\r" not in fields["warc-target-uri"]
     assert base64.b32decode(fields["warc-payload-digest"][5:]) == hashlib.sha1(payload).digest()
-    fields, payload = warc_zip.parse_record(warc_zip.make_record(5, None, b"body", 9))
-    assert payload == b"" and fields["warc-refers-to"] == warc_zip.record_id(9, None) and fields["http-length"] == "4"
+    fields, payload = warc_zip.parse_record(warc_zip.make_record(5, None, b"body", 9, "http://b/ c"))
+    assert payload == b"" and fields["warc-refers-to-target-uri"] == "http://b/%20c" and fields["x-refers-to-page-id"] == "9" and fields["http-length"] == "4"
+
+
+def foreign(tmp_path, index, indexed, gzipped=True, pad=0):
+    """An archive of two WARC members, as other programs write them; after ``pad`` bytes of a hole."""
+    path = tmp_path / "foreign.wacz"
+    records = {name: [warc_zip.make_record(k, f"http://{name}/{k}", b"payload %d " % k * 50, None, name=name) for k in range(b, b + 3)] for name, b in (("one", 0), ("two", 3))}
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_STORED, allowZip64=True) as z:
+        if pad:
+            info = zipfile.ZipInfo("pages/pad.bin")
+            with z.open(info, "w", force_zip64=True) as f:
+                f.write(b"x")
+        lines = []
+        for name, own in records.items():
+            bodies = [gzip.compress(r) if gzipped else r for r in own]
+            member = f"archive/{name}.warc{'.gz' if gzipped else ''}"
+            z.writestr(member, b"".join(bodies))
+            at = 0
+            for k, body in enumerate(bodies):
+                file = member.split("/")[1]
+                lines.append(f'org,{name})/{k} 20200101 {json.dumps({"url": "u", "offset": str(at), "length": str(len(body)), "filename": file})}' if index != "cdx" else f"org,{name})/{k} 2020 {len(body)} {at} {file}")
+                at += len(body)
+        text = "\n".join((["!CDXJ-1.0 meta"] if index != "cdx" else [" CDX N b S V g"]) + lines) + "\n"
+        if indexed:
+            z.writestr("indexes/index.cdx.gz" if index == "gz" else f"indexes/index.{index}", gzip.compress(text[:100].encode()) + gzip.compress(text[100:].encode()) if index == "gz" else text)
+        z.writestr("datapackage.json", "{}")
+    return path
+
+
+@pytest.mark.parametrize(("index", "indexed", "gzipped"), [("cdxj", True, True), ("gz", True, True), ("cdx", True, False), ("cdxj", False, True), ("cdxj", False, False)])
+def test_archives_of_other_programs(spark, tmp_path, monkeypatch, index, indexed, gzipped):
+    path = foreign(tmp_path, index, indexed, gzipped)
+    with path.open("rb") as f:
+        assert sorted(p for _, p in warc_zip.Archive.of_file(f).records()) == sorted(b"payload %d " % k * 50 for k in range(6))
+    monkeypatch.setattr(warc_zip, "STEP_BYTES", 37)
+    with path.open("rb") as f:
+        assert len([*warc_zip.Archive.of_file(f).records()]) == 6
+    got = warc_zip.read_archives(spark, f"file://{path}").collect()
+    assert sorted((r.page_id, r.url) for r in got) == [(k, f"http://{'one' if k < 3 else 'two'}/{k}") for k in range(6)]
+
+
+def shifted(path, to, by):
+    """Copy an archive with a hole of ``by`` bytes at its front: a sparse file beyond what one read or a plain directory can hold."""
+    data = path.read_bytes()
+    archive = warc_zip.Archive.of_bytes(data)
+    entries = b""
+    for name, (method, stored, size, local) in archive.members.items():
+        raw = name.encode()
+        extra = struct.pack("<HHQQQ", 1, 24, size, stored, local + by)
+        entries += b"PK\x01\x02" + struct.pack("<HHHHHHIIIHHHHHII", 45, 45, 0x800, method, 0, 0, 0, 2**32 - 1, 2**32 - 1, len(raw), len(extra), 0, 0, 0, 0, 2**32 - 1) + raw + extra
+    n, at = len(archive.members), by + len(data)
+    with to.open("wb") as f:
+        f.seek(by)
+        f.write(data + entries)
+        f.write(b"PK\x06\x06" + struct.pack("<QHHIIQQQQ", 44, 45, 45, 0, 0, n, n, len(entries), at))
+        f.write(b"PK\x06\x07" + struct.pack("<IQI", 0, at + len(entries), 1) + b"PK\x05\x06" + struct.pack("<HHHHIIH", 0, 0, 0xFFFF, 0xFFFF, 2**32 - 1, 2**32 - 1, 0))
+
+
+def test_archive_beyond_two_gigabytes(spark, tmp_path):
+    big = tmp_path / "big" / "big.wacz"
+    big.parent.mkdir()
+    shifted(foreign(tmp_path, "gz", True), big, 5 * 2**30)
+    read, close = warc_zip._reader(f"file://{big}")
+    sizes = []
+    archive = warc_zip.Archive(lambda at, n: (sizes.append(n), read(at, n))[1], big.stat().st_size)
+    assert len([*archive.records()]) == 6 and sum(sizes) < 100_000
+    close()
+    got = warc_zip.read_archives(spark, f"file://{big.parent}").collect()
+    assert sorted((r.page_id, bytes(r.payload)) for r in got) == [(k, b"payload %d " % k * 50) for k in range(6)]
+
+
+def test_neighbouring_ranges_are_read_together(monkeypatch):
+    monkeypatch.setattr(warc_zip, "READ_BYTES", 100)
+    ranges = [("a", 0, 40), ("a", 40, 50), ("a", 90, 20), ("a", 120, 5), ("b", 125, 500), ("b", 625, 1)]
+    assert [*warc_zip._neighbours(iter(ranges))] == [("a", [(0, 40), (40, 50)]), ("a", [(90, 20)]), ("a", [(120, 5)]), ("b", [(125, 500)]), ("b", [(625, 1)])]
+
+
+def test_broken_indexes(tmp_path):
+    with pytest.raises(ValueError):
+        [*warc_zip.index_lines(iter(["no json here"]))]
+    path = tmp_path / "x.zip"
+    for line in ('a {"offset": 5, "length": 50}', 'a {"offset": 0, "length": 1, "filename": "other"}'):
+        with zipfile.ZipFile(path, "w") as z:
+            z.writestr("archive/a.warc", b"short")
+            z.writestr("indexes/index.cdxj", line)
+        with pytest.raises(ValueError):
+            [*warc_zip.Archive.of_bytes(path.read_bytes()).ranges()]
 
 
 def brute_rule(rules, host, path):
