@@ -19,7 +19,8 @@ Two documents link when 100 * |intersection| >= percent * |union|.
    for the sets in such pairs only.  Pairs judged before are left out.
 
 Classes need no pair within what is already linked.  Rounds of hubs compare
-one set of each token with its others; linked sets get a common class.  Then every pair
+one set of each token with its others, then some members of its largest class, and
+one outsider, with the sets outside; linked sets get a common class.  Then every pair
 of classes that share a token is decided.  Jaccard distances obey the triangle
 inequality: if the first set of a class has distance r at most to its members, and the
 signatures prove a distance over r + (100 - percent) / 100 to another set, that one
@@ -49,8 +50,8 @@ from pyspark.sql import functions as F
 from labelkit.llm.common import SKETCH_SCHEMA, chunks, components, drop, fresh, lookup, merged_sketch, mix, parted, shingle_sets, sketch_rows, written
 
 SKETCH_BITS = 24
-#: Rounds of hubs; rows of a token (or of a class in it) that one task compares with as many others; wanted documents that are broadcast.
-HUB_ROUNDS, CHUNK, FEW_REFS = 2, 1000, 50_000
+#: Rounds of hubs; members of a class that are hubs after the first round; rows of a token (or of a class in it) that one task compares with as many others; wanted documents that are broadcast.
+HUB_ROUNDS, HUBS, CHUNK, FEW_REFS = 3, 8, 1000, 50_000
 
 
 def _sid(shingles: np.ndarray) -> int:
@@ -204,12 +205,12 @@ def _with_apart(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 # ----------------------------------------------------------------- verification
 
 
-def _sets(docs: DataFrame, described: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
+def _sets(docs: DataFrame, sets: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
     """(sid, shingles, is_a, is_b) of the sets in these pairs (and maybe of others), made from one row of each."""
     side = lambda c: F.struct(F.col(c).alias("sid"), F.lit(c == "a").alias("is_a"), F.lit(c == "b").alias("is_b"))
     asked = pairs.select(F.explode(F.array(side("a"), side("b"))).alias("x")).select("x.*")
     asked = asked.groupBy("sid").agg(F.max("is_a").alias("is_a"), F.max("is_b").alias("is_b"))
-    refs = described.filter("sid is not null").select("sid", "ref").join(asked, "sid").groupBy("sid").agg(F.min("ref").alias("ref"), F.max("is_a").alias("is_a"), F.max("is_b").alias("is_b"))
+    refs = sets.select("sid", "ref").join(asked, "sid")
     refs = written(refs.groupBy("ref").agg(F.max("is_a").alias("is_a"), F.max("is_b").alias("is_b")), "set-rows")
     rows = docs.select("text", F.xxhash64("id", "text").alias("ref"))
     if refs.count() <= FEW_REFS:
@@ -236,11 +237,11 @@ def _sets(docs: DataFrame, described: DataFrame, pairs: DataFrame, n: int) -> Da
     return rows.mapInArrow(run, "sid long, shingles array<long>, is_a boolean, is_b boolean")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, described: DataFrame, n: int, name: str) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, n: int, name: str) -> DataFrame:
     """``pairs`` (a, b) with sizes sa, sb and the number of shingles they share (common)."""
-    sets = written(_sets(docs, described, pairs, n), f"sets-{name}")
-    left = pairs.select("a", "b").join(sets.filter("is_b").select(F.col("sid").alias("b"), F.col("shingles").alias("_y")), "b")
-    both = left.join(sets.filter("is_a").select(F.col("sid").alias("a"), F.col("shingles").alias("_x")), "a")
+    whole = written(_sets(docs, sets, pairs, n), f"sets-{name}")
+    left = pairs.select("a", "b").join(whole.filter("is_b").select(F.col("sid").alias("b"), F.col("shingles").alias("_y")), "b")
+    both = left.join(whole.filter("is_a").select(F.col("sid").alias("a"), F.col("shingles").alias("_x")), "a")
     return written(both.select("a", "b", F.size("_x").alias("sa"), F.size("_y").alias("sb"), F.size(F.array_intersect("_x", "_y")).alias("common")).distinct(), f"verified-{name}")
 
 
@@ -273,7 +274,20 @@ def _dealt(left: DataFrame, right: DataFrame, keys: list[str], condition: Callab
     return sides[0].join(sides[1], [*keys, "_p", "_q"]).filter(condition(F.col("l"), F.col("r"))).select("l", "r")
 
 
-def _class_pairs(rows: DataFrame, roots: DataFrame, sets: DataFrame, docs: DataFrame, described: DataFrame, verified: DataFrame, n: int, percent: int) -> DataFrame:
+def _hub_pairs(rows: DataFrame, step: int, percent: int, total: int) -> DataFrame:
+    """Pairs (a, b) of a token's sets outside its largest class with HUBS members of that class and with one of their own."""
+    own = F.struct("sid", "size", "at", "root")
+    order = F.struct(F.xxhash64("sid", F.lit(step)), "sid")
+    kind = F.when(F.col("root") == F.col("top"), F.pmod(F.xxhash64("sid", F.lit(-step)), F.lit(HUBS))).otherwise(-1)
+    hubs = rows.groupBy("token", kind.alias("_kind")).agg(F.min_by(own, order).alias("hub")).groupBy("token").agg(F.collect_list("hub").alias("hubs"))
+    counts = rows.groupBy("token").agg(F.count("*").alias("times"))
+    outside = lookup(rows.filter("root <> top"), written(hubs.join(counts, "token"), f"hubs-{step}"), "token", "times", total)
+    mine = {c: F.col(c) for c in ("size", "at")}
+    fit = F.filter("hubs", lambda h: (h["root"] != F.col("root")) & _may_link(percent, mine, h))
+    return outside.select(F.col("sid").alias("b"), F.explode(F.transform(fit, lambda h: h["sid"])).alias("a")).select("a", "b")
+
+
+def _class_pairs(rows: DataFrame, roots: DataFrame, sets: DataFrame, docs: DataFrame, verified: DataFrame, n: int, percent: int) -> DataFrame:
     """Pairs (a, b) of sets in different classes that may link; ``rows`` have the token's number of rows and of classes."""
     far = (100 - percent) / 100 + 1e-9
     classes = rows.groupBy("token", "root").agg(F.min("size").alias("lo"), F.max("size").alias("hi"), F.max(F.col("size") - F.col("at")).alias("ahead"), F.count("*").alias("k"), F.any_value("n").alias("n"), F.any_value("classes").alias("classes"))
@@ -292,7 +306,7 @@ def _class_pairs(rows: DataFrame, roots: DataFrame, sets: DataFrame, docs: DataF
     lacking = written(many.join(known.select("a", "b"), ["a", "b"], "left_anti"), "radius-pairs")
     radius = known
     if not lacking.isEmpty():
-        radius = known.unionByName(_verified(lacking, docs, described, n, "radius"))
+        radius = known.unionByName(_verified(lacking, docs, sets, n, "radius"))
     radius = radius.groupBy("a").agg(F.max(1 - F.col("common") / (F.col("sa") + F.col("sb") - F.col("common"))).alias("r"))
     bound = 2 * F.col("apart") / (F.col("sa") + F.col("sb") + F.col("apart"))
     kept = _with_apart(probes, sets).select("a", "b", bound.alias("d")).join(radius, "a", "left").withColumn("single", F.col("r").isNull())
@@ -322,7 +336,7 @@ def _links(docs: DataFrame, described: DataFrame, n: int, percent: int, sketch_b
     table.unpersist()
     shared = written(_shared(rows), "shared-rows")
     drop(rows)
-    sets = written(described.filter("sid is not null").groupBy("sid").agg(F.any_value("n_shingles").alias("n_shingles"), F.any_value("signature").alias("signature")), "signatures")
+    sets = written(described.filter("sid is not null").groupBy("sid").agg(F.any_value("n_shingles").alias("n_shingles"), F.any_value("signature").alias("signature"), F.min("ref").alias("ref")), "signatures")
     hub = F.min_by(F.struct("sid", "size", "at"), F.struct(F.xxhash64("sid"), "sid")).alias("hub")
     tokens = written(shared.groupBy("token").agg(F.count("*").alias("n"), hub).filter("n > 1").withColumn("times", F.col("n")), "prefix-tokens")
     joined = written(lookup(shared, tokens, "token", "times", shared.count()), "token-rows")
@@ -340,12 +354,9 @@ def _links(docs: DataFrame, described: DataFrame, n: int, percent: int, sketch_b
             if now.isEmpty():
                 break
             if step < HUB_ROUNDS:
-                # A set outside the token's largest class against every set of other classes.
-                outside = now.filter("root <> top").groupBy("token").agg(F.min_by(F.struct("sid", "size", "at", "root"), F.struct(F.xxhash64("sid", F.lit(step)), "sid")).alias("hub"), F.any_value("n").alias("times"))
-                all_rows = lookup(now, written(outside, f"hubs-{step}"), "token", "times", joined.count())
-                more = all_rows.filter(F.col("root") != F.col("hub.root")).filter(_may_link(percent, {c: F.col(c) for c in ("size", "at")}, F.col("hub"))).select(F.col("hub.sid").alias("a"), F.col("sid").alias("b"))
+                more = _hub_pairs(now, step, percent, joined.count())
             else:
-                more = _class_pairs(now, roots if roots is not None else spark.createDataFrame([], "node long, root long"), sets, docs, described, verified if verified is not None else spark.createDataFrame([], "a long, b long, sa int, sb int, common int"), n, percent)
+                more = _class_pairs(now, roots if roots is not None else spark.createDataFrame([], "node long, root long"), sets, docs, verified if verified is not None else spark.createDataFrame([], "a long, b long, sa int, sb int, common int"), n, percent)
         pairs = written(_unordered(more).join(ledger.select("lo", "hi"), ["lo", "hi"], "left_anti"), f"candidates-{step}")
         if pairs.isEmpty():
             continue
@@ -354,7 +365,7 @@ def _links(docs: DataFrame, described: DataFrame, n: int, percent: int, sketch_b
         near = written(near.filter(F.col("apart") <= F.col("sa") + F.col("sb") - 2 * _least(percent, F.col("sa") + F.col("sb"))).select("a", "b"), f"near-{step}")
         if near.isEmpty():
             continue
-        found = _verified(near, docs, described, n, str(step))
+        found = _verified(near, docs, sets, n, str(step))
         verified = found if verified is None else verified.unionByName(found)
         edges = _linking(verified, percent)
         roots = components(edges)
