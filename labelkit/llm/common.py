@@ -7,6 +7,10 @@ without decoding and without a loop over words.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
+import re
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 
@@ -22,6 +26,8 @@ from labelkit.session import remove, scratch_path
 
 #: Text bytes handled at once by the numpy kernels; a longer text is a batch of its own.
 CHUNK_BYTES = 500_000
+#: Bytes of a batch that Spark hands to Python.
+BATCH_BYTES = 8 << 20
 #: Keys holding at least 1/HEAVY_SHARE of all rows are looked up by broadcast (there are at most HEAVY_SHARE of them).
 HEAVY_SHARE = 512
 #: Width of the bit tables of ids: 2**24 bits are 2 MB.
@@ -59,6 +65,25 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let Spark hand texts to Python in batches of 8 MB at most (its own limit is 64 MB): it bounds the workers' memory."""
+    if int(re.sub(r"\D", "", spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch"))) > BATCH_BYTES:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
+def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run``, then free memory goes back to the system: Spark keeps its Python workers for later tasks."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # another C library than glibc
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return wrapped
+
+
 def drop(df: DataFrame) -> None:
     """Delete a table made by ``written`` that nothing reads any more."""
     for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
@@ -169,13 +194,13 @@ def shingle_sets(texts: pa.Array, n: int, lower: bool = True) -> Iterator[np.nda
             yield hashes[:0]
 
 
-def chunks(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batch in slices of about CHUNK_BYTES of text, whole rows each."""
+def chunks(batch: pa.RecordBatch, column: str = "text", size: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about this many bytes of text, whole rows each."""
     sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
     at = 0
     while at < batch.num_rows:
         base = sizes[at - 1] if at else 0
-        to = max(at + 1, int(np.searchsorted(sizes, base + CHUNK_BYTES, "right")))
+        to = max(at + 1, int(np.searchsorted(sizes, base + size, "right")))
         yield batch.slice(at, to - at)
         at = to
 
@@ -306,7 +331,7 @@ def parted(rows: DataFrame, id_col: str, ids: DataFrame, bits: int = ID_BITS) ->
             table[batch.column(0).to_numpy()] = 2
         yield from flag_rows(table)
 
-    marks = rows.sparkSession.sparkContext.broadcast(merged_flags(ids.select(place(ids.columns[0]).alias("place")).mapInArrow(mark, SKETCH_SCHEMA), 1 << bits))
+    marks = rows.sparkSession.sparkContext.broadcast(merged_flags(ids.select(place(ids.columns[0]).alias("place")).mapInArrow(released(mark), SKETCH_SCHEMA), 1 << bits))
     (at,) = fresh(rows, "_place")
     named = rows.withColumn(at, place(id_col))
 
@@ -315,7 +340,7 @@ def parted(rows: DataFrame, id_col: str, ids: DataFrame, bits: int = ID_BITS) ->
             for batch in batches:
                 yield batch.filter(pa.array(flagged(marks.value, batch.column(at).to_numpy().astype(np.uint64)) == inside))
 
-        return named.mapInArrow(run, named.schema).drop(at)
+        return named.mapInArrow(released(run), named.schema).drop(at)
 
     return only(True), only(False)
 

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labelkit.llm.common import fresh
+from labelkit.llm.common import fresh, released
 
 KEEP, REROLE, DELETE, INSERT, CUT_OFF = 0, 1, 2, 5, 5
 SPOOL_BYTES, OUT_ROWS, OUT_BYTES = 8_000_000, 2_000, 4_000_000
@@ -265,7 +265,7 @@ def repair(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", r
         if held:
             yield batch()
 
-    return placed.mapInArrow(run, schema)
+    return placed.mapInArrow(released(run), schema)
 
 
 def digests(repaired: DataFrame, conv_col: str = "conv_id", out: str = "repaired_sha256") -> DataFrame:
@@ -301,7 +301,7 @@ def digests(repaired: DataFrame, conv_col: str = "conv_id", out: str = "repaired
         if head is not None:
             yield done([head], [state.hexdigest()])
 
-    return repaired.mapInArrow(run, schema)
+    return repaired.mapInArrow(released(run), schema)
 
 
 def damage(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", absent: str = "absent") -> DataFrame:

@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelkit.llm.common import lookup, mix, written
+from labelkit.llm.common import lookup, mix, released, written
 
 BLOCK, HEADS, SEEDS = 20, 4, 5
 PIECE_BYTES = 1 << 16
@@ -108,7 +108,7 @@ def _scanned(placed: DataFrame, seed: int, lanes: Lanes) -> DataFrame:
             conv, k, sums = own[-1], int(place[-1]) + 1, tuple(x[-1] for x in out)
             yield pa.RecordBatch.from_arrays([batch.column("conv"), batch.column("part"), pa.array(place + 1), pa.array(out[0].view(np.int64)), pa.array(out[1].view(np.int64)), pa.array(out[2]), batch.column("d1"), batch.column("d2"), batch.column("words")], names=["conv", "part", "k", "f1", "f2", "total", "d1", "d2", "words"])
 
-    return placed.mapInArrow(scan, "conv long, part int, k long, f1 long, f2 long, total long, d1 long, d2 long, words long")
+    return placed.mapInArrow(released(scan), "conv long, part int, k long, f1 long, f2 long, total long, d1 long, d2 long, words long")
 
 
 def products(turn_rows: DataFrame, seed: int, lanes: Lanes) -> DataFrame:
@@ -142,7 +142,7 @@ def products(turn_rows: DataFrame, seed: int, lanes: Lanes) -> DataFrame:
                     k[at], total[at] = k[at] + n, total[at] + t
             yield pa.RecordBatch.from_arrays([batch.column("conv"), pa.array(k), pa.array(f1.view(np.int64)), pa.array(f2.view(np.int64)), pa.array(total), *(batch.column(c) for c in names[5:])], names=names)
 
-    return scanned.mapInArrow(whole, ", ".join(f"{c} long" for c in names)) if held.value else scanned.select(names)
+    return scanned.mapInArrow(released(whole), ", ".join(f"{c} long" for c in names)) if held.value else scanned.select(names)
 
 
 def paths(turn_rows: DataFrame, block: int, heads: int, seed: int, lanes: Lanes) -> DataFrame:
@@ -177,7 +177,7 @@ def paths(turn_rows: DataFrame, block: int, heads: int, seed: int, lanes: Lanes)
             yield pa.RecordBatch.from_arrays([batch.column("conv"), pa.array(k - h + hb), *f, batch.column("d1"), batch.column("d2"), batch.column("words"), pa.array(rest - (whole - cut) + words), pa.array(k - h == left)], names=["conv", *_NODE, "d1", "d2", "words", "below", "ends"])
 
     schema = "conv long, depth long, f1 long, f2 long, d1 long, d2 long, words long, below long, ends boolean"
-    suffixes = ours.select("conv", "k", "h", "hb", "f1", "f2", "total", "c1", "c2", "c", "b1", "b2", "b", "rest", "left", "d1", "d2", "words").mapInArrow(shift, schema)
+    suffixes = ours.select("conv", "k", "h", "hb", "f1", "f2", "total", "c1", "c2", "c", "b1", "b2", "b", "rest", "left", "d1", "d2", "words").mapInArrow(released(shift), schema)
     every = frames.select("conv", "hb", "left", (F.col("b") + F.col("rest")).alias("all"), F.explode(F.concat(F.array(F.struct(*(zero.alias(c) for c in ("k", "f1", "f2", "total", "d1", "d2", "words")))), "head")).alias("t"))
     prefixes = every.select("conv", F.col("t.k").alias("depth"), "t.f1", "t.f2", "t.d1", "t.d2", "t.words", (F.col("all") - F.col("t.total") + F.col("t.words")).alias("below"), ((F.col("t.k") == F.col("hb")) & (F.col("left") == 0)).alias("ends"))
     return suffixes.unionByName(prefixes)
@@ -194,7 +194,7 @@ def _parents(nodes: DataFrame, seed: int, lanes: Lanes) -> DataFrame:
                 g = [pa.array((f.view(np.uint64) - t * power).view(np.int64)) for f, t in zip((f1, f2), lanes(d1, d2, seed), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *g], names=[*batch.schema.names, "g1", "g2"])
 
-    return nodes.mapInArrow(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in nodes.schema) + ", g1 long, g2 long")
+    return nodes.mapInArrow(released(run), ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in nodes.schema) + ", g1 long, g2 long")
 
 
 def _ends(path_rows: DataFrame) -> DataFrame:
@@ -213,7 +213,7 @@ def _ends(path_rows: DataFrame) -> DataFrame:
                 at = pa.array([a for a, _ in spans])
                 yield pa.RecordBatch.from_arrays([*(batch.column(c).take(at) for c in [*_NODE, "conv"]), pa.array([",".join(map(str, conv[a:b])) for a, b in spans])], names=names)
 
-    pieces = ids.repartitionByRange(*_NODE, "conv").sortWithinPartitions(*_NODE, "conv").mapInArrow(join, "depth long, f1 long, f2 long, first long, ids string")
+    pieces = ids.repartitionByRange(*_NODE, "conv").sortWithinPartitions(*_NODE, "conv").mapInArrow(released(join), "depth long, f1 long, f2 long, first long, ids string")
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, state = None, None
@@ -235,7 +235,7 @@ def _ends(path_rows: DataFrame) -> DataFrame:
         if state:
             yield made([(now, state.hexdigest())])
 
-    return pieces.repartition(*_NODE).sortWithinPartitions(*_NODE, "first").mapInArrow(digest, "depth long, f1 long, f2 long, ends_sha256 string")
+    return pieces.repartition(*_NODE).sortWithinPartitions(*_NODE, "first").mapInArrow(released(digest), "depth long, f1 long, f2 long, ends_sha256 string")
 
 
 def trie(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", block: int = BLOCK, heads: int = HEADS, lanes: Lanes = mixed) -> DataFrame:

@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelkit.llm.common import SKETCH_SCHEMA, chunks, components, drop, fresh, lookup, merged_sketch, mix, parted, shingle_sets, sketch_rows, written
+from labelkit.llm.common import SKETCH_SCHEMA, chunks, components, drop, fresh, lookup, merged_sketch, mix, parted, released, shingle_sets, sketch_rows, written
 
 SKETCH_BITS = 24
 #: Rounds of hubs; members of a class that are hubs after the first round; rows of a token (or of a class in it) that one task compares with as many others; wanted documents that are broadcast.
@@ -94,7 +94,7 @@ def frequencies(docs: DataFrame, n: int, bits: int) -> np.ndarray:
         yield from sketch_rows(table)
 
     # Sums on a scale of logarithms: 16 bits tell frequent shingles from rare ones at any size of the corpus.
-    return np.round(np.log2(merged_sketch(docs.mapInArrow(count, SKETCH_SCHEMA), 1 << bits) + 1.0) * 1024).astype(np.uint16)
+    return np.round(np.log2(merged_sketch(docs.mapInArrow(released(count), SKETCH_SCHEMA), 1 << bits) + 1.0) * 1024).astype(np.uint16)
 
 
 def _prefix_size(size: int, percent: int) -> int:
@@ -113,7 +113,7 @@ def _described(docs: DataFrame, n: int) -> DataFrame:
                 columns = [pa.array([len(s) for s in sets], pa.int64()), pa.array([_sid(s) if len(s) else None for s in sets], pa.int64()), pa.array([signature(s) if len(s) else None for s in sets], pa.binary())]
                 yield pa.RecordBatch.from_arrays([part.column("id"), part.column("ref"), *columns], names=["id", "ref", "n_shingles", "sid", "signature"])
 
-    return rows.mapInArrow(run, f"id {id_type}, ref long, n_shingles long, sid long, signature binary")
+    return rows.mapInArrow(released(run), f"id {id_type}, ref long, n_shingles long, sid long, signature binary")
 
 
 def _prefix_rows(docs: DataFrame, table, n: int, percent: int) -> DataFrame:
@@ -139,7 +139,7 @@ def _prefix_rows(docs: DataFrame, table, n: int, percent: int) -> DataFrame:
                     at = np.concatenate([np.arange(k, dtype=np.int32) for k in sizes])
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).astype(np.int64)), pa.array(head[:, 0]), pa.array(head[:, 1].astype(np.int32)), pa.array(at)], names=["token", "sid", "size", "at"])
 
-    return docs.select("text").mapInArrow(run, "token long, sid long, size int, at int")
+    return docs.select("text").mapInArrow(released(run), "token long, sid long, size int, at int")
 
 
 def _shared(rows: DataFrame) -> DataFrame:
@@ -164,7 +164,7 @@ def _shared(rows: DataFrame) -> DataFrame:
         if held is not None:
             yield held
 
-    return rows.repartitionByRange("token", "sid").sortWithinPartitions("token", "sid").mapInArrow(run, rows.schema)
+    return rows.repartitionByRange("token", "sid").sortWithinPartitions("token", "sid").mapInArrow(released(run), rows.schema)
 
 
 # ---------------------------------------------------------------------- filters
@@ -199,7 +199,7 @@ def _with_apart(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             found = [apart(x, y) for x, y in zip(batch.column("_x").to_pylist(), batch.column("_y").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(found, pa.int64())], names=[*names, "apart"])
 
-    return both.select(*names, "_x", "_y").mapInArrow(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in both.select(*names).schema) + ", apart long")
+    return both.select(*names, "_x", "_y").mapInArrow(released(run), ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in both.select(*names).schema) + ", apart long")
 
 
 # ----------------------------------------------------------------- verification
@@ -234,7 +234,7 @@ def _sets(docs: DataFrame, sets: DataFrame, pairs: DataFrame, n: int) -> DataFra
                     flags = [part.column(c).take(pa.array(at)) for c in ("is_a", "is_b")]
                     yield pa.RecordBatch.from_arrays([pa.array(sids, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(found))), *flags], names=["sid", "shingles", "is_a", "is_b"])
 
-    return rows.mapInArrow(run, "sid long, shingles array<long>, is_a boolean, is_b boolean")
+    return rows.mapInArrow(released(run), "sid long, shingles array<long>, is_a boolean, is_b boolean")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, n: int, name: str) -> DataFrame:

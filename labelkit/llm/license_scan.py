@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labelkit.llm.common import Words, chunks, without
+from labelkit.llm.common import Words, chunks, released, without
 
 RARE, AGREE, SLACK, COMMON = 8, 2, 8, 0.1
 
@@ -182,7 +182,7 @@ def frequencies(docs: DataFrame, text_col: str, vocabulary: np.ndarray) -> tuple
                 n += part.num_rows
         yield pa.RecordBatch.from_arrays([pa.array([-1, *range(len(df))], pa.int32()), pa.array([n, *df.tolist()], pa.int64())], names=["word", "df"])
 
-    rows = docs.select(F.col(text_col).alias("text")).mapInArrow(count, "word int, df long").groupBy("word").agg(F.sum("df").alias("df")).collect()
+    rows = docs.select(F.col(text_col).alias("text")).mapInArrow(released(count), "word int, df long").groupBy("word").agg(F.sum("df").alias("df")).collect()
     found = {r.word: r.df for r in rows}
     return found.get(-1, 0), {int(w): found.get(i, 0) for i, w in enumerate(vocabulary)}
 
@@ -232,4 +232,4 @@ def scan(docs: DataFrame, phrases: Mapping[str, str] | None = None, text_col: st
                 made = {"n_words": pa.array(np.diff(words.first).astype(np.int64)), "spans": pa.ListArray.from_arrays(pa.array(ends), structs)}
                 yield pa.RecordBatch.from_arrays([made[c] if c in made else part.column(c) for c in names], names=names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(released(run), schema)

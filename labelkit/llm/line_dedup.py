@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labelkit.llm.common import SKETCH_SCHEMA, bit_rows, chunks, fresh, lookup, merged_flags, parted, without, written
+from labelkit.llm.common import SKETCH_SCHEMA, bit_rows, chunks, fresh, lookup, merged_flags, parted, released, without, written
 
 SPACES = " \t\n\x0b\x0c\r"
 MIN_CHARS, MIN_DOCS = 40, 5
@@ -90,7 +90,7 @@ def twice_seen(docs: DataFrame, min_chars: int, bits: int) -> np.ndarray:
                     once.add(new)
         yield from bit_rows(once.data, twice.data)
 
-    return merged_flags(docs.mapInArrow(fill, SKETCH_SCHEMA), 8 * len(Bloom(bits).data))
+    return merged_flags(docs.mapInArrow(released(fill), SKETCH_SCHEMA), 8 * len(Bloom(bits).data))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, filter_bits: int = FILTER_BITS) -> DataFrame:
@@ -119,7 +119,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     hit = np.flatnonzero(bloom.holds(_pairs(found)))
                     yield pa.RecordBatch.from_arrays([part.column("id").take(pa.array(np.array(rows)[hit])), pa.array([found[k] for k in hit], pa.binary())], names=["id", "digest"])
 
-    suspects = written(narrow.mapInArrow(suspect, T.StructType([T.StructField("id", id_type), T.StructField("digest", T.BinaryType())])), "line-suspects")
+    suspects = written(narrow.mapInArrow(released(suspect), T.StructType([T.StructField("id", id_type), T.StructField("digest", T.BinaryType())])), "line-suspects")
     common = written(
         suspects.distinct().groupBy("digest").agg(F.count("*").alias("n"), F.max("id").alias("keep")).filter(F.col("n") >= min_docs), "line-repeats"
     )
@@ -148,4 +148,4 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             made = {"n_lines": pa.array(lines, pa.int64()), "n_dropped": pa.array(dropped, pa.int64()), text_col: pa.array(texts, batch.schema.field(text_col).type)}
             yield pa.RecordBatch.from_arrays([made.get(c, None) if c in made else batch.column(c) for c in names], names=names)
 
-    return joined.mapInArrow(rebuild, out_type)
+    return joined.mapInArrow(released(rebuild), out_type)

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labelkit.llm.common import Words, chunks, mix
+from labelkit.llm.common import Words, chunks, mix, released
 
 FIT_ROWS, ROUNDS, DEPTH, RATE, BINS, LEAST_ROWS = 20_000, 60, 3, 0.2, 64, 8
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_chars", "n_lines", "n_upper", "n_digits", "n_marks", "n_distinct")
@@ -106,7 +106,7 @@ def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 made = counts(part.column(text_col))
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), *(pa.array(made[:, k]) for k in range(len(COUNTS)))], names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(released(run), schema)
 
 
 @dataclass
@@ -213,4 +213,4 @@ def judge(measured: DataFrame, trees: Trees | None, threshold: float = 0.5) -> D
             failed = batch.column("base_failed").to_numpy(zero_copy_only=False)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in schema.names[:-2]), pa.array(score), pa.array(~failed & (score >= threshold))], names=schema.names)
 
-    return base.mapInArrow(run, schema)
+    return base.mapInArrow(released(run), schema)

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelkit.llm import bm25, conversation_repair, conversation_trie, jaccard_join, license_scan, line_dedup, quality_rules, sentencepiece_codec, source_mix, substring_dedup, toxicity, url_filter, warc_zip
-from labelkit.llm.common import conversations, documents, labels, pages, written
+from labelkit.llm.common import conversations, documents, labels, pages, small_batches, written
 from labelkit.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,7 +28,12 @@ def _crc32(text: str) -> str:
 
 def _query(sql: str | None = None):
     def register(f):
-        QUERIES[f.__name__] = f
+        @functools.wraps(f)
+        def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+            small_batches(spark)
+            return f(spark, sf_dir)
+
+        QUERIES[f.__name__] = query
         if sql:
             ORACLE[f.__name__] = sql
         return f

@@ -11,13 +11,13 @@ word has draws of its own.  Symbols that are no piece become byte pieces.
 A unit is a stretch that no merge can leave: white space and the letters after
 it; no piece goes on beyond a letter followed by white space, and line breaks
 and tabs are in no piece.  A unit's segmentation is a function of its text and of
-the candidates that are skipped, so tasks remember those they have made (a bounded
-number) as a tree for each unit: its root is the agenda without skips, the child
-of a candidate is the agenda in which this one is skipped as well.  An occurrence
-draws for all candidates of a node at once and goes to the child of the first one
-skipped, or has the node's pieces; after ``DEPTH`` skips it gets an agenda of its
-own.  What is remembered changes no result: the same document gets the same
-pieces on every run and partitioning.
+the candidates that are skipped, so tasks remember those that they need twice or more
+within a slice (a bounded number) as a tree for each unit: its root is the agenda without
+skips, the child of a candidate is the agenda in which this one is skipped as well.  An
+occurrence draws for all candidates of a node at once and goes to the child of the first one
+skipped, or has the node's pieces; where no node is remembered, and after ``DEPTH``
+skips, it gets an agenda of its own.  Agendas of a slice run side by side.  What is
+remembered changes no result: the same document gets the same pieces on every run and partitioning.
 
 Decoding turns pieces into text: byte pieces into bytes, the space sign into a
 space, less the one set before the text.  decode(encode(text)) is the text; a
@@ -32,22 +32,24 @@ from __future__ import annotations
 
 import heapq
 import re
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from labelkit.llm.common import mix
+from labelkit.llm.common import chunks, mix, released
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT, SEED = 0.1, 17
-#: Remembered segmentations; longest unit that has any; skips after which none are remembered; units handled at once.
-CACHE_UNITS, LONG_UNIT, DEPTH, SLICE_UNITS = 500_000, 48, 2, 50_000
+#: Remembered segmentations; longest unit that has any; skips after which none are remembered; units, and bytes of text, handled at once.
+CACHE_UNITS, LONG_UNIT, DEPTH, SLICE_UNITS, SLICE_BYTES = 200_000, 48, 2, 150_000, 1_000_000
 SPACE = "▁"
 
 _UNIT = re.compile("▁*[^▁\n\t\x00]+|▁+|[\n\t\x00]")
@@ -73,10 +75,14 @@ class Pieces:
             else:
                 self.ids[piece] = i
                 self.content.append(piece.replace(SPACE, " ").encode())
+        self.flat = np.frombuffer(b"".join(self.content), dtype=np.uint8)
+        self.sizes = np.array([len(x) for x in self.content], dtype=np.int64)
+        self.begins = np.cumsum(self.sizes) - self.sizes
         if len(self.byte_ids) != 256:
             raise ValueError("the model has no byte pieces: texts would not decode to themselves")
         if any(SPACE in p.lstrip(SPACE) for p in self.ids) or any(c in p for p in self.ids if len(p) > 1 for c in "\n\t\x00"):
             raise ValueError("a piece of the model crosses the borders of units")
+        self.byte_table = np.array([self.byte_ids[b] for b in range(256)], dtype=np.int32)
         # Symbols: pieces, then characters that are none; the latter end as bytes and merge with nothing.
         self.size = len(scores)
         merges = {}
@@ -103,9 +109,23 @@ class Pieces:
         at = np.searchsorted(self.keys, key)
         return np.where((self.keys[at] == key) & (left >= 0) & (right >= 0), self.made[at], -1)
 
-    def bytes_for(self, symbols: Sequence[int]) -> bytes:
-        """Ids (int32) of symbols, characters without a piece spelled in bytes."""
-        return np.array([x for v in symbols for x in ([v] if v >= 0 else [self.byte_ids[b] for b in chr(-3 - v).encode()])], dtype=np.int32).tobytes()
+    def spelled(self, symbols: np.ndarray, owner: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the symbols of ``count`` units, characters without a piece spelled in bytes, and each unit's number of ids."""
+        point = -3 - symbols
+        plain = symbols >= 0
+        if plain.all():
+            return symbols.astype(np.int32), np.bincount(owner, minlength=count)
+        n = np.where(plain, 1, 1 + (point >= 0x80) + (point >= 0x800) + (point >= 0x10000))
+        at = np.cumsum(n) - n
+        out = np.empty(int(n.sum()), dtype=np.int32)
+        out[at[plain]] = symbols[plain]
+        for j in range(4):
+            some = ~plain & (n > j)
+            size, code = n[some], point[some]
+            lead = np.array([0, 0, 0xC0, 0xE0, 0xF0])[size] | (code >> (6 * (size - 1)))
+            byte = lead if j == 0 else 0x80 | ((code >> (6 * (size - 1 - j))) & 0x3F)
+            out[at[some] + j] = self.byte_table[byte]
+        return out, np.bincount(owner, n, count).astype(np.int64)
 
     def codec(self, *options) -> Codec:
         return self.codecs.setdefault(options, Codec(self, *options))
@@ -176,8 +196,8 @@ class Codec:
             flat.add(values)
         self.child.add(np.full(len(codes), -1, np.int32))
 
-    def _agendas(self, units: Sequence[str], keys: np.ndarray | int, gone: np.ndarray | None = None, trace: list | None = None) -> list[bytes]:
-        """Each unit's ids (int32), the agendas of all units side by side: a step takes every unit's best candidate.
+    def _agendas(self, units: Sequence[str], keys: np.ndarray | int, gone: np.ndarray | None = None, trace: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The units' ids, one after another, and the number of each, the agendas side by side: a step takes every unit's best candidate.
 
         Candidates are skipped by the occurrences' keys, or else just those whose
         codes are in the unit's row of ``gone``.  ``trace`` gets each step's units, codes and skips.
@@ -220,14 +240,9 @@ class Codec:
             made[at], made[before] = self.pieces.merge(piece, symbols[after]), self.pieces.merge(symbols[before], piece)
             cost[at], cost[before] = self.pieces.cost[made[at]], self.pieces.cost[made[before]]
         stays = grid != -1
-        ends = [0, *(4 * np.cumsum(stays.sum(axis=1))).tolist()]
-        data = grid[stays].tobytes()
-        out = [data[i:j] for i, j in zip(ends[:-1], ends[1:], strict=True)]
-        for k in np.flatnonzero((grid < -1).any(axis=1)).tolist():
-            out[k] = self.pieces.bytes_for(grid[k][stays[k]].tolist())
-        return out
+        return self.pieces.spelled(grid[stays], np.nonzero(stays)[0], count)
 
-    def _agenda(self, unit: str, key: int) -> bytes:
+    def _agenda(self, unit: str, key: int) -> np.ndarray:
         """The same for one long unit: a heap, so that the time grows with n log n."""
         pieces, n = self.pieces, len(unit)
         text = pieces.first[[ord(c) for c in unit]].tolist()
@@ -262,7 +277,8 @@ class Codec:
                 pair[i] = -1
             if left[i] >= 0:
                 candidate(left[i], i)
-        return pieces.bytes_for([text[i] for i in range(n) if not gone[i]])
+        symbols = np.array([text[i] for i in range(n) if not gone[i]], dtype=np.int32)
+        return pieces.spelled(symbols, np.zeros(len(symbols), np.int64), 1)[0]
 
     def encode_all(self, texts: Sequence[str], keys: Sequence[str]) -> list[np.ndarray]:
         """Piece ids of each text; its key and a unit's number in it pick the skips of this unit."""
@@ -287,12 +303,11 @@ class Codec:
         """The ids of occurrences with these keys, one after another, and the number of ids of each."""
         if self.unit.n >= self.room:
             self._forget()
-        new = [u for u in dict.fromkeys(units) if u not in self.roots and len(u) <= LONG_UNIT]
+        new = [u for u, n in Counter(units).items() if n > 1 and u not in self.roots and len(u) <= LONG_UNIT]
         self.units += new
         made = self._grow(np.arange(len(self.units) - len(new), len(self.units)), np.zeros((len(new), DEPTH), np.uint64))
         self.roots.update(zip(new, made.tolist(), strict=True))
-        node = np.array([*map(self.roots.get, units, repeat(-1))], dtype=np.int64)
-        own = [np.flatnonzero(node < 0)]  # occurrences with an agenda of their own
+        node = np.fromiter(map(self.roots.get, units, repeat(-1)), dtype=np.int64, count=len(units))
         live = np.flatnonzero(node >= 0)
         for depth in range(DEPTH + 1 if self.bound else 0):
             size = self.codes_n.data[node[live]]
@@ -300,53 +315,55 @@ class Codec:
             hit = np.flatnonzero(_skipped(np.repeat(draws[live], size), self.codes.data[at], self.bound))
             row, first = np.unique(np.repeat(live, size)[hit], return_index=True)
             live, at = row, at[hit[first]]
+            node[live] = -1  # an agenda of its own, unless there is a child
             if depth == DEPTH:
-                own.append(live)
-                node[live] = -1
                 break
-            lacking = np.unique(at[self.child.data[at] < 0])
+            lacking, asked = np.unique(at[self.child.data[at] < 0], return_counts=True)
+            lacking = lacking[asked > 1]
             parent = np.searchsorted(self.codes_at.data[: self.codes_at.n], lacking, "right") - 1
             gone = self.gone.data[: self.gone.n].reshape(-1, DEPTH)[parent]
             gone[:, depth] = self.codes.data[lacking]
             made = self._grow(self.unit.data[parent], gone)  # before the children are set: their array may grow
             self.child.data[lacking] = made
             node[live] = self.child.data[at]
-        single = np.concatenate(own)
-        content = self._own([units[i] for i in single.tolist()], draws[single])
+            live = live[node[live] >= 0]
         held = node >= 0
+        single = np.flatnonzero(~held)
         sizes, begin = np.empty(len(units), np.int64), np.empty(len(units), np.int64)
         sizes[held], begin[held] = self.ids_n.data[node[held]], self.ids_at.data[node[held]]
-        sizes[single] = [len(x) // 4 for x in content]
-        begin[single] = self.ids.n + np.cumsum(sizes[single]) - sizes[single]
-        ids = self.ids.data[: self.ids.n]
-        if content:
-            ids = np.concatenate((ids, np.frombuffer(b"".join(content), dtype=np.int32)))
-        return ids[_ranges(begin, sizes)], sizes
-
-    def _groups(self, units: Sequence[str]) -> Iterator[list[int]]:
+        content, begin[single], sizes[single] = self._own([units[i] for i in single.tolist()], draws[single])
+        begin[single] += self.ids.n
+        return np.concatenate((self.ids.data[: self.ids.n], content))[_ranges(begin, sizes)], sizes
+
+    def _groups(self, units: Sequence[str]) -> Iterator[np.ndarray]:
         """The numbers of units of about the same length."""
-        by_size: dict[int, list[int]] = {}
-        for i, unit in enumerate(units):
-            by_size.setdefault(-(-len(unit) // 2), []).append(i)
-        for group in by_size.values():
-            yield from (group[k : k + 10_000] for k in range(0, len(group), 10_000))
-
-    def _own(self, units: Sequence[str], draws: np.ndarray) -> list[bytes]:
-        """The ids of each occurrence by an agenda of its own."""
-        out = [self._agenda(u, k) if len(u) > LONG_UNIT else b"" for u, k in zip(units, draws.tolist(), strict=True)]
-        short = [i for i, u in enumerate(units) if len(u) <= LONG_UNIT]
-        for group in self._groups([units[i] for i in short]):
-            at = [short[i] for i in group]
-            for i, ids in zip(at, self._agendas([units[i] for i in at], draws[at]), strict=True):
-                out[i] = ids
-        return out
+        kind = (np.fromiter(map(len, units), dtype=np.int64, count=len(units)) + 1) // 2
+        order = np.argsort(kind, kind="stable")
+        cuts = np.flatnonzero(np.diff(kind[order], prepend=-1, append=-1))
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            yield from (order[k : min(k + 10_000, b)] for k in range(a, b, 10_000))
+
+    def _own(self, units: Sequence[str], draws: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of occurrences by agendas of their own: all ids, where each occurrence's begin, and their number."""
+        begin, sizes = np.zeros(len(units), np.int64), np.zeros(len(units), np.int64)
+        flat, end = [np.empty(0, np.int32)], 0
+        for group in self._groups(units) if units else ():
+            if len(units[group[0]]) > LONG_UNIT - LONG_UNIT % 2:
+                parts = [self._agenda(units[i], int(draws[i])) for i in group.tolist()]
+                ids, n = np.concatenate(parts), np.array([len(x) for x in parts])
+            else:
+                ids, n = self._agendas([units[i] for i in group.tolist()], draws[group])
+            begin[group], sizes[group] = end + np.cumsum(n) - n, n
+            flat.append(ids)
+            end += len(ids)
+        return np.concatenate(flat), begin, sizes
 
     def _grow(self, unit: np.ndarray, gone: np.ndarray) -> np.ndarray:
         """New nodes of units (numbers), in which just the candidates with the codes ``gone`` are skipped."""
         out, units = np.empty(len(unit), dtype=np.int64), [self.units[i] for i in unit.tolist()]
-        for group in self._groups(units):
+        for group in self._groups(units) if units else ():
             trace: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-            ids = self._agendas([units[i] for i in group], 0, gone[group], trace)
+            ids, n = self._agendas([units[i] for i in group.tolist()], 0, gone[group], trace)
             none = (np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, bool))
             rows, codes, skip = (np.concatenate(x) for x in zip(none, *(trace if self.bound else ()), strict=True))
             order = np.argsort(rows, kind="stable")
@@ -355,16 +372,33 @@ class Codec:
             last[rows[skip]] = np.flatnonzero(skip)  # of several, the last one stays
             after = np.arange(len(rows)) > last[rows]
             out[group] = np.arange(len(group)) + self.unit.n
-            self._add(unit[group], gone[group], np.frombuffer(b"".join(ids), dtype=np.int32), np.array([len(x) // 4 for x in ids]), codes[after], np.bincount(rows[after], minlength=len(group)))
+            self._add(unit[group], gone[group], ids, n, codes[after], np.bincount(rows[after], minlength=len(group)))
         return out
 
     def encode(self, text: str, key: str = "") -> list[int]:
         return self.encode_all([text], [key])[0].tolist()
 
     def decode(self, ids: Sequence[int]) -> str:
-        content = self.pieces.content
-        data = b"".join([content[i] for i in ids])
-        return (data[1:] if data[:1] == b" " else data).decode("utf-8", "replace")
+        return self.decode_all(np.asarray(ids, dtype=np.int64), np.array([0, len(ids)]))[0].as_py()
+
+    def decode_all(self, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+        """The texts of runs of ids: one gather of the pieces' bytes."""
+        size = self.pieces.sizes[ids]
+        flat = self.pieces.flat[_ranges(self.pieces.begins[ids], size)]
+        borders = np.concatenate(([0], np.cumsum(size)))[ends]
+        # The space sign set before each text goes.
+        full = borders[1:] > borders[:-1]
+        lead = borders[:-1][full][flat[borders[:-1][full]] == 0x20]
+        keep = np.ones(len(flat), dtype=bool)
+        keep[lead] = False
+        borders = borders - np.searchsorted(lead, borders)
+        data = flat[keep].tobytes()
+        try:
+            texts = pa.LargeStringArray.from_buffers(len(ends) - 1, pa.py_buffer(borders.astype(np.int64)), pa.py_buffer(data))
+            texts.validate(full=True)
+        except pa.ArrowInvalid:  # ids that no text gave: bytes that are no UTF-8
+            texts = pa.array([data[a:b].decode("utf-8", "replace") for a, b in zip(borders[:-1].tolist(), borders[1:].tolist(), strict=True)], pa.large_string())
+        return texts.cast(pa.string())
 
 
 def _broadcast(df: DataFrame, model_path: str):
@@ -384,16 +418,14 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", out:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = pieces.value.codec(dropout, seed)
-        for batch in batches:
-            for k in range(0, batch.num_rows, 500):
-                part = batch.slice(k, 500)
-                texts = part.column(text_col)
-                ids = codec.encode_all([t or "" for t in texts.to_pylist()], ["null" if i is None else str(i) for i in part.column(id_col).to_pylist()])
-                ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-                listed = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)), mask=texts.is_null())
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in schema.names[:-1]), listed], names=schema.names)
+        for part in (x for batch in batches for x in chunks(batch, text_col, SLICE_BYTES)):
+            texts = part.column(text_col)
+            ids = codec.encode_all([t or "" for t in texts.to_pylist()], ["null" if i is None else str(i) for i in part.column(id_col).to_pylist()])
+            ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+            listed = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)), mask=texts.is_null())
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in schema.names[:-1]), listed], names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(released(run), schema)
 
 
 def decode(rows: DataFrame, ids_col: str = "ids", out: str = "text", model_path: str = MODEL) -> DataFrame:
@@ -404,9 +436,18 @@ def decode(rows: DataFrame, ids_col: str = "ids", out: str = "text", model_path:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(pieces.value)
         for batch in batches:
-            for k in range(0, batch.num_rows, 500):
-                part = batch.slice(k, 500)
-                texts = [codec.decode(x.values.to_numpy().tolist()) if x.is_valid else None for x in part.column(ids_col)]
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in schema.names[:-1]), pa.array(texts, pa.string())], names=schema.names)
-
-    return rows.mapInArrow(run, schema)
+            # Slices by number of ids, whole rows each.
+            listed = batch.column(ids_col)
+            ends = np.cumsum(pc.fill_null(pc.list_value_length(listed), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+            at = 0
+            while at < batch.num_rows:
+                to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLICE_BYTES, "right")))
+                part = batch.slice(at, to - at)
+                own = part.column(ids_col)
+                flat = pc.list_flatten(own).to_numpy().astype(np.int64)
+                texts = codec.decode_all(flat, np.concatenate(([0], ends[at:to] - (ends[at - 1] if at else 0))))
+                texts = pc.if_else(own.is_null(), pa.scalar(None, pa.string()), texts)
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in schema.names[:-1]), texts], names=schema.names)
+                at = to
+
+    return rows.mapInArrow(released(run), schema)

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labelkit.llm.common import SKETCH_SCHEMA, Words, chunks, count_two, flag_rows, flagged, fresh, lookup, merged_flags, mix, parted, window_hashes, without, written
+from labelkit.llm.common import SKETCH_SCHEMA, Words, chunks, count_two, flag_rows, flagged, fresh, lookup, merged_flags, mix, parted, released, window_hashes, without, written
 
 SIZE, SKETCH_BITS = 20, 26
 
@@ -78,7 +78,7 @@ def _counts(docs: DataFrame, lengths: Sequence[int], below: Sequence, bits: int)
                 count_two(table, at.astype(np.uint32))
         yield from flag_rows(table)
 
-    return merged_flags(docs.select("text").mapInArrow(count, SKETCH_SCHEMA), 1 << bits)
+    return merged_flags(docs.select("text").mapInArrow(released(count), SKETCH_SCHEMA), 1 << bits)
 
 
 def _runs(docs: DataFrame, size: int, tables: Sequence, id_type: str, bits: int) -> DataFrame:
@@ -115,7 +115,7 @@ def _runs(docs: DataFrame, size: int, tables: Sequence, id_type: str, bits: int)
                     names=["h1", "h2", "n", "id", "tie", "start", "words"],
                 )
 
-    return docs.mapInArrow(run, f"h1 long, h2 long, n int, id {id_type}, tie long, start int, words binary")
+    return docs.mapInArrow(released(run), f"h1 long, h2 long, n int, id {id_type}, tie long, start int, words binary")
 
 
 def _run_windows(batch: pa.RecordBatch, size: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -141,7 +141,7 @@ def _spread(runs: DataFrame, size: int, id_type: str, bits: int) -> DataFrame:
                 count_two(table, (a & mask).astype(np.uint32))
         yield from flag_rows(table)
 
-    again = runs.sparkSession.sparkContext.broadcast(merged_flags(runs.select("n", "words").mapInArrow(count, SKETCH_SCHEMA), 1 << bits))
+    again = runs.sparkSession.sparkContext.broadcast(merged_flags(runs.select("n", "words").mapInArrow(released(count), SKETCH_SCHEMA), 1 << bits))
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -150,7 +150,7 @@ def _spread(runs: DataFrame, size: int, id_type: str, bits: int) -> DataFrame:
                 start = number[may] + part.column("start").to_numpy()[run[may]]
                 yield pa.RecordBatch.from_arrays([pa.array(a[may].view(np.int64)), pa.array(b[may].view(np.int64)), part.column("id").take(pa.array(run[may])), part.column("tie").take(pa.array(run[may])), pa.array(start.astype(np.int32))], names=["h1", "h2", "id", "tie", "start"])
 
-    return runs.mapInArrow(spread, f"h1 long, h2 long, id {id_type}, tie long, start int")
+    return runs.mapInArrow(released(spread), f"h1 long, h2 long, id {id_type}, tie long, start int")
 
 
 def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, sketch_bits: int = SKETCH_BITS) -> DataFrame:
@@ -210,4 +210,4 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 made = {"n_words": pa.array(np.diff(words.first).astype(np.int64)), "n_removed": pa.array(removed, pa.int64()), text_col: pa.array(texts, pa.string())}
                 yield pa.RecordBatch.from_arrays([made[c] if c in made else part.column(c) for c in names], names=names)
 
-    return joined.mapInArrow(rebuild, schema)
+    return joined.mapInArrow(released(rebuild), schema)

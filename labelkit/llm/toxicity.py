@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labelkit.llm.common import written
+from labelkit.llm.common import released, written
 
 FIT_ROWS, MAX_TERMS, THRESHOLD = 20_000, 2_000, 0.3
 PREFIXES = (4, 5, 6, 7, 8)
@@ -148,7 +148,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 terms.append(sorted(own))
             yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("text"), pa.array(kinds, pa.string()), pa.array(terms, pa.list_(pa.string()))], names=["label", "text", "kind", "terms"])
 
-    sample = written(rows.mapInArrow(describe, "label int, text string, kind string, terms array<string>"), "toxicity-sample")
+    sample = written(rows.mapInArrow(released(describe), "label int, text string, kind string, terms array<string>"), "toxicity-sample")
     distinct = sample.select("label", "kind", "terms").dropDuplicates(["label", "kind"])
     sizes = {r.label: r["count"] for r in distinct.groupBy("label").count().collect()}
     n_pos, n_neg = sizes.get(1, 0), sizes.get(0, 0)
@@ -185,7 +185,7 @@ def _with_exceptions(sample: DataFrame, lexicon: Lexicon) -> Lexicon:
             found = [(label.as_py(), p) for label, text in zip(batch.column("label"), batch.column("text"), strict=True) for p in _phrases(text.as_py(), terms)]
             yield pa.RecordBatch.from_pydict({"label": pa.array([x for x, _ in found], pa.int32()), "phrase": pa.array([x for _, x in found], pa.string())})
 
-    counts = sample.select("label", "text").mapInArrow(phrases, "label int, phrase string").groupBy("phrase").agg(F.sum(F.col("label")).alias("pos"), F.sum(1 - F.col("label")).alias("neg"))
+    counts = sample.select("label", "text").mapInArrow(released(phrases), "label int, phrase string").groupBy("phrase").agg(F.sum(F.col("label")).alias("pos"), F.sum(1 - F.col("label")).alias("neg"))
     clean = counts.filter("pos = 0 and neg >= 3").orderBy(F.desc("neg"), "phrase").limit(1000).collect()
     return Lexicon(lexicon.weights, (*lexicon.exceptions, *(r.phrase for r in clean)), lexicon.scale)
 
@@ -196,7 +196,7 @@ def _scale(sample: DataFrame, lexicon: Lexicon) -> float:
         for batch in batches:
             yield pa.RecordBatch.from_pydict({"x": pa.array([raw_score(t.as_py(), automaton) for t in batch.column("text")], pa.float64())})
 
-    low = sample.filter("label = 1").select("text").mapInArrow(scores, "x double").filter("x > 0").select(F.percentile("x", F.lit(0.001)).alias("x")).first().x
+    low = sample.filter("label = 1").select("text").mapInArrow(released(scores), "x double").filter("x > 0").select(F.percentile("x", F.lit(0.001)).alias("x")).first().x
     return math.log(2) / low if low else 1.0
 
 
@@ -211,7 +211,7 @@ def score(docs: DataFrame, lexicon: Lexicon, text_col: str = "text", out: str =
             raw = np.array([raw_score(t.as_py(), automaton) for t in batch.column(text_col)], dtype=float)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(-np.expm1(-lexicon.scale * raw), pa.float64())], names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(released(run), schema)
 
 
 def training_labels(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from labelkit.llm.common import without
+from labelkit.llm.common import released, without
 
 MAX_RULE_BYTES = 64_000_000
 Rule = tuple[str, str, str]
@@ -104,4 +104,4 @@ def judge(pages: DataFrame, rules: Sequence[Rule], url_col: str = "url", default
                 rows.append((host, path, rule, verdict))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *(pa.array([r[k] for r in rows], pa.string()) for k in range(4))], names=schema.names)
 
-    return pages.mapInArrow(run, schema)
+    return pages.mapInArrow(released(run), schema)

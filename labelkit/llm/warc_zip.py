@@ -54,7 +54,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelkit.llm.common import chunks, lookup, parted, written
+from labelkit.llm.common import chunks, lookup, parted, released, written
 
 LEAST, ARCHIVE_BYTES = 1000, 8_000_000
 #: Neighbouring ranges read at once, and the step in which members without an index are walked.
@@ -332,7 +332,7 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
         if package.index:
             yield done(package)
 
-    packed = answered.mapInArrow(pack, "zip binary").select(F.col("zip").cast("string").alias("value"))
+    packed = answered.mapInArrow(released(pack), "zip binary").select(F.col("zip").cast("string").alias("value"))
     packed.write.option("maxRecordsPerFile", 1).text(path)
 
 
@@ -390,7 +390,7 @@ def record_ranges(files: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_pydict({"path": pa.array([path] * len(held)), "at": pa.array([a for a, _ in held], pa.int64()), "n": pa.array([n for _, n in held], pa.int64())})
                 close()
 
-    return files.select("path", "length").mapInArrow(run, "path string, at long, n long")
+    return files.select("path", "length").mapInArrow(released(run), "path string, at long, n long")
 
 
 def _neighbours(ranges: Iterator[tuple[str, int, int]]) -> Iterator[tuple[str, list[tuple[int, int]]]]:
@@ -417,7 +417,7 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
                 for content in batch.column("content"):
                     yield from _batches(_row(*x, payloads) for x in Archive.of_bytes(content.as_buffer()).records())
 
-        return files.select("content").mapInArrow(whole, _SCHEMA)
+        return files.select("content").mapInArrow(released(whole), _SCHEMA)
     ranges = written(record_ranges(files), "record-ranges")
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -438,4 +438,4 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
 
         yield from _batches(rows())
 
-    return ranges.repartitionByRange("path", "at").sortWithinPartitions("path", "at").mapInArrow(fetch, _SCHEMA)
+    return ranges.repartitionByRange("path", "at").sortWithinPartitions("path", "at").mapInArrow(released(fetch), _SCHEMA)
