@@ -9,13 +9,14 @@ null ids are kept by the first two stages unless their text is toxic."""
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelkit.llm import jaccard_join, line_dedup, sentencepiece_codec, source_mix, toxicity
-from labelkit.llm.common import documents, fresh, labels, parted, written
+from labelkit.llm.common import documents, fresh, labels, small_batches, written
 
 #: Near copies: sets of 5-word shingles that overlap by 80 % or more.
 NEAR_WORDS, NEAR_PERCENT = 5, 80
@@ -53,12 +54,24 @@ def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"), F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("toxicity", drop_toxic),
-    ("line_dedup", drop_lines),
-    ("near_copies", drop_near_copies),
-    ("source_mix", mix_sources),
-    ("sentencepiece", to_pieces),
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _bounded(stage: Stage) -> Stage:
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", _bounded(drop_toxic)),
+    ("line_dedup", _bounded(drop_lines)),
+    ("near_copies", _bounded(drop_near_copies)),
+    ("source_mix", _bounded(mix_sources)),
+    ("sentencepiece", _bounded(to_pieces)),
 ]
 
 #: The lexicon is learned and the merges are an agenda: no SQL; tests hold the stages against brute force.
