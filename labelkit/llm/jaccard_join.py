@@ -51,7 +51,7 @@ from labelkit.llm.common import SKETCH_SCHEMA, chunks, components, drop, fresh,
 
 SKETCH_BITS = 24
 #: Rounds of hubs; members of a class that are hubs after the first round; rows of a token (or of a class in it) that one task compares with as many others; wanted documents that are broadcast.
-HUB_ROUNDS, HUBS, CHUNK, FEW_REFS = 3, 8, 1000, 50_000
+HUB_ROUNDS, HUBS, CHUNK, FEW_REFS = 2, 8, 1000, 50_000
 
 
 def _sid(shingles: np.ndarray) -> int:
@@ -60,19 +60,18 @@ def _sid(shingles: np.ndarray) -> int:
         return int(mix(mix(shingles ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)[None] + np.uint64(len(shingles)))[0].astype(np.int64))
 
 
-def signature(shingles: np.ndarray) -> bytes:
+def signature(shingles: np.ndarray) -> np.ndarray:
     """Parity bits of the shingles by hash; as many as the next power of two from 64 and their number."""
     width = max(64, 1 << (len(shingles) - 1).bit_length())
     odd = np.bincount((shingles >> np.uint64(9)) & np.uint64(width - 1), minlength=width) & 1
-    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
 
 
-def apart(a: bytes, b: bytes) -> int:
+def apart(x: np.ndarray, y: np.ndarray) -> int:
     """A lower bound of the number of shingles that are in one of the two sets only.
 
     The longer signature is folded to the shorter one's width: parities add up.
     """
-    x, y = (np.frombuffer(v, dtype=np.uint64) for v in (a, b))
     while len(x) > len(y):
         x = x[: len(x) // 2] ^ x[len(x) // 2 :]
     while len(y) > len(x):
@@ -110,10 +109,10 @@ def _described(docs: DataFrame, n: int) -> DataFrame:
         for batch in batches:
             for part in chunks(batch):
                 sets = list(shingle_sets(part.column("text"), n))
-                columns = [pa.array([len(s) for s in sets], pa.int64()), pa.array([_sid(s) if len(s) else None for s in sets], pa.int64()), pa.array([signature(s) if len(s) else None for s in sets], pa.binary())]
+                columns = [pa.array([len(s) for s in sets], pa.int64()), pa.array([_sid(s) if len(s) else None for s in sets], pa.int64()), pa.array([signature(s).view(np.int64) if len(s) else None for s in sets], pa.list_(pa.int64()))]
                 yield pa.RecordBatch.from_arrays([part.column("id"), part.column("ref"), *columns], names=["id", "ref", "n_shingles", "sid", "signature"])
 
-    return rows.mapInArrow(released(run), f"id {id_type}, ref long, n_shingles long, sid long, signature binary")
+    return rows.mapInArrow(released(run), f"id {id_type}, ref long, n_shingles long, sid long, signature array<long>")
 
 
 def _prefix_rows(docs: DataFrame, table, n: int, percent: int) -> DataFrame:
@@ -182,6 +181,13 @@ def _may_link(percent: int, a, b) -> Column:
     return length & (ahead >= _least(percent, a["size"] + b["size"]))
 
 
+def _may_be_near(percent: int, a, b) -> Column:
+    """Suffix filter of two rows (structs) with signatures of one width; others pass here and are compared by ``apart``."""
+    sizes = a["size"] + b["size"]
+    bits = F.aggregate(F.zip_with(a["signature"], b["signature"], lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, x: total + x)
+    return (F.size(a["signature"]) != F.size(b["signature"])) | (bits <= sizes - 2 * _least(percent, sizes))
+
+
 def _unordered(pairs: DataFrame) -> DataFrame:
     """Each pair (a, b) once, whichever way round, as (lo, hi, a, b)."""
     found = pairs.groupBy(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).agg(F.min("a").alias("a"))
@@ -196,7 +202,7 @@ def _with_apart(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [apart(x, y) for x, y in zip(batch.column("_x").to_pylist(), batch.column("_y").to_pylist(), strict=True)]
+            found = [apart(*(v.values.to_numpy().view(np.uint64) for v in pair)) for pair in zip(batch.column("_x"), batch.column("_y"), strict=True)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(found, pa.int64())], names=[*names, "apart"])
 
     return both.select(*names, "_x", "_y").mapInArrow(released(run), ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in both.select(*names).schema) + ", apart long")
@@ -312,11 +318,12 @@ def _class_pairs(rows: DataFrame, roots: DataFrame, sets: DataFrame, docs: DataF
     kept = _with_apart(probes, sets).select("a", "b", bound.alias("d")).join(radius, "a", "left").withColumn("single", F.col("r").isNull())
     kept = written(kept.filter(F.col("d") <= far + F.coalesce("r", F.lit(0.0))).select("a", "b", "single"), "class-near")
     alone = kept.filter("single").select("a", "b")
+    signed = sets.select("sid", "signature")
     outer = kept.filter("not single").select(F.col("a").alias("root"), F.col("b").alias("sid")).join(rows.select("token", "sid", "size", "at"), "sid")
     sizes = outer.groupBy("token", "root").agg(F.count("*").alias("n_left")).join(classes.select("token", "root", F.col("k").alias("n_right")), ["token", "root"])
     sizes = written(sizes, "class-sizes")
-    inner = rows.select("token", "root", "sid", "size", "at").join(sizes, ["token", "root"])
-    members = _dealt(outer.join(sizes, ["token", "root"]), inner, ["token", "root"], lambda x, y: _may_link(percent, x, y))
+    inner = rows.select("token", "root", "sid", "size", "at").join(sizes, ["token", "root"]).join(signed, "sid")
+    members = _dealt(outer.join(sizes, ["token", "root"]).join(signed, "sid"), inner, ["token", "root"], lambda x, y: _may_link(percent, x, y) & _may_be_near(percent, x, y))
     return alone.unionByName(members.select(F.col("l.sid").alias("a"), F.col("r.sid").alias("b")))
 
 

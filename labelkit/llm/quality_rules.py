@@ -188,7 +188,8 @@ def fit(measured: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_co
     """Trees from the statistics of labelled rows; None if the labels are not of both kinds."""
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).dropna().groupBy("id").agg(F.max("label").alias("label"))
     chosen = known.orderBy(F.xxhash64("id"), "id").limit(fit_rows)
-    rows = measured.select(F.col(id_col).alias("id"), *COUNTS).join(F.broadcast(chosen), "id").dropDuplicates(["id"])
+    # Of rows that share an id, the one with the least statistics.
+    rows = measured.select(F.col(id_col).alias("id"), F.struct(*COUNTS).alias("counts")).join(F.broadcast(chosen), "id").groupBy("id").agg(F.min("counts").alias("counts"), F.max("label").alias("label")).select("id", "counts.*", "label")
     table = rows.orderBy("id").limit(fit_rows).select(*COUNTS, "label").toPandas().to_numpy(dtype=np.int64)
     y = table[:, -1].astype(float) if len(table) else np.zeros(0)
     if not 0 < y.sum() < len(y):

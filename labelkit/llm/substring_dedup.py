@@ -8,7 +8,8 @@ earlier: in a document with a smaller id, or earlier in the same one.
    length, up to ``size``.  At each level all documents' windows are counted in
    a table of fixed width; only windows whose parts all repeat at the level
    below are counted at all.  A count of one proves that a window is alone; one
-   bit for each counter (2**sketch_bits bits a level) is broadcast.
+   bit for each counter (2**sketch_bits bits a level) is broadcast.  A level at which
+   nothing repeats is the last one.
 2. Windows of the full length that survive form runs of neighbours.  Equal runs
    (128-bit hash, length) are copies: all but the first are covered whole.
    First runs alone are spread into windows; those that a last table does not
@@ -24,6 +25,7 @@ the exact step then groups: more shuffle, same result.
 Defined results: null or empty texts have no words and become empty texts.  Rows
 with the same id are one document: equal starts in them are not earlier than one
 another, and each row (known by its id and its text's hash) loses its own windows.
+Rows that are equal in both share one list of ranges, however many they are.
 Null ids are one document before all others.  Extra columns pass through.
 """
 
@@ -161,10 +163,15 @@ def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", siz
     id_type = docs.schema["id"].dataType.simpleString()
     lengths, tables = levels(size), []
     for _ in lengths:
-        tables.append(docs.sparkSession.sparkContext.broadcast(_counts(docs, lengths, tables, sketch_bits)))
+        bits = _counts(docs, lengths, tables, sketch_bits)
+        if not bits.any():  # no window of this length repeats, so no longer one does
+            return docs.sparkSession.createDataFrame([], f"id {id_type}, tie long, start int, n int")
+        tables.append(docs.sparkSession.sparkContext.broadcast(bits))
     runs = written(_runs(docs, size, tables, id_type, sketch_bits), "runs")
     place = F.struct("id", "start")
     row = F.struct("id", "start", "tie")
+    for table in tables:
+        table.unpersist()
     firsts = runs.groupBy("h1", "h2", "n").agg(F.min(row).alias("first"), F.count("*").alias("times"), F.min_by("words", row).alias("words"))
     firsts = written(firsts.select("h1", "h2", "n", "times", "first.id", "first.tie", "first.start", "words"), "first-runs")
     total = runs.count()
@@ -183,7 +190,7 @@ def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", siz
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, sketch_bits: int = SKETCH_BITS) -> DataFrame:
     """``docs`` with the kept words, joined by one space, as text, plus n_words (before) and n_removed."""
     own, tie, cut_id, cut_tie, cut, start_, n_ = fresh(docs, "_id", "_tie", "_cut_id", "_cut_tie", "_cut", "_start", "_n")
-    ranges = covered(docs, id_col, text_col, size, sketch_bits).groupBy(F.col("id").alias(cut_id), F.col("tie").alias(cut_tie)).agg(F.collect_list(F.struct("start", "n")).alias(cut))
+    ranges = covered(docs, id_col, text_col, size, sketch_bits).groupBy(F.col("id").alias(cut_id), F.col("tie").alias(cut_tie)).agg(F.collect_set(F.struct("start", "n")).alias(cut))
     ranges = written(ranges.select(cut_id, cut_tie, F.col(f"{cut}.start").alias(start_), F.col(f"{cut}.n").alias(n_)), "cuts")
     some, whole = parted(docs, id_col, ranges.select(cut_id))
     some = some.withColumns({own: F.col(id_col), tie: F.xxhash64(text_col)})

@@ -5,22 +5,27 @@ and signs that stand for letters (``1d10t``, ``$cum``), zero-width characters
 out; l and i fold together, since 1, ! and | stand for both.
 
 The lexicon is learned from labelled rows.  Terms are whole words and beginnings
-of words, matched where a word begins.  A term is kept if it is much more
-frequent in toxic than in clean texts and if many different toxic texts hold it:
-texts whose words have the same three smallest hashes (copies, near copies)
-count once.  Its weight is the smoothed log-odds.  Exception phrases (a term
-with the word before or after it) are phrases that clean texts hold and toxic
-ones don't; further ones can be given.  A term inside one does not count.
+of words of four letters or more, matched where a word begins, and shorter words, matched
+whole.  A term is kept if it is at least ``ODDS`` times as frequent in toxic texts as in clean
+ones and if chance alone would hardly make it so (the log-likelihood ratio of its share of
+toxic texts exceeds the logarithm of the number of terms by ``SURE``); a least
+number of texts is not asked for.  Texts whose words have the same three smallest
+hashes (copies, near copies) count once, as the one with the least hash of its text.  A
+term's weight is the smoothed log-odds.  Exception phrases (a term with the word
+before or after it) are phrases that clean texts hold and toxic ones don't; further
+ones can be given.  A term inside one does not count.
 
 Score: 1 - exp(-k * sum of weights / log2(2 + words)); k is set so that all but
 the weakest thousandth of the toxic texts in the sample get one half or more.
 
 Bounded sample: the lexicon is fitted on ``fit_rows`` labelled rows (those with
 the smallest hash of their id); the driver gets terms and counts only, at most
-``max_terms``.  Every row is scored, by its whole text, in a map without shuffle.
+``max_terms`` terms (those of most weight) and ``max_phrases`` phrases (the most frequent
+ones): both bound the automaton that every task builds.  Every row is scored, by its whole text, in a map without shuffle.
 
 Defined results: a null, empty or wordless text scores 0; nulls in labels are
 unlabelled rows; without toxic labels the lexicon is empty and all scores are 0.
+Rows that share an id are scored each by its own text; if labels share an id, toxic wins.
 """
 
 from __future__ import annotations
@@ -41,8 +46,10 @@ from pyspark.sql import types as T
 
 from labelkit.llm.common import released, written
 
-FIT_ROWS, MAX_TERMS, THRESHOLD = 20_000, 2_000, 0.3
+FIT_ROWS, MAX_TERMS, MAX_PHRASES, THRESHOLD = 20_000, 2_000, 10_000, 0.3
 PREFIXES = (4, 5, 6, 7, 8)
+#: Least ratio of a term's frequencies in toxic and clean texts; least log-likelihood ratio beyond the logarithm of the number of terms.
+ODDS, SURE = 20, 0.0
 
 # Look-alikes of Latin letters (Cyrillic, Greek), and signs used for letters.
 _LOOKALIKES = dict(zip("аеорсухкмтнвіјѕԁԛԝһɡαβερτυχικνοσϲ", "aeopcyxkmthbijsdqwhgabeptuxiknosc", strict=True))
@@ -109,8 +116,9 @@ def raw_score(text: str | None, automaton: ahocorasick.Automaton) -> float:
         if weight is None:
             if end + 1 == len(folded) or not folded[end + 1].isalnum():
                 spared.append((start, end))
-        elif size > hits.get(start, (0, 0))[0]:
-            hits[start] = (size, weight)
+        elif size >= PREFIXES[0] or end + 1 == len(folded) or not folded[end + 1].isalnum():  # short words count as a whole
+            if size > hits.get(start, (0, 0))[0]:
+                hits[start] = (size, weight)
     for a, b in spared:
         for start in [s for s, (size, _) in hits.items() if a <= s and s + size - 1 <= b]:
             del hits[start]
@@ -121,19 +129,19 @@ def raw_score(text: str | None, automaton: ahocorasick.Automaton) -> float:
 
 def _terms(text: str) -> set[str]:
     words = set(_WORD.findall(fold(text)))
-    return {w[:k] for w in words for k in PREFIXES if len(w) >= k} | {w for w in words if len(w) >= PREFIXES[0]}
+    return {w[:k] for w in words for k in PREFIXES if len(w) >= k} | words
 
 
 def _phrases(text: str, terms: tuple[str, ...]) -> set[str]:
     words, found = _WORD.findall(fold(text)), set()
     for i, w in enumerate(words):
-        if w.startswith(terms):
+        if w in terms or w.startswith(tuple(t for t in terms if len(t) >= PREFIXES[0])):
             found |= {f"{words[i - 1]} {w}"} if i else set()
             found |= {f"{w} {words[i + 1]}"} if i + 1 < len(words) else set()
     return found
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", fit_rows: int = FIT_ROWS, max_terms: int = MAX_TERMS, exceptions: Sequence[str] = ()) -> Lexicon:
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", fit_rows: int = FIT_ROWS, max_terms: int = MAX_TERMS, max_phrases: int = MAX_PHRASES, exceptions: Sequence[str] = ()) -> Lexicon:
     """The lexicon of the labelled rows given; the caller leaves out rows held back for tests."""
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).dropna().groupBy("id").agg(F.max("label").alias("label"))
     chosen = known.orderBy(F.xxhash64("id"), "id").limit(fit_rows)
@@ -149,35 +157,39 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("text"), pa.array(kinds, pa.string()), pa.array(terms, pa.list_(pa.string()))], names=["label", "text", "kind", "terms"])
 
     sample = written(rows.mapInArrow(released(describe), "label int, text string, kind string, terms array<string>"), "toxicity-sample")
-    distinct = sample.select("label", "kind", "terms").dropDuplicates(["label", "kind"])
+    distinct = written(sample.groupBy("label", "kind").agg(F.min_by("terms", F.struct(F.xxhash64("text"), "text")).alias("terms")), "toxicity-texts")
     sizes = {r.label: r["count"] for r in distinct.groupBy("label").count().collect()}
     n_pos, n_neg = sizes.get(1, 0), sizes.get(0, 0)
     if not n_pos:
         return Lexicon(exceptions=tuple(fold(x) for x in exceptions))
-    least = max(4, math.ceil(0.02 * n_pos))
-    pos = distinct.filter("label = 1").select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("pos")).filter(F.col("pos") >= least)
-    # Terms as frequent in 2 % of the toxic texts number a few hundred times the terms of one text.
-    neg = distinct.filter("label = 0").select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("neg"))
+    counted = distinct.select("label", F.explode("terms").alias("term")).groupBy("term").agg(F.sum("label").alias("pos"), F.sum(1 - F.col("label")).alias("neg"))
+    counted = written(counted, "toxicity-terms")
+    rate, share = n_pos / (n_pos + n_neg), F.col("pos") / (F.col("pos") + F.col("neg"))
+    # Of a term's texts, how much likelier their labels are by its own share than by the sample's.
+    unlike = F.col("pos") * F.log(share / rate) + F.when(F.col("neg") > 0, F.col("neg") * F.log((1 - share) / max(1 - rate, 1e-12))).otherwise(0.0)
+    sure = math.log(max(1, counted.count())) + SURE
     odds = F.log((F.col("pos") + 0.5) / (n_pos + 1)) - F.log((F.col("neg") + 0.5) / (n_neg + 1))
-    found = pos.join(neg, "term", "left").fillna(0, ["neg"]).withColumn("odds", odds)
-    # At least 20 times more frequent in toxic texts than in clean ones.
-    found = found.filter(F.col("neg") * n_pos * 20 <= F.col("pos") * n_neg).orderBy(F.desc(F.col("odds") * F.col("pos")), "term").limit(max_terms).collect()
+    found = counted.filter("pos > 0").withColumn("odds", odds).filter(unlike >= sure)
+    found = found.filter(F.col("neg") * n_pos * ODDS <= F.col("pos") * n_neg).orderBy(F.desc(F.col("odds") * F.col("pos")), "term").limit(max_terms).collect()
 
     counts, weights = {r.term: r.pos for r in found}, {}
     for r in sorted(found, key=lambda r: (len(r.term), r.term)):
-        if any(r.term[:k] in weights for k in range(1, len(r.term))):
+        if len(r.term) < PREFIXES[0]:
+            weights[r.term] = float(r.odds)
+            continue
+        if any(r.term[:k] in weights for k in range(PREFIXES[0], len(r.term))):
             continue
         # The longest beginning that (nearly) all words of this beginning share.
         longer = [t for t in counts if t.startswith(r.term) and counts[t] >= 0.95 * r.pos]
         weights[max(longer, key=lambda t: (len(t), t))] = float(r.odds)
     lexicon = Lexicon(weights, tuple(dict.fromkeys(fold(x) for x in exceptions)))
     if weights:
-        lexicon = _with_exceptions(sample, lexicon)
+        lexicon = _with_exceptions(sample, lexicon, max_phrases)
         lexicon.scale = _scale(sample, lexicon)
     return lexicon
 
 
-def _with_exceptions(sample: DataFrame, lexicon: Lexicon) -> Lexicon:
+def _with_exceptions(sample: DataFrame, lexicon: Lexicon, most: int) -> Lexicon:
     terms = tuple(sorted(lexicon.weights))
 
     def phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,7 +198,7 @@ def _with_exceptions(sample: DataFrame, lexicon: Lexicon) -> Lexicon:
             yield pa.RecordBatch.from_pydict({"label": pa.array([x for x, _ in found], pa.int32()), "phrase": pa.array([x for _, x in found], pa.string())})
 
     counts = sample.select("label", "text").mapInArrow(released(phrases), "label int, phrase string").groupBy("phrase").agg(F.sum(F.col("label")).alias("pos"), F.sum(1 - F.col("label")).alias("neg"))
-    clean = counts.filter("pos = 0 and neg >= 3").orderBy(F.desc("neg"), "phrase").limit(1000).collect()
+    clean = counts.filter("pos = 0 and neg >= 3").orderBy(F.desc("neg"), "phrase").limit(most).collect()
     return Lexicon(lexicon.weights, (*lexicon.exceptions, *(r.phrase for r in clean)), lexicon.scale)
 
 

@@ -57,8 +57,8 @@ from pyspark.sql import functions as F
 from labelkit.llm.common import chunks, lookup, parted, released, written
 
 LEAST, ARCHIVE_BYTES = 1000, 8_000_000
-#: Neighbouring ranges read at once, and the step in which members without an index are walked.
-READ_BYTES, STEP_BYTES = 4_000_000, 1_000_000
+#: Neighbouring ranges read at once, the step in which members without an index are walked, and records read by one task.
+READ_BYTES, STEP_BYTES, TASK_BYTES = 4_000_000, 1_000_000, 32_000_000
 WARC, INDEX, PACKAGE = "archive/data.warc.gz", "indexes/index.cdx", "datapackage.json"
 _DATE = "1970-01-01T00:00:00Z"
 
@@ -438,4 +438,6 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
 
         yield from _batches(rows())
 
-    return ranges.repartitionByRange("path", "at").sortWithinPartitions("path", "at").mapInArrow(released(fetch), _SCHEMA)
+    # A fixed number of parts: Spark would join them by the size of the ranges' rows, not of what they name.
+    parts = 1 + (ranges.agg(F.sum("n")).first()[0] or 0) // TASK_BYTES
+    return ranges.repartitionByRange(parts, "path", "at").sortWithinPartitions("path", "at").mapInArrow(released(fetch), _SCHEMA)
