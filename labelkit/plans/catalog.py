@@ -893,8 +893,9 @@ def converged(spark: SparkSession, sf_dir: str, *kinds: str):
 
 
 # The penalty is on standardized coefficients (z = x / sample deviation), the intercept is free.
-_NEWTON_SQL = f"""
-{oq.nb_ctes(TRAIN_SQL, "{score}", num_features=2, use_idf=False)},
+def _newton_ctes(train: str, score: str) -> str:
+    return f"""
+{oq.nb_ctes(train, score, num_features=2, use_idf=False)},
 tv AS (SELECT t.k, CASE WHEN c.ci = 1 THEN 1.0 ELSE 0.0 END::DOUBLE AS y, coalesce(sum(v.v) FILTER (v.bucket = 0), 0)::DOUBLE AS x0,
        coalesce(sum(v.v) FILTER (v.bucket = 1), 0)::DOUBLE AS x1
        FROM nb_train t JOIN nb_classes c ON c.gender = t.gender LEFT JOIN nb_v v ON v.k = t.k GROUP BY t.k, c.ci),
@@ -918,12 +919,12 @@ lr_pred AS (
          (SELECT gender FROM nb_classes WHERE ci = CASE WHEN p > 0.5 THEN 1 ELSE 0 END) AS predicted_label
   FROM (SELECT q.doc_id, any_value(q.name) AS name, 1 / (1 + exp(-(any_value(lr.b) + any_value(lr.c0) * coalesce(sum(v.v) FILTER (v.bucket = 0), 0)
         + any_value(lr.c1) * coalesce(sum(v.v) FILTER (v.bucket = 1), 0)))) AS p
-        FROM ({{score}}) q CROSS JOIN lr LEFT JOIN nb_sv v ON v.k = q.doc_id GROUP BY q.doc_id) s
+        FROM ({score}) q CROSS JOIN lr LEFT JOIN nb_sv v ON v.k = q.doc_id GROUP BY q.doc_id) s
 )"""
 
 
-def _newton_sql(select: str, score: str = DOCS_SQL) -> str:
-    return "WITH RECURSIVE " + _NEWTON_SQL.replace("{score}", score) + "\n" + select
+def _newton_sql(select: str, score: str = DOCS_SQL, train: str = TRAIN_SQL) -> str:
+    return "WITH RECURSIVE " + _newton_ctes(train, score) + "\n" + select
 
 
 @query(
@@ -999,3 +1000,45 @@ def q_compare_metrics_converged(spark, sf_dir):
     prep, models = converged(spark, sf_dir, *mx.KINDS)
     both = ev.evaluate_models(prep.test, {"lr": models["logistic_regression"], "nb": models["naive_bayes"]})
     return cx.compare_metrics(both, names=("lr", "nb"))
+
+
+_FLOW_MODELS = {"logistic_regression": "ml", "naive_bayes": "mn"}
+_FLOW_SUMMARY = ("total_names", "male_count", "female_count", "avg_name_length", "min_name_length", "max_name_length")
+
+
+@query(
+    "names_file_flow",
+    _newton_sql("", _NAMES_TEST_SQL, _NAMES_TRAIN_SQL).rstrip()
+    + f""",
+lr_k AS (SELECT doc_id AS k, prediction FROM lr_pred), ml AS ({metrics_sql('lr_k', _NAMES_TEST_SQL, 'nb_classes')}),
+mn AS ({metrics_sql('nb_pred', _NAMES_TEST_SQL, 'nb_classes')}), su AS ({ORACLE['data_summary']})
+"""
+    + "\nUNION ALL ".join(
+        [f"SELECT 'summary' AS step, '{c}' AS item, {c}::DOUBLE AS value FROM su" for c in _FLOW_SUMMARY]
+        + [
+            f"SELECT '{step} {model}', '{shown}', round({key}, 3) FROM {cte}"
+            for step in ("trained", "loaded")
+            for model, cte in _FLOW_MODELS.items()
+            for key, shown in cx.METRIC_NAMES.items()
+        ]
+        + [f"SELECT '{step}', 'all models loaded', {found}::DOUBLE" for step, found in (("trained", 0), ("loaded", 1))]
+    ),
+)
+def q_names_file_flow(spark, sf_dir):
+    """The whole flow on a names file, twice: both models are trained, saved and
+    evaluated, then loaded from where they were saved and evaluated again.
+
+    Settings are those of ``converged``, at whose optimum SQL arrives, too.
+    """
+    from labelkit.plans.names_file import train_and_evaluate
+
+    lines, models = written_lines(spark, sf_dir), scratch_path(spark, "flow-models")
+    runs = {step: train_and_evaluate(spark, lines, model_dir=models, settings=CONVERGED, num_features=2) for step in ("trained", "loaded")}
+    first = runs["trained"].summary.withColumn("avg_name_length", r6(F.col("avg_name_length")))
+    out = first.select(F.lit("summary").alias("step"), *(F.col(c).cast("double") for c in _FLOW_SUMMARY)).unpivot("step", list(_FLOW_SUMMARY), "item", "value")
+    for step, run in runs.items():
+        names = list(_FLOW_MODELS)
+        by_model = run.metrics.unpivot("metric", names, "model", "value")
+        out = out.unionByName(by_model.select(F.concat(F.lit(f"{step} "), "model").alias("step"), F.col("metric").alias("item"), "value"))
+    found = [(step, "all models loaded", float(run.loaded)) for step, run in runs.items()]
+    return out.unionByName(spark.createDataFrame(found, "step string, item string, value double"))

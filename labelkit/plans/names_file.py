@@ -38,6 +38,7 @@ class NamesRun:
     prepared: Prepared
     models: dict[str, PipelineModel]
     metrics: DataFrame
+    loaded: bool  # all models came from ``model_dir``
 
 
 def prepare_labelled_text(
@@ -78,21 +79,25 @@ def train_and_evaluate(
     source: str | Sequence[str] | DataFrame,
     kinds: Sequence[str] = mx.KINDS,
     model_dir: str | None = None,
+    settings: dict | None = None,
     **prepare_kw,
 ) -> NamesRun:
     """Everything the reference's "Load Data & Train Models" button did.
 
     With ``model_dir``, models saved there from the same rows and parameters
     are loaded, and the others are trained and saved (``models.load_or_train``).
+    ``settings`` are parameters of the fits (``use_idf``, ``max_iter``, ...).
     """
+    settings = settings or {}
     data = load_labelled(spark, source)
     summary = su.data_summary(data)
     prep = prepare_labelled_text(data, **prepare_kw)
     if model_dir:
         paths = {kind: f"{model_dir.rstrip('/')}/{kind}" for kind in kinds}
         label_col = prepare_kw.get("label_col", "gender")
-        models, _ = mx.load_or_train(spark, prep.train, paths, label_col, stages=prep.stages)
+        models, loaded = mx.load_or_train(spark, prep.train, paths, label_col, stages=prep.stages, **settings)
     else:
-        models = fit_many(prep, {kind: {"kind": kind} for kind in kinds})
+        models = fit_many(prep, {kind: {"kind": kind} | settings for kind in kinds})
+        loaded = False
     metrics = cx.compare_metrics(ev.evaluate_models(prep.test, models), names=list(models))
-    return NamesRun(data, summary, prep, models, metrics)
+    return NamesRun(data, summary, prep, models, metrics, loaded)

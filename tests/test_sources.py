@@ -89,6 +89,18 @@ def test_names_file_end_to_end(spark, tmp_path):
     rows = {r["metric"]: r for r in run.metrics.collect()}
     assert set(rows) == {"Accuracy", "Precision", "Recall", "F1 Score"}
     assert set(run.models) == {"logistic_regression", "naive_bayes"}
+    assert not run.loaded
+
+
+def test_names_file_models_are_loaded_or_trained(spark, tmp_path):
+    """Saved models are loaded for the same lines and settings, and trained anew for others."""
+    from labelkit.plans.names_file import train_and_evaluate
+
+    lines = spark.createDataFrame([(f"name{k} x;{'M' if k % 3 else 'F'}",) for k in range(200)], "value string")
+    models, settings = str(tmp_path / "models"), {"use_idf": False}
+    first, again, other = (train_and_evaluate(spark, df, model_dir=models, settings=kw) for df, kw in ((lines, settings), (lines.repartition(3), settings), (lines, {"use_idf": True})))
+    assert (first.loaded, again.loaded, other.loaded) == (False, True, False)
+    assert sorted(map(tuple, first.metrics.collect())) == sorted(map(tuple, again.metrics.collect()))
 
 
 def test_names_file_split_spreads_copies(spark):
