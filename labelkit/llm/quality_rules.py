@@ -14,7 +14,8 @@ Statistics and scores cover every row and whole texts, in a map without shuffle.
 
 Defined results: null, empty and wordless texts have all counts 0.  Nulls in
 labels are unlabelled rows; without labels of both kinds every document that
-passes the base rule is kept.  Extra columns pass through; columns named as
+passes the base rule is kept.  Rows that share an id are judged each by its own text;
+for the fit, the one with the least statistics stands for them, and a good label wins.  Extra columns pass through; columns named as
 results are replaced.
 """
 

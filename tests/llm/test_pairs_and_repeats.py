@@ -129,6 +129,24 @@ def test_substring_dedup(docs, rows, size, bits):
     assert sorted([(r.doc_id, r.n_words, r.n_removed, r.text) for r in got.collect()], key=str) == brute_cut(rows, size)
 
 
+def test_repeated_rows_share_their_ranges(spark):
+    text = " ".join(f"w{k % 90}" for k in range(300))
+    rows = [(5, text)] * 200 + [(6, text), (3, "no window of this one is found again " * 1), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = substring_dedup.remove_repeats(docs, size=20, sketch_bits=12)
+    assert sorted([(r.doc_id, r.n_words, r.n_removed, r.text) for r in got.collect()], key=str) == brute_cut(rows, 20)
+    ranges = substring_dedup.covered(docs, size=20, sketch_bits=12).distinct().groupBy("id", "tie").count().collect()
+    assert len(ranges) == 2 and max(r["count"] for r in ranges) <= 300
+
+
+def test_levels_end_when_nothing_repeats(spark, monkeypatch):
+    seen = []
+    count = substring_dedup._counts
+    monkeypatch.setattr(substring_dedup, "_counts", lambda docs, lengths, below, bits: seen.append(len(below)) or count(docs, lengths, below, bits))
+    alone = spark.createDataFrame([(k, " ".join(f"w{k}.{j}" for j in range(60))) for k in range(5)], "doc_id long, text string")
+    assert substring_dedup.remove_repeats(alone, size=20, sketch_bits=24).filter("n_removed > 0 or n_words <> 60").isEmpty() and seen == [0]
+
+
 def test_substring_dedup_limits(empty, docs):
     assert substring_dedup.remove_repeats(empty, sketch_bits=8).count() == 0
     assert substring_dedup.levels(20) == [5, 10, 20]

@@ -36,6 +36,63 @@ def test_raw_score():
     assert toxicity.raw_score("loser", toxicity.Lexicon().automaton()) == 0
 
 
+def brute_raw_score(text, lexicon):
+    """The longest term at every beginning of a word, but for those within an exception phrase."""
+    folded = toxicity.fold(text)
+    begins = [i for i in range(len(folded)) if not i or not folded[i - 1].isalnum()]
+    ends = lambda i: i == len(folded) or not folded[i].isalnum()
+    spared = [(i, i + len(p)) for p in lexicon.exceptions for i in begins if folded.startswith(p, i) and ends(i + len(p))]
+    total = 0
+    for i in begins:
+        fits = [t for t in lexicon.weights if folded.startswith(t, i) and (len(t) >= 4 or ends(i + len(t)))]
+        longest = max(fits, key=len, default=None)
+        if longest and not any(a <= i and i + len(longest) <= b for a, b in spared):
+            total += lexicon.weights[longest]
+    return total / math.log2(2 + len(WORD.findall(text))) if total else 0.0
+
+
+def test_scores_equal_brute_force(spark):
+    rng = np.random.default_rng(8)
+    lexicon = toxicity.Lexicon({"ioser": 4.0, "ioserdom": 5.0, "ciown": 2.0, "oi": 1.5, "tra": 0.5}, ("ciown fish", "oi ioser", "fine ioser"), 0.7)
+    parts = ["loser", "L0SERS", "loserdom", "closer", "clown", "cl0wn", "fish", "oi", "oil", "OI!", "tra", "train", "fine", "wort", "é", "loser.", "\n", "ⅼ", "1oser"]
+    texts = [" ".join(rng.choice(parts, rng.integers(0, 12))) for _ in range(400)]
+    automaton = lexicon.automaton()
+    for text in texts:
+        assert toxicity.raw_score(text, automaton) == pytest.approx(brute_raw_score(text, lexicon)), text
+    got = toxicity.score(spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string"), lexicon).collect()
+    assert all(r.score == pytest.approx(1 - math.exp(-0.7 * brute_raw_score(r.text, lexicon))) for r in got)
+
+
+def test_lexicon_is_a_function_of_the_rows(spark):
+    data = planted(spark)
+    # Near copies (the same rare words) with other texts, repeated rows and repeated labels.
+    more = data.filter("doc_id % 5 = 0").select((F.col("doc_id") + 1000).alias("doc_id"), F.concat("text", F.lit(" wort7")).alias("text"), "toxic")
+    data = data.unionByName(more).unionByName(data.filter("doc_id < 40"))
+    made = [toxicity.fit(d.select("doc_id", "text"), d.select("doc_id", "toxic")) for d in (data.coalesce(1), data.repartition(7), data.orderBy(F.desc("text")))]
+    assert made[0].weights and made[0] == made[1] == made[2]
+    trees = [quality_rules.fit(quality_rules.measure(d.select("doc_id", "text")), d.select("doc_id", F.col("toxic").alias("quality"))) for d in (data.coalesce(1), data.repartition(7))]
+    assert all(np.array_equal(getattr(trees[0], f), getattr(trees[1], f)) for f in ("feature", "border", "left", "value", "roots"))
+
+
+def test_toxicity_short_and_rare_terms_and_exceptions(spark):
+    rows = []
+    for k in range(1500):
+        w = [f"wort{(k * 7 + j * 13) % 500}" for j in range(30)]
+        if k % 10 == 0:
+            w[k % 29] = "zq" if k % 20 else "glimfor"
+        elif k % 50 == 3:
+            w[4:6] = ["glimfor", "haus"]  # clean within this phrase
+        rows.append((k, " ".join(w), int(k % 10 == 0)))
+    data = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    lexicon = toxicity.fit(data.select("doc_id", "text"), data.select("doc_id", "toxic"))
+    assert "zq" in lexicon.weights
+    a = lexicon.automaton()
+    assert toxicity.raw_score("ein zq hier", a) > 0 == toxicity.raw_score("ein zqx hier", a)
+    some = toxicity.Lexicon({"giimfor": 3.0})
+    spared = toxicity._with_exceptions(data.select(F.col("toxic").alias("label"), "text"), some, 10)
+    assert "giimfor haus" in spared.exceptions and toxicity.raw_score("der glimfor haus", spared.automaton()) == 0
+
+
 def planted(spark, n=400):
     rng = np.random.default_rng(5)
     rows = []
@@ -107,6 +164,25 @@ def test_trees_are_monotone_and_learn():
     assert (steps <= 1e-12).all() and (steps < -0.1).any()
 
 
+def walked(trees, row):
+    total = trees.base
+    for node in trees.roots:
+        while trees.feature[node] >= 0:
+            node = trees.left[node] + (row[trees.feature[node]] > trees.border[node])
+        total += trees.value[node]
+    return 1 / (1 + math.exp(-total))
+
+
+def test_verdicts_equal_a_walk_through_the_trees(spark):
+    marks = common.labels(spark, SF01)
+    measured = quality_rules.measure(common.documents(spark, SF01).select("doc_id", "text"))
+    trees = quality_rules.fit(measured, marks)
+    for r in quality_rules.judge(measured, trees).collect():
+        row = quality_rules.features(np.array([[r[c] for c in quality_rules.COUNTS]], dtype=np.int64))[0]
+        failed = r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words
+        assert r.base_failed == failed and r.quality == pytest.approx(walked(trees, row)) and r.kept == (not failed and r.quality >= 0.5)
+
+
 def test_quality_rules(spark, docs, empty):
     marks = common.labels(spark, SF01)
     train = quality_rules.measure(common.documents(spark, SF01).select("doc_id", "text"))
