@@ -191,6 +191,9 @@ def test_search_skips_postings():
             keep = scores >= threshold
             assert docs[found >= threshold].tolist() == whole[keep].tolist() and found[found >= threshold].tolist() == scores[keep].tolist()
             assert other.scored <= other.held
+            other.whole = 1  # without bounds
+            docs, found = other.search(terms, weights, 10, threshold)
+            assert docs.tolist() == whole[keep].tolist() and found.tolist() == scores[keep].tolist()
 
 
 def test_search_over_many_shards(spark, monkeypatch):
