@@ -28,6 +28,7 @@ from labelkit.session import remove, scratch_path
 CHUNK_BYTES = 500_000
 #: Bytes of a batch that Spark hands to Python.
 BATCH_BYTES = 8 << 20
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Keys holding at least 1/HEAVY_SHARE of all rows are looked up by broadcast (there are at most HEAVY_SHARE of them).
 HEAVY_SHARE = 512
 #: Width of the bit tables of ids: 2**24 bits are 2 MB.
@@ -67,8 +68,9 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def small_batches(spark: SparkSession) -> None:
     """Let Spark hand texts to Python in batches of 8 MB at most (its own limit is 64 MB): it bounds the workers' memory."""
-    if int(re.sub(r"\D", "", spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch"))) > BATCH_BYTES:
-        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    size, unit = re.fullmatch(r"(\d+)([kmgt]?)b?", spark.conf.get(_BATCH_CONF).lower()).groups()
+    if int(size) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit] > BATCH_BYTES:
+        spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
 
 
 def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
