@@ -293,17 +293,22 @@ def _hub_pairs(rows: DataFrame, step: int, percent: int, total: int) -> DataFram
     return outside.select(F.col("sid").alias("b"), F.explode(F.transform(fit, lambda h: h["sid"])).alias("a")).select("a", "b")
 
 
-def _class_pairs(rows: DataFrame, roots: DataFrame, sets: DataFrame, docs: DataFrame, verified: DataFrame, n: int, percent: int) -> DataFrame:
+def _class_pairs(rows: DataFrame, roots: DataFrame, sets: DataFrame, docs: DataFrame, verified: DataFrame, n: int, percent: int, total: int) -> DataFrame:
     """Pairs (a, b) of sets in different classes that may link; ``rows`` have the token's number of rows and of classes."""
     far = (100 - percent) / 100 + 1e-9
     classes = rows.groupBy("token", "root").agg(F.min("size").alias("lo"), F.max("size").alias("hi"), F.max(F.col("size") - F.col("at")).alias("ahead"), F.count("*").alias("k"), F.any_value("n").alias("n"), F.any_value("classes").alias("classes"))
+    classes = written(classes, "token-classes")
     counts = (F.col("classes").alias("n_left"), F.col("n").alias("n_right"))
+    key = F.struct("token", "root").alias("key")
+    # Each row with its class's number of rows in the token: of two classes, the rows of the smaller one meet the larger one.
+    own = lookup(rows.withColumn("key", key), classes.select(key, "k", F.col("k").alias("times")), "key", "times", total).drop("key")
 
     def near(c, y):
         length = (percent * c["lo"] <= 100 * y["size"]) & (percent * y["size"] <= 100 * c["hi"])
-        return (c["root"] < y["root"]) & length & (F.least(c["ahead"], y["size"] - y["at"]) >= _least(percent, c["lo"] + y["size"]))
+        larger = (c["k"] > y["k"]) | ((c["k"] == y["k"]) & (c["root"] < y["root"]))
+        return larger & (c["root"] != y["root"]) & length & (F.least(c["ahead"], y["size"] - y["at"]) >= _least(percent, c["lo"] + y["size"]))
 
-    probes = _dealt(classes.select("token", "root", "lo", "hi", "ahead", *counts), rows.select("token", "sid", "size", "at", "root", *counts), ["token"], near)
+    probes = _dealt(classes.select("token", "root", "k", "lo", "hi", "ahead", *counts), own.select("token", "sid", "size", "at", "root", "k", *counts), ["token"], near)
     probes = written(probes.select(F.col("l.root").alias("a"), F.col("r.sid").alias("b")).distinct(), "class-probes")
     # The radius of each class of more than one set among them: distances of all its members from its first set.
     many = probes.select(F.col("a").alias("root")).distinct().join(roots, "root").filter("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b"))
@@ -363,7 +368,7 @@ def _links(docs: DataFrame, described: DataFrame, n: int, percent: int, sketch_b
             if step < HUB_ROUNDS:
                 more = _hub_pairs(now, step, percent, joined.count())
             else:
-                more = _class_pairs(now, roots if roots is not None else spark.createDataFrame([], "node long, root long"), sets, docs, verified if verified is not None else spark.createDataFrame([], "a long, b long, sa int, sb int, common int"), n, percent)
+                more = _class_pairs(now, roots if roots is not None else spark.createDataFrame([], "node long, root long"), sets, docs, verified if verified is not None else spark.createDataFrame([], "a long, b long, sa int, sb int, common int"), n, percent, joined.count())
         pairs = written(_unordered(more).join(ledger.select("lo", "hi"), ["lo", "hi"], "left_anti"), f"candidates-{step}")
         if pairs.isEmpty():
             continue
