@@ -59,10 +59,13 @@ def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/conversations.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read again: lineage ends at files that all executors see."""
+def written(df: DataFrame, name: str, file_rows: int = 0) -> DataFrame:
+    """``df`` written to the shared folder and read again: lineage ends at files that all executors see.
+
+    ``file_rows``: most rows of a file, for very wide rows (0: no limit); readers hold a file's rows together.
+    """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", file_rows).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
