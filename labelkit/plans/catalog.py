@@ -827,12 +827,8 @@ def q_predict_names_stream(spark, sf_dir):
 
     _, model = fitted(spark, sf_dir)
     docs = tr.table(spark, sf_dir, "documents")
-    stream = (
-        spark.readStream.schema(docs.schema)
-        .option("pathGlobFilter", "documents.parquet")
-        .parquet(sf_dir)
-        .select("doc_id", F.col("text").alias("name"))
-    )
+    # A pattern names a table that is one file as well as one that is a folder of files.
+    stream = spark.readStream.schema(docs.schema).parquet(f"{sf_dir}/documents.parque[t]").select("doc_id", F.col("text").alias("name"))
     out = scratch_path(spark, "stream-out")
     q = start_scoring(stream, model, out, ["doc_id"], available_now=True)
     q.awaitTermination()

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF01
+from conftest import SF001, SF01
 from labelkit.operators import compare as cx
 from labelkit.operators import evaluate as ev
 from labelkit.operators import score as sx
@@ -163,6 +163,15 @@ def test_stream_restart_without_a_checkpoint_argument(spark, nb_setup, tmp_path)
     assert result.exceptAll(whole).count() == 0
 
 
+def test_stream_query_reads_tables_that_are_folders(spark, tmp_path):
+    for name in ("documents", "labels"):
+        tr.table(spark, SF001, name).repartition(3).write.parquet(str(tmp_path / f"{name}.parquet"))
+    run = catalog.QUERIES["predict_names_stream"]
+    got, want = run(spark, str(tmp_path)), run(spark, SF001)
+    assert got.count() == want.count() == 200
+    assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+
+
 def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
