@@ -196,6 +196,60 @@ def test_search_skips_postings():
             assert docs.tolist() == whole[keep].tolist() and found.tolist() == scores[keep].tolist()
 
 
+def query_block(queries):
+    """Queries (terms, weights), as a block of ``search_all``."""
+    vocab, code = np.unique(np.concatenate([t for t, _ in queries]), return_inverse=True)
+    return {"numbers": np.arange(len(queries)), "ends": np.cumsum([len(t) for t, _ in queries]), "vocab": vocab, "code": code.astype(np.int32), "weights": np.concatenate([w for _, w in queries])}
+
+
+@pytest.mark.parametrize("slice_size", [1, 30_000, 1_000_000])
+def test_search_side_by_side(monkeypatch, slice_size):
+    """Queries side by side find what each finds alone, to the last bit; pairs of query and block are left out by bounds."""
+    monkeypatch.setattr(bm25, "SLICE", slice_size)
+    rng = np.random.default_rng(8)
+    n = 1500
+    term = (rng.zipf(1.3, 40 * n) % 3000).astype(np.uint64) + np.repeat(np.arange(n) // 500 * 2000, 40).astype(np.uint64)
+    pair = np.unique(np.stack((np.repeat(np.arange(n, dtype=np.uint64), 40), term)), axis=1)
+    pair = np.concatenate((pair, [[n, n + 1], [7000, 7000]], pair[:, pair[0] == 3] + [[n - 1], [0]]), axis=1).astype(np.uint64)  # documents 3 and n + 2 are equal
+    times, length = rng.integers(1, 4, pair.shape[1]), np.full(n + 3, 45)
+    times[pair[0] == n + 2] = times[pair[0] == 3]
+    make = lambda: bm25.Shard(pair[0].astype(np.int64), pair[1], times, length, 45.0)
+    queries = [(t := pair[1][pair[0] == d], rng.exponential(1, len(t)) ** 2) for d in (*range(0, n, 60), 3, n)]
+    queries += [(np.array([99_999], dtype=np.uint64), np.ones(1)), (np.arange(90_000, 90_050, dtype=np.uint64), np.ones(50)), (np.zeros(0, np.uint64), np.zeros(0))]
+    alone = [make().search(t, w, 10) for t, w in queries]
+    for thresholds in (np.zeros(len(queries)), np.array([s[-1] if len(s) else 0.0 for _, s in alone]), np.array([s[2] if len(s) > 2 else 1.0 for _, s in alone])):
+        shard, got = make(), {}
+        for q, d, s in shard.search_all(query_block(queries), thresholds, 10):
+            for x, y, z in zip(q.tolist(), d.tolist(), s.tolist(), strict=True):
+                got.setdefault(x, []).append((y, z))
+        for q, (d, s) in enumerate(alone):
+            keep = s >= thresholds[q]
+            assert [h for h in got.get(q, []) if h[1] >= thresholds[q]] == list(zip(d[keep].tolist(), s[keep].tolist(), strict=True))
+        assert (shard.dense[0] >= 0).any() and (shard.dense[0] < 0).any()
+    assert shard.pivots < shard.pairs / 2
+
+
+def test_search_waves_and_blocks(spark, monkeypatch):
+    """Hits do not grow with the number of shards, nor blocks of queries with the number of parts."""
+    monkeypatch.setattr(bm25, "SHARD_POSTINGS", 60)
+    made, write = {}, bm25.written
+    monkeypatch.setattr(bm25, "written", lambda df, name, *more, **options: made.setdefault(name, []).append(out := write(df, name, *more, **options)) or out)
+    rng = np.random.default_rng(3)
+    rows = [(k, " ".join(f"w{int(x)}" for x in rng.integers(0, 400, 30))) for k in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(400)
+    conf = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, "false")
+    try:
+        asked = docs.filter("doc_id % 50 = 0")
+        assert bm25.search(docs, asked, k=5).groupBy("query_id").count().filter("count = 5").count() == 30
+    finally:
+        spark.conf.set(conf, before)
+    shards, hits = made["bm25-shards"][0].count(), sum(df.count() for df in made["bm25-hits"])
+    assert shards > 300 and made["bm25-queries"][0].count() == 1
+    assert hits < 30 * 5 * 40  # an eighth of the shards, with five each, would be more
+
+
 def test_search_over_many_shards(spark, monkeypatch):
     """Ties, ids that are no numbers, very long and repeated texts, clashing columns; a shard for every few documents."""
     monkeypatch.setattr(bm25, "SHARD_POSTINGS", 40)
