@@ -47,11 +47,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelkit.llm.common import SKETCH_SCHEMA, chunks, components, drop, fresh, lookup, merged_sketch, mix, parted, released, shingle_sets, sketch_rows, written
+from labelkit.llm.common import SKETCH_SCHEMA, chunks, components, drop, flagged, fresh, lookup, marked, merged_sketch, mix, parted, place, released, shingle_sets, sketch_rows, written
 
 SKETCH_BITS = 24
-#: Rounds of hubs; members of a class that are hubs after the first round; rows of a token (or of a class in it) that one task compares with as many others; wanted documents that are broadcast.
-HUB_ROUNDS, HUBS, CHUNK, FEW_REFS = 2, 8, 1000, 50_000
+#: Rounds of hubs; members of a class that are hubs after the first round; rows of a token (or of a class in it) that one task compares with as many others; wanted documents that are broadcast; of more, 2**REF_BITS bits are.
+HUB_ROUNDS, HUBS, CHUNK, FEW_REFS, REF_BITS = 2, 8, 1000, 50_000, 27
 
 
 def _sid(shingles: np.ndarray) -> int:
@@ -211,7 +211,7 @@ def _with_apart(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 # ----------------------------------------------------------------- verification
 
 
-def _sets(docs: DataFrame, sets: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
+def _sets(docs: DataFrame, sets: DataFrame, pairs: DataFrame, n: int, name: str) -> DataFrame:
     """(sid, shingles, is_a, is_b) of the sets in these pairs (and maybe of others), made from one row of each."""
     side = lambda c: F.struct(F.col(c).alias("sid"), F.lit(c == "a").alias("is_a"), F.lit(c == "b").alias("is_b"))
     asked = pairs.select(F.explode(F.array(side("a"), side("b"))).alias("x")).select("x.*")
@@ -219,14 +219,19 @@ def _sets(docs: DataFrame, sets: DataFrame, pairs: DataFrame, n: int) -> DataFra
     refs = sets.select("sid", "ref").join(asked, "sid")
     refs = written(refs.groupBy("ref").agg(F.max("is_a").alias("is_a"), F.max("is_b").alias("is_b")), "set-rows")
     rows = docs.select("text", F.xxhash64("id", "text").alias("ref"))
-    if refs.count() <= FEW_REFS:
+    few = refs.count() <= FEW_REFS
+    marks = None if few else marked(refs.select("ref"), REF_BITS)
+    if few:
         rows = rows.join(F.broadcast(refs), "ref").select("text", "is_a", "is_b")
     else:
-        rows = parted(rows, "ref", refs.select("ref"), bits=27)[0].select("text", F.lit(True).alias("is_a"), F.lit(True).alias("is_b"))
+        rows = rows.select("text", F.lit(True).alias("is_a"), F.lit(True).alias("is_b"), place("ref", REF_BITS).alias("place"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
         for batch in batches:
+            # Here and not in a step before this one, which would have Python workers of its own.
+            if marks is not None:
+                batch = batch.filter(pa.array(flagged(marks.value, batch.column("place").to_numpy().astype(np.uint64))))
             for part in chunks(batch):
                 at, sids, found = [], [], []
                 for i, s in enumerate(shingle_sets(part.column("text"), n)):
@@ -240,12 +245,15 @@ def _sets(docs: DataFrame, sets: DataFrame, pairs: DataFrame, n: int) -> DataFra
                     flags = [part.column(c).take(pa.array(at)) for c in ("is_a", "is_b")]
                     yield pa.RecordBatch.from_arrays([pa.array(sids, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(found))), *flags], names=["sid", "shingles", "is_a", "is_b"])
 
-    return rows.mapInArrow(released(run), "sid long, shingles array<long>, is_a boolean, is_b boolean")
+    whole = written(rows.mapInArrow(released(run), "sid long, shingles array<long>, is_a boolean, is_b boolean"), f"sets-{name}")
+    if marks is not None:
+        marks.unpersist()
+    return whole
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, n: int, name: str) -> DataFrame:
     """``pairs`` (a, b) with sizes sa, sb and the number of shingles they share (common)."""
-    whole = written(_sets(docs, sets, pairs, n), f"sets-{name}")
+    whole = _sets(docs, sets, pairs, n, name)
     left = pairs.select("a", "b").join(whole.filter("is_b").select(F.col("sid").alias("b"), F.col("shingles").alias("_y")), "b")
     both = left.join(whole.filter("is_a").select(F.col("sid").alias("a"), F.col("shingles").alias("_x")), "a")
     return written(both.select("a", "b", F.size("_x").alias("sa"), F.size("_y").alias("sb"), F.size(F.array_intersect("_x", "_y")).alias("common")).distinct(), f"verified-{name}")

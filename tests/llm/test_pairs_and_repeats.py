@@ -3,8 +3,11 @@
 import hashlib
 import itertools
 import re
+import tracemalloc
+import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -223,6 +226,30 @@ def test_one_row_of_each_class_stays(spark):
     assert sorted(got, key=str) == sorted([rows[0], rows[2], *rows[5:10], got[[g[0] for g in got].index(7)]], key=str)
 
 
+def test_marks_are_packed(monkeypatch):
+    monkeypatch.setattr(common, "TaskContext", type("Task", (), {"get": staticmethod(lambda: type("One", (), {"partitionId": lambda self: 0})())}))
+    places = np.random.default_rng(1).integers(0, 1 << 24, 5000)
+    tracemalloc.start()
+    try:
+        blobs = [b for b in common.mark_places(24)(iter([pa.RecordBatch.from_pydict({"place": pa.array(places)})]))]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 12 << 20  # a byte for each bit, and a boolean of it, would be 32 MB
+    bits = np.concatenate([np.frombuffer(zlib.decompress(b.column("data")[0].as_py()), np.uint8).reshape(2, -1)[1] for b in blobs])
+    assert np.flatnonzero(np.unpackbits(bits)).tolist() == np.unique(places).tolist()
+
+
+def test_sets_of_many_pairs_take_one_python_step(spark, docs, rows, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "FEW_REFS", 0)
+    made, write = {}, jaccard_join.written
+    monkeypatch.setattr(jaccard_join, "written", lambda df, name, *more: made.setdefault(name, df) is None or write(df, name, *more))
+    got = jaccard_join.near_duplicates(docs, n=3, percent=90, sketch_bits=12)
+    assert sorted([tuple(r) for r in got.collect()], key=str) == brute_classes(rows, 3, 90)
+    plans = [df._jdf.queryExecution().optimizedPlan().toString() for name, df in made.items() if re.match(r"sets-\d", name)]
+    assert plans and all(p.count("MapInArrow") == 1 for p in plans)
+
+
 def test_tables_merge_in_levels(spark, monkeypatch):
     monkeypatch.setattr(common, "FAN", 3)
 
