@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from labelkit.llm import toxicity
+from labelkit.llm import sentencepiece_codec, toxicity
 from labelkit.llm.common import documents
 from labelkit.llm.queries import ORACLE, QUERIES
 
@@ -74,6 +74,24 @@ def test_pipeline_stages(spark, docs, rows, tmp_path):
     assert coded.filter("lossless").count() == len(rows)
 
 
+def test_pieces_are_made_by_one_python_step_at_a_time(spark, docs):
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(limit)
+    try:
+        spark.conf.set(limit, "64m")
+        coded = dict(corpus_pipeline.STAGES)["sentencepiece"](spark, docs, SF001)
+        assert int(spark.conf.get(limit)) == corpus_pipeline.STAGE_BATCH_BYTES
+        # A task of both steps has two workers with a model each.
+        assert coded._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+        want = sentencepiece_codec.encode(docs.select("doc_id", "text"))
+        assert sorted((r.doc_id, r.ids) for r in coded.filter("doc_id is not null").collect()) == sorted((r.doc_id, r.ids) for r in want.filter("doc_id is not null").collect())
+        spark.conf.set(limit, "4096")
+        corpus_pipeline.STAGES[-1][1](spark, docs, SF001)
+        assert spark.conf.get(limit) == "4096"
+    finally:
+        spark.conf.set(limit, before)
+
+
 def test_pipeline_drops_what_the_score_rejects(spark):
     docs = documents(spark, SF001)
     kept = corpus_pipeline.drop_toxic(spark, docs, SF001)
