@@ -300,6 +300,62 @@ def count_two(table: np.ndarray, at: np.ndarray) -> None:
     table[at] = np.minimum(table[at] + np.minimum(number, 2), 2)
 
 
+#: Hash values that a task holds before it deals them out; bits of a value by which a block's values are dealt to several groups.
+HELD_VALUES, GROUP_BITS = 1 << 21, 2
+DEALT_SCHEMA = "part int, data binary"
+_BLOCK_BITS = _BLOCK.bit_length() + 2
+
+
+def dealt(values: Iterable[np.ndarray], bits: int) -> Iterator[pa.RecordBatch]:
+    """A task's hash values as 4 bytes each, by the part of a table of 2**bits bits that they belong to, for ``repeated_flags``.
+
+    The 4 bytes are the place in the block and, in what is left, bits of the value that the place has not; so
+    values differ by bits + 13 bits (34 for small tables).  Of equal values two are enough.
+    """
+    inner = min(bits, _BLOCK_BITS)
+    held, size = [], 0
+
+    def flush() -> pa.RecordBatch:
+        value = np.concatenate(held)
+        place = value & np.uint64((1 << bits) - 1)
+        more = value >> np.uint64(bits)
+        part = (place >> np.uint64(inner)) << np.uint64(GROUP_BITS) | (more >> np.uint64(32 - inner)) & np.uint64((1 << GROUP_BITS) - 1)
+        keys = part << np.uint64(32) | (place & np.uint64((1 << inner) - 1)) << np.uint64(32 - inner) | more & np.uint64((1 << (32 - inner)) - 1)
+        keys.sort()
+        some = np.ones(len(keys), dtype=bool)
+        some[2:] = keys[2:] != keys[:-2]
+        keys = keys[some]
+        part = (keys >> np.uint64(32)).astype(np.int32)
+        first = np.flatnonzero(np.concatenate((np.ones(min(1, len(part)), bool), part[1:] != part[:-1])))
+        offsets = pa.py_buffer((np.append(first, len(part)) * 4).astype(np.int32).tobytes())
+        data = pa.Array.from_buffers(pa.binary(), len(first), [None, offsets, pa.py_buffer(keys.astype(np.uint32).tobytes())])
+        return pa.RecordBatch.from_arrays([pa.array(part[first]), data], names=["part", "data"])
+
+    for value in values:
+        held.append(value)
+        size += len(value)
+        if size > HELD_VALUES:
+            yield flush()
+            held, size = [], 0
+    if size:
+        yield flush()
+
+
+def repeated_flags(rows: DataFrame, bits: int) -> np.ndarray:
+    """Bits of the places of values that tasks have dealt twice or more in all: values that are alone set none, however many they are."""
+    inner = min(bits, _BLOCK_BITS)
+
+    def mark(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        values = np.concatenate([np.frombuffer(data.as_buffer(), dtype=np.uint32) for batch in batches for data in batch.column("data")])
+        values.sort()
+        again = np.zeros(1 << inner, dtype=bool)
+        again[values[1:][values[1:] == values[:-1]] >> np.uint32(32 - inner)] = True
+        part, found = key[0].as_py(), np.packbits(again).tobytes()
+        yield _blob(part >> GROUP_BITS, part & ((1 << GROUP_BITS) - 1), found + found)
+
+    return merged_flags(rows.groupBy("part").applyInArrow(mark, SKETCH_SCHEMA), 1 << bits)
+
+
 # ------------------------------------------------------------- joins and links
 
 

@@ -5,21 +5,25 @@ document.  Every word goes that is covered by a window whose words also start
 earlier: in a document with a smaller id, or earlier in the same one.
 
 1. Levels: short windows (size halved until at most 5 words), then twice that
-   length, up to ``size``.  At each level all documents' windows are counted in
-   a table of fixed width; only windows whose parts all repeat at the level
-   below are counted at all.  A count of one proves that a window is alone; one
-   bit for each counter (2**sketch_bits bits a level) is broadcast.  A level at which
-   nothing repeats is the last one.
+   length, up to ``size``.  A window of the full length is stood for by the least hash
+   of its parts of a level's length: equal windows have equal least parts.  At each level the
+   least parts of all documents' windows are counted, of those windows alone whose least
+   parts all repeat at the levels below.  Some 2 of size - length + 2 parts are least ones; their
+   hashes are shuffled, 4 bytes each, and counted exactly.  A count of one proves that
+   a window is alone.  One bit for each place of a table (2**sketch_bits bits for the full
+   length, a quarter of them below it) says which repeat, and is broadcast: what is
+   alone takes no place in it.  A level at which nothing repeats is the last one.
 2. Windows of the full length that survive form runs of neighbours.  Equal runs
-   (128-bit hash, length) are copies: all but the first are covered whole.
-   First runs alone are spread into windows; those that a last table does not
+   (128-bit hash, length) are copies: all but the first are covered whole.  A run has its
+   words' hashes, or its windows' hashes if these are fewer bytes.
+   First runs alone are spread into windows; those that a last count does not
    prove to be in one run are grouped exactly (by 128-bit hashes) to find each
    window's first place.  Minima combine before the shuffle; windows with many
    places are looked up by broadcast.
 3. Covered word ranges go back to their documents.  Only documents that a bit
    table of ids does not prove to be whole are shuffled for that.
 
-With far more windows than counters the tables let more windows through, which
+With far more distinct repeated parts than places the tables let more windows through, which
 the exact step then groups: more shuffle, same result.
 
 Defined results: null or empty texts have no words and become empty texts.  Rows
@@ -39,9 +43,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labelkit.llm.common import SKETCH_SCHEMA, Words, chunks, count_two, flag_rows, flagged, fresh, lookup, merged_flags, mix, parted, released, window_hashes, without, written
+from labelkit.llm.common import DEALT_SCHEMA, Words, chunks, dealt, flagged, fresh, lookup, mix, parted, released, repeated_flags, window_hashes, without, written
 
-SIZE, SKETCH_BITS = 20, 26
+SIZE, SKETCH_BITS = 20, 29
 
 
 def levels(size: int) -> list[int]:
@@ -52,39 +56,58 @@ def levels(size: int) -> list[int]:
     return out
 
 
-def _survivors(words: Words, lengths: Sequence[int], tables: Sequence[np.ndarray], bits: int) -> np.ndarray:
-    """Whether the window from each word on, of the length after the tables' (the last, if all have one), may repeat."""
-    ok, mask = words.inside(lengths[0]), np.uint64((1 << bits) - 1)
-    for k, table in enumerate(tables):
-        ok &= flagged(table, words.windows(lengths[k]) & mask)
-        if k + 1 < len(lengths):
-            parts = lengths[k + 1] - lengths[k] + 1
-            total = np.concatenate(([0], np.cumsum(ok)))
-            whole = np.zeros(len(ok), dtype=bool)
-            if len(ok) >= parts:
-                whole[: len(ok) - parts + 1] = total[parts:] - total[:-parts] == parts
-            ok = whole & words.inside(lengths[k + 1])
+def _extreme(which: np.ufunc, values: np.ndarray, n: int) -> np.ndarray:
+    """The least or largest of n neighbours from each place on (of fewer at the end)."""
+    out, have = values.copy(), 1
+    while have < n:
+        step = min(have, n - have)
+        out[:-step] = which(out[:-step], out[step:])
+        have += step
+    return out
+
+
+def _fewer(bits: int) -> int:
+    """Bits of the width of the tables of which a quarter is enough; a byte is the least."""
+    return max(3, bits - 2)
+
+
+def _marked(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    return flagged(table, hashes & np.uint64(8 * len(table) - 1))
+
+
+def _survivors(words: Words, lengths: Sequence[int], tables: Sequence[np.ndarray]) -> np.ndarray:
+    """Whether the window of the last length from each word on may repeat: its least parts of the tables' lengths do."""
+    size = lengths[-1]
+    ok = words.inside(size)
+    for n, table in zip(lengths, tables, strict=False):
+        at = np.flatnonzero(ok)
+        ok[at] = _marked(table, _extreme(np.minimum, words.windows(n), size - n + 1)[at])
     return ok
 
 
+def _least_parts(words: Words, n: int, size: int, ok: np.ndarray) -> np.ndarray:
+    """Hashes of all places where n words have the least hash of a window of ``size`` words that is ok."""
+    hashes, parts = words.windows(n), size - n + 1
+    least = np.where(ok, _extreme(np.minimum, hashes, parts), np.uint64(0))
+    # No window has a least part that is more than any of its parts: a part is least in one if it is the largest least part of those around it.
+    return hashes[words.inside(n) & (hashes == _extreme(np.maximum, least[::-1], parts)[::-1])]
+
+
 def _counts(docs: DataFrame, lengths: Sequence[int], below: Sequence, bits: int) -> np.ndarray:
-    """Bits of the hash values that the next level's surviving windows have more than once."""
-    n = lengths[len(below)]
+    """Bits of the hash values that the next level's least parts of surviving windows have more than once."""
+    n, size = lengths[len(below)], lengths[-1]
+    bits = max(3, bits) if n == size else _fewer(bits)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, tables = np.zeros(1 << bits, dtype=np.uint8), [b.value for b in below]
-        for batch in batches:
-            for part in chunks(batch):
-                words = Words(part.column("text"))
-                at = (words.windows(n) & np.uint64((1 << bits) - 1))[_survivors(words, lengths, tables, bits)]
-                count_two(table, at.astype(np.uint32))
-        yield from flag_rows(table)
+        tables = [b.value for b in below]
+        texts = (Words(part.column("text")) for batch in batches for part in chunks(batch))
+        yield from dealt((_least_parts(words, n, size, _survivors(words, lengths, tables)) for words in texts), bits)
 
-    return merged_flags(docs.select("text").mapInArrow(released(count), SKETCH_SCHEMA), 1 << bits)
+    return repeated_flags(docs.select("text").mapInArrow(released(count), DEALT_SCHEMA), bits)
 
 
-def _runs(docs: DataFrame, size: int, tables: Sequence, id_type: str, bits: int) -> DataFrame:
-    """(h1, h2, n, id, tie, start, words): runs of n neighbouring survivors, with the hashes of their words."""
+def _runs(docs: DataFrame, size: int, tables: Sequence, id_type: str) -> DataFrame:
+    """(h1, h2, n, id, tie, start, words): runs of n neighbouring survivors, with the hashes of their words, or of their windows if they are few."""
     lengths = levels(size)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,7 +115,7 @@ def _runs(docs: DataFrame, size: int, tables: Sequence, id_type: str, bits: int)
         for batch in batches:
             for part in chunks(batch):
                 words = Words(part.column("text"))
-                ok = np.concatenate(([False], _survivors(words, lengths, data, bits), [False]))
+                ok = np.concatenate(([False], _survivors(words, lengths, data), [False]))
                 # Neighbours in two texts are never one run: the last size - 1 words of a text begin no window.
                 starts, ends = np.flatnonzero(ok[1:] & ~ok[:-1]), np.flatnonzero(ok[:-1] & ~ok[1:])
                 if size == 1:
@@ -104,51 +127,63 @@ def _runs(docs: DataFrame, size: int, tables: Sequence, id_type: str, bits: int)
                     continue
                 a, b = words.windows(size), window_hashes(words.hashes, size, other=True)
                 owner = np.searchsorted(words.first, starts, "right") - 1
-                rows = {"h1": [], "h2": [], "words": []}
-                for s, e in zip(starts.tolist(), ends.tolist(), strict=True):
-                    # Of a run: the sums of its windows' hashes, weighted by their places.
-                    weight = mix(np.arange(1, e - s + 1, dtype=np.uint64)) | np.uint64(1)
-                    with np.errstate(over="ignore"):
-                        rows["h1"].append(int((a[s:e] * weight).sum(dtype=np.uint64).astype(np.int64)))
-                        rows["h2"].append(int((b[s:e] * weight).sum(dtype=np.uint64).astype(np.int64)))
-                    rows["words"].append(words.hashes[s : e + size - 1].tobytes())
+                n = ends - starts
+                first = np.cumsum(n) - n
+                number = np.arange(n.sum()) - np.repeat(first, n)
+                # Of a run: the sums of its windows' hashes, weighted by their places.
+                weight = mix(number.astype(np.uint64) + np.uint64(1)) | np.uint64(1)
+                at = np.repeat(starts, n) + number
+                with np.errstate(over="ignore"):
+                    h1, h2 = (pa.array(np.add.reduceat(h[at] * weight, first).view(np.int64)) for h in (a, b))
+                width = _width(n, size)
+                place = np.arange(width.sum()) - np.repeat(np.cumsum(width) - width, width)
+                few, own = np.repeat(n < size - 1, width), np.repeat(n, width)
+                # Places in the words' hashes, the windows' first and then their second ones.
+                place += np.repeat(starts, width) + np.where(few, np.where(place < own, len(a), 2 * len(a) - own), 0)
+                offsets = pa.py_buffer((np.append(0, np.cumsum(width)) * 8).astype(np.int64).tobytes())
+                held = pa.Array.from_buffers(pa.large_binary(), len(n), [None, offsets, pa.py_buffer(np.concatenate((words.hashes, a, b))[place].tobytes())]).cast(pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows["h1"], pa.int64()), pa.array(rows["h2"], pa.int64()), pa.array((ends - starts).astype(np.int32)), part.column("id").take(pa.array(owner)), part.column("tie").take(pa.array(owner)), pa.array((starts - words.first[owner]).astype(np.int32)), pa.array(rows["words"], pa.binary())],
+                    [h1, h2, pa.array(n.astype(np.int32)), part.column("id").take(pa.array(owner)), part.column("tie").take(pa.array(owner)), pa.array((starts - words.first[owner]).astype(np.int32)), held],
                     names=["h1", "h2", "n", "id", "tie", "start", "words"],
                 )
 
     return docs.mapInArrow(released(run), f"h1 long, h2 long, n int, id {id_type}, tie long, start int, words binary")
 
 
+def _width(n: np.ndarray, size: int) -> np.ndarray:
+    """Hashes that runs of n windows have: one for each word, or two for each window if there are fewer than size - 1."""
+    return np.where(n < size - 1, 2 * n, n + size - 1)
+
+
 def _run_windows(batch: pa.RecordBatch, size: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Some runs at a time: the runs, and for each window its hashes, its run and its number in the run."""
-    for k in range(0, batch.num_rows, 256):
-        part = batch.slice(k, 256)
+    # Of long runs few, of short ones many.
+    for part in chunks(batch, "words"):
         n = part.column("n").to_numpy().astype(np.int64)
-        words = np.frombuffer(b"".join(x.as_py() for x in part.column("words")), dtype=np.uint64)
+        held = np.frombuffer(b"".join(part.column("words").to_pylist()), dtype=np.uint64)
         run = np.repeat(np.arange(len(n)), n)
         number = np.arange(len(run)) - np.repeat(np.cumsum(n) - n, n)
-        at = np.repeat(np.cumsum(n + size - 1) - (n + size - 1), n) + number
-        yield part, window_hashes(words, size)[at], window_hashes(words, size, other=True)[at], run, number
+        width = _width(n, size)
+        at = np.repeat(np.cumsum(width) - width, n) + number
+        a, b = window_hashes(held, size)[at], window_hashes(held, size, other=True)[at]
+        few = (n < size - 1)[run]
+        a[few], b[few] = held[at[few]], held[at[few] + n[run[few]]]
+        yield part, a, b, run, number
 
 
 def _spread(runs: DataFrame, size: int, id_type: str, bits: int) -> DataFrame:
     """(h1, h2, id, tie, start) of the windows that may be in more than one of the runs."""
-    mask = np.uint64((1 << bits) - 1)
+    bits = _fewer(bits)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(1 << bits, dtype=np.uint8)
-        for batch in batches:
-            for _, a, _, _, _ in _run_windows(batch, size):
-                count_two(table, (a & mask).astype(np.uint32))
-        yield from flag_rows(table)
+        yield from dealt((a for batch in batches for _, a, _, _, _ in _run_windows(batch, size)), bits)
 
-    again = runs.sparkSession.sparkContext.broadcast(merged_flags(runs.select("n", "words").mapInArrow(released(count), SKETCH_SCHEMA), 1 << bits))
+    again = runs.sparkSession.sparkContext.broadcast(repeated_flags(runs.select("n", "words").mapInArrow(released(count), DEALT_SCHEMA), bits))
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, a, b, run, number in _run_windows(batch, size):
-                may = flagged(again.value, a & mask)
+                may = _marked(again.value, a)
                 start = number[may] + part.column("start").to_numpy()[run[may]]
                 yield pa.RecordBatch.from_arrays([pa.array(a[may].view(np.int64)), pa.array(b[may].view(np.int64)), part.column("id").take(pa.array(run[may])), part.column("tie").take(pa.array(run[may])), pa.array(start.astype(np.int32))], names=["h1", "h2", "id", "tie", "start"])
 
@@ -167,7 +202,7 @@ def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", siz
         if not bits.any():  # no window of this length repeats, so no longer one does
             return docs.sparkSession.createDataFrame([], f"id {id_type}, tie long, start int, n int")
         tables.append(docs.sparkSession.sparkContext.broadcast(bits))
-    runs = written(_runs(docs, size, tables, id_type, sketch_bits), "runs")
+    runs = written(_runs(docs, size, tables, id_type), "runs")
     place = F.struct("id", "start")
     row = F.struct("id", "start", "tie")
     for table in tables:

@@ -150,6 +150,35 @@ def test_levels_end_when_nothing_repeats(spark, monkeypatch):
     assert substring_dedup.remove_repeats(alone, size=20, sketch_bits=24).filter("n_removed > 0 or n_words <> 60").isEmpty() and seen == [0]
 
 
+def test_what_is_alone_fills_no_table(spark):
+    # 30,000 words against tables of 1,024 bits: only the passage found twice sets any.
+    alone = [(k, " ".join(f"w{k}.{j}" for j in range(600))) for k in range(50)]
+    docs = spark.createDataFrame(alone, "id long, text string").repartition(3)
+    assert not substring_dedup._counts(docs, [5, 10, 20], [], 10).any()
+    passage = " ".join(f"p{j}" for j in range(25))
+    both = docs.unionByName(spark.createDataFrame([(100, f"a {passage} b"), (101, f"c d {passage} e")], docs.schema))
+    tables = []
+    for _ in range(3):
+        tables.append(spark.sparkContext.broadcast(substring_dedup._counts(both, [5, 10, 20], tables, 10)))
+    assert np.unpackbits(tables[-1].value).sum() == 6
+    runs = substring_dedup._runs(both.withColumn("tie", F.xxhash64("text")), 20, tables, "bigint").collect()
+    assert sorted((r.id, r.start, r.n, len(r.words)) for r in runs if r.id >= 100) == [(100, 1, 6, 96), (101, 2, 6, 96)] and len(runs) < 30
+    got = substring_dedup.remove_repeats(both, id_col="id", sketch_bits=10).filter("n_removed > 0").collect()
+    assert [(r.id, r.n_removed, r.text) for r in got] == [(101, 25, "c d e")]
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 16])
+def test_least_parts_of_all_windows(n):
+    text = " ".join(f"w{(k * k) % 23 if k < 200 else k % 3}" for k in range(300))
+    words = common.Words(pa.array([text, "", "a b", text[40:]]))
+    ok = words.inside(20) & (np.arange(len(words.hashes)) % 7 != 3)
+    hashes, want = words.windows(n), set()
+    for i in np.flatnonzero(ok).tolist():
+        parts = hashes[i : i + 20 - n + 1]
+        want |= {i + j for j in np.flatnonzero(parts == parts.min()).tolist()}
+    assert substring_dedup._least_parts(words, n, 20, ok).tolist() == hashes[sorted(want)].tolist()
+
+
 def test_substring_dedup_limits(empty, docs):
     assert substring_dedup.remove_repeats(empty, sketch_bits=8).count() == 0
     assert substring_dedup.levels(20) == [5, 10, 20]
