@@ -43,9 +43,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labelkit.llm.common import DEALT_SCHEMA, Words, chunks, dealt, flagged, fresh, lookup, mix, parted, released, repeated_flags, window_hashes, without, written
+from labelkit.llm.common import DEALT_SCHEMA, Words, chunks, dealt, drop, flagged, fresh, lookup, mix, parted, released, repeated_flags, swept, window_hashes, without, written
 
-SIZE, SKETCH_BITS = 20, 29
+SIZE, SKETCH_BITS = 20, 28
 
 
 def levels(size: int) -> list[int]:
@@ -202,6 +202,7 @@ def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", siz
         if not bits.any():  # no window of this length repeats, so no longer one does
             return docs.sparkSession.createDataFrame([], f"id {id_type}, tie long, start int, n int")
         tables.append(docs.sparkSession.sparkContext.broadcast(bits))
+        swept(docs.sparkSession)
     runs = written(_runs(docs, size, tables, id_type), "runs")
     place = F.struct("id", "start")
     row = F.struct("id", "start", "tie")
@@ -209,14 +210,21 @@ def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", siz
         table.unpersist()
     firsts = runs.groupBy("h1", "h2", "n").agg(F.min(row).alias("first"), F.count("*").alias("times"), F.min_by("words", row).alias("words"))
     firsts = written(firsts.select("h1", "h2", "n", "times", "first.id", "first.tie", "first.start", "words"), "first-runs")
+    swept(docs.sparkSession)
     total = runs.count()
     many = firsts.filter("times > 1").select(F.struct("h1", "h2", "n").alias("key"), "times", F.struct("id", "start").alias("first"))
     copies = lookup(runs.select(F.struct("h1", "h2", "n").alias("key"), "id", "tie", "start"), many, "key", "times", total)
     copies = copies.filter(~F.struct("id", "start").eqNullSafe(F.col("first"))).select("id", "tie", "start", F.col("key.n").alias("n"))
+    # What is read no more goes, so that the disk holds one form of the runs at a time.
+    copies = written(copies, "copies")
+    drop(runs)
 
     windows = written(_spread(firsts, size, id_type, sketch_bits), "windows")
+    drop(firsts)
+    swept(docs.sparkSession)
     begin = windows.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("times")).filter("times > 1")
     begin = written(begin.select(F.struct("h1", "h2").alias("key"), "times", "first"), "first-windows")
+    swept(docs.sparkSession)
     later = lookup(windows.select(F.struct("h1", "h2").alias("key"), "id", "tie", "start"), begin, "key", "times", windows.count())
     later = later.filter(~F.struct("id", "start").eqNullSafe(F.col("first"))).select("id", "tie", "start", F.lit(1).alias("n"))
     return copies.unionByName(later)
@@ -227,6 +235,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     own, tie, cut_id, cut_tie, cut, start_, n_ = fresh(docs, "_id", "_tie", "_cut_id", "_cut_tie", "_cut", "_start", "_n")
     ranges = covered(docs, id_col, text_col, size, sketch_bits).groupBy(F.col("id").alias(cut_id), F.col("tie").alias(cut_tie)).agg(F.collect_set(F.struct("start", "n")).alias(cut))
     ranges = written(ranges.select(cut_id, cut_tie, F.col(f"{cut}.start").alias(start_), F.col(f"{cut}.n").alias(n_)), "cuts")
+    swept(docs.sparkSession)
     some, whole = parted(docs, id_col, ranges.select(cut_id))
     some = some.withColumns({own: F.col(id_col), tie: F.xxhash64(text_col)})
     some = some.join(ranges, F.col(own).eqNullSafe(F.col(cut_id)) & (F.col(tie) == F.col(cut_tie)), "left").drop(own, tie, cut_id, cut_tie)
